@@ -12,6 +12,7 @@ from .commerce import (
 )
 from .text import blank_to_empty, strip_text, url_decode
 from .url import (
+    classify_referrer,
     engine_lookup,
     query_param,
     referrer_class,
@@ -21,6 +22,7 @@ from .url import (
     url_hostname,
     url_is_malformed,
     url_query,
+    with_referrer_parts,
 )
 
 __all__ = [
@@ -28,4 +30,5 @@ __all__ = [
     "product_revenue", "to_cents", "blank_to_empty", "strip_text", "url_decode",
     "engine_lookup", "query_param", "referrer_class", "referrer_host", "search_referrer",
     "url_authority", "url_hostname", "url_is_malformed", "url_query",
+    "classify_referrer", "with_referrer_parts",
 ]

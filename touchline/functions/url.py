@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import INTERNAL_SUFFIXES, SEARCH_ENGINES
@@ -51,15 +51,13 @@ def clean_url(c) -> Column:
 
 
 def url_authority(c) -> Column:
-    """Network location of a URL, NULL when there is none."""
-    u = clean_url(c)
-    return F.when(u.rlike(_HAS_AUTHORITY), F.regexp_extract(u, _AUTHORITY, 1))
+    """Network location of a URL; ``''`` when there is none."""
+    return F.regexp_extract(clean_url(c), _AUTHORITY, 1)
 
 
 def url_query(c) -> Column:
-    """Query string of a URL, NULL when it has no '?'."""
-    u = clean_url(c)
-    return F.when(u.rlike(_HAS_QUERY), F.regexp_extract(u, _QUERY, 1))
+    """Query string of a URL; ``''`` when it has no '?'."""
+    return F.regexp_extract(clean_url(c), _QUERY, 1)
 
 
 def _host_part(authority: Column) -> Column:
@@ -67,13 +65,18 @@ def _host_part(authority: Column) -> Column:
     return F.regexp_extract(authority, "([^@]*)$", 1)
 
 
-def url_hostname(c) -> Column:
-    """Lower-cased host name, NULL when absent (userinfo and port dropped)."""
-    hp = _host_part(url_authority(c))
+def _host_from_part(hp: Column) -> Column:
     bracketed = F.regexp_extract(hp, "\\[([^\\]]*)", 1)
     plain = F.regexp_extract(hp, "^([^:]*)", 1)
-    host = F.lower(F.when(F.instr(hp, "[") > 0, bracketed).otherwise(plain))
-    return F.when(host != "", host)
+    return F.lower(F.when(F.instr(hp, "[") > 0, bracketed).otherwise(plain))
+
+
+def url_hostname(c) -> Column:
+    """Lower-cased host name; NULL when absent or when the URL is malformed
+    (a standard splitter raises there, so no host is known)."""
+    auth = url_authority(c)
+    host = _host_from_part(_host_part(auth))
+    return F.when((host != "") & ~_malformed_authority(auth), host)
 
 
 def referrer_host(c) -> Column:
@@ -81,16 +84,12 @@ def referrer_host(c) -> Column:
     return F.regexp_replace(url_hostname(c), "^www\\.", "")
 
 
-def url_is_malformed(c) -> Column:
-    """True when a standard URL splitter rejects the URL (bracket rules, trap 16).
+def _malformed_authority(auth: Column, hp: Column = None) -> Column:
+    """Bracket rules of a standard URL splitter on an authority (see url_is_malformed).
 
-    Rejected: unbalanced '[' / ']' in the authority; text before '[' in the host
-    part; text after ']' that is not a port; a bracketed host that is neither an
-    IPv6 literal nor an IPvFuture literal.  (Host characters that normalise to
-    delimiters under NFKC are not detected.)
+    The regex checks run only when the authority holds a bracket at all.
     """
-    auth = url_authority(c)
-    hp = _host_part(auth)
+    hp = _host_part(auth) if hp is None else hp
     has_open = F.instr(auth, "[") > 0
     has_close = F.instr(auth, "]") > 0
     before = F.substring_index(hp, "[", 1)
@@ -102,11 +101,25 @@ def url_is_malformed(c) -> Column:
     )
     bracket_checks = (before != "") | ((rest != "") & ~rest.startswith(":")) | bad_literal
     return F.coalesce(
-        (has_open != has_close) | ((F.instr(hp, "[") > 0) & bracket_checks),
+        F.when(
+            has_open | has_close,
+            (has_open != has_close) | ((F.instr(hp, "[") > 0) & bracket_checks),
+        ),
         F.lit(False),
     )
 
 
+def url_is_malformed(c) -> Column:
+    """True when a standard URL splitter rejects the URL (bracket rules, trap 16).
+
+    Rejected: unbalanced '[' / ']' in the authority; text before '[' in the host
+    part; text after ']' that is not a port; a bracketed host that is neither an
+    IPv6 literal nor an IPvFuture literal.  (Host characters that normalise to
+    delimiters under NFKC are not detected.)
+    """
+    return _malformed_authority(url_authority(c))
+
+
 def query_param(query, name) -> Column:
     """First value of parameter ``name`` whose raw value is non-empty, decoded.
 
@@ -149,6 +162,62 @@ def search_referrer(referrer, engines: Sequence[tuple[str, str, str]] = SEARCH_E
     )
 
 
+def with_referrer_parts(
+    df: DataFrame,
+    col: str = "referrer",
+    engines: Sequence[tuple[str, str, str]] = SEARCH_ENGINES,
+) -> DataFrame:
+    """Parse a URL column in stages and add ``ref_host`` (lower-cased host or
+    NULL), ``ref_malformed`` and ``touch`` (struct domain, keyword or NULL).
+
+    Same results as :func:`url_hostname`, :func:`url_is_malformed` and
+    :func:`search_referrer`, but each intermediate (cleaned URL, authority,
+    query, host part, engine) is its own projected column, so the generated
+    code computes it once instead of inlining it at every use.
+    """
+    df = df.withColumn("_u", clean_url(col))
+    df = df.withColumns(
+        {"_auth": F.regexp_extract("_u", _AUTHORITY, 1), "_q": F.regexp_extract("_u", _QUERY, 1)}
+    )
+    df = df.withColumn("_hp", _host_part(F.col("_auth")))
+    df = df.withColumns(
+        {
+            "ref_malformed": _malformed_authority(F.col("_auth"), F.col("_hp")),
+            "_h0": _host_from_part(F.col("_hp")),
+        }
+    )
+    df = df.withColumn("ref_host", F.when((F.col("_h0") != "") & ~F.col("ref_malformed"), F.col("_h0")))
+    df = df.withColumn("_eng", engine_lookup(F.regexp_replace("ref_host", "^www\\.", ""), engines))
+    df = df.withColumn(
+        "_kw", F.when(F.col("_eng").isNotNull(), strip_text(query_param(F.col("_q"), F.col("_eng.param"))))
+    )
+    df = df.withColumn(
+        "touch",
+        F.when(
+            F.col("_eng").isNotNull() & (F.coalesce(F.length("_kw"), F.lit(0)) > 0),
+            F.struct(F.col("_eng.domain").alias("domain"), F.col("_kw").alias("keyword")),
+        ),
+    )
+    return df.drop("_u", "_auth", "_q", "_hp", "_h0", "_eng", "_kw")
+
+
+def classify_referrer(referrer, touch, host, malformed, internal_suffixes: Sequence[str] = INTERNAL_SUFFIXES) -> Column:
+    """Referrer class from already parsed parts (see :func:`referrer_class`)."""
+    r, h = _col(referrer), _col(host)
+    internal = None
+    for s in internal_suffixes:
+        cond = h.endswith(s)
+        internal = cond if internal is None else (internal | cond)
+    return (
+        F.when(_col(touch).isNotNull(), F.lit("search"))
+        .when(r == "", F.lit("none"))
+        .when(_col(malformed), F.lit("malformed"))
+        .when(h.isNull(), F.lit("hostless"))
+        .when(internal, F.lit("internal"))
+        .otherwise(F.lit("unknown_external"))
+    )
+
+
 def referrer_class(referrer, touch, internal_suffixes: Sequence[str] = INTERNAL_SUFFIXES) -> Column:
     """``search`` / ``none`` / ``malformed`` / ``hostless`` / ``internal`` /
     ``unknown_external`` (P8).  ``referrer`` must already be stripped."""

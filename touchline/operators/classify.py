@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import referrer_class
+from ..functions import classify_referrer, referrer_class
 from ..options import INTERNAL_SUFFIXES
 
 ATTRIBUTED = "attributed"
@@ -52,6 +52,8 @@ def attributed_purchases(attributed: DataFrame) -> DataFrame:
 
 def with_referrer_class(prepared: DataFrame, internal_suffixes=INTERNAL_SUFFIXES) -> DataFrame:
     """Referrer class of each hit."""
-    return prepared.withColumn(
-        "referrer_class", referrer_class("referrer", "touch", internal_suffixes)
-    )
+    if "ref_host" in prepared.columns:
+        cls = classify_referrer("referrer", "touch", "ref_host", "ref_malformed", internal_suffixes)
+    else:
+        cls = referrer_class("referrer", "touch", internal_suffixes)
+    return prepared.withColumn("referrer_class", cls)

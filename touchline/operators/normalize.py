@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions import blank_to_empty, is_purchase, product_revenue, search_referrer, strip_text
+from ..functions import blank_to_empty, is_purchase, product_revenue, strip_text, with_referrer_parts
 from ..functions.commerce import SUM_TYPE
 from ..options import SEARCH_ENGINES
 
@@ -19,35 +21,71 @@ def normalize_hits(raw: DataFrame) -> DataFrame:
     ``hit_time`` is epoch seconds; blank reads as 0 (``time_blank``); text that
     is not an integer also reads as 0 and is flagged ``time_bad``.
     """
-    t = strip_text(F.col("hit_time_gmt"))
-    parsed = t.try_cast("bigint")
     extra = [c for c in ("seq_block",) if c in raw.columns]
-    return raw.select(
+    stripped = raw.select(
         "seq",
         *extra,
         *[blank_to_empty(c).alias(c) for c in TEXT_FIELDS],
-        F.coalesce(parsed, F.lit(0).cast("bigint")).alias("hit_time"),
-        F.coalesce(t == "", F.lit(True)).alias("time_blank"),
-        ((F.coalesce(t, F.lit("")) != "") & parsed.isNull()).alias("time_bad"),
+        strip_text("hit_time_gmt").alias("_t"),
+    )
+    timed = stripped.withColumn("_tn", F.col("_t").try_cast("bigint"))
+    return timed.select(
+        "seq",
+        *extra,
+        *TEXT_FIELDS,
+        F.coalesce(F.col("_tn"), F.lit(0).cast("bigint")).alias("hit_time"),
+        F.coalesce(F.col("_t") == "", F.lit(True)).alias("time_blank"),
+        ((F.coalesce(F.col("_t"), F.lit("")) != "") & F.col("_tn").isNull()).alias("time_bad"),
     )
 
 
 def parse_hits(hits: DataFrame, engines=SEARCH_ENGINES) -> DataFrame:
-    """Add ``touch`` (struct domain, keyword or NULL), ``is_purchase`` and ``revenue``.
-
-    Revenue is parsed only on purchase hits (0 elsewhere).
+    """Add ``touch`` (struct domain, keyword or NULL), ``ref_host``,
+    ``ref_malformed``, ``is_purchase`` and ``revenue`` (parsed on purchases only).
     """
-    purchase = is_purchase("event_list")
-    return hits.withColumns(
-        {
-            "touch": search_referrer("referrer", engines),
-            "is_purchase": purchase,
-            "revenue": F.when(purchase, product_revenue("product_list")).otherwise(
-                F.lit(0).cast(SUM_TYPE)
-            ),
-        }
+    parsed = with_referrer_parts(hits, "referrer", engines)
+    parsed = parsed.withColumn("is_purchase", is_purchase("event_list"))
+    return parsed.withColumn(
+        "revenue",
+        F.when(F.col("is_purchase"), product_revenue("product_list")).otherwise(
+            F.lit(0).cast(SUM_TYPE)
+        ),
     )
 
 
+HIT_COUNTERS = (
+    "rows_processed",
+    "rows_with_search_referrer",
+    "total_purchase_events",
+    "malformed_referrers",
+    "blank_timestamps",
+)
+
+
+def observe_hits(parsed: DataFrame, name: str | None = None):
+    """Attach row-level counters collected during the same scan (``observe``).
+
+    The observation node also fences the parse stages: later filters (relevance,
+    search hits, purchases) stay above it instead of being pushed down and
+    re-inlining the whole URL parse into the filter condition.
+    Returns ``(frame, observation_or_name)``.
+    """
+    metrics = [
+        F.count(F.lit(1)).alias("rows_processed"),
+        F.count_if(F.col("touch").isNotNull()).alias("rows_with_search_referrer"),
+        F.count_if(F.col("is_purchase")).alias("total_purchase_events"),
+        F.count_if(F.col("touch").isNull() & (F.col("referrer") != "") & F.col("ref_malformed")).alias(
+            "malformed_referrers"
+        ),
+        F.count_if(F.col("time_blank")).alias("blank_timestamps"),
+    ]
+    tag = name or f"hits_{uuid.uuid4().hex[:12]}"
+    if parsed.isStreaming:
+        return parsed.observe(tag, *metrics), tag
+    obs = Observation(tag)
+    return parsed.observe(obs, *metrics), obs
+
+
 def prepare_hits(raw: DataFrame, engines=SEARCH_ENGINES) -> DataFrame:
-    return parse_hits(normalize_hits(raw), engines)
+    """Normalise, parse and fence the hits (see :func:`observe_hits`)."""
+    return observe_hits(parse_hits(normalize_hits(raw), engines))[0]

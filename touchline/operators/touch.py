@@ -206,16 +206,19 @@ def last_touch(
     prepared: DataFrame,
     options: Optional[AttributionOptions] = None,
     with_gaps: bool = False,
+    visitors: Optional[DataFrame] = None,
 ) -> DataFrame:
     """Add ``live_touch`` (the session-scoped last touch, own referrer included),
     ``new_session`` and ``session_id``; with a timeout or ``with_gaps`` also
     ``prev_time`` and ``gap``.
 
     Every input row is kept; filter *before* calling only when no timeout is set.
+    ``visitors`` is the frame the skew guard counts on (default ``prepared``);
+    pass the normalised hits so the counting pass never parses URLs.
     """
     options = options or AttributionOptions()
     if options.skew_threshold is not None:
-        heavy, n_heavy, n_blocks = heavy_visitors(prepared, options)
+        heavy, n_heavy, n_blocks = heavy_visitors(visitors if visitors is not None else prepared, options)
         if n_heavy > 0:
             return _scan_split(prepared, heavy, n_heavy, n_blocks, options, with_gaps)
     return _finish_single(_scan(prepared, list(VISITOR), options, with_gaps), options, with_gaps)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import keyword_revenue, live_visitors, quality_counters, result_order, with_rank
 from ..operators.classify import with_outcome
-from ..operators.normalize import prepare_hits
+from ..operators.normalize import normalize_hits, observe_hits, parse_hits
 from ..operators.touch import last_touch, relevant_only
 from ..options import REPORT_HEADERS, AttributionOptions
 from ..sources.hits import read_hits
@@ -25,17 +25,24 @@ from ..sources.hits import read_hits
 class AttributionResult:
     """Lazy outputs of one run."""
 
+    normalized: DataFrame
     prepared: DataFrame
+    observation: object
     options: AttributionOptions
 
     @cached_property
     def attributed(self) -> DataFrame:
         """Window output: every relevant hit with ``live_touch`` and ``outcome``."""
+        keep = [c for c in ("seq", "seq_block") if c in self.prepared.columns]
         narrowed = relevant_only(self.prepared, self.options).select(
-            *[c for c in ("seq", "seq_block") if c in self.prepared.columns],
-            "ip", "user_agent", "hit_time", "touch", "is_purchase", "revenue",
+            *keep, "ip", "user_agent", "hit_time", "touch", "is_purchase", "revenue",
         )
-        return with_outcome(last_touch(narrowed, self.options))
+        visitors = self.normalized.select(*keep, "ip", "user_agent", "hit_time")
+        return with_outcome(last_touch(narrowed, self.options, visitors=visitors))
+
+    def hit_counters(self) -> dict:
+        """Row-level counters observed during the first action that scanned the hits."""
+        return dict(self.observation.get) if hasattr(self.observation, "get") else {}
 
     @cached_property
     def results(self) -> DataFrame:
@@ -101,7 +108,9 @@ def _zeros(cols, *keep):
 def attribute(raw_hits: DataFrame, options: Optional[AttributionOptions] = None) -> AttributionResult:
     """Build the lazy attribution plan over a raw hits frame."""
     options = options or AttributionOptions()
-    return AttributionResult(prepare_hits(raw_hits, options.engines), options)
+    normalized = normalize_hits(raw_hits)
+    prepared, obs = observe_hits(parse_hits(normalized, options.engines))
+    return AttributionResult(normalized, prepared, obs, options)
 
 
 def attribute_files(

@@ -45,11 +45,20 @@ def _pick(idx: Column, values) -> Column:
 
 def derive_hits(events: DataFrame) -> DataFrame:
     """Hit-level frame (all-string hit columns + ``seq``) from ``events``."""
+    # k, v and the epoch are used by many branches: project them once first.
+    base = events.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        F.get_json_object("props", "$.k").cast("int").alias("_k"),
+        F.col("value").cast("decimal(18,2)").cast("string").alias("_v"),
+        F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("_epoch"),
+    )
     eid = F.col("event_id")
     etype = F.col("event_type")
-    k = F.get_json_object("props", "$.k").cast("int")
-    v = F.col("value").cast("decimal(18,2)").cast("string")
-    epoch = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    k = F.col("_k")
+    v = F.col("_v")
+    epoch = F.col("_epoch")
     agent = F.concat(F.lit("UA "), (F.col("user_id") % AGENT_VISITORS).cast("string"))
     purchase_products = (
         F.when(k % 10 == 0, F.lit("C;P;1;;"))
@@ -58,7 +67,7 @@ def derive_hits(events: DataFrame) -> DataFrame:
         .when(k % 10 == 3, F.concat(F.lit("C;P;1;-"), v, F.lit(";")))
         .otherwise(F.concat(F.lit("C;P;1;"), v, F.lit(";")))
     )
-    return events.select(
+    return base.select(
         eid.alias("seq"),
         F.when(eid % BLANK_TIME_EVERY == 0, F.lit("")).otherwise(epoch.cast("string")).alias("hit_time_gmt"),
         F.concat(F.lit("10.0.0."), (F.col("user_id") % IP_VISITORS).cast("string")).alias("ip"),
