@@ -22,7 +22,14 @@ def event_codes(c) -> Column:
 
 def is_purchase(c) -> Column:
     """True when the event list holds the purchase code exactly."""
-    return F.coalesce(F.array_contains(event_codes(c), F.lit(PURCHASE_EVENT)), F.lit(False))
+    e = _col(c)
+    return F.coalesce(
+        F.when(
+            F.instr(e, PURCHASE_EVENT) > 0,
+            F.array_contains(event_codes(e), F.lit(PURCHASE_EVENT)),
+        ),
+        F.lit(False),
+    )
 
 
 def product_revenue(c) -> Column:

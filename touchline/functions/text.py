@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's ``str.strip()`` removes (``str.isspace``).
-# Spark's ``trim`` removes only U+0020, and Java's ``\s`` misses U+001C..U+001F.
-PY_WHITESPACE_CLASS = (
-    "\\t\\n\\x0B\\f\\r\\x1C\\x1D\\x1E\\x1F \\x85\\xA0\\u1680\\u2000-\\u200A"
-    "\\u2028\\u2029\\u202F\\u205F\\u3000"
+# The 29 characters Python's ``str.strip()`` removes (``str.isspace``):
+# U+0009-U+000D, U+001C-U+001F, U+0020, U+0085, U+00A0, U+1680, U+2000-U+200A,
+# U+2028, U+2029, U+202F, U+205F, U+3000.  Spark's ``trim`` removes only U+0020.
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
-_STRIP_PATTERN = f"^[{PY_WHITESPACE_CLASS}]+|[{PY_WHITESPACE_CLASS}]+$"
 # A '%' not followed by two hex digits: kept literally by a lenient decoder.
 _STRAY_PERCENT = "%(?![0-9A-Fa-f]{2})"
 
@@ -21,8 +22,8 @@ def _col(c) -> Column:
 
 
 def strip_text(c) -> Column:
-    """Unicode strip with Python ``str.strip()`` semantics."""
-    return F.regexp_replace(_col(c), _STRIP_PATTERN, "")
+    """Unicode strip with Python ``str.strip()`` semantics (F9), native ``btrim``."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 def blank_to_empty(c) -> Column:
@@ -34,6 +35,11 @@ def url_decode(c) -> Column:
     """Lenient form decoding.
 
     ``+`` becomes a space, ``%xx`` sequences decode as UTF-8 with U+FFFD for
-    invalid bytes, and a stray ``%`` is kept as it is.
+    invalid bytes, and a stray ``%`` is kept as it is.  Text without ``%`` only
+    needs the ``+`` replacement, so the decoder runs only where a ``%`` occurs.
     """
-    return F.try_url_decode(F.regexp_replace(_col(c), _STRAY_PERCENT, "%25"))
+    s = _col(c)
+    return F.when(
+        F.instr(s, "%") > 0,
+        F.try_url_decode(F.regexp_replace(s, _STRAY_PERCENT, "%25")),
+    ).otherwise(F.translate(s, "+", " "))

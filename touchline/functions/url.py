@@ -16,8 +16,8 @@ from .text import _col, strip_text, url_decode
 
 # Leading C0 controls / spaces are dropped and tab, CR and LF removed anywhere
 # before splitting, as URL splitters following the WHATWG rules do.
-_C0_LEAD = "^[\\x00-\\x20]+"
-_UNSAFE = "[\\t\\r\\n]"
+C0_OR_SPACE = "".join(chr(i) for i in range(0x21))
+UNSAFE_URL_CHARS = "\t\r\n"
 # Authority: text after '//' that directly follows an optional scheme.
 _AUTHORITY = "^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//([^/?#]*)"
 _HAS_AUTHORITY = "^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//"
@@ -47,7 +47,7 @@ _IPVFUTURE = "^v[a-fA-F0-9]+\\..+$"
 
 
 def clean_url(c) -> Column:
-    return F.regexp_replace(F.regexp_replace(_col(c), _C0_LEAD, ""), _UNSAFE, "")
+    return F.ltrim(F.translate(_col(c), UNSAFE_URL_CHARS, ""), F.lit(C0_OR_SPACE))
 
 
 def url_authority(c) -> Column:
@@ -62,12 +62,12 @@ def url_query(c) -> Column:
 
 def _host_part(authority: Column) -> Column:
     # drop user info: everything up to the last '@'
-    return F.regexp_extract(authority, "([^@]*)$", 1)
+    return F.substring_index(authority, "@", -1)
 
 
 def _host_from_part(hp: Column) -> Column:
     bracketed = F.regexp_extract(hp, "\\[([^\\]]*)", 1)
-    plain = F.regexp_extract(hp, "^([^:]*)", 1)
+    plain = F.substring_index(hp, ":", 1)
     return F.lower(F.when(F.instr(hp, "[") > 0, bracketed).otherwise(plain))
 
 
@@ -79,9 +79,13 @@ def url_hostname(c) -> Column:
     return F.when((host != "") & ~_malformed_authority(auth), host)
 
 
+def _drop_www(h: Column) -> Column:
+    return F.when(h.startswith("www."), F.substring(h, 5, 1 << 30)).otherwise(h)
+
+
 def referrer_host(c) -> Column:
     """Host used for engine matching: lower case, one leading ``www.`` removed (F1)."""
-    return F.regexp_replace(url_hostname(c), "^www\\.", "")
+    return _drop_www(url_hostname(c))
 
 
 def _malformed_authority(auth: Column, hp: Column = None) -> Column:
@@ -132,8 +136,14 @@ def query_param(query, name) -> Column:
     hits = F.filter(
         pairs,
         lambda p: (F.instr(p, "=") > 0)
-        & (url_decode(F.substring_index(p, "=", 1)) == n)
-        & (F.instr(p, "=") < F.length(p)),
+        & (F.instr(p, "=") < F.length(p))
+        & (
+            (F.substring_index(p, "=", 1) == n)
+            | (
+                F.substring_index(p, "=", 1).rlike("[%+]")
+                & (url_decode(F.substring_index(p, "=", 1)) == n)
+            )
+        ),
     )
     first = F.get(hits, 0)
     return url_decode(F.regexp_extract(first, "(?s)^[^=]*=(.*)$", 1))
@@ -187,7 +197,7 @@ def with_referrer_parts(
         }
     )
     df = df.withColumn("ref_host", F.when((F.col("_h0") != "") & ~F.col("ref_malformed"), F.col("_h0")))
-    df = df.withColumn("_eng", engine_lookup(F.regexp_replace("ref_host", "^www\\.", ""), engines))
+    df = df.withColumn("_eng", engine_lookup(_drop_www(F.col("ref_host")), engines))
     df = df.withColumn(
         "_kw", F.when(F.col("_eng").isNotNull(), strip_text(query_param(F.col("_q"), F.col("_eng.param"))))
     )
