@@ -253,6 +253,20 @@ SELECT
   CAST((SELECT COALESCE(sum(revenue), 0) FROM res) AS DECIMAL(38,2)) AS total_attributed_revenue"""
 
 
+def run_manifest(timeout=None) -> str:
+    return _results("file", timeout) + """,
+lastrow AS (
+  SELECT ip, user_agent, arg_max(ldomain IS NOT NULL, seq) AS lv FROM live GROUP BY ip, user_agent
+)
+SELECT 'v1' AS schema_version,
+  CAST((SELECT count(*) FROM classed) AS BIGINT) AS rows_processed,
+  CAST((SELECT count(*) FROM lastrow WHERE lv) AS BIGINT) AS unique_visitors,
+  CAST((SELECT count(*) FROM res) AS BIGINT) AS keyword_groups,
+  CAST(CAST((SELECT COALESCE(sum(revenue), 0) FROM res) AS DECIMAL(38,2)) AS VARCHAR) AS total_attributed_revenue,
+  (SELECT string_agg(search_engine_domain || '|' || search_keyword || '|' || CAST(revenue AS VARCHAR), ';'
+          ORDER BY revenue DESC, search_engine_domain, lower(search_keyword)) FROM res) AS results_summary"""
+
+
 def purchase_outcomes(timeout=None) -> str:
     return BASE + _live("file", timeout) + """
 SELECT CASE WHEN revenue > 0 AND ldomain IS NOT NULL THEN 'attributed'
@@ -306,6 +320,13 @@ SELECT CAST(count(*) AS BIGINT) AS rows_processed,
        CAST(COALESCE(round(100.0 * count(*) FILTER (WHERE keyword IS NOT NULL) / nullif(count(*), 0), 4), 0)
             AS DECIMAL(10,4)) AS search_share_pct
 FROM classed""",
+        "stream_keyword_revenue": keyword_revenue("file", None),
+        "stream_session_timeout": keyword_revenue("file", t),
+        "stream_order_policy": keyword_revenue("time", t),
+        "stream_last_touch": BASE + _live("file", None) + """
+SELECT seq, ldomain AS search_engine_domain, lkeyword AS search_keyword FROM live WHERE is_purchase""",
+        "run_manifest": run_manifest(None),
+        "run_manifest_timeout": run_manifest(t),
         "purchase_outcomes": purchase_outcomes(None),
         "purchase_outcomes_timeout": purchase_outcomes(t),
         "referrer_class": BASE + """

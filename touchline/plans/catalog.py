@@ -282,4 +282,63 @@ def registry() -> dict[str, Query]:
         "search_referrer": referrer_touches,
         "product_revenue": product_revenue_rows,
         "strip_text": agent_strip,
+        "stream_keyword_revenue": lambda s, d: stream_keyword_revenue(s, d),
+        "stream_session_timeout": lambda s, d: stream_keyword_revenue(s, d, session_timeout=t),
+        "stream_order_policy": lambda s, d: stream_keyword_revenue(s, d, order="time", session_timeout=t),
+        "stream_last_touch": stream_last_touch_rows,
+        "run_manifest": lambda s, d: run_manifest(s, d),
+        "run_manifest_timeout": lambda s, d: run_manifest(s, d, session_timeout=t),
     }
+
+
+def run_manifest(spark, sf_dir, **opts) -> DataFrame:
+    """Stable manifest fields as one row (S7, A4, A6), computed on Spark."""
+    from .sinks import summary_rows
+
+    r = _result(spark, sf_dir, **opts)
+    counts = r.run_counts
+    text = summary_rows(r).select(
+        F.array_join(
+            F.transform(
+                "results_summary",
+                lambda x: F.concat_ws("|", x["domain"], x["keyword"], x["revenue"]),
+            ),
+            ";",
+        ).alias("results_summary")
+    )
+    nums = ["rows_processed", "unique_visitors", "keyword_groups"]
+    a = counts.select(
+        F.col("rows_processed"),
+        F.col("visitors_with_live_touch").alias("unique_visitors"),
+        F.col("keyword_groups"),
+        F.col("total_attributed_revenue").cast("string").alias("total_attributed_revenue"),
+        F.lit(None).cast("string").alias("results_summary"),
+    )
+    b = text.select(
+        *[F.lit(None).cast("long").alias(c) for c in nums],
+        F.lit(None).cast("string").alias("total_attributed_revenue"),
+        "results_summary",
+    )
+    return a.unionByName(b).agg(
+        F.lit("v1").alias("schema_version"),
+        *[F.max(c).alias(c) for c in nums],
+        F.max("total_attributed_revenue").alias("total_attributed_revenue"),
+        F.max("results_summary").alias("results_summary"),
+    )
+
+
+def stream_keyword_revenue(spark, sf_dir, **opts) -> DataFrame:
+    """Keyword revenue from the stateful streaming form."""
+    from ..streaming.runner import running_keyword_revenue
+
+    return running_keyword_revenue(spark, sf_dir, AttributionOptions(**opts))
+
+
+def stream_last_touch_rows(spark, sf_dir) -> DataFrame:
+    """Each purchase with its live touch, from the streaming form."""
+    from ..streaming.runner import stream_attributed
+
+    out = stream_attributed(spark, sf_dir, AttributionOptions())
+    return out.filter(F.col("is_purchase")).select(
+        "seq", F.col("live_domain").alias("search_engine_domain"), F.col("live_keyword").alias("search_keyword")
+    )
