@@ -9,7 +9,7 @@ from ..functions import MONEY_TYPE, SUM_TYPE, to_cents
 from ..options import AttributionOptions
 from .classify import ATTRIBUTED, NO_REVENUE, UNATTRIBUTED, outcome
 from .normalize import VISITOR
-from .touch import order_keys, order_struct
+from .touch import order_keys, order_number, order_struct
 
 RESULT_COLUMNS = ("search_engine_domain", "search_keyword", "revenue")
 
@@ -17,26 +17,51 @@ RESULT_COLUMNS = ("search_engine_domain", "search_keyword", "revenue")
 def keyword_revenue(attributed: DataFrame, options: AttributionOptions) -> DataFrame:
     """Revenue per (engine, lower-cased keyword), shown with the first-seen casing.
 
-    One aggregation over the window output: search hits contribute the display
-    candidate (earliest in processing order, A2), attributed purchases the
+    Aggregated straight from the window output: search hits contribute display
+    candidates (earliest in processing order, A2), attributed purchases the
     revenue (A1).  Groups without revenue are dropped; the sum is exact and
     rounded once, half-even, to cents (F10).
+
+    With a numeric order key the first level groups by the exact keyword
+    variant with hash aggregation (sum, min of a packed order number) and only
+    the much smaller variant table is folded to one row per group.
     """
     is_attr = F.col("is_purchase") & (F.col("revenue") > 0) & F.col("live_touch").isNotNull()
     key = F.when(F.col("touch").isNotNull(), F.col("touch")).otherwise(F.col("live_touch"))
-    rows = attributed.filter(F.col("touch").isNotNull() | is_attr).select(
-        key["domain"].alias("search_engine_domain"),
-        F.lower(key["keyword"]).alias("keyword_lower"),
-        F.when(F.col("touch").isNotNull(), F.struct(*order_keys(options.order), F.col("touch.keyword").alias("kw"))).alias("seen"),
-        F.when(is_attr, F.col("revenue")).alias("credit"),
-    )
-    grouped = rows.groupBy("search_engine_domain", "keyword_lower").agg(
-        F.sum("credit").alias("revenue_exact"),
-        F.min("seen").alias("first_seen"),
-    )
+    relevant = attributed.filter(F.col("touch").isNotNull() | is_attr)
+    ordnum = order_number(attributed, options.order)
+    if ordnum is not None:
+        variants = relevant.select(
+            key["domain"].alias("search_engine_domain"),
+            key["keyword"].alias("variant"),
+            F.when(F.col("touch").isNotNull(), ordnum).alias("seen_at"),
+            F.when(is_attr, F.col("revenue")).alias("credit"),
+        ).groupBy("search_engine_domain", "variant").agg(
+            F.sum("credit").alias("credit"), F.min("seen_at").alias("seen_at")
+        )
+        grouped = variants.groupBy(
+            "search_engine_domain", F.lower("variant").alias("keyword_lower")
+        ).agg(
+            F.sum("credit").alias("revenue_exact"),
+            F.min_by("variant", "seen_at").alias("search_keyword"),
+        )
+    else:
+        rows = relevant.select(
+            key["domain"].alias("search_engine_domain"),
+            F.lower(key["keyword"]).alias("keyword_lower"),
+            F.when(
+                F.col("touch").isNotNull(),
+                F.struct(*order_keys(options.order), F.col("touch.keyword").alias("kw")),
+            ).alias("seen"),
+            F.when(is_attr, F.col("revenue")).alias("credit"),
+        )
+        grouped = rows.groupBy("search_engine_domain", "keyword_lower").agg(
+            F.sum("credit").alias("revenue_exact"),
+            F.min("seen")["kw"].alias("search_keyword"),
+        )
     return grouped.filter(F.col("revenue_exact").isNotNull()).select(
         "search_engine_domain",
-        F.col("first_seen.kw").alias("search_keyword"),
+        "search_keyword",
         "keyword_lower",
         to_cents("revenue_exact").alias("revenue"),
     )

@@ -16,6 +16,7 @@ and the carry is joined back.  The result is identical to the one-level scan.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from typing import Optional
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,6 +40,22 @@ def order_struct(order: str) -> Column:
     return F.struct(*order_keys(order))
 
 
+def order_number(df: DataFrame, order: str) -> Optional[Column]:
+    """The processing order packed into one DECIMAL(38,0), or None.
+
+    Possible when ``seq`` is a non-negative integer: file order is ``seq``;
+    time order is ``hit_time * 10^19 + seq`` (seq < 2^63 < 10^19, so the pair
+    order is kept).  A fixed-width number lets aggregations keep hash buffers.
+    """
+    if not _is_numeric_seq(df):
+        return None
+    seq = F.col("seq").cast("decimal(38,0)")
+    if order == "file":
+        return seq
+    shift = F.lit(Decimal(10**19)).cast("decimal(38,0)")
+    return (F.col("hit_time").cast("decimal(38,0)") * shift + seq).cast("decimal(38,0)")
+
+
 def _running(w):
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
