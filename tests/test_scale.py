@@ -79,3 +79,18 @@ def test_window_scan_prunes_columns(spark):
     read = [line for line in plan.split("\n") if "ReadSchema" in line or "FileScan parquet" in line]
     assert read and all("props" in line for line in read)
     assert not any("value:double,props:string,extra" in line for line in read)
+
+
+def test_sampled_detection_finds_hot_visitor(spark):
+    from touchline.operators.normalize import normalize_hits
+    from touchline.operators.touch import heavy_visitors
+
+    rows = [hit(i, ip="hot" if i % 4 else f"v{i}", referrer=REFS[i % len(REFS)],
+                events="1" if i % 7 == 0 else "", products="E;N;1;3;" if i % 7 == 0 else "")
+            for i in range(4000)]
+    opts = AttributionOptions(skew_threshold=1000, block_span=500)
+    hot, n = heavy_visitors(normalize_hits(frame(spark, rows)), opts)
+    assert n == 1 and hot.first()["ip"] == "hot"
+    want, _ = fold(rows)
+    expect = sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
+    assert sorted(results(attribute(frame(spark, rows), opts))) == expect

@@ -114,22 +114,43 @@ def _with_gap(df: DataFrame, has_prev: bool) -> DataFrame:
     return df.withColumn("gap", F.col("hit_time") - F.col("prev_time"))
 
 
+# Expected sampled hits of a visitor exactly at the skew threshold; visitors
+# with at least half of that in the sample are split.
+SKEW_SAMPLE_HITS = 200
+SKEW_SAMPLE_SEED = 17
+
+
 def heavy_visitors(prepared: DataFrame, options: AttributionOptions):
-    """Visitors above the skew threshold, with an estimate of their block count.
+    """Visitors with more than ``skew_threshold`` hits, found on a sample.
+
+    A seeded Bernoulli sample with rate ``200 / skew_threshold`` is counted per
+    visitor; a visitor at the threshold has 200 expected sampled hits and one
+    with 100 or more is split.  The sample only decides *which* visitors are
+    split: every hit is still processed, and a missed visitor is processed
+    unsplit (same result, just one larger task).  The list is bounded by
+    ``max_broadcast_rows`` (checked) and returned as a small local frame.
 
-    Returns ``(frame, n_visitors, n_blocks)``; one partial aggregation pass.
+    Returns ``(frame_or_None, n_visitors)``.
     """
-    blk = block_key(prepared, options)
-    stats = (
-        prepared.groupBy(*VISITOR)
-        .agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(blk, 0.05).alias("nb"))
-        .filter(F.col("n") > F.lit(options.skew_threshold))
-        .select(*VISITOR, "nb")
+    rate = min(1.0, SKEW_SAMPLE_HITS / float(options.skew_threshold))
+    floor = max(1, SKEW_SAMPLE_HITS // 2) if rate < 1.0 else options.skew_threshold + 1
+    sampled = prepared.select(*VISITOR)
+    if rate < 1.0:
+        sampled = sampled.sample(fraction=rate, seed=SKEW_SAMPLE_SEED)
+    hot = (
+        sampled.groupBy(*VISITOR)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") >= F.lit(floor))
+        .select(*VISITOR)
     )
-    row = stats.agg(F.count(F.lit(1)).alias("v"), F.sum("nb").alias("b")).first()
-    n_vis = int(row["v"] or 0)
-    n_blk = int(((row["b"] or 0) * 1.2) + n_vis)
-    return stats.select(*VISITOR), n_vis, n_blk
+    rows = hot.limit(options.max_broadcast_rows + 1).collect()
+    if not rows:
+        return None, 0
+    if len(rows) > options.max_broadcast_rows:
+        return hot, len(rows)
+    spark = prepared.sparkSession
+    local = spark.createDataFrame([tuple(r) for r in rows], "ip string, user_agent string")
+    return local, len(rows)
 
 
 def _maybe_broadcast(df: DataFrame, rows_bound: int, options: AttributionOptions) -> DataFrame:
@@ -140,7 +161,6 @@ def _scan_split(
     prepared: DataFrame,
     heavy: DataFrame,
     n_heavy: int,
-    n_blocks: int,
     options: AttributionOptions,
     with_gaps: bool,
 ) -> DataFrame:
@@ -194,7 +214,9 @@ def _scan_split(
     summary = summary.withColumn("carry_in", F.last("carry_out", ignorenulls=True).over(before))
     carry = summary.select(*VISITOR, BLOCK, "prev_last", "head_brk", "base", "carry_in")
 
-    joined = local.join(_maybe_broadcast(carry, n_blocks, options), [*VISITOR, BLOCK], "left")
+    # The carry table has one row per block of a split visitor; AQE broadcasts
+    # it when its measured size is small and shuffles it otherwise.
+    joined = local.join(carry, [*VISITOR, BLOCK], "left")
     first_in_block = F.col("prev_time").isNull()
     sid_g = F.coalesce(F.col("base"), F.lit(0).cast("long")) + F.col("sid")
     if timeout is None:
@@ -235,9 +257,9 @@ def last_touch(
     """
     options = options or AttributionOptions()
     if options.skew_threshold is not None:
-        heavy, n_heavy, n_blocks = heavy_visitors(visitors if visitors is not None else prepared, options)
+        heavy, n_heavy = heavy_visitors(visitors if visitors is not None else prepared, options)
         if n_heavy > 0:
-            return _scan_split(prepared, heavy, n_heavy, n_blocks, options, with_gaps)
+            return _scan_split(prepared, heavy, n_heavy, options, with_gaps)
     return _finish_single(_scan(prepared, list(VISITOR), options, with_gaps), options, with_gaps)
 
 
