@@ -155,3 +155,15 @@ def test_options_validation():
         AttributionOptions(session_timeout=-1)
     with pytest.raises(ValueError):
         AttributionOptions(order="random")
+
+
+@pytest.mark.parametrize("timeout", [None, 1800])
+def test_materialized_equals_lazy(spark, timeout):
+    rows = GOLDEN + [hit(1254035300, ip="z", referrer="http://[bad/"), hit(1254035301, ip="z", referrer="http://o.org/"),
+                     hit("", ip="z", events="1", products="E;N;1;;")]
+    lazy = run(spark, rows, session_timeout=timeout)
+    done = lazy.materialize()
+    assert results(done) == results(lazy)
+    assert done.quality.first().asDict() == lazy.quality.first().asDict()
+    assert done.run_counts.first().asDict() == lazy.run_counts.first().asDict()
+    assert done.hit_counters()["rows_processed"] == 24

@@ -72,7 +72,12 @@ def result_order() -> list[Column]:
     return [F.col("revenue").desc(), F.col("search_engine_domain"), F.col("keyword_lower")]
 
 
-def quality_counters(prepared: DataFrame, attributed: DataFrame, options: AttributionOptions) -> DataFrame:
+def quality_counters(
+    prepared: DataFrame,
+    attributed: DataFrame,
+    options: AttributionOptions,
+    observed: dict | None = None,
+) -> DataFrame:
     """The ten data-quality counters as one row (A3).
 
     Row-level counters come from all hits (before any relevance filter); the
@@ -83,7 +88,27 @@ def quality_counters(prepared: DataFrame, attributed: DataFrame, options: Attrib
     money0 = F.lit(0).cast(SUM_TYPE)
     from .classify import with_referrer_class
 
-    rowwise = with_referrer_class(prepared, options.internal_suffixes).agg(
+    if observed is not None:
+        spark = attributed.sparkSession
+        blank = int(observed["blank_timestamps"]) if options.session_timeout is not None else 0
+        rowwise = spark.createDataFrame(
+            [(int(observed["malformed_referrers"]), int(observed["unknown_referrer_domains"]), blank,
+              int(observed["rows_with_search_referrer"]), int(observed["total_purchase_events"]))],
+            "malformed_referrers long, unknown_referrer_domains long, blank_timestamps long, "
+            "rows_with_search_referrer long, total_purchase_events long",
+        ).select(
+            "*",
+            F.lit(0).cast("long").alias("purchases_without_revenue"),
+            F.lit(0).cast("long").alias("attributed_purchase_events"),
+            F.lit(0).cast("long").alias("unattributed_purchases"),
+            money0.alias("total_revenue_attributed"),
+            money0.alias("total_revenue_unattributed"),
+        )
+        no_rev = F.count_if(F.col("is_purchase") & (F.col("revenue") == 0))
+    else:
+        rowwise = None
+        no_rev = F.lit(0).cast("long")
+    rowwise = rowwise if rowwise is not None else with_referrer_class(prepared, options.internal_suffixes).agg(
         F.count_if(cls == "malformed").alias("malformed_referrers"),
         F.count_if(cls == "unknown_external").alias("unknown_referrer_domains"),
         (
@@ -101,7 +126,8 @@ def quality_counters(prepared: DataFrame, attributed: DataFrame, options: Attrib
     outcomes = attributed.filter(F.col("is_purchase")).agg(
         *[F.lit(0).cast("long").alias(c) for c in (
             "malformed_referrers", "unknown_referrer_domains", "blank_timestamps",
-            "rows_with_search_referrer", "total_purchase_events", "purchases_without_revenue")],
+            "rows_with_search_referrer", "total_purchase_events")],
+        no_rev.alias("purchases_without_revenue"),
         F.count_if(o == ATTRIBUTED).alias("attributed_purchase_events"),
         F.count_if(o == UNATTRIBUTED).alias("unattributed_purchases"),
         F.coalesce(F.sum(F.when(o == ATTRIBUTED, F.col("revenue"))), money0).alias("total_revenue_attributed"),

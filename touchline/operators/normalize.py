@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import blank_to_empty, is_purchase, product_revenue, strip_text, with_referrer_parts
 from ..functions.commerce import SUM_TYPE
-from ..options import SEARCH_ENGINES
+from ..options import INTERNAL_SUFFIXES, SEARCH_ENGINES
 
 VISITOR = ("ip", "user_agent")
 TEXT_FIELDS = ("ip", "user_agent", "referrer", "event_list", "product_list")
@@ -58,11 +58,20 @@ HIT_COUNTERS = (
     "rows_with_search_referrer",
     "total_purchase_events",
     "malformed_referrers",
+    "unknown_referrer_domains",
     "blank_timestamps",
 )
 
 
-def observe_hits(parsed: DataFrame, name: str | None = None):
+def _internal(host, suffixes=INTERNAL_SUFFIXES):
+    out = None
+    for sfx in suffixes:
+        c = host.endswith(sfx)
+        out = c if out is None else (out | c)
+    return out
+
+
+def observe_hits(parsed: DataFrame, name: str | None = None, internal_suffixes=INTERNAL_SUFFIXES):
     """Attach row-level counters collected during the same scan (``observe``).
 
     The observation node also fences the parse stages: later filters (relevance,
@@ -77,6 +86,13 @@ def observe_hits(parsed: DataFrame, name: str | None = None):
         F.count_if(F.col("touch").isNull() & (F.col("referrer") != "") & F.col("ref_malformed")).alias(
             "malformed_referrers"
         ),
+        F.count_if(
+            F.col("touch").isNull()
+            & (F.col("referrer") != "")
+            & ~F.col("ref_malformed")
+            & F.col("ref_host").isNotNull()
+            & ~_internal(F.col("ref_host"), internal_suffixes)
+        ).alias("unknown_referrer_domains"),
         F.count_if(F.col("time_blank")).alias("blank_timestamps"),
     ]
     tag = name or f"hits_{uuid.uuid4().hex[:12]}"

@@ -29,10 +29,14 @@ class AttributionResult:
     prepared: DataFrame
     observation: object
     options: AttributionOptions
+    window_output: Optional[DataFrame] = None
+    observed: Optional[dict] = None
 
     @cached_property
     def attributed(self) -> DataFrame:
         """Window output: every relevant hit with ``live_touch`` and ``outcome``."""
+        if self.window_output is not None:
+            return self.window_output
         keep = [c for c in ("seq", "seq_block") if c in self.prepared.columns]
         narrowed = relevant_only(self.prepared, self.options).select(
             *keep, "ip", "user_agent", "hit_time", "touch", "is_purchase", "revenue",
@@ -42,8 +46,26 @@ class AttributionResult:
 
     def hit_counters(self) -> dict:
         """Row-level counters observed during the first action that scanned the hits."""
+        if self.observed is not None:
+            return dict(self.observed)
         return dict(self.observation.get) if hasattr(self.observation, "get") else {}
 
+    def materialize(self) -> "AttributionResult":
+        """Run the scan and the visitor window once and keep the narrow window
+        output as a reliable checkpoint in the shared checkpoint folder.
+
+        Every report of the returned result reads the checkpoint, and the
+        row-level counters come from the observation filled by that same pass,
+        so the input is scanned and shuffled once per run.
+        """
+        from ..session import reliable_checkpoint
+
+        out = reliable_checkpoint(self.attributed)
+        return AttributionResult(
+            self.normalized, self.prepared, self.observation, self.options,
+            window_output=out, observed=self.hit_counters(),
+        )
+
     @cached_property
     def results(self) -> DataFrame:
         """(search_engine_domain, search_keyword, keyword_lower, revenue DECIMAL(38,2))."""
@@ -66,12 +88,16 @@ class AttributionResult:
 
     @property
     def quality(self) -> DataFrame:
-        return quality_counters(self.prepared, self.attributed, self.options)
+        return quality_counters(self.prepared, self.attributed, self.options, self.observed)
 
     @property
     def run_counts(self) -> DataFrame:
         """rows_processed, visitors_with_live_touch, keyword_groups, total_attributed_revenue (A4)."""
-        rows = self.prepared.agg(F.count(F.lit(1)).alias("rows_processed"))
+        if self.observed is not None:
+            spark = self.prepared.sparkSession
+            rows = spark.createDataFrame([(int(self.observed["rows_processed"]),)], "rows_processed long")
+        else:
+            rows = self.prepared.agg(F.count(F.lit(1)).alias("rows_processed"))
         live = live_visitors(self.attributed, self.options)
         groups = self.results.agg(
             F.count(F.lit(1)).alias("keyword_groups"),
@@ -109,7 +135,9 @@ def attribute(raw_hits: DataFrame, options: Optional[AttributionOptions] = None)
     """Build the lazy attribution plan over a raw hits frame."""
     options = options or AttributionOptions()
     normalized = normalize_hits(raw_hits)
-    prepared, obs = observe_hits(parse_hits(normalized, options.engines))
+    prepared, obs = observe_hits(
+        parse_hits(normalized, options.engines), internal_suffixes=options.internal_suffixes
+    )
     return AttributionResult(normalized, prepared, obs, options)
 
 

@@ -40,7 +40,7 @@ def run_pending(
             raise DuplicateRunError(f"all inputs under {input_dir} were already processed")
         return None
     paths = sorted(r["path"] for r in rows)
-    result = attribute_files(spark, paths, options)
+    result = attribute_files(spark, paths, options).materialize()
     report = write_report(result, out_dir, run_date)
     doc = manifest(result, ",".join(paths), started, results_path=report)
     write_manifest(spark, doc, out_dir, run_date)
