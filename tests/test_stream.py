@@ -71,3 +71,30 @@ def test_live_counters_observed(spark, workdir):
     q.awaitTermination()
     seen = [p["observedMetrics"].get("live_q") for p in q.recentProgress if p.get("observedMetrics")]
     assert seen and sum(int(m["rows_processed"]) for m in seen) == 1000
+
+
+def test_continuous_intake_processes_each_file_once(spark, workdir):
+    import datetime as dt
+
+    from tests.hits import GOLDEN, write_tsv
+    from touchline.streaming.runner import continuous_intake
+
+    inbox, out, chk = (os.path.join(workdir, x) for x in ("in", "out", "chk"))
+    os.makedirs(inbox)
+    write_tsv(GOLDEN, inbox, "a.tsv")
+    day = dt.date(2026, 3, 5)
+    q = continuous_intake(spark, inbox, out, chk, run_date=day)
+    q.awaitTermination()
+    assert q.exception() is None
+    with open(os.path.join(out, "batch=0", "2026-03-05_SearchKeywordPerformance.tab")) as fh:
+        assert fh.read().splitlines()[1:] == ["google.com\tIpod\t480.00", "bing.com\tZune\t250.00"]
+    # a restart with no new file processes nothing; a new file is one new batch
+    q = continuous_intake(spark, inbox, out, chk, run_date=day)
+    q.awaitTermination()
+    assert sorted(os.listdir(out)) == ["batch=0"]
+    write_tsv(GOLDEN[:2] + [GOLDEN[1] | {"event_list": "1", "product_list": "E;Z;1;9;", "hit_time_gmt": "1254033400"}],
+              inbox, "b.tsv")
+    q = continuous_intake(spark, inbox, out, chk, run_date=day)
+    q.awaitTermination()
+    with open(os.path.join(out, "batch=1", "2026-03-05_SearchKeywordPerformance.tab")) as fh:
+        assert fh.read().splitlines()[1:] == ["bing.com\tZune\t9.00"]

@@ -97,3 +97,95 @@ def merge_totals(totals_path: str) -> Callable[[DataFrame, int], None]:
         merged.write.mode("overwrite").parquet(f"{totals_path}/v={batch_id}")
 
     return _merge
+
+
+def hit_file_stream(spark: SparkSession, input_dir: str, max_files: int = 1) -> DataFrame:
+    """Structured Streaming scan of new hit files under ``input_dir``.
+
+    The header of the files already present fixes the schema (all strings);
+    the stream's checkpoint is the ledger of processed files.  The file path
+    and split start travel with each row so arrival order can be rebuilt.
+    """
+    header = (
+        spark.read.option("sep", "\t").option("header", True).option("inferSchema", False)
+        .csv(input_dir).schema
+    )
+    stream = (
+        spark.readStream.schema(header)
+        .option("sep", "\t").option("header", True)
+        .option("quote", '"').option("escape", '"')
+        .option("maxFilesPerTrigger", max_files)
+        .csv(input_dir)
+    )
+    return stream.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+    )
+
+
+def attribute_each_batch(
+    out_dir: str,
+    options: Optional[AttributionOptions] = None,
+    run_date=None,
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: every micro-batch of new files is one run.
+
+    Like a per-upload job, each batch starts from empty visitor state; with
+    ``maxFilesPerTrigger=1`` that is one run per file.  Outputs go to
+    ``out_dir/batch=<id>/`` so a replayed batch id rewrites the same folder.
+    """
+    from ..plans.attribution import attribute
+    from ..plans.sinks import manifest, write_manifest, write_report
+    from ..sources.hits import HIT_COLUMNS, check_schema
+
+    def _run(batch: DataFrame, batch_id: int) -> None:
+        opts = options or AttributionOptions()
+        data_cols = [c for c in batch.columns if c not in ("_file", "_start")]
+        if opts.validate_schema:
+            check_schema(data_cols)
+        names = [c.strip().lower() for c in data_cols]
+        hits = batch.select(
+            *data_cols,
+            F.struct(
+                F.col("_file").alias("file"),
+                F.col("_start").alias("start"),
+                F.monotonically_increasing_id().alias("pos"),
+            ),
+            F.struct(F.col("_file").alias("file"), F.col("_start").alias("start")),
+        ).toDF(*names, "seq", "seq_block")
+        for c in HIT_COLUMNS:
+            if c not in names:
+                hits = hits.withColumn(c, F.lit(""))
+        raw = hits.select(*HIT_COLUMNS, "seq", "seq_block")
+        folder = f"{out_dir.rstrip('/')}/batch={batch_id}"
+        result = attribute(raw, opts).materialize()
+        report = write_report(result, folder, run_date)
+        files = ",".join(sorted(r[0] for r in batch.select("_file").distinct().collect()))
+        write_manifest(batch.sparkSession, manifest(result, files, results_path=report), folder, run_date)
+
+    return _run
+
+
+def continuous_intake(
+    spark: SparkSession,
+    input_dir: str,
+    out_dir: str,
+    checkpoint: Optional[str] = None,
+    options: Optional[AttributionOptions] = None,
+    available_now: bool = True,
+    run_date=None,
+):
+    """Process each new hit file once (S9): file stream + ``foreachBatch`` runs.
+
+    The checkpoint (default: a folder under the shared checkpoint root) records
+    which files were processed; restarting resumes after them.
+    """
+    checkpoint = checkpoint or scratch_path(spark, "intake")
+    w = (
+        hit_file_stream(spark, input_dir)
+        .writeStream.foreachBatch(attribute_each_batch(out_dir, options, run_date))
+        .option("checkpointLocation", checkpoint)
+    )
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
