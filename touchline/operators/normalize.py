@@ -104,4 +104,6 @@ def observe_hits(parsed: DataFrame, name: str | None = None, internal_suffixes=I
 
 def prepare_hits(raw: DataFrame, engines=SEARCH_ENGINES) -> DataFrame:
     """Normalise, parse and fence the hits (see :func:`observe_hits`)."""
-    return observe_hits(parse_hits(normalize_hits(raw), engines))[0]
+    from ..sources.hits import spread_input
+
+    return observe_hits(parse_hits(normalize_hits(spread_input(raw)), engines))[0]

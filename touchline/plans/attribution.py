@@ -18,7 +18,7 @@ from ..operators.classify import with_outcome
 from ..operators.normalize import normalize_hits, observe_hits, parse_hits
 from ..operators.touch import last_touch, relevant_only
 from ..options import REPORT_HEADERS, AttributionOptions
-from ..sources.hits import read_hits
+from ..sources.hits import read_hits, spread_input
 
 
 @dataclass
@@ -134,7 +134,7 @@ def _zeros(cols, *keep):
 def attribute(raw_hits: DataFrame, options: Optional[AttributionOptions] = None) -> AttributionResult:
     """Build the lazy attribution plan over a raw hits frame."""
     options = options or AttributionOptions()
-    normalized = normalize_hits(raw_hits)
+    normalized = normalize_hits(spread_input(raw_hits))
     prepared, obs = observe_hits(
         parse_hits(normalized, options.engines), internal_suffixes=options.internal_suffixes
     )

@@ -89,3 +89,21 @@ def read_hits(
             meta["file_block_start"].alias("start"),
         ).alias("seq_block"),
     )
+
+
+def spread_input(df: DataFrame) -> DataFrame:
+    """Round-robin repartition a raw scan that has fewer partitions than cores.
+
+    A single compressed file (``.gz`` / ``.zst`` never split) or a file with one
+    row group is read by one task; the per-hit parsing that follows is CPU
+    bound, so it is spread over ``defaultParallelism`` partitions.  Arrival
+    order is already a column (``seq``), so nothing depends on the placement.
+    Round robin keeps a hot visitor from landing in one task.  Scans that
+    already have enough partitions (any large input) are left alone.
+    """
+    if df.isStreaming:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if target > 1 and df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
