@@ -61,15 +61,16 @@ def _plan(df):
 def test_plan_one_visitor_exchange_no_python(spark):
     from tests.conftest import SF001
 
-    df = keyword_revenue(spark, SF001)
-    plan = _plan(df)
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    # the visitor exchange: hash partitioning on (ip, user_agent) exactly once
-    assert plan.count("hashpartitioning(ip#") == 1 or "isFinalPlan" in plan
-    df.collect()
-    final = _plan(df)
-    assert final.count("Exchange hashpartitioning(ip") + final.count("Exchange hashpartitioning(ip") >= 1
-    assert "BatchEvalPython" not in final
+    for opts in ({}, {"session_timeout": 1800}):
+        df = keyword_revenue(spark, SF001, **opts)
+        df.collect()
+        final = _plan(df).split("== Initial Plan ==")[0]
+        assert "BatchEvalPython" not in final and "ArrowEvalPython" not in final
+        # exactly one shuffle on the visitor key, and one sort feeding the window
+        assert final.count("Exchange hashpartitioning(ip#") == 1, final
+        assert final.count("Window [") >= 1
+        # the map side of the report aggregation is a hash aggregation
+        assert "HashAggregate(keys=[search_engine_domain" in final
 
 
 def test_window_scan_prunes_columns(spark):

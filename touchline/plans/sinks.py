@@ -70,12 +70,22 @@ def write_report(
     Larger results are written as a folder of that name whose part files, in
     part order, hold the report in order.
     """
+    from ..operators.aggregate import result_order
+    from ..options import REPORT_HEADERS
+    from ..session import reliable_checkpoint
+
     spark = result.prepared.sparkSession
     name = report_name(run_date)
     target = f"{out_dir.rstrip('/')}/{name}"
-    report = result.report()
     try:
-        n = result.results.count()
+        # the aggregated result is small: compute it once, then count and write it
+        res = reliable_checkpoint(result.results)
+        report = res.orderBy(*result_order()).select(
+            F.col("search_engine_domain").alias(REPORT_HEADERS[0]),
+            F.col("search_keyword").alias(REPORT_HEADERS[1]),
+            F.col("revenue").alias(REPORT_HEADERS[2]),
+        )
+        n = res.count()
         if n <= max_single_file_rows:
             staging = f"{target}.__staging"
             _tab_writer(report.coalesce(1)).csv(staging)
