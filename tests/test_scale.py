@@ -95,3 +95,12 @@ def test_sampled_detection_finds_hot_visitor(spark):
     want, _ = fold(rows)
     expect = sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
     assert sorted(results(attribute(frame(spark, rows), opts))) == expect
+
+
+def test_visitor_partitions_reuses_the_exchange(spark):
+    rows = random_hits(5, n=200)
+    r = attribute(frame(spark, rows), AttributionOptions(visitor_partitions=3, skew_threshold=None))
+    want, _ = fold(rows)
+    assert sorted(results(r)) == sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
+    final = r.attributed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("hashpartitioning(ip#") == 1 and ", 3)" in final

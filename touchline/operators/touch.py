@@ -260,6 +260,9 @@ def last_touch(
         heavy, n_heavy = heavy_visitors(visitors if visitors is not None else prepared, options)
         if n_heavy > 0:
             return _scan_split(prepared, heavy, n_heavy, options, with_gaps)
+    if options.visitor_partitions:
+        # explicit size for the one visitor shuffle; the window reuses it
+        prepared = prepared.repartition(options.visitor_partitions, *VISITOR)
     return _finish_single(_scan(prepared, list(VISITOR), options, with_gaps), options, with_gaps)
 
 

@@ -52,6 +52,8 @@ class AttributionOptions:
     block_span: width of one block of the order key for split visitors
         (arrival-sequence units in file order, seconds in time order).
     max_broadcast_rows: upper bound for any side this package broadcasts.
+    visitor_partitions: number of partitions of the visitor shuffle; ``None``
+        leaves it to ``spark.sql.shuffle.partitions`` and adaptive coalescing.
     """
 
     session_timeout: Optional[int] = None
@@ -61,6 +63,7 @@ class AttributionOptions:
     skew_threshold: Optional[int] = 5_000_000
     block_span: int = 1_000_000
     max_broadcast_rows: int = 2_000_000
+    visitor_partitions: Optional[int] = None
     engines: tuple[tuple[str, str, str], ...] = field(default=SEARCH_ENGINES)
     internal_suffixes: tuple[str, ...] = field(default=INTERNAL_SUFFIXES)
 
@@ -75,6 +78,8 @@ class AttributionOptions:
             raise ValueError(f"skew_threshold must be >= 1 or None, got {self.skew_threshold}")
         if self.block_span < 1:
             raise ValueError(f"block_span must be >= 1, got {self.block_span}")
+        if self.visitor_partitions is not None and self.visitor_partitions < 1:
+            raise ValueError("visitor_partitions must be >= 1 or None")
         if self.max_broadcast_rows < 1:
             raise ValueError("max_broadcast_rows must be >= 1")
         if not self.engines:
