@@ -67,6 +67,26 @@ def keyword_revenue(attributed: DataFrame, options: AttributionOptions) -> DataF
     )
 
 
+def first_seen_display(search: DataFrame, options: AttributionOptions) -> DataFrame:
+    """First-seen keyword casing per (engine, lower-cased keyword) over search hits (A2).
+
+    Hash aggregation per exact keyword variant first (min of the packed order
+    number), then a small fold per group; sort-based only without a numeric order.
+    """
+    ordnum = order_number(search, options.order)
+    if ordnum is None:
+        return search.groupBy(
+            F.col("touch.domain").alias("search_engine_domain"),
+            F.lower("touch.keyword").alias("keyword_lower"),
+        ).agg(F.min(F.struct(*order_keys(options.order), F.col("touch.keyword").alias("kw")))["kw"].alias("search_keyword"))
+    variants = search.groupBy(
+        F.col("touch.domain").alias("search_engine_domain"), F.col("touch.keyword").alias("variant")
+    ).agg(F.min(ordnum).alias("seen_at"))
+    return variants.groupBy("search_engine_domain", F.lower("variant").alias("keyword_lower")).agg(
+        F.min_by("variant", "seen_at").alias("search_keyword")
+    )
+
+
 def result_order() -> list[Column]:
     """Report order (O1): revenue desc, domain, lower-cased keyword."""
     return [F.col("revenue").desc(), F.col("search_engine_domain"), F.col("keyword_lower")]

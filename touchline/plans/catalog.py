@@ -59,11 +59,9 @@ def keyword_revenue_ranked(spark, sf_dir, **opts) -> DataFrame:
 
 def keyword_display(spark, sf_dir) -> DataFrame:
     """First-seen casing for every (engine, keyword) group over search hits (A2)."""
-    s = search_hits(_prepared(spark, sf_dir))
-    return s.groupBy(
-        F.col("touch.domain").alias("search_engine_domain"),
-        F.lower("touch.keyword").alias("keyword_lower"),
-    ).agg(F.min_by("touch.keyword", F.col("seq")).alias("search_keyword"))
+    from ..operators.aggregate import first_seen_display
+
+    return first_seen_display(search_hits(_prepared(spark, sf_dir)), AttributionOptions())
 
 
 def quality_metrics(spark, sf_dir, **opts) -> DataFrame:
