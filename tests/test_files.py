@@ -126,3 +126,18 @@ def test_skew_split_on_files(spark, workdir, timeout):
             assert sorted(results(attribute_files(spark, workdir, opts))) == expect, threshold
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_job_entry(spark, workdir):
+    from touchline.__main__ import main
+
+    path = write_tsv(GOLDEN, workdir, "in.tsv")
+    out = os.path.join(workdir, "out")
+    assert main([path, "--output-dir", out, "--session-timeout", "1800", "--metadata", "--run-date", "2026-03-05"]) == 0
+    with open(os.path.join(out, "2026-03-05_SearchKeywordPerformance.tab")) as fh:
+        assert fh.read().splitlines()[1:] == ["google.com\tIpod\t480.00", "bing.com\tZune\t250.00"]
+    with open(os.path.join(out, "2026-03-05_SearchKeywordPerformance_metadata.json")) as fh:
+        doc = json.load(fh)
+    assert doc["config"]["session_timeout"] == 1800 and doc["unique_visitors"] == 4
+    assert main([os.path.join(workdir, "missing.tsv"), "--output-dir", out]) == 1
+    assert main([path, "--output-dir", out, "--session-timeout", "-5"]) == 2

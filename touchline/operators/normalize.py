@@ -60,6 +60,7 @@ HIT_COUNTERS = (
     "malformed_referrers",
     "unknown_referrer_domains",
     "blank_timestamps",
+    "bad_timestamps",
 )
 
 
@@ -94,6 +95,7 @@ def observe_hits(parsed: DataFrame, name: str | None = None, internal_suffixes=I
             & ~_internal(F.col("ref_host"), internal_suffixes)
         ).alias("unknown_referrer_domains"),
         F.count_if(F.col("time_blank")).alias("blank_timestamps"),
+        F.count_if(F.col("time_bad")).alias("bad_timestamps"),
     ]
     tag = name or f"hits_{uuid.uuid4().hex[:12]}"
     if parsed.isStreaming:

@@ -15,7 +15,9 @@ from typing import Iterable, Sequence, Union
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import InputSchemaError
+from pyspark.errors import AnalysisException
+
+from ..errors import InputSchemaError, StorageIOError
 from ..options import REQUIRED_COLUMNS
 
 HIT_COLUMNS = REQUIRED_COLUMNS
@@ -74,7 +76,10 @@ def read_hits(
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
     )
-    raw = reader.csv(list(paths) if not isinstance(paths, str) else paths)
+    try:
+        raw = reader.csv(list(paths) if not isinstance(paths, str) else paths)
+    except AnalysisException as e:
+        raise StorageIOError(f"cannot read hit files {paths}: {e.getMessage() if hasattr(e, 'getMessage') else e}") from e
     hits = conform(raw, validate_schema)
     meta = F.col("_metadata")
     return hits.select(
