@@ -97,7 +97,9 @@ class AttributionResult:
             spark = self.prepared.sparkSession
             rows = spark.createDataFrame([(int(self.observed["rows_processed"]),)], "rows_processed long")
         else:
-            rows = self.prepared.agg(F.count(F.lit(1)).alias("rows_processed"))
+            # count the normalised hits: the parsed frame's observe node would
+            # force the whole URL parse just to count rows
+            rows = self.normalized.agg(F.count(F.lit(1)).alias("rows_processed"))
         live = live_visitors(self.attributed, self.options)
         groups = self.results.agg(
             F.count(F.lit(1)).alias("keyword_groups"),

@@ -32,8 +32,6 @@ BLANK_TIME_EVERY = 97
 PADDED_AGENT_EVERY = 5
 IP_VISITORS = 50
 AGENT_VISITORS = 7
-# Seq units per block for visitors split by the skew guard.
-EVENTS_BLOCK_SPAN = 4096
 
 
 def _pick(idx: Column, values) -> Column:
@@ -44,7 +42,7 @@ def _pick(idx: Column, values) -> Column:
 
 
 def derive_hits(events: DataFrame) -> DataFrame:
-    """Hit-level frame (all-string hit columns + ``seq``) from ``events``."""
+    """Hit-level frame (all-string hit columns + numeric ``seq``) from ``events``."""
     # k, v and the epoch are used by many branches: project them once first.
     base = events.select(
         "event_id",
@@ -91,7 +89,6 @@ def derive_hits(events: DataFrame) -> DataFrame:
         )
         .otherwise(F.lit(CART_REFERRER))
         .alias("referrer"),
-        (eid / F.lit(EVENTS_BLOCK_SPAN)).cast("long").alias("seq_block"),
     )
 
 
