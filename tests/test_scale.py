@@ -36,7 +36,8 @@ def test_split_matches_fold(spark, seed, timeout, order):
     rows = random_hits(seed)
     want, live = fold(rows, timeout, order)
     expect = sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
-    for opts in (dict(skew_threshold=None), dict(skew_threshold=30, block_span=37 if order == "file" else 5000)):
+    for opts in (dict(skew_threshold=None), dict(skew_threshold=30, block_span=37 if order == "file" else 5000),
+                 dict(skew_threshold=30, block_rows=16)):
         r = attribute(frame(spark, rows), AttributionOptions(session_timeout=timeout, order=order, **opts))
         assert sorted(results(r)) == expect, opts
         assert r.run_counts.first().visitors_with_live_touch == live
@@ -89,12 +90,16 @@ def test_sampled_detection_finds_hot_visitor(spark):
     rows = [hit(i, ip="hot" if i % 4 else f"v{i}", referrer=REFS[i % len(REFS)],
                 events="1" if i % 7 == 0 else "", products="E;N;1;3;" if i % 7 == 0 else "")
             for i in range(4000)]
-    opts = AttributionOptions(skew_threshold=1000, block_span=500)
+    opts = AttributionOptions(skew_threshold=1000, block_rows=300)
     hot, n = heavy_visitors(normalize_hits(frame(spark, rows)), opts)
     assert n == 1 and hot.first()["ip"] == "hot"
+    # about 3000 hits over a seq range of 4000, 300 hits per block: span ~400
+    assert 200 <= hot.first()["_span"] <= 800
     want, _ = fold(rows)
     expect = sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
     assert sorted(results(attribute(frame(spark, rows), opts))) == expect
+    assert sorted(results(attribute(frame(spark, rows), opts.with_(order="time", session_timeout=50)))) == sorted(
+        (d, disp, str(rev)) for (d, _), (disp, rev) in fold(rows, 50, "time")[0].items())
 
 
 def test_visitor_partitions_reuses_the_exchange(spark):

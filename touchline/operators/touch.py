@@ -64,13 +64,26 @@ def _is_numeric_seq(df: DataFrame) -> bool:
     return df.schema["seq"].dataType.typeName() in ("long", "integer", "short", "byte")
 
 
-def block_key(df: DataFrame, options: AttributionOptions) -> Column:
-    """Coarse block of the processing order, non-decreasing along it."""
+def _block_source(df: DataFrame, options: AttributionOptions) -> Optional[Column]:
+    """The numeric key blocks are cut from (hit time, or a numeric ``seq``)."""
     if options.order == "time":
-        return F.floor(F.col("hit_time") / F.lit(options.block_span))
+        return F.col("hit_time")
     if _is_numeric_seq(df):
-        return F.floor(F.col("seq") / F.lit(options.block_span))
-    return F.col("seq_block")
+        return F.col("seq")
+    return None
+
+
+def block_key(df: DataFrame, options: AttributionOptions, span: Optional[Column] = None) -> Column:
+    """Coarse block of the processing order, non-decreasing along it.
+
+    Numeric keys are cut into spans (``span`` per visitor, else the fixed
+    ``block_span``); a struct arrival sequence uses its input split.
+    """
+    src = _block_source(df, options)
+    if src is None:
+        return F.col("seq_block")
+    width = span if span is not None else F.lit(options.block_span or 1)
+    return F.floor(src / width)
 
 
 def _scan(df: DataFrame, parts: list, options: AttributionOptions, with_gaps: bool) -> DataFrame:
@@ -134,22 +147,35 @@ def heavy_visitors(prepared: DataFrame, options: AttributionOptions):
     """
     rate = min(1.0, SKEW_SAMPLE_HITS / float(options.skew_threshold))
     floor = max(1, SKEW_SAMPLE_HITS // 2) if rate < 1.0 else options.skew_threshold + 1
-    sampled = prepared.select(*VISITOR)
+    src = _block_source(prepared, options)
+    key = src if src is not None else F.lit(0)
+    sampled = prepared.select(*VISITOR, key.cast("long").alias("_k"))
     if rate < 1.0:
         sampled = sampled.sample(fraction=rate, seed=SKEW_SAMPLE_SEED)
     hot = (
         sampled.groupBy(*VISITOR)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("lo"), F.max("_k").alias("hi"))
         .filter(F.col("n") >= F.lit(floor))
-        .select(*VISITOR)
     )
+    # Block width per visitor: its key range cut into pieces of about
+    # ``block_rows`` hits (estimated rows = sampled rows / rate), unless a
+    # fixed ``block_span`` is given.
+    if options.block_span:
+        span = F.lit(options.block_span).cast("long")
+    else:
+        est = F.col("n") / F.lit(rate)
+        span = F.greatest(
+            F.lit(1).cast("long"),
+            F.ceil((F.col("hi") - F.col("lo") + 1) * F.lit(options.block_rows) / est).cast("long"),
+        )
+    hot = hot.select(*VISITOR, span.alias("_span"))
     rows = hot.limit(options.max_broadcast_rows + 1).collect()
     if not rows:
         return None, 0
     if len(rows) > options.max_broadcast_rows:
         return hot, len(rows)
     spark = prepared.sparkSession
-    local = spark.createDataFrame([tuple(r) for r in rows], "ip string, user_agent string")
+    local = spark.createDataFrame([tuple(r) for r in rows], "ip string, user_agent string, _span long")
     return local, len(rows)
 
 
@@ -168,9 +194,9 @@ def _scan_split(
     timeout = options.session_timeout
     marked = heavy.withColumn("_heavy", F.lit(True))
     flagged = prepared.join(_maybe_broadcast(marked, n_heavy, options), list(VISITOR), "left")
-    flagged = flagged.withColumn(BLOCK, F.when(F.col("_heavy"), block_key(prepared, options))).drop(
-        "_heavy"
-    )
+    flagged = flagged.withColumn(
+        BLOCK, F.when(F.col("_heavy"), block_key(prepared, options, F.col("_span")))
+    ).drop("_heavy", "_span")
     local = _scan(flagged, [*VISITOR, BLOCK], options, with_gaps=True)
 
     ordk = order_struct(options.order)

@@ -49,8 +49,10 @@ class AttributionOptions:
     skew_threshold: a visitor with more hits than this is split into blocks of
         the order key and carried across blocks, so no single task holds it.
         ``None`` disables the check.
-    block_span: width of one block of the order key for split visitors
-        (arrival-sequence units in file order, seconds in time order).
+    block_rows: target number of hits per block of a split visitor; each
+        visitor's block width is its key range divided accordingly.
+    block_span: fixed block width instead (arrival-sequence units in file
+        order, seconds in time order); ``None`` uses ``block_rows``.
     max_broadcast_rows: upper bound for any side this package broadcasts.
     visitor_partitions: number of partitions of the visitor shuffle; ``None``
         leaves it to ``spark.sql.shuffle.partitions`` and adaptive coalescing.
@@ -61,7 +63,8 @@ class AttributionOptions:
     validate_schema: bool = True
     prefilter: bool = True
     skew_threshold: Optional[int] = 5_000_000
-    block_span: int = 1_000_000
+    block_rows: int = 1_000_000
+    block_span: Optional[int] = None
     max_broadcast_rows: int = 2_000_000
     visitor_partitions: Optional[int] = None
     engines: tuple[tuple[str, str, str], ...] = field(default=SEARCH_ENGINES)
@@ -76,8 +79,10 @@ class AttributionOptions:
             raise ValueError(f"order must be one of {ORDER_MODES}, got {self.order!r}")
         if self.skew_threshold is not None and self.skew_threshold < 1:
             raise ValueError(f"skew_threshold must be >= 1 or None, got {self.skew_threshold}")
-        if self.block_span < 1:
-            raise ValueError(f"block_span must be >= 1, got {self.block_span}")
+        if self.block_span is not None and self.block_span < 1:
+            raise ValueError(f"block_span must be >= 1 or None, got {self.block_span}")
+        if self.block_rows < 1:
+            raise ValueError(f"block_rows must be >= 1, got {self.block_rows}")
         if self.visitor_partitions is not None and self.visitor_partitions < 1:
             raise ValueError("visitor_partitions must be >= 1 or None")
         if self.max_broadcast_rows < 1:

@@ -247,7 +247,7 @@ def registry() -> dict[str, Query]:
         "keyword_revenue": keyword_revenue,
         "keyword_revenue_ranked": keyword_revenue_ranked,
         "keyword_revenue_timeout": lambda s, d: keyword_revenue(s, d, session_timeout=t),
-        "keyword_revenue_skew_split": lambda s, d: keyword_revenue(s, d, skew_threshold=20, block_span=512),
+        "keyword_revenue_skew_split": lambda s, d: keyword_revenue(s, d, skew_threshold=20, block_rows=16),
         "keyword_revenue_skew_split_timeout": lambda s, d: keyword_revenue(
             s, d, session_timeout=t, skew_threshold=20, block_span=512),
         "last_touch_time_order": lambda s, d: keyword_revenue(s, d, order="time", session_timeout=t),
