@@ -136,9 +136,12 @@ def _zeros(cols, *keep):
 def attribute(raw_hits: DataFrame, options: Optional[AttributionOptions] = None) -> AttributionResult:
     """Build the lazy attribution plan over a raw hits frame."""
     options = options or AttributionOptions()
-    normalized = normalize_hits(spread_input(raw_hits))
+    # ``normalized`` reads the scan as it is (skew guard, row count: cheap
+    # columns only); the CPU-heavy parse runs on the spread scan.
+    normalized = normalize_hits(raw_hits)
     prepared, obs = observe_hits(
-        parse_hits(normalized, options.engines), internal_suffixes=options.internal_suffixes
+        parse_hits(normalize_hits(spread_input(raw_hits)), options.engines),
+        internal_suffixes=options.internal_suffixes,
     )
     return AttributionResult(normalized, prepared, obs, options)
 
