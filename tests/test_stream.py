@@ -98,3 +98,30 @@ def test_continuous_intake_processes_each_file_once(spark, workdir):
     q.awaitTermination()
     with open(os.path.join(out, "batch=1", "2026-03-05_SearchKeywordPerformance.tab")) as fh:
         assert fh.read().splitlines()[1:] == ["bing.com\tZune\t9.00"]
+
+
+def test_running_totals_merge_equals_batch(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from touchline.functions import to_cents
+    from touchline.streaming.runner import merge_totals
+
+    inbox = os.path.join(workdir, "inbox")
+    for p in _split_events(os.path.join(workdir, "parts"), 3):
+        _stage(p, inbox)
+    totals = os.path.join(workdir, "totals")
+    q = (
+        stream_last_touch(events_stream(spark, inbox, max_files=1), AttributionOptions())
+        .writeStream.foreachBatch(merge_totals(totals))
+        .option("checkpointLocation", os.path.join(workdir, "chk"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    assert q.exception() is None
+    versions = sorted(int(v.split("=")[1]) for v in os.listdir(totals) if v.startswith("v="))
+    assert versions == [0, 1, 2]
+    last = spark.read.parquet(os.path.join(totals, f"v={versions[-1]}"))
+    got = last.filter(F.col("credit").isNotNull()).select(
+        "search_engine_domain", F.col("seen.kw").alias("search_keyword"), to_cents("credit").alias("revenue"))
+    assert _rows(got) == _rows(batch_keyword_revenue(spark, SF001))
