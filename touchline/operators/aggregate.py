@@ -125,6 +125,10 @@ def quality_counters(
             money0.alias("total_revenue_unattributed"),
         )
         no_rev = F.count_if(F.col("is_purchase") & (F.col("revenue") == 0))
+    elif "q_malformed" in attributed.columns:
+        # the window output holds every hit: one pass gives all ten counters
+        rowwise = None
+        no_rev = F.count_if(F.col("is_purchase") & (F.col("revenue") == 0))
     else:
         rowwise = None
         no_rev = F.lit(0).cast("long")
@@ -143,6 +147,22 @@ def quality_counters(
         money0.alias("total_revenue_unattributed"),
     )
     o = outcome()
+    if observed is None and "q_malformed" in attributed.columns:
+        return attributed.agg(
+            F.count_if(F.col("q_malformed")).cast("long").alias("malformed_referrers"),
+            F.count_if(F.col("is_purchase") & (F.col("revenue") == 0)).cast("long").alias("purchases_without_revenue"),
+            F.count_if(o == UNATTRIBUTED).cast("long").alias("unattributed_purchases"),
+            (F.count_if(F.col("q_blank")) if options.session_timeout is not None else F.lit(0)).cast("long").alias(
+                "blank_timestamps"),
+            F.count_if(F.col("q_unknown")).cast("long").alias("unknown_referrer_domains"),
+            F.count_if(F.col("is_purchase")).cast("long").alias("total_purchase_events"),
+            F.count_if(o == ATTRIBUTED).cast("long").alias("attributed_purchase_events"),
+            F.coalesce(F.sum(F.when(o == ATTRIBUTED, F.col("revenue"))), money0).cast(SUM_TYPE).alias(
+                "total_revenue_attributed"),
+            F.coalesce(F.sum(F.when(o == UNATTRIBUTED, F.col("revenue"))), money0).cast(SUM_TYPE).alias(
+                "total_revenue_unattributed"),
+            F.count_if(F.col("touch").isNotNull()).cast("long").alias("rows_with_search_referrer"),
+        )
     outcomes = attributed.filter(F.col("is_purchase")).agg(
         *[F.lit(0).cast("long").alias(c) for c in (
             "malformed_referrers", "unknown_referrer_domains", "blank_timestamps",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import keyword_revenue, live_visitors, quality_counters, result_order, with_rank
+from ..functions import classify_referrer
 from ..operators.classify import with_outcome
 from ..operators.normalize import normalize_hits, observe_hits, parse_hits
 from ..operators.touch import last_touch, relevant_only
@@ -38,8 +39,20 @@ class AttributionResult:
         if self.window_output is not None:
             return self.window_output
         keep = [c for c in ("seq", "seq_block") if c in self.prepared.columns]
+        flags = []
+        if self.options.session_timeout is not None or not self.options.prefilter:
+            # every hit goes through the window: carry the row-level quality
+            # flags so the counters need no second scan
+            cls = classify_referrer(
+                "referrer", "touch", "ref_host", "ref_malformed", self.options.internal_suffixes
+            )
+            flags = [
+                (cls == "malformed").alias("q_malformed"),
+                (cls == "unknown_external").alias("q_unknown"),
+                F.col("time_blank").alias("q_blank"),
+            ]
         narrowed = relevant_only(self.prepared, self.options).select(
-            *keep, "ip", "user_agent", "hit_time", "touch", "is_purchase", "revenue",
+            *keep, "ip", "user_agent", "hit_time", "touch", "is_purchase", "revenue", *flags,
         )
         visitors = self.normalized.select(*keep, "ip", "user_agent", "hit_time")
         return with_outcome(last_touch(narrowed, self.options, visitors=visitors))
