@@ -141,3 +141,21 @@ def test_job_entry(spark, workdir):
     assert doc["config"]["session_timeout"] == 1800 and doc["unique_visitors"] == 4
     assert main([os.path.join(workdir, "missing.tsv"), "--output-dir", out]) == 1
     assert main([path, "--output-dir", out, "--session-timeout", "-5"]) == 2
+
+
+def test_report_quoting_matches_csv_module(spark, workdir):
+    import csv
+    import io
+
+    g = "http://www.google.com/search?q="
+    rows = [hit(1, ip="a", referrer=g + 'say+%22hi%22'), hit(2, ip="a", events="1", products="E;N;1;3;"),
+            hit(3, ip="b", referrer=g + "tab%09in"), hit(4, ip="b", events="1", products="E;N;1;2;")]
+    path = write_tsv(rows, workdir, "in.tsv")
+    report = write_report(attribute_files(spark, path), os.path.join(workdir, "out"), dt.date(2026, 1, 2))
+    buf = io.StringIO()
+    w = csv.writer(buf, delimiter="\t", lineterminator="\n")
+    w.writerow(["Search Engine Domain", "Search Keyword", "Revenue"])
+    w.writerow(["google.com", 'say "hi"', "3.00"])
+    w.writerow(["google.com", "tab\tin", "2.00"])
+    with open(report, encoding="utf-8", newline="") as fh:
+        assert fh.read() == buf.getvalue()

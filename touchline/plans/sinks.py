@@ -52,6 +52,8 @@ def _tab_writer(df: DataFrame):
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("lineSep", "\n")
     )
 
