@@ -325,6 +325,8 @@ FROM classed""",
         "stream_order_policy": keyword_revenue("time", t),
         "stream_last_touch": BASE + _live("file", None) + """
 SELECT seq, ldomain AS search_engine_domain, lkeyword AS search_keyword FROM live WHERE is_purchase""",
+        "hit_file_scan": keyword_revenue("file", None),
+        "hit_file_scan_gzip_timeout": keyword_revenue("file", t),
         "run_manifest": run_manifest(None),
         "run_manifest_timeout": run_manifest(t),
         "purchase_outcomes": purchase_outcomes(None),

@@ -284,6 +284,8 @@ def registry() -> dict[str, Query]:
         "stream_session_timeout": lambda s, d: stream_keyword_revenue(s, d, session_timeout=t),
         "stream_order_policy": lambda s, d: stream_keyword_revenue(s, d, order="time", session_timeout=t),
         "stream_last_touch": stream_last_touch_rows,
+        "hit_file_scan": lambda s, d: hit_file_scan(s, d),
+        "hit_file_scan_gzip_timeout": lambda s, d: hit_file_scan(s, d, codec="gzip", session_timeout=t),
         "run_manifest": lambda s, d: run_manifest(s, d),
         "run_manifest_timeout": lambda s, d: run_manifest(s, d, session_timeout=t),
     }
@@ -340,3 +342,32 @@ def stream_last_touch_rows(spark, sf_dir) -> DataFrame:
     return out.filter(F.col("is_purchase")).select(
         "seq", F.col("live_domain").alias("search_engine_domain"), F.col("live_keyword").alias("search_keyword")
     )
+
+
+def _hits_as_files(spark, sf_dir, codec: str = "none", parts: int = 4) -> str:
+    """Write the derived hits as tab-separated hit files (header, quoted) in the
+    scratch folder: range-partitioned on arrival order, so part files in name
+    order hold the hits in order, written in parallel."""
+    from ..session import scratch_path
+    from ..sources.hits import HIT_COLUMNS
+
+    folder = scratch_path(spark, "hitfiles")
+    hits = hits_from_events(spark, sf_dir)
+    (
+        hits.repartitionByRange(parts, "seq")
+        .sortWithinPartitions("seq")
+        .select(*HIT_COLUMNS)
+        .write.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .option("compression", codec)
+        .csv(folder)
+    )
+    return folder
+
+
+def hit_file_scan(spark, sf_dir, codec: str = "none", **opts) -> DataFrame:
+    """Keyword revenue over hit files scanned with the contract check."""
+    from .attribution import attribute_files
+
+    folder = _hits_as_files(spark, sf_dir, codec)
+    return attribute_files(spark, folder, AttributionOptions(**opts)).results.drop("keyword_lower")
