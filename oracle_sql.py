@@ -327,6 +327,10 @@ FROM classed""",
 SELECT seq, ldomain AS search_engine_domain, lkeyword AS search_keyword FROM live WHERE is_purchase""",
         "hit_file_scan": keyword_revenue("file", None),
         "hit_file_scan_gzip_timeout": keyword_revenue("file", t),
+        "report_file": _results("file", None) + """
+SELECT search_engine_domain, search_keyword, CAST(revenue AS VARCHAR) AS revenue_text,
+       CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, search_engine_domain, lower(search_keyword)) AS BIGINT) AS rank
+FROM res""",
         "run_manifest": run_manifest(None),
         "run_manifest_timeout": run_manifest(t),
         "purchase_outcomes": purchase_outcomes(None),

@@ -286,6 +286,7 @@ def registry() -> dict[str, Query]:
         "stream_last_touch": stream_last_touch_rows,
         "hit_file_scan": lambda s, d: hit_file_scan(s, d),
         "hit_file_scan_gzip_timeout": lambda s, d: hit_file_scan(s, d, codec="gzip", session_timeout=t),
+        "report_file": lambda s, d: report_file(s, d),
         "run_manifest": lambda s, d: run_manifest(s, d),
         "run_manifest_timeout": lambda s, d: run_manifest(s, d, session_timeout=t),
     }
@@ -371,3 +372,22 @@ def hit_file_scan(spark, sf_dir, codec: str = "none", **opts) -> DataFrame:
 
     folder = _hits_as_files(spark, sf_dir, codec)
     return attribute_files(spark, folder, AttributionOptions(**opts)).results.drop("keyword_lower")
+
+
+def report_file(spark, sf_dir, **opts) -> DataFrame:
+    """The published one-file report read back with its line order."""
+    import datetime as _dt
+
+    from ..session import scratch_path
+    from .sinks import write_report
+
+    folder = scratch_path(spark, "report")
+    path = write_report(_result(spark, sf_dir, **opts), folder, _dt.date(2026, 1, 1))
+    back = spark.read.option("sep", "\t").option("header", True).csv(path)
+    # one small file is one partition: the row id is the line order
+    return back.select(
+        F.col("Search Engine Domain").alias("search_engine_domain"),
+        F.col("Search Keyword").alias("search_keyword"),
+        F.col("Revenue").alias("revenue_text"),
+        (F.monotonically_increasing_id() + 1).alias("rank"),
+    )
