@@ -181,34 +181,31 @@ def with_referrer_parts(
     NULL), ``ref_malformed`` and ``touch`` (struct domain, keyword or NULL).
 
     Same results as :func:`url_hostname`, :func:`url_is_malformed` and
-    :func:`search_referrer`, but each intermediate (cleaned URL, authority,
-    query, host part, engine) is its own projected column, so the generated
-    code computes it once instead of inlining it at every use.
+    :func:`search_referrer`, but the expensive intermediates (authority and
+    query, host, engine, keyword) are projected columns, so the generated code
+    computes each once instead of inlining it at every use.
     """
-    df = df.withColumn("_u", clean_url(col))
+    keep = [F.col(c) for c in df.columns]
+    # stage 1: authority and query (the cheap clean-up is shared by both)
+    u = clean_url(col)
     df = df.withColumns(
-        {"_auth": F.regexp_extract("_u", _AUTHORITY, 1), "_q": F.regexp_extract("_u", _QUERY, 1)}
+        {"_auth": F.regexp_extract(u, _AUTHORITY, 1), "_q": F.regexp_extract(u, _QUERY, 1)}
     )
-    df = df.withColumn("_hp", _host_part(F.col("_auth")))
-    df = df.withColumns(
-        {
-            "ref_malformed": _malformed_authority(F.col("_auth"), F.col("_hp")),
-            "_h0": _host_from_part(F.col("_hp")),
-        }
-    )
-    df = df.withColumn("ref_host", F.when((F.col("_h0") != "") & ~F.col("ref_malformed"), F.col("_h0")))
+    # stage 2: host and bracket check (string slicing; the regex branches are rare)
+    hp = _host_part(F.col("_auth"))
+    bad = _malformed_authority(F.col("_auth"), hp)
+    h0 = _host_from_part(hp)
+    df = df.withColumns({"ref_malformed": bad, "ref_host": F.when((h0 != "") & ~bad, h0)})
+    # stage 3: engine; stage 4: keyword (only for engine hosts)
     df = df.withColumn("_eng", engine_lookup(_drop_www(F.col("ref_host")), engines))
     df = df.withColumn(
         "_kw", F.when(F.col("_eng").isNotNull(), strip_text(query_param(F.col("_q"), F.col("_eng.param"))))
     )
-    df = df.withColumn(
-        "touch",
-        F.when(
-            F.col("_eng").isNotNull() & (F.coalesce(F.length("_kw"), F.lit(0)) > 0),
-            F.struct(F.col("_eng.domain").alias("domain"), F.col("_kw").alias("keyword")),
-        ),
+    touch = F.when(
+        F.col("_eng").isNotNull() & (F.coalesce(F.length("_kw"), F.lit(0)) > 0),
+        F.struct(F.col("_eng.domain").alias("domain"), F.col("_kw").alias("keyword")),
     )
-    return df.drop("_u", "_auth", "_q", "_hp", "_h0", "_eng", "_kw")
+    return df.select(*keep, "ref_malformed", "ref_host", touch.alias("touch"))
 
 
 def classify_referrer(referrer, touch, host, malformed, internal_suffixes: Sequence[str] = INTERNAL_SUFFIXES) -> Column:
