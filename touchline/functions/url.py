@@ -46,6 +46,13 @@ _IPV6 = _ipv6_pattern()
 _IPVFUTURE = "^v[a-fA-F0-9]+\\..+$"
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a Column -> Column
+    function that may use it many times) - keeps nested helpers from
+    re-inlining a large expression at every use."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def clean_url(c) -> Column:
     return F.ltrim(F.translate(_col(c), UNSAFE_URL_CHARS, ""), F.lit(C0_OR_SPACE))
 
@@ -74,9 +81,12 @@ def _host_from_part(hp: Column) -> Column:
 def url_hostname(c) -> Column:
     """Lower-cased host name; NULL when absent or when the URL is malformed
     (a standard splitter raises there, so no host is known)."""
-    auth = url_authority(c)
-    host = _host_from_part(_host_part(auth))
-    return F.when((host != "") & ~_malformed_authority(auth), host)
+
+    def from_auth(auth):
+        host = _host_from_part(_host_part(auth))
+        return F.when((host != "") & ~_malformed_authority(auth), host)
+
+    return _let(url_authority(c), from_auth)
 
 
 def _drop_www(h: Column) -> Column:
@@ -149,27 +159,42 @@ def query_param(query, name) -> Column:
     return url_decode(F.regexp_extract(first, "(?s)^[^=]*=(.*)$", 1))
 
 
-def engine_lookup(host, engines: Sequence[tuple[str, str, str]] = SEARCH_ENGINES) -> Column:
+def engine_lookup(
+    host, engines: Sequence[tuple[str, str, str]] = SEARCH_ENGINES, bind: bool = True
+) -> Column:
     """Struct(display domain, query parameter) of the first engine whose suffix
-    equals the host or is a dot-suffix of it; NULL when none matches (F2, J3)."""
+    equals the host or is a dot-suffix of it; NULL when none matches (F2, J3).
+
+    ``host`` is used twice per engine; an expression is bound once unless
+    ``bind=False`` (pass a plain column then) or it is given by name."""
+
+    def chain(h):
+        out = None
+        for suffix, param, display in engines:
+            cond = (h == suffix) | h.endswith("." + suffix)
+            val = F.struct(F.lit(display).alias("domain"), F.lit(param).alias("param"))
+            out = F.when(cond, val) if out is None else out.when(cond, val)
+        return out
+
     h = _col(host)
-    out = None
-    for suffix, param, display in engines:
-        cond = (h == suffix) | h.endswith("." + suffix)
-        val = F.struct(F.lit(display).alias("domain"), F.lit(param).alias("param"))
-        out = F.when(cond, val) if out is None else out.when(cond, val)
-    return out
+    return chain(h) if isinstance(host, str) or not bind else _let(h, chain)
 
 
 def search_referrer(referrer, engines: Sequence[tuple[str, str, str]] = SEARCH_ENGINES) -> Column:
-    """Struct(domain, keyword) for a search-engine referrer with a keyword, else NULL."""
+    """Struct(domain, keyword) for a search-engine referrer with a keyword, else NULL.
+
+    For whole DataFrames prefer :func:`with_referrer_parts` (staged columns).
+    """
     r = _col(referrer)
-    eng = engine_lookup(referrer_host(r), engines)
-    keyword = strip_text(query_param(url_query(r), eng["param"]))
-    return F.when(
-        eng.isNotNull() & (F.coalesce(F.length(keyword), F.lit(0)) > 0),
-        F.struct(eng["domain"].alias("domain"), keyword.alias("keyword")),
-    )
+
+    def from_engine(eng):
+        keyword = strip_text(query_param(url_query(r), eng["param"]))
+        return F.when(
+            eng.isNotNull() & (F.coalesce(F.length(keyword), F.lit(0)) > 0),
+            F.struct(eng["domain"].alias("domain"), keyword.alias("keyword")),
+        )
+
+    return _let(engine_lookup(referrer_host(r), engines), from_engine)
 
 
 def with_referrer_parts(
@@ -195,9 +220,10 @@ def with_referrer_parts(
     hp = _host_part(F.col("_auth"))
     bad = _malformed_authority(F.col("_auth"), hp)
     h0 = _host_from_part(hp)
-    df = df.withColumns({"ref_malformed": bad, "ref_host": F.when((h0 != "") & ~bad, h0)})
+    host = F.when((h0 != "") & ~bad, h0)
+    df = df.withColumns({"ref_malformed": bad, "ref_host": host, "_h": _drop_www(host)})
     # stage 3: engine; stage 4: keyword (only for engine hosts)
-    df = df.withColumn("_eng", engine_lookup(_drop_www(F.col("ref_host")), engines))
+    df = df.withColumn("_eng", engine_lookup(F.col("_h"), engines, bind=False))
     df = df.withColumn(
         "_kw", F.when(F.col("_eng").isNotNull(), strip_text(query_param(F.col("_q"), F.col("_eng.param"))))
     )

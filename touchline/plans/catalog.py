@@ -202,7 +202,7 @@ def engine_matches(spark, sf_dir) -> DataFrame:
     refs = _referrers(spark, sf_dir).select("url")
     pages = _pages(spark, sf_dir).select("url")
     u = refs.unionByName(pages).select(referrer_host("url").alias("host"))
-    e = u.withColumn("engine", engine_lookup(F.col("host")))
+    e = u.withColumn("engine", engine_lookup("host"))
     return e.groupBy("host").agg(
         F.first(F.col("engine.domain")).alias("engine_domain"),
         F.count(F.lit(1)).alias("urls"),
@@ -217,8 +217,9 @@ def decoded_queries(spark, sf_dir) -> DataFrame:
 
 def referrer_touches(spark, sf_dir) -> DataFrame:
     """(engine, keyword) per distinct referrer with its hit count."""
-    r = _referrers(spark, sf_dir)
-    t = r.withColumn("touch", search_referrer("url"))
+    from ..functions import with_referrer_parts
+
+    t = with_referrer_parts(_referrers(spark, sf_dir), "url")
     return t.groupBy(F.col("url").alias("referrer")).agg(
         F.first("touch.domain").alias("search_engine_domain"),
         F.first("touch.keyword").alias("search_keyword"),
