@@ -65,7 +65,8 @@ def keyword_display(spark, sf_dir) -> DataFrame:
 
 
 def quality_metrics(spark, sf_dir, **opts) -> DataFrame:
-    q = _result(spark, sf_dir, **opts).quality
+    # one scan + window pass, checkpointed; row counters come from its observation
+    q = _result(spark, sf_dir, **opts).materialize().quality
     return q.withColumns(
         {"total_revenue_attributed": _money("total_revenue_attributed"),
          "total_revenue_unattributed": _money("total_revenue_unattributed")}
@@ -73,7 +74,7 @@ def quality_metrics(spark, sf_dir, **opts) -> DataFrame:
 
 
 def run_counts(spark, sf_dir, **opts) -> DataFrame:
-    return _result(spark, sf_dir, **opts).run_counts
+    return _result(spark, sf_dir, **opts).materialize().run_counts
 
 
 def search_share(spark, sf_dir) -> DataFrame:
@@ -297,7 +298,7 @@ def run_manifest(spark, sf_dir, **opts) -> DataFrame:
     """Stable manifest fields as one row (S7, A4, A6), computed on Spark."""
     from .sinks import summary_rows
 
-    r = _result(spark, sf_dir, **opts)
+    r = _result(spark, sf_dir, **opts).materialize()
     counts = r.run_counts
     text = summary_rows(r).select(
         F.array_join(
