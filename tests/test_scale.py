@@ -109,3 +109,29 @@ def test_visitor_partitions_reuses_the_exchange(spark):
     assert sorted(results(r)) == sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
     final = r.attributed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("hashpartitioning(ip#") == 1 and ", 3)" in final
+
+
+def test_rank_across_partitions(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from touchline.operators.aggregate import result_order, with_rank
+
+    df = spark.range(1000).select(
+        F.concat(F.lit("e"), (F.col("id") % 3).cast("string")).alias("search_engine_domain"),
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("keyword_lower"),
+        F.concat(F.lit("K"), F.col("id").cast("string")).alias("search_keyword"),
+        ((F.col("id") * 7919) % 97).cast("decimal(38,2)").alias("revenue"),
+    ).repartition(7)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = with_rank(df)
+        assert ranked.rdd.getNumPartitions() > 1
+        got = {r.keyword_lower: r["rank"] for r in ranked.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    want = {r.keyword_lower: r.rn for r in df.select(
+        "keyword_lower", F.row_number().over(Window.orderBy(*result_order())).alias("rn")).collect()}
+    assert got == want
