@@ -65,3 +65,32 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder (eager)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (``--py-files`` at runtime).
+
+    Only the streaming processor runs Python on executors; it is pickled by
+    reference to this package, so the package is zipped once per
+    SparkContext and added with ``addPyFile`` (Spark distributes it).
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_touchline_shipped", False):
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="touchline-pyfiles-"), "touchline.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    # the driver-side runner that checks the state schema starts from the
+    # worker environment, not from the shipped files: put the zip on its path
+    paths = [out] + [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc.environment["PYTHONPATH"] = os.pathsep.join(paths)
+    sc._touchline_shipped = True

@@ -29,6 +29,7 @@ from pyspark.sql.types import (
 
 from ..operators.normalize import normalize_hits, observe_hits, parse_hits
 from ..options import AttributionOptions
+from ..session import ship_package
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -136,6 +137,7 @@ def stream_last_touch(
     """
     options = options or AttributionOptions()
     spark = raw_stream.sparkSession
+    ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != STATE_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
     prepared, _ = observe_hits(parse_hits(normalize_hits(raw_stream), options.engines), metrics_name)
