@@ -157,11 +157,11 @@ def test_options_validation():
         AttributionOptions(order="random")
 
 
-@pytest.mark.parametrize("timeout", [None, 1800])
-def test_materialized_equals_lazy(spark, timeout):
+@pytest.mark.parametrize("timeout,skew", [(None, None), (1800, None), (None, 3), (1800, 3)])
+def test_materialized_equals_lazy(spark, timeout, skew):
     rows = GOLDEN + [hit(1254035300, ip="z", referrer="http://[bad/"), hit(1254035301, ip="z", referrer="http://o.org/"),
                      hit("", ip="z", events="1", products="E;N;1;;")]
-    lazy = run(spark, rows, session_timeout=timeout)
+    lazy = run(spark, rows, session_timeout=timeout, skew_threshold=skew, block_rows=2)
     done = lazy.materialize()
     assert results(done) == results(lazy)
     assert done.quality.first().asDict() == lazy.quality.first().asDict()
