@@ -82,18 +82,20 @@ def write_report(
     try:
         # the aggregated result is small: compute it once, then count and write it
         res = reliable_checkpoint(result.results)
-        report = res.orderBy(*result_order()).select(
+        headers = [
             F.col("search_engine_domain").alias(REPORT_HEADERS[0]),
             F.col("search_keyword").alias(REPORT_HEADERS[1]),
             F.col("revenue").alias(REPORT_HEADERS[2]),
-        )
+        ]
         n = res.count()
         if n <= max_single_file_rows:
+            # one partition sorted in place: the total order without a range shuffle
+            one = res.coalesce(1).sortWithinPartitions(*result_order()).select(*headers)
             staging = f"{target}.__staging"
-            _tab_writer(report.coalesce(1)).csv(staging)
+            _tab_writer(one).csv(staging)
             _publish_single_part(spark, staging, target)
         else:
-            _tab_writer(report).csv(target)
+            _tab_writer(res.orderBy(*result_order()).select(*headers)).csv(target)
     except OutputWriteError:
         raise
     except Exception as e:  # noqa: BLE001
