@@ -65,15 +65,15 @@ class AttributionResult:
 
     def materialize(self) -> "AttributionResult":
         """Run the scan and the visitor window once and keep the narrow window
-        output as a reliable checkpoint in the shared checkpoint folder.
+        output as a Parquet table in the shared checkpoint folder.
 
         Every report of the returned result reads the checkpoint, and the
         row-level counters come from the observation filled by that same pass,
         so the input is scanned and shuffled once per run.
         """
-        from ..session import reliable_checkpoint
+        from ..session import checkpoint_table
 
-        out = reliable_checkpoint(self.attributed)
+        out = checkpoint_table(self.attributed, "window")
         return AttributionResult(
             self.normalized, self.prepared, self.observation, self.options,
             window_output=out, observed=self.hit_counters(),

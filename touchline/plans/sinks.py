@@ -74,14 +74,14 @@ def write_report(
     """
     from ..operators.aggregate import result_order
     from ..options import REPORT_HEADERS
-    from ..session import reliable_checkpoint
+    from ..session import checkpoint_table
 
     spark = result.prepared.sparkSession
     name = report_name(run_date)
     target = f"{out_dir.rstrip('/')}/{name}"
     try:
         # the aggregated result is small: compute it once, then count and write it
-        res = reliable_checkpoint(result.results)
+        res = checkpoint_table(result.results, "report")
         headers = [
             F.col("search_engine_domain").alias(REPORT_HEADERS[0]),
             F.col("search_keyword").alias(REPORT_HEADERS[1]),

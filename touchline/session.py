@@ -62,9 +62,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder (eager)."""
+    """Cut lineage with a reliable checkpoint in the shared folder (eager).
+
+    Keeps the partitions and their order (needed by ``with_rank``).  The frame
+    is persisted first: an eager checkpoint otherwise computes it twice (once
+    to count, once to write the files).
+    """
+    from pyspark import StorageLevel
+
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return kept.checkpoint(eager=True)
+    finally:
+        kept.unpersist()
+
+
+def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table under the checkpoint
+    folder and reading it back: one job, columnar, and later reads prune
+    columns.  Partition order is not kept (use :func:`reliable_checkpoint`)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:
