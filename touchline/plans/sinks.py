@@ -80,8 +80,9 @@ def write_report(
     name = report_name(run_date)
     target = f"{out_dir.rstrip('/')}/{name}"
     try:
-        # the aggregated result is small: compute it once, then count and write it
-        res = checkpoint_table(result.results, "report")
+        # the aggregated result is small: compute it once, then count and write
+        # it (a materialized run already reads from its checkpointed window table)
+        res = result.results if result.window_output is not None else checkpoint_table(result.results, "report")
         headers = [
             F.col("search_engine_domain").alias(REPORT_HEADERS[0]),
             F.col("search_keyword").alias(REPORT_HEADERS[1]),
@@ -138,8 +139,7 @@ def manifest(
     gathered into one row or the driver.
     """
     o = result.options
-    counts = result.run_counts.first().asDict()
-    quality = result.quality.first().asDict()
+    counts, quality = _counts_and_quality(result)
     summary = None
     if counts["keyword_groups"] <= max_summary_rows:
         rows = summary_rows(result).first()["results_summary"] or []
@@ -168,6 +168,22 @@ def manifest(
     }
 
 
+def _counts_and_quality(result: AttributionResult) -> tuple[dict, dict]:
+    """Run counts and quality counters in one query (two one-row aggregates
+    as JSON text in a union, so the plan is shared and nothing is joined)."""
+    import json
+    from decimal import Decimal
+
+    def as_json(df, tag):
+        return df.select(F.lit(tag).alias("t"), F.to_json(F.struct(*df.columns)).alias("j"))
+
+    rows = as_json(result.run_counts, "c").unionByName(as_json(result.quality, "q")).collect()
+    got = {r["t"]: json.loads(r["j"], parse_float=Decimal, parse_int=int) for r in rows}
+    counts, quality = got["c"], got["q"]
+    counts["total_attributed_revenue"] = Decimal(counts["total_attributed_revenue"])
+    return counts, {k: (Decimal(v) if k.startswith("total_revenue") else v) for k, v in quality.items()}
+
+
 def _dt_cents():
     from decimal import Decimal
 
@@ -182,9 +198,20 @@ def write_manifest(spark: SparkSession, doc: dict, out_dir: str, run_date: Optio
     target = f"{out_dir.rstrip('/')}/{d.strftime('%Y-%m-%d')}{MANIFEST_SUFFIX}"
     staging = f"{target}.__staging"
     try:
+        # a small driver-side document: written with the FileSystem client
+        # (temp name, then rename), no Spark job
         text = json.dumps(doc, indent=2, default=str)
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(staging)
-        _publish_single_part(spark, staging, target)
+        fs, tmp = _fs(spark, staging)
+        stream = fs.create(tmp, True)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+        _, dst = _fs(spark, target)
+        if fs.exists(dst):
+            fs.delete(dst, False)
+        if not fs.rename(tmp, dst):
+            raise OutputWriteError(f"could not publish {staging} as {target}")
     except OutputWriteError:
         raise
     except Exception as e:  # noqa: BLE001
