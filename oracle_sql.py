@@ -267,6 +267,21 @@ SELECT 'v1' AS schema_version,
           ORDER BY revenue DESC, search_engine_domain, lower(search_keyword)) FROM res) AS results_summary"""
 
 
+def business_summary(timeout=None) -> str:
+    blank = "time_blank" if timeout is not None else "FALSE"
+    return _results("file", timeout) + f"""
+SELECT
+  CAST((SELECT COALESCE(sum(revenue), 0) FROM res) AS DECIMAL(38,2)) AS attributed_revenue,
+  CAST((SELECT count(*) FROM res) AS BIGINT) AS keyword_groups,
+  CAST(count(*) FILTER (WHERE {_ATTR}) AS BIGINT) AS attributed_purchases,
+  CAST(count(*) FILTER (WHERE {_UNATTR}) AS BIGINT) AS unattributed_purchases,
+  count(*) FILTER (WHERE referrer_class = 'malformed') > 0 AS warn_malformed_referrers,
+  count(*) FILTER (WHERE {blank}) > 0 AS warn_blank_timestamps,
+  count(*) FILTER (WHERE is_purchase AND revenue = 0) > 0 AS warn_zero_revenue_purchases,
+  CAST(round(100.0 * count(*) FILTER (WHERE keyword IS NOT NULL) / count(*), 4) AS DECIMAL(10,4)) AS search_share_pct
+FROM live"""
+
+
 def purchase_outcomes(timeout=None) -> str:
     return BASE + _live("file", timeout) + """
 SELECT CASE WHEN revenue > 0 AND ldomain IS NOT NULL THEN 'attributed'
@@ -333,6 +348,8 @@ SELECT search_engine_domain, search_keyword, CAST(revenue AS VARCHAR) AS revenue
 FROM res""",
         "run_manifest": run_manifest(None),
         "run_manifest_timeout": run_manifest(t),
+        "business_summary": business_summary(None),
+        "business_summary_timeout": business_summary(t),
         "purchase_outcomes": purchase_outcomes(None),
         "purchase_outcomes_timeout": purchase_outcomes(t),
         "referrer_class": BASE + """

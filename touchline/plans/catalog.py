@@ -260,6 +260,8 @@ def registry() -> dict[str, Query]:
         "run_counts": run_counts,
         "run_counts_timeout": lambda s, d: run_counts(s, d, session_timeout=t),
         "search_share": search_share,
+        "business_summary": lambda s, d: business_summary(s, d),
+        "business_summary_timeout": lambda s, d: business_summary(s, d, session_timeout=t),
         "purchase_outcomes": purchase_outcomes,
         "purchase_outcomes_timeout": lambda s, d: purchase_outcomes(s, d, session_timeout=t),
         "referrer_class": referrer_classes,
@@ -393,3 +395,40 @@ def report_file(spark, sf_dir, **opts) -> DataFrame:
         F.col("Revenue").alias("revenue_text"),
         (F.monotonically_increasing_id() + 1).alias("rank"),
     )
+
+
+def business_summary(spark, sf_dir, **opts) -> DataFrame:
+    """Business metrics of a run with data-quality warning flags.
+
+    Attributed revenue (sum of the rounded groups), keyword groups, attributed
+    and unattributed purchases, search-referred share, and flags raised when
+    malformed referrers, blank hit times (with a timeout) or zero-revenue
+    purchases occurred.
+    """
+    r = _result(spark, sf_dir, **opts).materialize()
+    c, q = r.run_counts, r.quality
+    rows = int(r.hit_counters()["rows_processed"])
+    search = int(r.hit_counters()["rows_with_search_referrer"])
+    share = round(100.0 * search / rows, 4) if rows else 0.0
+    a = c.select(
+        F.col("total_attributed_revenue").alias("attributed_revenue"),
+        "keyword_groups",
+        F.lit(None).cast("long").alias("attributed_purchases"),
+        F.lit(None).cast("long").alias("unattributed_purchases"),
+        F.lit(None).cast("boolean").alias("warn_malformed_referrers"),
+        F.lit(None).cast("boolean").alias("warn_blank_timestamps"),
+        F.lit(None).cast("boolean").alias("warn_zero_revenue_purchases"),
+    )
+    b = q.select(
+        F.lit(None).cast("decimal(38,2)").alias("attributed_revenue"),
+        F.lit(None).cast("long").alias("keyword_groups"),
+        F.col("attributed_purchase_events").alias("attributed_purchases"),
+        F.col("unattributed_purchases"),
+        (F.col("malformed_referrers") > 0).alias("warn_malformed_referrers"),
+        (F.col("blank_timestamps") > 0).alias("warn_blank_timestamps"),
+        (F.col("purchases_without_revenue") > 0).alias("warn_zero_revenue_purchases"),
+    )
+    return a.unionByName(b).agg(
+        *[F.max(x).alias(x) for x in a.columns],
+        F.lit(share).cast("decimal(10,4)").alias("search_share_pct"),
+    )
