@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,25 @@ from .touch import order_keys, order_number, order_struct
 RESULT_COLUMNS = ("search_engine_domain", "search_keyword", "revenue")
 
 
+def per_file_order(df: DataFrame, order: str):
+    """``(file, order number inside the file)`` for a file-order arrival
+    sequence ``(file, start, pos)``, or None.
+
+    ``start * 10^19 + pos`` (pos < 2^63) keeps the order of splits and of rows
+    inside a split in one fixed-width DECIMAL(38,0).
+    """
+    if order != "file":
+        return None
+    t = df.schema["seq"].dataType
+    if t.typeName() != "struct" or [f.name for f in t.fields] != ["file", "start", "pos"]:
+        return None
+    shift = F.lit(Decimal(10**19)).cast("decimal(38,0)")
+    num = (F.col("seq.start").cast("decimal(38,0)") * shift + F.col("seq.pos").cast("decimal(38,0)")).cast(
+        "decimal(38,0)"
+    )
+    return F.col("seq.file"), num
+
+
 def keyword_revenue(attributed: DataFrame, options: AttributionOptions) -> DataFrame:
     """Revenue per (engine, lower-cased keyword), shown with the first-seen casing.
 
@@ -45,6 +66,29 @@ def keyword_revenue(attributed: DataFrame, options: AttributionOptions) -> DataF
             F.sum("credit").alias("revenue_exact"),
             F.min_by("variant", "seen_at").alias("search_keyword"),
         )
+    elif per_file_order(attributed, options.order) is not None:
+        # arrival order of hit files: hash-aggregate per (variant, file), then
+        # fold the per-file table, which is small, by (file, order in file)
+        file_col, num = per_file_order(attributed, options.order)
+        per_file = relevant.select(
+            key["domain"].alias("search_engine_domain"),
+            key["keyword"].alias("variant"),
+            file_col.alias("_file"),
+            F.when(F.col("touch").isNotNull(), num).alias("seen_at"),
+            F.when(is_attr, F.col("revenue")).alias("credit"),
+        ).groupBy("search_engine_domain", "variant", "_file").agg(
+            F.sum("credit").alias("credit"), F.min("seen_at").alias("seen_at")
+        )
+        variants = per_file.groupBy("search_engine_domain", "variant").agg(
+            F.sum("credit").alias("credit"),
+            F.min(F.when(F.col("seen_at").isNotNull(), F.struct("_file", "seen_at"))).alias("seen"),
+        )
+        grouped = variants.groupBy(
+            "search_engine_domain", F.lower("variant").alias("keyword_lower")
+        ).agg(
+            F.sum("credit").alias("revenue_exact"),
+            F.min_by("variant", "seen").alias("search_keyword"),
+        )
     else:
         rows = relevant.select(
             key["domain"].alias("search_engine_domain"),
