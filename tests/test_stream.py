@@ -1,7 +1,6 @@
 """Streaming form: equals batch, survives a restart from its checkpoint."""
 
 import os
-import time
 
 import pyarrow.parquet as pq
 import pytest

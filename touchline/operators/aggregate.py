@@ -7,9 +7,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import MONEY_TYPE, SUM_TYPE, to_cents
+from ..functions import SUM_TYPE, to_cents
 from ..options import AttributionOptions
-from .classify import ATTRIBUTED, NO_REVENUE, UNATTRIBUTED, outcome
+from .classify import ATTRIBUTED, UNATTRIBUTED, outcome
 from .normalize import VISITOR
 from .touch import order_keys, order_number, order_struct
 

@@ -18,7 +18,6 @@ from ..functions import (
     product_revenue,
     query_param,
     referrer_host,
-    search_referrer,
     strip_text,
     to_cents,
     url_decode,
