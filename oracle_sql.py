@@ -346,6 +346,7 @@ SELECT seq, ldomain AS search_engine_domain, lkeyword AS search_keyword FROM liv
 SELECT search_engine_domain, search_keyword, CAST(revenue AS VARCHAR) AS revenue_text,
        CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, search_engine_domain, lower(search_keyword)) AS BIGINT) AS rank
 FROM res""",
+        "intake_anti_join": "SELECT 'day2' AS input_name, CAST(count(*) AS BIGINT) AS hits FROM events",
         "run_manifest": run_manifest(None),
         "run_manifest_timeout": run_manifest(t),
         "business_summary": business_summary(None),

@@ -290,6 +290,7 @@ def registry() -> dict[str, Query]:
         "hit_file_scan": lambda s, d: hit_file_scan(s, d),
         "hit_file_scan_gzip_timeout": lambda s, d: hit_file_scan(s, d, codec="gzip", session_timeout=t),
         "report_file": lambda s, d: report_file(s, d),
+        "intake_anti_join": intake_anti_join,
         "run_manifest": lambda s, d: run_manifest(s, d),
         "run_manifest_timeout": lambda s, d: run_manifest(s, d, session_timeout=t),
     }
@@ -431,3 +432,36 @@ def business_summary(spark, sf_dir, **opts) -> DataFrame:
         *[F.max(x).alias(x) for x in a.columns],
         F.lit(share).cast("decimal(10,4)").alias("search_share_pct"),
     )
+
+
+def intake_anti_join(spark, sf_dir) -> DataFrame:
+    """Ledger anti-join over real uploads.
+
+    The derived hits are written as upload ``day1`` and recorded in the
+    ledger; the same hits are then uploaded again as ``day2``.  The query
+    returns what is still pending: only ``day2``, with every hit in it.
+    """
+    from ..session import scratch_path
+    from ..sources.hits import HIT_COLUMNS, read_hits
+    from ..sources.intake import list_inputs, pending_inputs, read_ledger, record_processed
+
+    root = scratch_path(spark, "intake")
+    inbox, ledger = f"{root}/in", f"{root}/ledger"
+    hits = hits_from_events(spark, sf_dir).select(*HIT_COLUMNS)
+
+    def upload(name):
+        hits.write.option("sep", "\t").option("header", True).option("quote", '"').option(
+            "escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False).csv(f"{inbox}/{name}")
+
+    upload("day1")
+    first = pending_inputs(list_inputs(spark, inbox, "*.csv"), read_ledger(spark, ledger))
+    record_processed(first.select("input_key", "content_tag"), ledger, f"{root}/out")
+    upload("day2")
+    pending = pending_inputs(list_inputs(spark, inbox, "*.csv"), read_ledger(spark, ledger))
+    paths = [r["path"] for r in pending.select("path").collect()]
+    scanned = read_hits(spark, paths) if paths else None
+    if scanned is None:
+        return spark.createDataFrame([], "input_name string, hits long")
+    name = F.regexp_extract(F.col("seq.file"), "/(day[0-9]+)/", 1)
+    return scanned.groupBy(name.alias("input_name")).agg(F.count(F.lit(1)).alias("hits"))
