@@ -159,3 +159,26 @@ def test_report_quoting_matches_csv_module(spark, workdir):
     w.writerow(["google.com", "tab\tin", "2.00"])
     with open(report, encoding="utf-8", newline="") as fh:
         assert fh.read() == buf.getvalue()
+
+
+def test_skew_guard_reads_a_file_subset(spark, workdir):
+    from tests.fold import fold
+
+    rows_all = []
+    for i in range(30):
+        rows = [hit(i * 1000 + j, ip="hot" if j % 3 else f"v{i}-{j}",
+                    referrer="http://www.google.com/search?q=k%d" % (j % 4) if j % 5 == 0 else "",
+                    events="1" if j % 7 == 0 else "", products="E;N;1;2;" if j % 7 == 0 else "")
+                for j in range(60)]
+        write_tsv(rows, workdir, "f%02d.tsv" % i)
+        rows_all += rows
+    opts = AttributionOptions(skew_threshold=300, block_rows=100)
+    r = attribute_files(spark, workdir, opts, guard_files=10)
+    assert r.guard_hits is not None and abs(r.guard_fraction - 1 / 3) < 1e-9
+    want, _ = fold(rows_all)
+    expect = sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
+    assert sorted(results(r)) == expect
+    from touchline.operators.touch import heavy_visitors
+
+    hot, n = heavy_visitors(r.guard_hits.select("seq", "ip", "user_agent", "hit_time"), opts, r.guard_fraction)
+    assert n == 1 and hot.first()["ip"] == "hot"

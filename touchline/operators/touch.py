@@ -133,7 +133,7 @@ SKEW_SAMPLE_HITS = 200
 SKEW_SAMPLE_SEED = 17
 
 
-def heavy_visitors(prepared: DataFrame, options: AttributionOptions):
+def heavy_visitors(prepared: DataFrame, options: AttributionOptions, fraction: float = 1.0):
     """Visitors with more than ``skew_threshold`` hits, found on a sample.
 
     A seeded Bernoulli sample with rate ``200 / skew_threshold`` is counted per
@@ -143,10 +143,19 @@ def heavy_visitors(prepared: DataFrame, options: AttributionOptions):
     unsplit (same result, just one larger task).  The list is bounded by
     ``max_broadcast_rows`` (checked) and returned as a small local frame.
 
+    ``fraction`` is the share of the input that ``prepared`` covers (a subset
+    of the input files); expected counts are scaled by it.
+
     Returns ``(frame_or_None, n_visitors)``.
     """
-    rate = min(1.0, SKEW_SAMPLE_HITS / float(options.skew_threshold))
-    floor = max(1, SKEW_SAMPLE_HITS // 2) if rate < 1.0 else options.skew_threshold + 1
+    expected = float(options.skew_threshold) * fraction
+    rate = min(1.0, SKEW_SAMPLE_HITS / expected) if expected > 0 else 1.0
+    if fraction < 1.0:
+        rate = min(1.0, SKEW_SAMPLE_HITS / max(expected, 1.0))
+    if rate < 1.0:
+        floor = max(1, SKEW_SAMPLE_HITS // 2)
+    else:
+        floor = max(1, int(expected) + 1) if fraction < 1.0 else options.skew_threshold + 1
     src = _block_source(prepared, options)
     key = src if src is not None else F.lit(0)
     sampled = prepared.select(*VISITOR, key.cast("long").alias("_k"))
@@ -163,7 +172,7 @@ def heavy_visitors(prepared: DataFrame, options: AttributionOptions):
     if options.block_span:
         span = F.lit(options.block_span).cast("long")
     else:
-        est = F.col("n") / F.lit(rate)
+        est = F.col("n") / F.lit(rate * fraction)
         span = F.greatest(
             F.lit(1).cast("long"),
             F.ceil((F.col("hi") - F.col("lo") + 1) * F.lit(options.block_rows) / est).cast("long"),
@@ -272,6 +281,7 @@ def last_touch(
     options: Optional[AttributionOptions] = None,
     with_gaps: bool = False,
     visitors: Optional[DataFrame] = None,
+    visitors_fraction: float = 1.0,
 ) -> DataFrame:
     """Add ``live_touch`` (the session-scoped last touch, own referrer included),
     ``new_session`` and ``session_id``; with a timeout or ``with_gaps`` also
@@ -283,7 +293,9 @@ def last_touch(
     """
     options = options or AttributionOptions()
     if options.skew_threshold is not None:
-        heavy, n_heavy = heavy_visitors(visitors if visitors is not None else prepared, options)
+        heavy, n_heavy = heavy_visitors(
+            visitors if visitors is not None else prepared, options, visitors_fraction
+        )
         if n_heavy > 0:
             return _scan_split(prepared, heavy, n_heavy, options, with_gaps)
     if options.visitor_partitions:
