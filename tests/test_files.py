@@ -182,3 +182,16 @@ def test_skew_guard_reads_a_file_subset(spark, workdir):
 
     hot, n = heavy_visitors(r.guard_hits.select("seq", "ip", "user_agent", "hit_time"), opts, r.guard_fraction)
     assert n == 1 and hot.first()["ip"] == "hot"
+
+
+def test_first_seen_display_on_files(spark, workdir):
+    from touchline.operators.aggregate import first_seen_display
+    from touchline.operators.classify import search_hits
+
+    g = "http://www.google.com/search?q="
+    write_tsv([hit(5, ip="a", referrer=g + "IPOD"), hit(6, ip="b", referrer=g + "ipod")], workdir, "a.tsv")
+    write_tsv([hit(1, ip="c", referrer=g + "Ipod"), hit(2, ip="d", referrer=g + "tv")], workdir, "b.tsv")
+    r = attribute_files(spark, workdir)
+    got = {(x.search_engine_domain, x.keyword_lower): x.search_keyword
+           for x in first_seen_display(search_hits(r.prepared), r.options).collect()}
+    assert got == {("google.com", "ipod"): "IPOD", ("google.com", "tv"): "tv"}

@@ -118,6 +118,20 @@ def first_seen_display(search: DataFrame, options: AttributionOptions) -> DataFr
     number), then a small fold per group; sort-based only without a numeric order.
     """
     ordnum = order_number(search, options.order)
+    pf = per_file_order(search, options.order) if ordnum is None else None
+    if pf is not None:
+        file_col, num = pf
+        per_file = search.groupBy(
+            F.col("touch.domain").alias("search_engine_domain"),
+            F.col("touch.keyword").alias("variant"),
+            file_col.alias("_file"),
+        ).agg(F.min(num).alias("seen_at"))
+        variants = per_file.groupBy("search_engine_domain", "variant").agg(
+            F.min(F.struct("_file", "seen_at")).alias("seen")
+        )
+        return variants.groupBy("search_engine_domain", F.lower("variant").alias("keyword_lower")).agg(
+            F.min_by("variant", "seen").alias("search_keyword")
+        )
     if ordnum is None:
         return search.groupBy(
             F.col("touch.domain").alias("search_engine_domain"),
