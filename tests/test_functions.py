@@ -156,3 +156,32 @@ def test_query_param_and_decode(spark):
     ).collect()
     assert [(r.page, r.a, r.b) for r in rows] == [("2", None, None), (None, None, None), (None, "1", "€ 1")]
     assert rows[0].d == "page=2&ref=x" and rows[1].d == ""
+
+
+def test_random_urls_match_standard_library(spark):
+    """Differential test: staged native parse vs urllib on random hostile URLs."""
+    import random
+
+    from tests.fold import touch_of
+    from touchline.functions import with_referrer_parts
+
+    rnd = random.Random(7)
+    hosts = ["google.com", "www.google.com", "WWW.Google.COM", "images.google.com", "notgoogle.com", "bing.com",
+             "search.yahoo.com", "yahoo.com", "msn.com", "www.msn.com", "google.co.uk", "[::1]", "[bad",
+             "u:p@google.com:80", "google.com:x", "", "www.www.bing.com", "go_ogle.com"]
+    schemes = ["http://", "https://", "HTTP://", "//", "", "ftp://", "http:/", "h t://"]
+    keys = ["q", "p", "Q", "%71", "q+", "q%20", "hl", "p%3D"]
+    vals = ["shoes", "Red+Shoes", "%20x%20", "", "%E2%82%AC", "100%", "a%zz", "x=y", "+", "%FF", "caf%C3%A9", "  "]
+
+    def url():
+        q = "&".join(f"{rnd.choice(keys)}={rnd.choice(vals)}" if rnd.random() < 0.9 else rnd.choice(keys)
+                     for _ in range(rnd.randint(0, 3)))
+        return (rnd.choice(schemes) + rnd.choice(hosts) + rnd.choice(["/search", "/", "", "/a;b", "/x#y"])
+                + ("?" + q if rnd.random() < 0.8 else "") + rnd.choice(["", "#top", "#?q=z"])).strip()
+
+    urls = [url() for _ in range(3000)]
+    df = spark.createDataFrame([(u,) for u in urls], "referrer string")
+    got = with_referrer_parts(df).select("referrer", "touch").collect()
+    bad = [(r.referrer, r.touch) for r in got
+           if ((r.touch.domain, r.touch.keyword) if r.touch else None) != touch_of(r.referrer)]
+    assert bad == []
