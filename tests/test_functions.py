@@ -185,3 +185,26 @@ def test_random_urls_match_standard_library(spark):
     bad = [(r.referrer, r.touch) for r in got
            if ((r.touch.domain, r.touch.keyword) if r.touch else None) != touch_of(r.referrer)]
     assert bad == []
+
+
+def test_random_products_and_events_match_python(spark):
+    import random
+    from decimal import Decimal
+
+    from tests.fold import revenue_of
+
+    rnd = random.Random(11)
+    amounts = ["10", "0.1", "-3.25", "", " 7 ", "abc", "1e2", "+4", ".5", "2.", "0", "99.999", "NaN"]
+    codes = ["1", "2", "10", "11", " 1 ", "12", "", "01", "1 1"]
+
+    def product():
+        return ",".join(";".join(["C", "N", "1", rnd.choice(amounts), ""][: rnd.randint(2, 5)])
+                        for _ in range(rnd.randint(1, 3)))
+
+    rows = [(product(), ",".join(rnd.choice(codes) for _ in range(rnd.randint(0, 3)))) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "p string, e string")
+    got = df.select("p", "e", product_revenue("p").alias("r"), is_purchase("e").alias("b")).collect()
+    for r in got:
+        assert r.r == revenue_of(r.p), r.p
+        assert r.b is ("1" in {x.strip() for x in r.e.split(",")}), r.e
+    assert isinstance(got[0].r, Decimal)
