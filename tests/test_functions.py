@@ -73,23 +73,50 @@ def test_search_referrer_cases(spark):
 
 
 MALFORMED = [
-    ("http://[bad/", True),
-    ("http://[::1]:80/x", False),
-    ("http://[v1.x]/", False),
-    ("http://[1.2.3.4]/", True),
-    ("http://a[::1]/", True),
-    ("http://[::1]x/", True),
-    ("http://[fe80::1%25eth0]/", False),
-    ("http://u[x]@host/", False),
-    ("http://host]/", True),
-    ("http://www.google.com/", False),
+    "http://[bad/", "http://[::1]:80/x", "http://[v1.x]/", "http://[1.2.3.4]/", "http://a[::1]/",
+    "http://[::1]x/", "http://[fe80::1%25eth0]/", "http://[fe80::1%eth0]/", "http://u[x]@host/",
+    "http://host]/", "http://www.google.com/", "http://[:]/", "http://[1::2::3]/", "http://[vz.x]/",
 ]
 
 
+def _splitter_rejects(url):
+    from urllib.parse import urlparse
+
+    try:
+        urlparse(url).hostname
+    except ValueError:
+        return True
+    return False
+
+
 def test_malformed_brackets(spark):
-    df = _one_col(spark, [u for u, _ in MALFORMED], "u")
+    df = _one_col(spark, MALFORMED, "u")
     got = [r[0] for r in df.select(url_is_malformed("u")).collect()]
-    assert got == [m for _, m in MALFORMED]
+    assert got == [_splitter_rejects(u) for u in MALFORMED]
+
+
+def test_random_bracket_urls_match_standard_library(spark):
+    import random
+    from urllib.parse import urlparse
+
+    from touchline.functions import with_referrer_parts
+
+    rnd = random.Random(3)
+    parts = ["[", "]", "::1", "1.2.3.4", "v1.x", "vz.x", "fe80::1%eth0", "a", "@", "u:p@", ":80", ":x",
+             "google.com", "[::ffff:1.2.3.4]", "[1::2::3]", "[::]", "[:]", ".", "www."]
+    urls = [rnd.choice(["http://", "//", "https://"]) + "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 4)))
+            + rnd.choice(["/", "/x?q=1", ""]) for _ in range(3000)]
+
+    def python_view(url):
+        try:
+            return False, (urlparse(url).hostname or "").lower() or None
+        except ValueError:
+            return True, None
+
+    df = spark.createDataFrame([(u,) for u in urls], "referrer string")
+    rows = with_referrer_parts(df).select("referrer", "ref_malformed", "ref_host").collect()
+    bad = [r for r in rows if (r.ref_malformed, None if r.ref_malformed else r.ref_host) != python_view(r.referrer)]
+    assert bad == []
 
 
 def test_hostname_and_class(spark):

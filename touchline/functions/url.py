@@ -102,23 +102,17 @@ def _malformed_authority(auth: Column, hp: Column = None) -> Column:
     """Bracket rules of a standard URL splitter on an authority (see url_is_malformed).
 
     The regex checks run only when the authority holds a bracket at all.
+    ``hp`` is accepted for call-site symmetry and not needed.
     """
-    hp = _host_part(auth) if hp is None else hp
     has_open = F.instr(auth, "[") > 0
     has_close = F.instr(auth, "]") > 0
-    before = F.substring_index(hp, "[", 1)
-    inner = F.regexp_extract(hp, "\\[(.*)$", 1)
-    literal = F.substring_index(inner, "]", 1)
-    rest = F.regexp_extract(inner, "^[^\\]]*\\](.*)$", 1)
+    # text between the authority's first '[' and the next ']'
+    literal = F.regexp_extract(auth, "\\[([^\\]]*)", 1)
     bad_literal = F.when(literal.startswith("v"), ~literal.rlike(_IPVFUTURE)).otherwise(
         ~literal.rlike(_IPV6)
     )
-    bracket_checks = (before != "") | ((rest != "") & ~rest.startswith(":")) | bad_literal
     return F.coalesce(
-        F.when(
-            has_open | has_close,
-            (has_open != has_close) | ((F.instr(hp, "[") > 0) & bracket_checks),
-        ),
+        F.when(has_open | has_close, (has_open != has_close) | bad_literal),
         F.lit(False),
     )
 
@@ -126,10 +120,10 @@ def _malformed_authority(auth: Column, hp: Column = None) -> Column:
 def url_is_malformed(c) -> Column:
     """True when a standard URL splitter rejects the URL (bracket rules, trap 16).
 
-    Rejected: unbalanced '[' / ']' in the authority; text before '[' in the host
-    part; text after ']' that is not a port; a bracketed host that is neither an
-    IPv6 literal nor an IPvFuture literal.  (Host characters that normalise to
-    delimiters under NFKC are not detected.)
+    Rejected: an authority with '[' but no ']' or the reverse; or, with both,
+    a bracketed literal (from the first '[' to the next ']') that is neither an
+    IPv6 address (optional zone) nor an IPvFuture literal.  (Host characters
+    that normalise to delimiters under NFKC are not detected.)
     """
     return _malformed_authority(url_authority(c))
 
