@@ -98,11 +98,10 @@ def referrer_host(c) -> Column:
     return _drop_www(url_hostname(c))
 
 
-def _malformed_authority(auth: Column, hp: Column = None) -> Column:
+def _malformed_authority(auth: Column) -> Column:
     """Bracket rules of a standard URL splitter on an authority (see url_is_malformed).
 
     The regex checks run only when the authority holds a bracket at all.
-    ``hp`` is accepted for call-site symmetry and not needed.
     """
     has_open = F.instr(auth, "[") > 0
     has_close = F.instr(auth, "]") > 0
@@ -212,7 +211,7 @@ def with_referrer_parts(
     )
     # stage 2: host and bracket check (string slicing; the regex branches are rare)
     hp = _host_part(F.col("_auth"))
-    bad = _malformed_authority(F.col("_auth"), hp)
+    bad = _malformed_authority(F.col("_auth"))
     h0 = _host_from_part(hp)
     host = F.when((h0 != "") & ~bad, h0)
     df = df.withColumns({"ref_malformed": bad, "ref_host": host, "_h": _drop_www(host)})
