@@ -1,7 +1,9 @@
 """Registered queries over the driver's tables: one per operator.
 
 Every query derives the hit frame from ``events`` (or reads ``pages``), so its
-work grows with the tables.  Output columns are snake_case, counts BIGINT,
+work grows with the tables.  The file-facing queries (hit files, report,
+intake, streams) first write what they need under the session's checkpoint
+folder and read it back.  Output columns are snake_case, counts BIGINT,
 money DECIMAL(38,2), to line up with the DuckDB oracle.
 """
 
