@@ -195,3 +195,27 @@ def test_first_seen_display_on_files(spark, workdir):
     got = {(x.search_engine_domain, x.keyword_lower): x.search_keyword
            for x in first_seen_display(search_hits(r.prepared), r.options).collect()}
     assert got == {("google.com", "ipod"): "IPOD", ("google.com", "tv"): "tv"}
+
+
+def test_partitioned_results_in_order(spark, workdir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from touchline.plans.sinks import write_results_partitioned
+
+    g = "http://www.google.com/search?q="
+    rows = []
+    for i in range(40):
+        rows += [hit(2 * i, ip=f"v{i}", referrer=g + f"k{i}"),
+                 hit(2 * i + 1, ip=f"v{i}", events="1", products=f"E;N;1;{(i * 37) % 11 + 1};")]
+    r = attribute_files(spark, write_tsv(rows, workdir, "in.tsv"))
+    out = write_results_partitioned(r, os.path.join(workdir, "parts"), partitions=4)
+    parts = sorted(glob.glob(os.path.join(out, "part-*.parquet")))
+    assert len(parts) > 1
+    got = []
+    for p in parts:
+        t = pq.read_table(p).to_pylist()
+        got += [(x["revenue"], x["search_engine_domain"], x["keyword_lower"]) for x in t]
+    assert len(got) == 40
+    assert got == sorted(got, key=lambda x: (-x[0], x[1], x[2]))
