@@ -109,20 +109,21 @@ def test_intake_idempotent(spark, workdir):
     assert spark.read.parquet(ledger).count() == 2
 
 
-@pytest.mark.parametrize("timeout", [None, 2000])
-def test_skew_split_on_files(spark, workdir, timeout):
+@pytest.mark.parametrize("timeout,order", [(None, "file"), (2000, "file"), (2000, "time"), (None, "time")])
+def test_skew_split_on_files(spark, workdir, timeout, order):
     from tests.fold import fold
     from tests.test_scale import random_hits
 
     rows = random_hits(11, n=600, visitors=3)
     write_tsv(rows[:250], workdir, "a.tsv")
     write_tsv(rows[250:], workdir, "b.tsv")
-    want, _ = fold(rows, timeout)
+    want, _ = fold(rows, timeout, order)
     expect = sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
         for threshold in (None, 40):
-            opts = AttributionOptions(session_timeout=timeout, skew_threshold=threshold)
+            opts = AttributionOptions(session_timeout=timeout, skew_threshold=threshold, order=order,
+                                      block_rows=50)
             assert sorted(results(attribute_files(spark, workdir, opts))) == expect, threshold
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
