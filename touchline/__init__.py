@@ -10,8 +10,10 @@ from .errors import (
     StorageIOError,
 )
 from .options import AttributionOptions
+from .plans.attribution import AttributionResult, attribute, attribute_files
 
 __all__ = [
     "AttributionError", "CheckpointError", "DuplicateRunError", "InputSchemaError",
     "OutputWriteError", "ParsingError", "StorageIOError", "AttributionOptions",
+    "AttributionResult", "attribute", "attribute_files",
 ]
