@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import op7_chat_examples
+from .packing import op3_best_fit_packing
 from .sharding import op9_external_shuffle
 
-QUERIES = (op7_chat_examples, op9_external_shuffle)
+QUERIES = (op3_best_fit_packing, op7_chat_examples, op9_external_shuffle)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
