@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import op7_chat_examples
+from .decontam import op6_decontaminate
 from .langid import op8_language_id
 from .packing import op3_best_fit_packing
 from .sharding import op9_external_shuffle
 
-QUERIES = (op3_best_fit_packing, op7_chat_examples, op8_language_id, op9_external_shuffle)
+QUERIES = (op3_best_fit_packing, op6_decontaminate, op7_chat_examples, op8_language_id, op9_external_shuffle)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
