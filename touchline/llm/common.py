@@ -159,3 +159,28 @@ def gram_hashes(h: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     for j in range(1, k):
         out += h[j : j + n] * keys[j]
     return mix(out)
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """``id`` and ``label``, the smallest id of its component, of every end of
+    an edge (a, b).
+
+    Large-star and small-star steps alternate until the edges stay the same:
+    each replaces edges by edges to the smallest neighbour.  All steps are
+    joins and grouped minima over edge rows; every round is stored.
+    """
+    now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    state = None
+    while True:
+        both = now.select("a", "b").unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        below = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(below, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(below.select("a", F.col("m").alias("b")))
+        now = stored(small.where("a <> b").distinct(), "edges")
+        sums = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        if tuple(sums) == state:
+            break
+        state = tuple(sums)
+    roots = now.select(F.col("b").alias("id")).distinct()
+    return now.select(F.col("a").alias("id"), F.col("b").alias("label")).unionAll(roots.select("id", F.col("id").alias("label")))
