@@ -12,8 +12,9 @@ from .langid import op8_language_id
 from .neardup import op10_chosen_path_join
 from .packing import op3_best_fit_packing
 from .sharding import op9_external_shuffle
+from .substring import op4_repeated_phrases
 
-QUERIES = (op3_best_fit_packing, op6_decontaminate, op7_chat_examples, op8_language_id, op9_external_shuffle, op10_chosen_path_join)
+QUERIES = (op3_best_fit_packing, op4_repeated_phrases, op6_decontaminate, op7_chat_examples, op8_language_id, op9_external_shuffle, op10_chosen_path_join)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
