@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import op5_kmeans_tree
 from .chat import op7_chat_examples
 from .decontam import op6_decontaminate
 from .langid import op8_language_id
@@ -14,7 +15,7 @@ from .packing import op3_best_fit_packing
 from .sharding import op9_external_shuffle
 from .substring import op4_repeated_phrases
 
-QUERIES = (op3_best_fit_packing, op4_repeated_phrases, op6_decontaminate, op7_chat_examples, op8_language_id, op9_external_shuffle, op10_chosen_path_join)
+QUERIES = (op3_best_fit_packing, op4_repeated_phrases, op5_kmeans_tree, op6_decontaminate, op7_chat_examples, op8_language_id, op9_external_shuffle, op10_chosen_path_join)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
