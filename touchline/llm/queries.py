@@ -10,13 +10,14 @@ from .ann import op5_kmeans_tree
 from .chat import op7_chat_examples
 from .decontam import op6_decontaminate
 from .langid import op8_language_id
+from .licenses import op2_license_scan
 from .lm_score import op1_cross_entropy_difference
 from .neardup import op10_chosen_path_join
 from .packing import op3_best_fit_packing
 from .sharding import op9_external_shuffle
 from .substring import op4_repeated_phrases
 
-QUERIES = (op1_cross_entropy_difference, op3_best_fit_packing, op4_repeated_phrases, op5_kmeans_tree, op6_decontaminate, op7_chat_examples, op8_language_id, op9_external_shuffle, op10_chosen_path_join)
+QUERIES = (op1_cross_entropy_difference, op2_license_scan, op3_best_fit_packing, op4_repeated_phrases, op5_kmeans_tree, op6_decontaminate, op7_chat_examples, op8_language_id, op9_external_shuffle, op10_chosen_path_join)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
