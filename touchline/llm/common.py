@@ -62,6 +62,17 @@ def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def with_body(docs: DataFrame) -> DataFrame:
+    """doc_id, body (a hash of the text, which tells rows with one id apart), text."""
+    text = text_or_empty()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), text.alias("text"))
+
+
+def same_document(left: DataFrame, right: DataFrame):
+    """Join condition on doc_id and body; a null doc_id equals another."""
+    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["body"] == right["body"])
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values (the splitmix64 finaliser)."""
     h = h ^ (h >> np.uint64(30))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, chunks, gram_hashes, spans, table, text_or_empty, word_hashes
+from .common import by_value, chunks, gram_hashes, spans, table, text_or_empty, with_body, word_hashes
 
 by_value(__name__)
 
@@ -84,7 +84,7 @@ def seed_filter(seeds: DataFrame) -> np.ndarray:
 
 
 def shared_stretches(docs: DataFrame, packed: np.ndarray, match: int = MATCH) -> DataFrame:
-    """doc_id, stretches (token runs that hold nothing but seeds that pass the
+    """doc_id, body, stretches (token runs that hold nothing but seeds that pass the
     filter), seeds; only documents that have any."""
 
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(packed, bitorder="little"))
@@ -112,14 +112,15 @@ def shared_stretches(docs: DataFrame, packed: np.ndarray, match: int = MATCH) ->
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows[edges])),
+                    batch.column(1).take(pa.array(rows[edges])),
                     pa.array([texts[a:b] for a, b in zip(edges, ends, strict=True)], pa.list_(pa.string())),
                     pa.array(seeds, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "stretches", "seeds"],
+                names=["doc_id", "body", "stretches", "seeds"],
             )
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(text_or_empty()).alias("text"))
-    return source.mapInArrow(run, "doc_id long, stretches array<string>, seeds array<long>")
+    source = with_body(docs).withColumn("text", F.lower("text"))
+    return source.mapInArrow(run, "doc_id long, body long, stretches array<string>, seeds array<long>")
 
 
 _MOD = (1 << 61) - 1
@@ -192,45 +193,41 @@ def tiles(item: list[str], stretches: list[list[str]], match: int = MATCH) -> li
 
 
 def tile_pairs(pairs: DataFrame, match: int = MATCH) -> DataFrame:
-    """doc_id, item_id, n_tokens, n_covered, n_tiles, longest of each pair
-    (doc_id, stretches, item_id, item)."""
+    """doc_id, body, item_id, n_tokens, n_covered, n_tiles, longest of each
+    pair (doc_id, body, stretches, item_id, item)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, stretches, item_id, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, body, stretches, item_id, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens = item.split(" ")
                 found = tiles(tokens, [s.split(" ") for s in stretches], match)
-                rows.append((doc, item_id, len(tokens), sum(t[0] for t in found), len(found), max((t[0] for t in found), default=0)))
-            names = ["doc_id", "item_id", "n_tokens", "n_covered", "n_tiles", "longest"]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(6)], names=names)
+                rows.append((doc, body, item_id, len(tokens), sum(t[0] for t in found), len(found), max((t[0] for t in found), default=0)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names=names)
 
-    return pairs.select("doc_id", "stretches", "item_id", "item").mapInArrow(
-        run, "doc_id long, item_id long, n_tokens long, n_covered long, n_tiles long, longest long"
-    )
+    names = ["doc_id", "body", "item_id", "n_tokens", "n_covered", "n_tiles", "longest"]
+    return pairs.select("doc_id", "body", "stretches", "item_id", "item").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, match: int = MATCH, coverage: float = COVERAGE) -> DataFrame:
-    """Pairs of a document and a benchmark item whose tiles cover at least
+    """doc_id, body, item_id, n_tokens, n_covered, n_tiles, longest, coverage:
+    pairs of a document and a benchmark item whose tiles cover at least
     ``coverage`` of the item."""
     wanted = item_seeds(items, match)
     seeds = wanted.select(F.explode("seeds").alias("seed"), "item_id", "item")
     found = shared_stretches(docs, seed_filter(seeds.select("seed").distinct()), match)
     pairs = (
-        found.select("doc_id", "stretches", F.explode("seeds").alias("seed"))
+        found.select("doc_id", "body", "stretches", F.explode("seeds").alias("seed"))
         .join(seeds, "seed")
-        .groupBy("doc_id", "stretches", "item_id", "item")
-        .agg(F.count("*").alias("n_seeds"))
-    )
-    best = tile_pairs(pairs, match).where(F.col("n_covered") >= F.lit(coverage) * F.col("n_tokens"))
-    top = F.max_by(F.struct("n_tokens", "n_covered", "n_tiles", "longest"), F.struct(F.col("n_covered") / F.col("n_tokens"), "n_tokens", "longest"))
-    return (
-        best.groupBy("doc_id", "item_id")
-        .agg(top.alias("top"))
-        .select("doc_id", "item_id", "top.*", (F.col("top.n_covered") / F.col("top.n_tokens")).alias("coverage"))
+        .select("doc_id", "body", "stretches", "item_id", "item")
+        .distinct()
     )
+    share = F.col("n_covered") / F.col("n_tokens")
+    return tile_pairs(pairs, match).where(F.col("n_covered") >= F.lit(coverage) * F.col("n_tokens")).withColumn("coverage", share)
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:
     """All pairs of a document and a benchmark item that it holds."""
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    pairs = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    best = F.max(F.struct("coverage", "n_tokens", "n_covered", "n_tiles", "longest"))
+    return pairs.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")

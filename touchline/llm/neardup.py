@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, by_value, chunks, connected, gram_hashes, mix, seeded, stored, table, text_or_empty, word_hashes, word_spans
+from .common import LOWER, by_value, chunks, connected, gram_hashes, mix, seeded, stored, table, text_or_empty, with_body, word_hashes, word_spans
 
 by_value(__name__)
 
@@ -96,12 +96,13 @@ def minwise(sets: list[np.ndarray]) -> np.ndarray:
     return mix(out)
 
 
-SIGNED = "doc_id long, n_shingles long, class binary, roots array<long>, sketch binary"
+SIGNED = "doc_id long, body long, n_shingles long, class binary, roots array<long>, sketch binary"
 
 
 def signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, class (key of the shingle set), roots (its node in
-    the first level of every tree), sketch (a byte of every minwise token)."""
+    """doc_id, body (a hash of the text, which tells rows with one id apart),
+    n_shingles, class (key of the shingle set), roots (its node in the first
+    level of every tree), sketch (a byte of every minwise token)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = np.array([*range(TREES), *range(DOUBLE)], np.uint64)
@@ -118,15 +119,16 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array(roots, pa.list_(pa.int64())),
                     pa.array(sketches, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "class", "roots", "sketch"],
+                names=["doc_id", "body", "n_shingles", "class", "roots", "sketch"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, SIGNED)
+    return with_body(docs).mapInArrow(run, SIGNED)
 
 
 def agreeing(nodes: DataFrame) -> DataFrame:
@@ -296,7 +298,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, class, component_id, kept, one row a document."""
+    """doc_id, body, n_shingles, class, component_id, kept, one row a document."""
     signs = stored(signed(docs, shingle), "signed")
     classes = stored(
         signs.where("class is not null and doc_id is not null")
@@ -320,9 +322,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     component = ids.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = ids.join(component, "label").select(F.col("id").alias("class"), "component_id")
     of_class = classes.select("class", "doc_id").join(named, "class", "left").select("class", F.coalesce("component_id", "doc_id").alias("_component"))
-    out = signs.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
+    out = signs.select("doc_id", "body", "n_shingles", "class").join(of_class, "class", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
-    return out.select("doc_id", "n_shingles", "class", component.alias("component_id")).withColumn(
+    return out.select("doc_id", "body", "n_shingles", "class", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 

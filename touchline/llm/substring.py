@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_value, chunks, gram_hashes, stored, table, text_or_empty, word_hashes, word_spans
+from .common import by_value, chunks, gram_hashes, same_document, stored, table, text_or_empty, with_body, word_hashes, word_spans
 
 by_value(__name__)
 
@@ -90,7 +90,9 @@ def seeds(docs: DataFrame, window: int, seed: int) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """doc_id, body, packed: the text compressed, for the way through a shuffle."""
+    """The columns before text, and packed: the text compressed, for the way
+    through a shuffle."""
+    schema = docs.withColumn("packed", F.lit("").cast("binary")).drop("text").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -99,9 +101,9 @@ def packed(docs: DataFrame) -> DataFrame:
         for batch, data, offs in chunks(batches, "text"):
             raw = memoryview(data)
             out = pa.array([press.compress(raw[a:b]) for a, b in zip(offs[:-1], offs[1:], strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), out], names=["doc_id", "body", "packed"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], names=[*batch.schema.names[:-1], "packed"])
 
-    return docs.select("doc_id", "body", "text").mapInArrow(run, "doc_id long, body long, packed binary")
+    return docs.mapInArrow(run, schema)
 
 
 def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,15 +185,20 @@ def locate(texts: list[list[bytes]], repeated: list[np.ndarray], window: int, pi
     return found
 
 
-def removed(joined: DataFrame, window: int) -> DataFrame:
-    """doc_id, body, n_words, n_removed, kept (words left, one space between);
-    joined: doc_id, body, copy, starts, packed."""
+def removed(joined: DataFrame, window: int, keep_spacing: bool) -> DataFrame:
+    """The columns of joined before copy, starts and packed, then n_words,
+    n_removed, kept: the words left with one space between, or with
+    ``keep_spacing`` the text as it is where no word goes."""
+    carried = joined.columns[:-3]
+    schema = joined.select(*carried, F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in unpacked(batches):
-            texts = [t.as_buffer().to_pybytes().split() for t in batch.column(4)]
+            copies, marks, column = batch.columns[-3:]
+            raw = [t.as_buffer().to_pybytes() for t in column]
+            texts = [t.split() for t in raw]
             later = []
-            for words, copy, starts in zip(texts, batch.column(2).to_pylist(), batch.column(3), strict=True):
+            for words, copy, starts in zip(texts, copies.to_pylist(), marks, strict=True):
                 n = max(0, len(words) - window + 1)
                 if copy:
                     later.append(np.arange(n))
@@ -201,7 +208,7 @@ def removed(joined: DataFrame, window: int) -> DataFrame:
                 else:
                     later.append(np.zeros(0, np.int64))
             n_words, n_removed, kept = [], [], []
-            for words, starts, found in zip(texts, later, locate(texts, later, window), strict=True):
+            for text, words, starts, found in zip(raw, texts, later, locate(texts, later, window), strict=True):
                 edge = np.zeros(len(words) + 1, np.int64)
                 go = starts[found[starts]]
                 np.add.at(edge, go, 1)
@@ -209,24 +216,23 @@ def removed(joined: DataFrame, window: int) -> DataFrame:
                 gone = np.cumsum(edge)[: len(words)] > 0
                 n_words.append(len(words))
                 n_removed.append(int(gone.sum()))
-                kept.append(b" ".join([w for w, x in zip(words, gone.tolist(), strict=True) if not x] if len(go) else words))
+                if len(go):
+                    words = [w for w, x in zip(words, gone.tolist(), strict=True) if not x]
+                kept.append(text if keep_spacing and not len(go) else b" ".join(words))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                names=["doc_id", "body", "n_words", "n_removed", "kept"],
+                [*batch.columns[:-3], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                names=[*carried, "n_words", "n_removed", "kept"],
             )
 
-    schema = "doc_id long, body long, n_words long, n_removed long, kept string"
-    return joined.select("doc_id", "body", "copy", "starts", "packed").mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema)
 
 
-def with_body(docs: DataFrame) -> DataFrame:
-    """doc_id, body (a hash of the text, which tells rows with one id apart), text."""
+def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, keep_spacing: bool = False) -> DataFrame:
+    """row (all columns of a document but its text), n_words, n_removed, kept
+    of every document; see ``removed``."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     text = text_or_empty()
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), text.alias("text"))
-
-
-def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """doc_id, body, n_words, n_removed, kept of every document."""
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), rest.alias("row"), text.alias("text"))
     docs = with_body(docs)
     same = Window.partitionBy("seed").orderBy("doc_id", "pos")
     recurring = (
@@ -246,10 +252,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
         .distinct()
     )
     copies = stored(copies, "copies")
-    both = lambda left, right: left["doc_id"].eqNullSafe(right["doc_id"]) & (left["body"] == right["body"])
-    wanted = stored(recurring.join(copies, both(recurring, copies), "left_anti"), "positions")
+    wanted = stored(recurring.join(copies, same_document(recurring, copies), "left_anti"), "positions")
     text = packed(docs)
-    marked = text.join(wanted, both(text, wanted)).select(text["doc_id"], text["body"], "positions", "packed")
+    marked = text.join(wanted, same_document(text, wanted)).select(text["doc_id"], text["body"], "positions", "packed")
     rows = window_rows(marked, window, seed)
     by_place = Window.partitionBy("hash").orderBy("doc_id", "start")
     own = F.struct("doc_id", "start")
@@ -261,12 +266,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
         ),
         "repeats",
     )
-    again = packed(docs)
-    joined = again.join(facts, both(again, facts), "left").select(again["doc_id"], again["body"], F.coalesce("copy", F.lit(False)).alias("copy"), "starts", "packed")
-    return removed(joined, window)
+    again = packed(whole)
+    joined = again.join(facts, same_document(again, facts), "left").select("row", F.coalesce("copy", F.lit(False)).alias("copy"), "starts", "packed")
+    return removed(joined, window, keep_spacing)
 
 
 def op4_repeated_phrases(spark, sf_dir: str) -> DataFrame:
     """Every document without the passages that occur earlier."""
-    out = remove_repeats(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
