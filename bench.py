@@ -56,7 +56,7 @@ def _end_to_end(spark, sf_dir: str) -> None:
     run = attribute(hits_from_events(spark, sf_dir)).materialize()
     out = scratch_path(spark, "bench-out")
     report = write_report(run, out)
-    write_manifest(spark, manifest(run, sf_dir, started, results_path=report), out)
+    write_manifest(spark, manifest(run, sf_dir, started, results_path=report), out, result=run)
 
 
 def main() -> None:

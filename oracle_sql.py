@@ -232,6 +232,7 @@ SELECT
   CAST(count(*) FILTER (WHERE is_purchase AND revenue = 0) AS BIGINT) AS purchases_without_revenue,
   CAST(count(*) FILTER (WHERE {_UNATTR}) AS BIGINT) AS unattributed_purchases,
   CAST(count(*) FILTER (WHERE {blank}) AS BIGINT) AS blank_timestamps,
+  CAST(count(*) FILTER (WHERE time_bad) AS BIGINT) AS bad_timestamps,
   CAST(count(*) FILTER (WHERE referrer_class = 'unknown_external') AS BIGINT) AS unknown_referrer_domains,
   CAST(count(*) FILTER (WHERE is_purchase) AS BIGINT) AS total_purchase_events,
   CAST(count(*) FILTER (WHERE {_ATTR}) AS BIGINT) AS attributed_purchase_events,
@@ -263,8 +264,9 @@ SELECT 'v1' AS schema_version,
   CAST((SELECT count(*) FROM lastrow WHERE lv) AS BIGINT) AS unique_visitors,
   CAST((SELECT count(*) FROM res) AS BIGINT) AS keyword_groups,
   CAST(CAST((SELECT COALESCE(sum(revenue), 0) FROM res) AS DECIMAL(38,2)) AS VARCHAR) AS total_attributed_revenue,
-  (SELECT string_agg(search_engine_domain || '|' || search_keyword || '|' || CAST(revenue AS VARCHAR), ';'
-          ORDER BY revenue DESC, search_engine_domain, lower(search_keyword)) FROM res) AS results_summary"""
+  CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, search_engine_domain, lower(search_keyword)) AS BIGINT) AS rank,
+  search_engine_domain AS domain, search_keyword AS keyword, CAST(revenue AS VARCHAR) AS revenue
+FROM res"""
 
 
 def business_summary(timeout=None) -> str:
@@ -342,6 +344,14 @@ FROM classed""",
 SELECT seq, ldomain AS search_engine_domain, lkeyword AS search_keyword FROM live WHERE is_purchase""",
         "hit_file_scan": keyword_revenue("file", None),
         "hit_file_scan_gzip_timeout": keyword_revenue("file", t),
+        "hit_file_scan_mixed_headers": keyword_revenue("file", None),
+        "schema_contract": "WITH " + _RAW + """,
+cols AS (SELECT unnest(['hit_time_gmt', 'ip', 'user_agent', 'event_list', 'product_list', 'referrer']) AS column_name)
+SELECT column_name, CAST(count(*) AS BIGINT) AS hits
+FROM cols, raw WHERE column_name <> 'product_list' OR event_list <> '2' GROUP BY 1""",
+        "last_touch_time_order_skew_split": keyword_revenue("time", t),
+        "stream_running_totals": keyword_revenue("file", None),
+        "stream_running_totals_time_order": keyword_revenue("time", t),
         "report_file": _results("file", None) + """
 SELECT search_engine_domain, search_keyword, CAST(revenue AS VARCHAR) AS revenue_text,
        CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, search_engine_domain, lower(search_keyword)) AS BIGINT) AS rank

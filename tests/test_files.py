@@ -11,15 +11,15 @@ from touchline.plans.attribution import attribute_files
 from touchline.plans.intake_run import run_pending
 from touchline.plans.sinks import manifest, write_manifest, write_report
 from touchline.sources.hits import read_hits
-from tests.hits import GOLDEN, hit, results, write_tsv
+from tests.hits import SHOP_DAY, SHOP_DAY_RESULT, hit, results, write_tsv
 
-GOLD = [("google.com", "Ipod", "480.00"), ("bing.com", "Zune", "250.00")]
+REPORT = ["Search Engine Domain\tSearch Keyword\tRevenue", *["\t".join(r) for r in SHOP_DAY_RESULT]]
 
 
 @pytest.mark.parametrize("compress", [None, "gz", "zst"])
 def test_scan_plain_and_compressed(spark, workdir, compress):
-    path = write_tsv(GOLDEN, workdir, compress=compress)
-    assert results(attribute_files(spark, path)) == GOLD
+    path = write_tsv(SHOP_DAY, workdir, compress=compress)
+    assert results(attribute_files(spark, path)) == SHOP_DAY_RESULT
 
 
 def test_quoted_fields(spark, workdir):
@@ -54,15 +54,29 @@ def test_split_file_keeps_order(spark, workdir):
 
 
 def test_schema_contract(spark, workdir):
-    path = write_tsv([{"ip": "1", "user_agent": "x"}], workdir, fields=["ip", "user_agent"])
-    with pytest.raises(InputSchemaError, match="event_list"):
-        read_hits(spark, path)
-    df = read_hits(spark, path, validate_schema=False)
-    assert df.count() == 1
+    short = write_tsv([{"ip": "1", "user_agent": "x"}], workdir, "short.tsv", fields=["ip", "user_agent"])
+    with pytest.raises(InputSchemaError, match="short.tsv: no column hit_time_gmt, event_list"):
+        read_hits(spark, short)
+    assert [r.referrer for r in read_hits(spark, short, validate_schema=False).collect()] == [""]
+    write_tsv(SHOP_DAY, workdir, "a.tsv")
+    with pytest.raises(InputSchemaError, match="short.tsv"):
+        read_hits(spark, workdir)
     empty = os.path.join(workdir, "empty.tsv")
     open(empty, "w").close()
-    with pytest.raises(InputSchemaError, match="no header"):
-        read_hits(spark, empty)
+    for path in (empty, [os.path.join(workdir, "a.tsv"), empty]):
+        with pytest.raises(InputSchemaError, match="empty.tsv: no header line"):
+            read_hits(spark, path)
+    assert read_hits(spark, empty, validate_schema=False).count() == 0
+    assert read_hits(spark, workdir, validate_schema=False).count() == len(SHOP_DAY) + 1
+
+
+def test_every_file_by_its_own_header(spark, workdir):
+    """Other orders, other cases, more columns; names that need escaping."""
+    write_tsv(SHOP_DAY[:5], workdir, "a b[1].tsv")
+    turned = [{k.upper() + " ": v for k, v in r.items()} for r in SHOP_DAY[5:9]]
+    write_tsv(turned, workdir, "c+%20.tsv", fields=["more", *reversed(turned[0])])
+    write_tsv(SHOP_DAY[9:], workdir, "d.tsv", compress="gz", fields=["referrer", "ip", "hit_time_gmt", "product_list", "event_list", "user_agent"])
+    assert results(attribute_files(spark, workdir)) == SHOP_DAY_RESULT
 
 
 def test_header_case_and_spaces(spark, workdir):
@@ -74,41 +88,83 @@ def test_header_case_and_spaces(spark, workdir):
 
 
 def test_report_and_manifest(spark, workdir):
-    path = write_tsv(GOLDEN, workdir, "in.tsv")
+    path = write_tsv(SHOP_DAY, workdir, "in.tsv")
     out = os.path.join(workdir, "out")
     r = attribute_files(spark, path)
     day = dt.date(2026, 3, 5)
-    report = write_report(r, out, day)
-    assert report.endswith("2026-03-05_SearchKeywordPerformance.tab")
-    with open(report, "rb") as fh:
-        assert fh.read() == b"Search Engine Domain\tSearch Keyword\tRevenue\ngoogle.com\tIpod\t480.00\nbing.com\tZune\t250.00\n"
-    doc = manifest(r, path)
-    target = write_manifest(spark, doc, out, day)
+    for _ in range(2):  # a second report of the day replaces the first
+        report = write_report(r, out, day)
+        assert report.endswith("2026-03-05_SearchKeywordPerformance.tab")
+        with open(report, "rb") as fh:
+            assert fh.read().decode() == "\n".join(REPORT) + "\n"
+    target = write_manifest(spark, manifest(r, path), out, day, r)
     with open(target) as fh:
         loaded = json.load(fh)
-    assert loaded["schema_version"] == "v1" and loaded["rows_processed"] == 21
-    assert loaded["keyword_groups"] == 2 and loaded["total_attributed_revenue"] == "730.00"
-    assert loaded["results_summary"][0] == {"domain": "google.com", "keyword": "Ipod", "revenue": "480.00"}
-    assert loaded["data_quality"]["total_revenue_attributed"] == "730.00"
-    assert r.hit_counters()["rows_processed"] == 21
+    assert loaded["schema_version"] == "v1" and loaded["rows_processed"] == 14
+    assert loaded["keyword_groups"] == 3 and loaded["total_attributed_revenue"] == "97.95"
+    assert loaded["data_quality"]["total_revenue_attributed"] == "97.95" and loaded["data_quality"]["bad_timestamps"] == 0
+    with open(os.path.join(out, loaded["results_summary"])) as fh:
+        assert [tuple(json.loads(line).values()) for line in fh] == SHOP_DAY_RESULT
+
+
+def test_report_layouts_replace_each_other(spark, workdir):
+    """The layout is what was asked for, whatever the number of results."""
+    import glob
+
+    g = "http://www.google.com/search?q="
+    rows = []
+    for i in range(60):
+        rows += [hit(2 * i, ip=f"v{i}", referrer=g + f"k{i:02d}"), hit(2 * i + 1, ip=f"v{i}", events="1", products=f"E;N;1;{(i * 37) % 11 + 1};")]
+    many = attribute_files(spark, write_tsv(rows, workdir, "many.tsv"))
+    few = attribute_files(spark, write_tsv(SHOP_DAY, workdir, "few.tsv"))
+    out, day = os.path.join(workdir, "out"), dt.date(2026, 1, 2)
+    whole = []
+    for result, layout in ((many, "file"), (many, "folder"), (few, "folder"), (few, "file"), (many, "file")):
+        target = write_report(result, out, day, layout)
+        assert os.path.isdir(target) == (layout == "folder")
+        lines = []
+        for part in sorted(glob.glob(f"{target}/part-*")) if layout == "folder" else [target]:
+            with open(part) as fh:
+                lines += [x for x in fh.read().splitlines() if not x.startswith("Search Engine")]
+        if result is many:
+            whole.append(lines)
+        else:
+            assert lines == REPORT[1:]
+    assert whole[0] == whole[1] == whole[2] and len(whole[0]) == 60
+    assert whole[0] == sorted(whole[0], key=lambda x: (-float(x.split("\t")[2]), x))
+    assert [f for f in os.listdir(out) if not f.startswith(".")] == ["2026-01-02_SearchKeywordPerformance.tab"]
+    with pytest.raises(ValueError):
+        write_report(few, out, day, "heap")
 
 
 def test_intake_idempotent(spark, workdir):
     inbox = os.path.join(workdir, "in")
     os.makedirs(inbox)
-    write_tsv(GOLDEN, inbox, "day1.tsv")
+    write_tsv(SHOP_DAY, inbox, "day[1].tsv")
     out, ledger = os.path.join(workdir, "out"), os.path.join(workdir, "ledger")
     first = run_pending(spark, inbox, out, ledger, run_date=dt.date(2026, 3, 5))
-    assert first["keyword_groups"] == 2
+    assert first["keyword_groups"] == 3
     assert run_pending(spark, inbox, out, ledger) is None
     # changed content: processed again
-    write_tsv(GOLDEN[:3] + [hit(9, ip="10.1.0.2", ua="Agent Two", events="1", products="E;Z;1;5;")], inbox, "day1.tsv")
-    os.utime(os.path.join(inbox, "day1.tsv"), (1, 1))
+    write_tsv(SHOP_DAY[:2] + [hit(1_700_000_020, "172.16.3.3", "Phone 2", "1", "C;P;1;5;")], inbox, "day[1].tsv")
+    os.utime(os.path.join(inbox, "day[1].tsv"), (1, 1))
     again = run_pending(spark, inbox, out, ledger)
     assert again is not None and again["total_attributed_revenue"] == "5.00"
     assert spark.read.parquet(ledger).count() == 2
 
 
+def test_intake_tells_like_names_apart(spark, workdir):
+    inbox, ledger = os.path.join(workdir, "in"), os.path.join(workdir, "ledger")
+    os.makedirs(inbox)
+    names = ["a+b.tsv", "a b.tsv", "c%20d.tsv", "c d.tsv"]
+    for n, name in enumerate(names):
+        path = write_tsv(SHOP_DAY, inbox, name)
+        os.utime(path, (5, 5))  # the same size and time
+        doc = run_pending(spark, inbox, os.path.join(workdir, "out"), ledger)
+        assert doc is not None and doc["rows_processed"] == 14, name
+        assert spark.read.parquet(ledger).count() == n + 1
+
+
 @pytest.mark.parametrize("timeout,order", [(None, "file"), (2000, "file"), (2000, "time"), (None, "time")])
 def test_skew_split_on_files(spark, workdir, timeout, order):
     from tests.fold import fold
@@ -132,14 +188,14 @@ def test_skew_split_on_files(spark, workdir, timeout, order):
 def test_job_entry(spark, workdir):
     from touchline.__main__ import main
 
-    path = write_tsv(GOLDEN, workdir, "in.tsv")
+    path = write_tsv(SHOP_DAY, workdir, "in.tsv")
     out = os.path.join(workdir, "out")
-    assert main([path, "--output-dir", out, "--session-timeout", "1800", "--metadata", "--run-date", "2026-03-05"]) == 0
+    assert main([path, "--output-dir", out, "--session-timeout", "9000", "--metadata", "--run-date", "2026-03-05"]) == 0
     with open(os.path.join(out, "2026-03-05_SearchKeywordPerformance.tab")) as fh:
-        assert fh.read().splitlines()[1:] == ["google.com\tIpod\t480.00", "bing.com\tZune\t250.00"]
+        assert fh.read().splitlines() == REPORT
     with open(os.path.join(out, "2026-03-05_SearchKeywordPerformance_metadata.json")) as fh:
         doc = json.load(fh)
-    assert doc["config"]["session_timeout"] == 1800 and doc["unique_visitors"] == 4
+    assert doc["config"]["session_timeout"] == 9000 and doc["unique_visitors"] == 3
     assert main([os.path.join(workdir, "missing.tsv"), "--output-dir", out]) == 1
     assert main([path, "--output-dir", out, "--session-timeout", "-5"]) == 2
 
@@ -162,27 +218,28 @@ def test_report_quoting_matches_csv_module(spark, workdir):
         assert fh.read() == buf.getvalue()
 
 
-def test_skew_guard_reads_a_file_subset(spark, workdir):
+@pytest.mark.parametrize("compress", [None, "gz"])
+def test_hot_visitor_in_files(spark, workdir, compress):
+    """A visitor hot in a few files only, and within one unsplittable file."""
     from tests.fold import fold
+    from touchline.operators.touch import block_number, heavy_visitors
 
     rows_all = []
-    for i in range(30):
-        rows = [hit(i * 1000 + j, ip="hot" if j % 3 else f"v{i}-{j}",
-                    referrer="http://www.google.com/search?q=k%d" % (j % 4) if j % 5 == 0 else "",
+    for i in range(6):
+        rows = [hit(i * 1000 + j, ip="hot" if i in (1, 4) and j % 9 else f"v{i}-{j}", referrer=f"http://www.google.com/search?q=k{j % 4}" if j % 5 == 0 else "",
                     events="1" if j % 7 == 0 else "", products="E;N;1;2;" if j % 7 == 0 else "")
-                for j in range(60)]
-        write_tsv(rows, workdir, "f%02d.tsv" % i)
+                for j in range(600)]
+        write_tsv(rows, workdir, f"f{i}.tsv", compress)
         rows_all += rows
     opts = AttributionOptions(skew_threshold=300, block_rows=100)
-    r = attribute_files(spark, workdir, opts, guard_files=10)
-    assert r.guard_hits is not None and abs(r.guard_fraction - 1 / 3) < 1e-9
+    r = attribute_files(spark, workdir, opts)
     want, _ = fold(rows_all)
-    expect = sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
-    assert sorted(results(r)) == expect
-    from touchline.operators.touch import heavy_visitors
-
-    hot, n = heavy_visitors(r.guard_hits.select("seq", "ip", "user_agent", "hit_time"), opts, r.guard_fraction)
-    assert n == 1 and hot.first()["ip"] == "hot"
+    assert sorted(results(r)) == sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
+    hits = r.normalized.select("seq", "ip", "user_agent", "hit_time")
+    heavy = heavy_visitors(hits, opts)
+    assert [x.ip for x in heavy.collect()] == ["hot"]
+    blocks = hits.join(heavy, ["ip", "user_agent"]).groupBy(block_number(hits, opts, "_bounds").alias("b")).count().collect()
+    assert len(blocks) > 5 and max(b["count"] for b in blocks) < 200
 
 
 def test_first_seen_display_on_files(spark, workdir):

@@ -5,165 +5,124 @@ from decimal import Decimal
 import pytest
 
 from touchline import AttributionOptions
+from touchline.errors import ParsingError
 from touchline.plans.attribution import attribute
-from tests.hits import GOLDEN, frame, hit, results
+from tests.hits import SHOP_DAY, SHOP_DAY_IN_30_MINUTES, SHOP_DAY_RESULT, frame, hit, results
 
-G = "http://www.google.com/search?q="
-B = "http://www.bing.com/search?q="
-SHOP = "http://www.esshopzilla.com/"
+M = "http://www.msn.com/?q="
+Y = "http://yahoo.com/?p="
+OWN = "https://www.esshopzilla.com/a"
 
 
 def run(spark, rows, **opts):
     return attribute(frame(spark, rows), AttributionOptions(**opts))
 
 
-def test_single_purchase(spark):
-    r = run(spark, [hit(100, referrer=G + "shoes"), hit(200, events="1", products="S;Red;1;49.99;", referrer=SHOP)])
-    assert results(r) == [("google.com", "shoes", "49.99")]
+def buy(t, amount, **more):
+    return hit(t, events="1", products=f"Kitchen;Pot;1;{amount};", **more)
 
 
-def test_no_purchase_event(spark):
-    r = run(spark, [hit(100, referrer=G + "x"), hit(200, events="2", products="S;R;1;49.99;")])
-    assert results(r) == []
-
-
-def test_no_prior_search(spark):
-    r = run(spark, [hit(100, referrer=SHOP), hit(200, events="1", products="S;R;1;49.99;")])
-    assert results(r) == []
-
-
-def test_first_seen_casing_across_visitors(spark):
-    rows = [hit(1, ip="a", referrer=G + "Ipod"), hit(2, ip="b", referrer=G + "ipod"),
-            hit(3, ip="a", events="1", products="E;I;1;100;"), hit(4, ip="b", events="1", products="E;I;1;50;")]
-    assert results(run(spark, rows)) == [("google.com", "Ipod", "150.00")]
-
+# rows, and the report that they give without a timeout
+CASES = {
+    "a search, then a purchase": ([hit(7, referrer=M + "pot"), hit(8, referrer=OWN), buy(9, "17.35")], [("msn.com", "pot", "17.35")]),
+    "events other than a purchase": ([hit(7, referrer=M + "pot"), hit(9, events="11,12", products="K;P;1;17.35;")], []),
+    "nothing searched": ([hit(7, referrer=OWN), buy(9, "17.35")], []),
+    "the later of two searches": ([hit(1, referrer=M + "pan"), hit(2, referrer=Y + "wok"), buy(3, "23.10")], [("yahoo.com", "wok", "23.10")]),
+    "search on the purchase page": ([hit(1, referrer=M + "pan"), buy(2, "4.40", referrer=Y + "lid")], [("yahoo.com", "lid", "4.40")]),
+    "two purchases after one search": ([hit(1, referrer=M + "pan"), buy(2, "11.11"), hit(3, referrer=OWN), buy(4, "22.22")], [("msn.com", "pan", "33.33")]),
+    "agents tell visitors apart": ([hit(1, ua="A", referrer=M + "pan"), buy(2, "5", ua="B")], []),
+    "one keyword in two cases, shown as first searched": (
+        [hit(1, ip="v", referrer=M + "WOK"), hit(2, ip="w", referrer=M + "wok"), hit(3, ip="u", referrer=M + "Wok"), buy(4, "6.5", ip="w"), buy(5, "0.25", ip="u")],
+        [("msn.com", "WOK", "6.75")],
+    ),
+    "highest revenue first, then engine, then keyword": (
+        [hit(1, ip="a", referrer=Y + "b"), hit(2, ip="b", referrer=Y + "A"), hit(3, ip="c", referrer=M + "z"), hit(4, ip="d", referrer=M + "y"),
+         buy(5, "2", ip="a"), buy(6, "2", ip="b"), buy(7, "2", ip="c"), buy(8, "2.01", ip="d")],
+        [("msn.com", "y", "2.01"), ("msn.com", "z", "2.00"), ("yahoo.com", "A", "2.00"), ("yahoo.com", "b", "2.00")],
+    ),
+    "half a cent goes to the even one, once, after the sum": ([hit(1, referrer=M + "k"), buy(2, "0.3025"), buy(3, "0.3025")], [("msn.com", "k", "0.60")]),
+    "returns and free items earn nothing": ([hit(1, referrer=M + "k"), buy(2, "-3"), buy(3, ""), buy(4, "0"), buy(5, "1.5")], [("msn.com", "k", "1.50")]),
+}
 
-def test_casing_from_search_without_revenue(spark):
-    rows = [hit(1, ip="x", referrer=G + "IPOD"), hit(2, ip="a", referrer=G + "ipod"),
-            hit(3, ip="a", events="1", products="E;I;1;10;")]
-    assert results(run(spark, rows)) == [("google.com", "IPOD", "10.00")]
 
+def test_reports(spark):
+    for name, (rows, want) in CASES.items():
+        assert results(run(spark, rows)) == want, name
 
-def test_two_engines_ordered(spark):
-    rows = [hit(1, ip="a", referrer=B + "tv"), hit(2, ip="b", referrer=G + "radio"),
-            hit(3, ip="a", events="1", products="E;T;1;500;"), hit(4, ip="b", events="1", products="E;R;1;200;")]
-    assert results(run(spark, rows)) == [("bing.com", "tv", "500.00"), ("google.com", "radio", "200.00")]
 
+@pytest.mark.parametrize("gap,timeout,kept", [(901, 900, False), (900, 900, True), (899, 900, True), (1, 0, False), (0, 0, True), (10**7, None, True)])
+def test_timeout_is_a_strict_gap(spark, gap, timeout, kept):
+    rows = [hit(50, referrer=M + "k"), buy(50 + gap, "2.20")]
+    assert results(run(spark, rows, session_timeout=timeout)) == ([("msn.com", "k", "2.20")] if kept else [])
 
-def test_last_touch_wins(spark):
-    rows = [hit(1, referrer=G + "phone"), hit(2, referrer=B + "smartphone"),
-            hit(3, events="1", products="E;S;1;300;")]
-    assert results(run(spark, rows)) == [("bing.com", "smartphone", "300.00")]
-
-
-def test_repeat_purchases_and_internal_browsing(spark):
-    rows = [hit(1, referrer=G + "cam"), hit(2, referrer=SHOP + "a"), hit(3, referrer=SHOP + "b"),
-            hit(4, events="1", products="E;C;1;80;"), hit(5, events="1", products="E;C;1;120;")]
-    assert results(run(spark, rows)) == [("google.com", "cam", "200.00")]
-
-
-def test_same_hit_search_and_purchase(spark):
-    rows = [hit(1, referrer=G + "old"), hit(2, events="1", products="E;N;1;5;", referrer=B + "new")]
-    assert results(run(spark, rows)) == [("bing.com", "new", "5.00")]
-
-
-def test_negative_and_zero_revenue_never_credited(spark):
-    rows = [hit(1, referrer=G + "k"), hit(2, events="1", products="E;N;1;-10;"),
-            hit(3, events="1", products="E;N;1;;"), hit(4, events="1", products="E;N;1;7;")]
-    r = run(spark, rows)
-    assert results(r) == [("google.com", "k", "7.00")]
-    q = r.quality.first()
-    assert (q.total_purchase_events, q.attributed_purchase_events, q.purchases_without_revenue) == (3, 1, 1)
 
-
-def test_rounding_half_even_after_sum(spark):
-    rows = [hit(1, referrer=G + "a"), hit(2, events="1", products="E;N;1;1.0625;"),
-            hit(3, events="1", products="E;N;1;1.0625;")]
-    assert results(run(spark, rows)) == [("google.com", "a", "2.12")]
-
-
-def test_tie_order(spark):
-    rows = [hit(1, ip="a", referrer=G + "b"), hit(2, ip="b", referrer=B + "a"), hit(3, ip="c", referrer=G + "A2"),
-            hit(4, ip="a", events="1", products="E;N;1;5;"), hit(5, ip="b", events="1", products="E;N;1;5;"),
-            hit(6, ip="c", events="1", products="E;N;1;5;")]
-    assert [x[:2] for x in results(run(spark, rows))] == [("bing.com", "a"), ("google.com", "A2"), ("google.com", "b")]
-
-
-@pytest.mark.parametrize("gap,timeout,want", [(7200, 1800, []), (600, 1800, [("google.com", "k", "100.00")]),
-                                              (1800, 1800, [("google.com", "k", "100.00")]),
-                                              (1, 0, []), (0, 0, [("google.com", "k", "100.00")]),
-                                              (10 ** 6, None, [("google.com", "k", "100.00")])])
-def test_session_timeout(spark, gap, timeout, want):
-    rows = [hit(1000, referrer=G + "k"), hit(1000 + gap, events="1", products="E;N;1;100;")]
-    assert results(run(spark, rows, session_timeout=timeout)) == want
-
-
-def test_new_search_after_expiry(spark):
-    rows = [hit(1000, referrer=G + "old"), hit(10000, referrer=B + "new"), hit(10100, events="1", products="E;N;1;50;")]
-    assert results(run(spark, rows, session_timeout=1800)) == [("bing.com", "new", "50.00")]
-
-
-def test_irrelevant_hits_refresh_time(spark):
-    rows = [hit(0, referrer=G + "k"), hit(1500, referrer=SHOP), hit(3000, referrer=SHOP),
-            hit(4500, events="1", products="E;N;1;9;")]
-    assert results(run(spark, rows, session_timeout=1800)) == [("google.com", "k", "9.00")]
+def test_sessions(spark):
+    pages = [hit(0, referrer=M + "k"), *[hit(t, referrer=OWN) for t in (800, 1600, 2400)]]
+    assert results(run(spark, [*pages, buy(3200, "7")], session_timeout=900)) == [("msn.com", "k", "7.00")]
+    again = [*pages, hit(9000, referrer=Y + "new"), buy(9001, "8")]
+    assert results(run(spark, again, session_timeout=900)) == [("yahoo.com", "new", "8.00")]
 
 
 def test_order_modes(spark):
-    rows = [hit(300, events="1", products="E;N;1;300;"), hit(100, referrer=G + "late")]
+    rows = [buy(90, "31"), hit(20, referrer=Y + "early")]
     assert results(run(spark, rows)) == []
-    assert results(run(spark, rows, order="time")) == [("google.com", "late", "300.00")]
-    blank = [hit(200, events="1", products="E;N;1;75;"), hit("", referrer=G + "blank")]
-    assert results(run(spark, blank, order="time")) == [("google.com", "blank", "75.00")]
+    assert results(run(spark, rows, order="time")) == [("yahoo.com", "early", "31.00")]
+    unset = [buy(90, "32"), hit("", referrer=Y + "unset")]
+    assert results(run(spark, unset, order="time")) == [("yahoo.com", "unset", "32.00")]
 
 
-def test_blank_time_in_file_order_expires(spark):
-    rows = [hit(5000, referrer=G + "k"), hit("", referrer=SHOP), hit(5001, events="1", products="E;N;1;1;")]
-    r = run(spark, rows, session_timeout=1800)
+def test_times_that_are_none(spark):
+    rows = [hit(4000, referrer=M + "k"), hit("", referrer=OWN), buy(4001, "1"), hit("soon", referrer=OWN), hit("12.5")]
+    r = run(spark, rows, session_timeout=900)
     assert results(r) == []
-    assert r.quality.first().blank_timestamps == 1
+    q = r.quality.first()
+    assert (q.blank_timestamps, q.bad_timestamps) == (1, 2)
+    assert run(spark, rows).quality.first().bad_timestamps == 2
+    with pytest.raises(ParsingError):
+        run(spark, rows, strict_time=True)
+    assert results(run(spark, rows[:1], strict_time=True)) == []
+
+
+@pytest.mark.parametrize("timeout,want,live,credited", [(None, SHOP_DAY_RESULT, 3, 4), (1800, SHOP_DAY_IN_30_MINUTES, 2, 3)])
+def test_shop_day(spark, timeout, want, live, credited):
+    r = run(spark, SHOP_DAY, session_timeout=timeout)
+    assert results(r) == want
+    c = r.run_counts.first()
+    assert (c.rows_processed, c.visitors_with_live_touch, c.keyword_groups) == (14, live, len(want))
+    assert c.total_attributed_revenue == sum(Decimal(x) for *_, x in want)
+    q = r.quality.first()
+    assert (q.rows_with_search_referrer, q.total_purchase_events, q.attributed_purchase_events) == (4, 6, credited)
+    assert (q.unattributed_purchases, q.malformed_referrers, q.unknown_referrer_domains) == (5 - credited, 0, 1)
 
 
-def test_golden_sample(spark):
-    for timeout in (None, 1800):
-        r = run(spark, GOLDEN, session_timeout=timeout)
-        assert results(r) == [("google.com", "Ipod", "480.00"), ("bing.com", "Zune", "250.00")]
-        c = r.run_counts.first()
-        assert (c.rows_processed, c.visitors_with_live_touch, c.keyword_groups) == (21, 4, 2)
-        assert c.total_attributed_revenue == Decimal("730.00")
-        q = r.quality.first()
-        assert (q.rows_with_search_referrer, q.total_purchase_events, q.attributed_purchase_events) == (4, 3, 3)
-        assert (q.unattributed_purchases, q.malformed_referrers, q.unknown_referrer_domains) == (0, 0, 0)
+def test_quality_counters(spark):
+    rows = [buy(1, "61", ip="u"), hit(2, ip="a", referrer=Y + "k"), buy(3, "13", ip="a"), buy(4, "", ip="b"), buy(5, "x", ip="a"),
+            *[hit(6, ip="c", referrer=x) for x in ("http://[no", "http://[1:2", "https://blog.example.org/", "no url", "http://yahoo.com/?q=1", OWN)]]
+    for more in ({}, {"prefilter": False}, {"session_timeout": 10}):
+        q = run(spark, rows, **more).quality.first()
+        assert (q.unattributed_purchases, q.total_revenue_unattributed) == (1, Decimal(61))
+        assert (q.attributed_purchase_events, q.total_revenue_attributed) == (1, Decimal(13))
+        assert (q.purchases_without_revenue, q.total_purchase_events, q.rows_with_search_referrer) == (2, 4, 1)
+        assert (q.malformed_referrers, q.unknown_referrer_domains) == (2, 2)
 
 
-def test_quality_counters(spark):
-    rows = [hit(1, ip="u", events="1", products="E;N;1;100;"),
-            hit(2, ip="a", referrer=G + "k"), hit(3, ip="a", events="1", products="E;N;1;50;"),
-            hit(4, ip="b", events="1", products="E;N;1;;"),
-            hit(5, ip="c", referrer="http://[bad/"), hit(6, ip="c", referrer="http://other.org/"),
-            hit(7, ip="c", referrer="not-a-url"), hit(8, ip="c", referrer="http://www.google.com/?hl=en")]
-    q = run(spark, rows).quality.first()
-    assert q.unattributed_purchases == 1 and q.total_revenue_unattributed == Decimal(100)
-    assert q.attributed_purchase_events == 1 and q.total_revenue_attributed == Decimal(50)
-    assert q.purchases_without_revenue == 1 and q.total_purchase_events == 3
-    assert q.rows_with_search_referrer == 1 and q.malformed_referrers == 1 and q.unknown_referrer_domains == 2
+def test_no_internal_suffixes(spark):
+    r = run(spark, [hit(1, referrer=OWN), hit(2, referrer="http://x.y/")], internal_suffixes=())
+    assert r.quality.first().unknown_referrer_domains == 2
 
 
 def test_options_validation():
     assert AttributionOptions().session_timeout is None
-    with pytest.raises(ValueError):
-        AttributionOptions(session_timeout=-1)
-    with pytest.raises(ValueError):
-        AttributionOptions(order="random")
+    for bad in ({"session_timeout": -1}, {"order": "random"}, {"skew_threshold": 0}, {"block_rows": 0}, {"engines": ()}):
+        with pytest.raises(ValueError):
+            AttributionOptions(**bad)
 
 
 @pytest.mark.parametrize("timeout,skew", [(None, None), (1800, None), (None, 3), (1800, 3)])
 def test_materialized_equals_lazy(spark, timeout, skew):
-    rows = GOLDEN + [hit(1254035300, ip="z", referrer="http://[bad/"), hit(1254035301, ip="z", referrer="http://o.org/"),
-                     hit("", ip="z", events="1", products="E;N;1;;")]
+    rows = [*SHOP_DAY, hit(1_700_008_000, ip="z", referrer="http://[no/"), buy("", "", ip="z")]
     lazy = run(spark, rows, session_timeout=timeout, skew_threshold=skew, block_rows=2)
     done = lazy.materialize()
-    assert results(done) == results(lazy)
+    assert results(done) == results(lazy) == results(run(spark, rows, session_timeout=timeout, skew_threshold=None))
     assert done.quality.first().asDict() == lazy.quality.first().asDict()
     assert done.run_counts.first().asDict() == lazy.run_counts.first().asDict()
-    assert done.hit_counters()["rows_processed"] == 24

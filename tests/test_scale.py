@@ -83,23 +83,40 @@ def test_window_scan_prunes_columns(spark):
     assert not any("value:double,props:string,extra" in line for line in read)
 
 
-def test_sampled_detection_finds_hot_visitor(spark):
+def _as_expected(rows, timeout=None, order="file"):
+    return sorted((d, disp, str(rev)) for (d, _), (disp, rev) in fold(rows, timeout, order)[0].items())
+
+
+@pytest.mark.parametrize("times", ["even", "blank", "burst", "tied"])
+@pytest.mark.parametrize("order", ["file", "time"])
+def test_blocks_of_a_hot_visitor_stay_small(spark, times, order):
+    """Quantile cuts: one blank time in 97, a burst, or one time for all."""
     from touchline.operators.normalize import normalize_hits
-    from touchline.operators.touch import heavy_visitors
+    from touchline.operators.touch import block_number, heavy_visitors
 
-    rows = [hit(i, ip="hot" if i % 4 else f"v{i}", referrer=REFS[i % len(REFS)],
+    at = {"even": lambda i: 10**6 + i, "blank": lambda i: "" if i % 97 == 0 else 10**6 + i, "burst": lambda i: 10**6 + (i if i < 100 else 9 * 10**6 + i // 50), "tied": lambda i: 77}[times]
+    rows = [hit(at(i), ip="hot" if i % 4 else f"v{i}", referrer=REFS[i % len(REFS)],
                 events="1" if i % 7 == 0 else "", products="E;N;1;3;" if i % 7 == 0 else "")
             for i in range(4000)]
-    opts = AttributionOptions(skew_threshold=1000, block_rows=300)
-    hot, n = heavy_visitors(normalize_hits(frame(spark, rows)), opts)
-    assert n == 1 and hot.first()["ip"] == "hot"
-    # about 3000 hits over a seq range of 4000, 300 hits per block: span ~400
-    assert 200 <= hot.first()["_span"] <= 800
-    want, _ = fold(rows)
-    expect = sorted((d, disp, str(rev)) for (d, _), (disp, rev) in want.items())
-    assert sorted(results(attribute(frame(spark, rows), opts))) == expect
-    assert sorted(results(attribute(frame(spark, rows), opts.with_(order="time", session_timeout=50)))) == sorted(
-        (d, disp, str(rev)) for (d, _), (disp, rev) in fold(rows, 50, "time")[0].items())
+    opts = AttributionOptions(skew_threshold=1000, block_rows=300, order=order)
+    hits = normalize_hits(frame(spark, rows))
+    heavy = heavy_visitors(hits, opts)
+    assert [r.ip for r in heavy.collect()] == ["hot"]
+    blocks = hits.join(heavy, ["ip", "user_agent"]).groupBy(block_number(hits, opts, "_bounds").alias("b")).count().collect()
+    assert len(blocks) >= 8 and max(b["count"] for b in blocks) < 600
+    for timeout in (None, 50):
+        assert sorted(results(attribute(frame(spark, rows), opts.with_(session_timeout=timeout)))) == _as_expected(rows, timeout, order)
+
+
+def test_run_counts_has_one_visitor_exchange(spark):
+    from tests.conftest import SF001
+    from touchline.plans.catalog import run_counts
+
+    df = run_counts(spark, SF001, session_timeout=1800)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    shuffles = [x for x in final.split("\n") if "Exchange hashpartitioning(ip#" in x and "ReusedExchange" not in x and "Reused" not in x]
+    assert len(shuffles) == 1, final
 
 
 def test_visitor_partitions_reuses_the_exchange(spark):

@@ -75,43 +75,45 @@ def test_live_counters_observed(spark, workdir):
 def test_continuous_intake_processes_each_file_once(spark, workdir):
     import datetime as dt
 
-    from tests.hits import GOLDEN, write_tsv
+    from tests.hits import SHOP_DAY, SHOP_DAY_RESULT, hit, write_tsv
     from touchline.streaming.runner import continuous_intake
 
     inbox, out, chk = (os.path.join(workdir, x) for x in ("in", "out", "chk"))
     os.makedirs(inbox)
-    write_tsv(GOLDEN, inbox, "a.tsv")
+    write_tsv(SHOP_DAY, inbox, "a.tsv")
     day = dt.date(2026, 3, 5)
-    q = continuous_intake(spark, inbox, out, chk, run_date=day)
-    q.awaitTermination()
-    assert q.exception() is None
-    with open(os.path.join(out, "batch=0", "2026-03-05_SearchKeywordPerformance.tab")) as fh:
-        assert fh.read().splitlines()[1:] == ["google.com\tIpod\t480.00", "bing.com\tZune\t250.00"]
-    # a restart with no new file processes nothing; a new file is one new batch
-    q = continuous_intake(spark, inbox, out, chk, run_date=day)
-    q.awaitTermination()
-    assert sorted(os.listdir(out)) == ["batch=0"]
-    write_tsv(GOLDEN[:2] + [GOLDEN[1] | {"event_list": "1", "product_list": "E;Z;1;9;", "hit_time_gmt": "1254033400"}],
-              inbox, "b.tsv")
-    q = continuous_intake(spark, inbox, out, chk, run_date=day)
-    q.awaitTermination()
-    with open(os.path.join(out, "batch=1", "2026-03-05_SearchKeywordPerformance.tab")) as fh:
-        assert fh.read().splitlines()[1:] == ["bing.com\tZune\t9.00"]
 
+    def report(batch):
+        q = continuous_intake(spark, inbox, out, chk, run_date=day)
+        q.awaitTermination()
+        assert q.exception() is None
+        with open(os.path.join(out, f"batch={batch}", "2026-03-05_SearchKeywordPerformance.tab")) as fh:
+            return fh.read().splitlines()[1:]
 
-def test_running_totals_merge_equals_batch(spark, workdir):
-    from pyspark.sql import functions as F
+    assert report(0) == ["\t".join(r) for r in SHOP_DAY_RESULT]
+    # a restart with no new file processes nothing; a new file, with its
+    # columns in another order, is one new batch
+    assert report(0) and sorted(os.listdir(out)) == ["batch=0"]
+    more = [SHOP_DAY[1], hit(1_700_000_050, "172.16.3.3", "Phone 2", "1", "E;Z;1;9;")]
+    write_tsv(more, inbox, "b.tsv", fields=["referrer", "product_list", "event_list", "user_agent", "ip", "hit_time_gmt"])
+    assert report(1) == ["yahoo.com\ttent pegs\t9.00"]
 
-    from touchline.functions import to_cents
-    from touchline.streaming.runner import merge_totals
+
+@pytest.mark.parametrize("order,timeout", [("file", None), ("time", 21600)])
+def test_running_totals_merge_equals_batch(spark, workdir, order, timeout):
+    from touchline.errors import CheckpointError
+    from touchline.streaming.runner import merge_totals, read_totals
 
     inbox = os.path.join(workdir, "inbox")
-    for p in _split_events(os.path.join(workdir, "parts"), 3):
+    for p in _split_events(os.path.join(workdir, "parts"), 4):
         _stage(p, inbox)
     totals = os.path.join(workdir, "totals")
+    opts = AttributionOptions(order=order, session_timeout=timeout)
+    with pytest.raises(CheckpointError):
+        read_totals(spark, totals)
     q = (
-        stream_last_touch(events_stream(spark, inbox, max_files=1), AttributionOptions())
-        .writeStream.foreachBatch(merge_totals(totals))
+        stream_last_touch(events_stream(spark, inbox, max_files=1), opts)
+        .writeStream.foreachBatch(merge_totals(totals, opts))
         .option("checkpointLocation", os.path.join(workdir, "chk"))
         .trigger(availableNow=True)
         .start()
@@ -119,8 +121,17 @@ def test_running_totals_merge_equals_batch(spark, workdir):
     q.awaitTermination()
     assert q.exception() is None
     versions = sorted(int(v.split("=")[1]) for v in os.listdir(totals) if v.startswith("v="))
-    assert versions == [0, 1, 2]
-    last = spark.read.parquet(os.path.join(totals, f"v={versions[-1]}"))
-    got = last.filter(F.col("credit").isNotNull()).select(
-        "search_engine_domain", F.col("seen.kw").alias("search_keyword"), to_cents("credit").alias("revenue"))
-    assert _rows(got) == _rows(batch_keyword_revenue(spark, SF001))
+    assert versions == [2, 3]  # the ones before are removed
+    got = read_totals(spark, totals).drop("keyword_lower")
+    # micro-batches arrive in order, so the batch report of the stream's own
+    # output is the same
+    out = stream_last_touch(events_stream(spark, inbox, max_files=1), opts)
+    q = run_to_parquet(out, os.path.join(workdir, "again"))
+    q.awaitTermination()
+    again = keyword_revenue(as_attributed(spark.read.parquet(os.path.join(workdir, "again", "out"))), opts)
+    assert _rows(got) == _rows(again.drop("keyword_lower"))
+    if order == "file":
+        assert _rows(got) == _rows(batch_keyword_revenue(spark, SF001))
+    lost = spark.read.parquet(os.path.join(workdir, "again", "out"))
+    with pytest.raises(CheckpointError):
+        merge_totals(os.path.join(workdir, "none"), opts)(lost, 4)

@@ -58,7 +58,7 @@ def main(argv=None) -> int:
         print(report)
         if args.metadata:
             doc = manifest(run, ",".join(args.inputs), started, results_path=report)
-            print(write_manifest(spark, doc, args.output_dir, args.run_date))
+            print(write_manifest(spark, doc, args.output_dir, args.run_date, run))
     except AttributionError as e:
         print(f"touchline: {type(e).__name__}: {e}", file=sys.stderr)
         return 1

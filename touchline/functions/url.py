@@ -230,10 +230,9 @@ def with_referrer_parts(
 def classify_referrer(referrer, touch, host, malformed, internal_suffixes: Sequence[str] = INTERNAL_SUFFIXES) -> Column:
     """Referrer class from already parsed parts (see :func:`referrer_class`)."""
     r, h = _col(referrer), _col(host)
-    internal = None
+    internal = F.lit(False)
     for s in internal_suffixes:
-        cond = h.endswith(s)
-        internal = cond if internal is None else (internal | cond)
+        internal = internal | h.endswith(s)
     return (
         F.when(_col(touch).isNotNull(), F.lit("search"))
         .when(r == "", F.lit("none"))
@@ -249,10 +248,9 @@ def referrer_class(referrer, touch, internal_suffixes: Sequence[str] = INTERNAL_
     ``unknown_external`` (P8).  ``referrer`` must already be stripped."""
     r = _col(referrer)
     host = url_hostname(r)
-    internal = None
+    internal = F.lit(False)
     for s in internal_suffixes:
-        cond = host.endswith(s)
-        internal = cond if internal is None else (internal | cond)
+        internal = internal | host.endswith(s)
     return (
         F.when(_col(touch).isNotNull(), F.lit("search"))
         .when(r == "", F.lit("none"))

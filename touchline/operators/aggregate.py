@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import SUM_TYPE, to_cents
 from ..options import AttributionOptions
 from .classify import ATTRIBUTED, UNATTRIBUTED, outcome
-from .normalize import VISITOR
-from .touch import order_keys, order_number, order_struct
+from .touch import order_keys, order_number
 
 RESULT_COLUMNS = ("search_engine_domain", "search_keyword", "revenue")
 
@@ -150,105 +149,74 @@ def result_order() -> list[Column]:
     return [F.col("revenue").desc(), F.col("search_engine_domain"), F.col("keyword_lower")]
 
 
-def quality_counters(
-    prepared: DataFrame,
-    attributed: DataFrame,
-    options: AttributionOptions,
-    observed: dict | None = None,
-) -> DataFrame:
-    """The ten data-quality counters as one row (A3).
+QUALITY_COLUMNS = (
+    "malformed_referrers",
+    "purchases_without_revenue",
+    "unattributed_purchases",
+    "blank_timestamps",
+    "bad_timestamps",
+    "unknown_referrer_domains",
+    "total_purchase_events",
+    "attributed_purchase_events",
+    "total_revenue_attributed",
+    "total_revenue_unattributed",
+    "rows_with_search_referrer",
+)
+
+
+def _hit_counters(malformed: Column, unknown: Column, blank: Column, bad: Column, options: AttributionOptions) -> dict[str, Column]:
+    """Counters of single hits, from their flags."""
+    return {
+        "malformed_referrers": F.count_if(malformed),
+        "unknown_referrer_domains": F.count_if(unknown),
+        # a blank time only matters where times are compared
+        "blank_timestamps": F.count_if(blank) if options.session_timeout is not None else F.lit(0),
+        "bad_timestamps": F.count_if(bad),
+        "rows_with_search_referrer": F.count_if(F.col("touch").isNotNull()),
+        "total_purchase_events": F.count_if(F.col("is_purchase")),
+    }
+
+
+def _purchase_counters() -> dict[str, Column]:
+    """Counters of purchases, which need the live touch."""
+    o = outcome()
+    money = lambda kind: F.coalesce(F.sum(F.when(o == kind, F.col("revenue"))), F.lit(0))
+    return {
+        "purchases_without_revenue": F.count_if(F.col("is_purchase") & (F.col("revenue") == 0)),
+        "unattributed_purchases": F.count_if(o == UNATTRIBUTED),
+        "attributed_purchase_events": F.count_if(o == ATTRIBUTED),
+        "total_revenue_attributed": money(ATTRIBUTED),
+        "total_revenue_unattributed": money(UNATTRIBUTED),
+    }
+
+
+def _typed(name: str, value: Column) -> Column:
+    return value.cast(SUM_TYPE if name.startswith("total_revenue") else "long").alias(name)
+
 
-    Row-level counters come from all hits (before any relevance filter); the
-    purchase outcome counters from the window output.  Both are single-row
-    aggregates, combined by a union and a final sum.
+def quality_counters(prepared: DataFrame, attributed: DataFrame, options: AttributionOptions) -> DataFrame:
+    """The data-quality counters as one row (A3), by plain aggregation.
+
+    If the window holds every hit (``q_*`` flags) one pass gives them all.
+    Otherwise the counters of single hits come from all hits, those of
+    purchases from the window; two one-row aggregates are then added up.
     """
-    cls = F.col("referrer_class")
-    money0 = F.lit(0).cast(SUM_TYPE)
     from .classify import with_referrer_class
 
-    if observed is not None:
-        spark = attributed.sparkSession
-        blank = int(observed["blank_timestamps"]) if options.session_timeout is not None else 0
-        rowwise = spark.createDataFrame(
-            [(int(observed["malformed_referrers"]), int(observed["unknown_referrer_domains"]), blank,
-              int(observed["rows_with_search_referrer"]), int(observed["total_purchase_events"]))],
-            "malformed_referrers long, unknown_referrer_domains long, blank_timestamps long, "
-            "rows_with_search_referrer long, total_purchase_events long",
-        ).select(
-            "*",
-            F.lit(0).cast("long").alias("purchases_without_revenue"),
-            F.lit(0).cast("long").alias("attributed_purchase_events"),
-            F.lit(0).cast("long").alias("unattributed_purchases"),
-            money0.alias("total_revenue_attributed"),
-            money0.alias("total_revenue_unattributed"),
-        )
-        no_rev = F.count_if(F.col("is_purchase") & (F.col("revenue") == 0))
-    elif "q_malformed" in attributed.columns:
-        # the window output holds every hit: one pass gives all ten counters
-        rowwise = None
-        no_rev = F.count_if(F.col("is_purchase") & (F.col("revenue") == 0))
-    else:
-        rowwise = None
-        no_rev = F.lit(0).cast("long")
-    rowwise = rowwise if rowwise is not None else with_referrer_class(prepared, options.internal_suffixes).agg(
-        F.count_if(cls == "malformed").alias("malformed_referrers"),
-        F.count_if(cls == "unknown_external").alias("unknown_referrer_domains"),
-        (
-            F.count_if(F.col("time_blank")) if options.session_timeout is not None else F.lit(0).cast("long")
-        ).alias("blank_timestamps"),
-        F.count_if(F.col("touch").isNotNull()).alias("rows_with_search_referrer"),
-        F.count_if(F.col("is_purchase")).alias("total_purchase_events"),
-        F.count_if(F.col("is_purchase") & (F.col("revenue") == 0)).alias("purchases_without_revenue"),
-        F.lit(0).cast("long").alias("attributed_purchase_events"),
-        F.lit(0).cast("long").alias("unattributed_purchases"),
-        money0.alias("total_revenue_attributed"),
-        money0.alias("total_revenue_unattributed"),
-    )
-    o = outcome()
-    if observed is None and "q_malformed" in attributed.columns:
-        return attributed.agg(
-            F.count_if(F.col("q_malformed")).cast("long").alias("malformed_referrers"),
-            F.count_if(F.col("is_purchase") & (F.col("revenue") == 0)).cast("long").alias("purchases_without_revenue"),
-            F.count_if(o == UNATTRIBUTED).cast("long").alias("unattributed_purchases"),
-            (F.count_if(F.col("q_blank")) if options.session_timeout is not None else F.lit(0)).cast("long").alias(
-                "blank_timestamps"),
-            F.count_if(F.col("q_unknown")).cast("long").alias("unknown_referrer_domains"),
-            F.count_if(F.col("is_purchase")).cast("long").alias("total_purchase_events"),
-            F.count_if(o == ATTRIBUTED).cast("long").alias("attributed_purchase_events"),
-            F.coalesce(F.sum(F.when(o == ATTRIBUTED, F.col("revenue"))), money0).cast(SUM_TYPE).alias(
-                "total_revenue_attributed"),
-            F.coalesce(F.sum(F.when(o == UNATTRIBUTED, F.col("revenue"))), money0).cast(SUM_TYPE).alias(
-                "total_revenue_unattributed"),
-            F.count_if(F.col("touch").isNotNull()).cast("long").alias("rows_with_search_referrer"),
-        )
-    outcomes = attributed.filter(F.col("is_purchase")).agg(
-        *[F.lit(0).cast("long").alias(c) for c in (
-            "malformed_referrers", "unknown_referrer_domains", "blank_timestamps",
-            "rows_with_search_referrer", "total_purchase_events")],
-        no_rev.alias("purchases_without_revenue"),
-        F.count_if(o == ATTRIBUTED).alias("attributed_purchase_events"),
-        F.count_if(o == UNATTRIBUTED).alias("unattributed_purchases"),
-        F.coalesce(F.sum(F.when(o == ATTRIBUTED, F.col("revenue"))), money0).alias("total_revenue_attributed"),
-        F.coalesce(F.sum(F.when(o == UNATTRIBUTED, F.col("revenue"))), money0).alias("total_revenue_unattributed"),
-    )
-    both = rowwise.unionByName(outcomes)
-    return both.agg(
-        *[F.sum(c).cast("long").alias(c) for c in (
-            "malformed_referrers", "purchases_without_revenue", "unattributed_purchases",
-            "blank_timestamps", "unknown_referrer_domains", "total_purchase_events",
-            "attributed_purchase_events")],
-        F.sum("total_revenue_attributed").cast(SUM_TYPE).alias("total_revenue_attributed"),
-        F.sum("total_revenue_unattributed").cast(SUM_TYPE).alias("total_revenue_unattributed"),
-        F.sum("rows_with_search_referrer").cast("long").alias("rows_with_search_referrer"),
-    )
+    if "q_malformed" in attributed.columns:
+        flags = [F.col(f"q_{n}") for n in ("malformed", "unknown", "blank", "bad")]
+        return attributed.agg(*[_typed(n, c) for n, c in {**_hit_counters(*flags, options), **_purchase_counters()}.items()]).select(*QUALITY_COLUMNS)
+    kind = F.col("referrer_class")
+    flags = [kind == "malformed", kind == "unknown_external", F.col("time_blank"), F.col("time_bad")]
+    hits = with_referrer_class(prepared, options.internal_suffixes).agg(*[_typed(n, c) for n, c in _hit_counters(*flags, options).items()])
+    purchases = attributed.filter("is_purchase").agg(*[_typed(n, c) for n, c in _purchase_counters().items()])
+    both = hits.unionByName(purchases, allowMissingColumns=True)
+    return both.agg(*[_typed(n, F.max(n)) for n in QUALITY_COLUMNS])
 
 
-def live_visitors(attributed: DataFrame, options: AttributionOptions) -> DataFrame:
-    """Visitors whose state still holds a touch after their last hit (one row: n)."""
-    last = attributed.groupBy(*VISITOR).agg(
-        F.max_by(F.col("live_touch").isNotNull(), order_struct(options.order)).alias("live")
-    )
-    return last.agg(F.count_if(F.col("live")).alias("visitors_with_live_touch"))
+def live_visitors(attributed: DataFrame) -> DataFrame:
+    """Visitors whose state still holds a touch after their last hit (one row)."""
+    return attributed.agg(F.count_if(F.col("last_hit") & F.col("live_touch").isNotNull()).alias("visitors_with_live_touch"))
 
 
 def with_rank(results: DataFrame) -> DataFrame:

@@ -21,17 +21,14 @@ def normalize_hits(raw: DataFrame) -> DataFrame:
     ``hit_time`` is epoch seconds; blank reads as 0 (``time_blank``); text that
     is not an integer also reads as 0 and is flagged ``time_bad``.
     """
-    extra = [c for c in ("seq_block",) if c in raw.columns]
     stripped = raw.select(
         "seq",
-        *extra,
         *[blank_to_empty(c).alias(c) for c in TEXT_FIELDS],
         strip_text("hit_time_gmt").alias("_t"),
     )
     timed = stripped.withColumn("_tn", F.col("_t").try_cast("bigint"))
     return timed.select(
         "seq",
-        *extra,
         *TEXT_FIELDS,
         F.coalesce(F.col("_tn"), F.lit(0).cast("bigint")).alias("hit_time"),
         F.coalesce(F.col("_t") == "", F.lit(True)).alias("time_blank"),
@@ -65,21 +62,21 @@ HIT_COUNTERS = (
 
 
 def _internal(host, suffixes=INTERNAL_SUFFIXES):
-    out = None
+    out = F.lit(False)
     for sfx in suffixes:
-        c = host.endswith(sfx)
-        out = c if out is None else (out | c)
+        out = out | host.endswith(sfx)
     return out
 
 
-def observe_hits(parsed: DataFrame, name: str | None = None, internal_suffixes=INTERNAL_SUFFIXES):
-    """Attach row-level counters collected during the same scan (``observe``).
+def fence(parsed: DataFrame) -> DataFrame:
+    """Keep later filters (relevance, search hits, purchases) above the parse:
+    pushed below it they would hold the whole URL parse a second time.  The
+    observation that does so counts rows and is never read."""
+    return parsed.observe(Observation(f"fence_{uuid.uuid4().hex[:12]}"), F.count(F.lit(1)).alias("rows"))
 
-    The observation node also fences the parse stages: later filters (relevance,
-    search hits, purchases) stay above it instead of being pushed down and
-    re-inlining the whole URL parse into the filter condition.
-    Returns ``(frame, observation_or_name)``.
-    """
+
+def observe_hits(parsed: DataFrame, name: str, internal_suffixes=INTERNAL_SUFFIXES) -> DataFrame:
+    """A stream of hits with live counters (T6) observed under ``name``."""
     metrics = [
         F.count(F.lit(1)).alias("rows_processed"),
         F.count_if(F.col("touch").isNotNull()).alias("rows_with_search_referrer"),
@@ -97,15 +94,11 @@ def observe_hits(parsed: DataFrame, name: str | None = None, internal_suffixes=I
         F.count_if(F.col("time_blank")).alias("blank_timestamps"),
         F.count_if(F.col("time_bad")).alias("bad_timestamps"),
     ]
-    tag = name or f"hits_{uuid.uuid4().hex[:12]}"
-    if parsed.isStreaming:
-        return parsed.observe(tag, *metrics), tag
-    obs = Observation(tag)
-    return parsed.observe(obs, *metrics), obs
+    return parsed.observe(name, *metrics)
 
 
 def prepare_hits(raw: DataFrame, engines=SEARCH_ENGINES) -> DataFrame:
-    """Normalise, parse and fence the hits (see :func:`observe_hits`)."""
+    """Normalise, parse and fence the hits."""
     from ..sources.hits import spread_input
 
-    return observe_hits(parse_hits(normalize_hits(spread_input(raw)), engines))[0]
+    return fence(parse_hits(normalize_hits(spread_input(raw)), engines))

@@ -40,6 +40,11 @@ def order_struct(order: str) -> Column:
     return F.struct(*order_keys(order))
 
 
+def order_value(order: str) -> Column:
+    """The processing order as a value to cut blocks at."""
+    return F.col("seq") if order == "file" else order_struct(order)
+
+
 def order_number(df: DataFrame, order: str) -> Optional[Column]:
     """The processing order packed into one DECIMAL(38,0), or None.
 
@@ -64,38 +69,31 @@ def _is_numeric_seq(df: DataFrame) -> bool:
     return df.schema["seq"].dataType.typeName() in ("long", "integer", "short", "byte")
 
 
-def _block_source(df: DataFrame, options: AttributionOptions) -> Optional[Column]:
-    """The numeric key blocks are cut from (hit time, or a numeric ``seq``)."""
-    if options.order == "time":
-        return F.col("hit_time")
-    if _is_numeric_seq(df):
-        return F.col("seq")
-    return None
-
-
-def block_key(df: DataFrame, options: AttributionOptions, span: Optional[Column] = None) -> Column:
-    """Coarse block of the processing order, non-decreasing along it.
-
-    Numeric keys are cut into spans (``span`` per visitor, else the fixed
-    ``block_span``); a struct arrival sequence uses its input split.
-    """
-    src = _block_source(df, options)
-    if src is None:
-        return F.col("seq_block")
-    width = span if span is not None else F.lit(options.block_span or 1)
-    return F.floor(src / width)
+def block_number(df: DataFrame, options: AttributionOptions, bounds: str) -> Column:
+    """Block of the processing order, non-decreasing along it: how many of a
+    visitor's sorted ``bounds`` are not beyond the hit (a binary search), or
+    with ``block_span`` fixed spans of a numeric order key."""
+    if options.block_span and (options.order == "time" or _is_numeric_seq(df)):
+        return F.floor((F.col("hit_time") if options.order == "time" else F.col("seq")) / options.block_span)
+    steps = F.array(*[F.lit(1 << i) for i in range(24, -1, -1)])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get(F.col(bounds), at + step - 1) <= order_value(options.order), at + step).otherwise(at),
+    ).cast("long")
 
 
 def _scan(df: DataFrame, parts: list, options: AttributionOptions, with_gaps: bool) -> DataFrame:
     """One-level scan inside each window partition.
 
-    Adds ``prev_time`` (if gaps are wanted or a timeout is set), ``brk``,
+    Adds ``last_hit``, ``prev_time`` (if gaps are wanted or a timeout is set), ``brk``,
     ``sid`` (session breaks so far in the partition) and ``tag`` (last touch so
     far with the sid it was seen in).
     """
     w = Window.partitionBy(*parts).orderBy(*order_keys(options.order))
     run = _running(w)
     timeout = options.session_timeout
+    df = df.withColumn("last_hit", F.lead(F.lit(True)).over(w).isNull())
     if timeout is not None or with_gaps:
         df = df.withColumn("prev_time", F.lag("hit_time").over(w))
     if timeout is None:
@@ -133,79 +131,50 @@ SKEW_SAMPLE_HITS = 200
 SKEW_SAMPLE_SEED = 17
 
 
-def heavy_visitors(prepared: DataFrame, options: AttributionOptions, fraction: float = 1.0):
-    """Visitors with more than ``skew_threshold`` hits, found on a sample.
-
-    A seeded Bernoulli sample with rate ``200 / skew_threshold`` is counted per
-    visitor; a visitor at the threshold has 200 expected sampled hits and one
-    with 100 or more is split.  The sample only decides *which* visitors are
-    split: every hit is still processed, and a missed visitor is processed
-    unsplit (same result, just one larger task).  The list is bounded by
-    ``max_broadcast_rows`` (checked) and returned as a small local frame.
+def heavy_visitors(hits: DataFrame, options: AttributionOptions) -> Optional[DataFrame]:
+    """(visitor, ``_bounds``) of visitors with more than ``skew_threshold``
+    hits, or None.
 
-    ``fraction`` is the share of the input that ``prepared`` covers (a subset
-    of the input files); expected counts are scaled by it.
-
-    Returns ``(frame_or_None, n_visitors)``.
+    With no more hits than that in all, nobody has.  Otherwise a seeded sample
+    of all hits, by the raw key columns only, is counted per visitor: one at
+    the threshold has ``SKEW_SAMPLE_HITS`` expected sampled hits, one with half
+    of them is split.  Block bounds are quantiles of a visitor's sampled order
+    keys, so blank times, bursts and ties make no larger blocks.  The sample
+    only decides where to cut: every hit is processed, and the result is the
+    same wherever the cuts are.  The table is stored and stays distributed;
+    Spark decides by its size how to join it.
     """
-    expected = float(options.skew_threshold) * fraction
-    rate = min(1.0, SKEW_SAMPLE_HITS / expected) if expected > 0 else 1.0
-    if fraction < 1.0:
-        rate = min(1.0, SKEW_SAMPLE_HITS / max(expected, 1.0))
-    if rate < 1.0:
-        floor = max(1, SKEW_SAMPLE_HITS // 2)
-    else:
-        floor = max(1, int(expected) + 1) if fraction < 1.0 else options.skew_threshold + 1
-    src = _block_source(prepared, options)
-    key = src if src is not None else F.lit(0)
-    sampled = prepared.select(*VISITOR, key.cast("long").alias("_k"))
+    from ..session import checkpoint_table
+
+    if hits.count() <= options.skew_threshold:
+        return None
+    rate = min(1.0, SKEW_SAMPLE_HITS / options.skew_threshold)
+    floor = SKEW_SAMPLE_HITS // 2 if rate < 1.0 else options.skew_threshold + 1
+    sampled = hits.select(*VISITOR, order_value(options.order).alias("_key"))
     if rate < 1.0:
         sampled = sampled.sample(fraction=rate, seed=SKEW_SAMPLE_SEED)
-    hot = (
-        sampled.groupBy(*VISITOR)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("lo"), F.max("_k").alias("hi"))
-        .filter(F.col("n") >= F.lit(floor))
-    )
-    # Block width per visitor: its key range cut into pieces of about
-    # ``block_rows`` hits (estimated rows = sampled rows / rate), unless a
-    # fixed ``block_span`` is given.
-    if options.block_span:
-        span = F.lit(options.block_span).cast("long")
-    else:
-        est = F.col("n") / F.lit(rate * fraction)
-        span = F.greatest(
-            F.lit(1).cast("long"),
-            F.ceil((F.col("hi") - F.col("lo") + 1) * F.lit(options.block_rows) / est).cast("long"),
-        )
-    hot = hot.select(*VISITOR, span.alias("_span"))
-    rows = hot.limit(options.max_broadcast_rows + 1).collect()
-    if not rows:
-        return None, 0
-    if len(rows) > options.max_broadcast_rows:
-        return hot, len(rows)
-    spark = prepared.sparkSession
-    local = spark.createDataFrame([tuple(r) for r in rows], "ip string, user_agent string, _span long")
-    return local, len(rows)
-
-
-def _maybe_broadcast(df: DataFrame, rows_bound: int, options: AttributionOptions) -> DataFrame:
-    return F.broadcast(df) if rows_bound <= options.max_broadcast_rows else df
+    hot = sampled.groupBy(*VISITOR).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= floor)
+    every = max(1, round(options.block_rows * rate))
+    nth = F.row_number().over(Window.partitionBy(*VISITOR).orderBy("_key"))
+    cuts = sampled.join(hot.select(*VISITOR), list(VISITOR)).withColumn("_nth", nth).filter(F.col("_nth") % every == 0)
+    bounds = cuts.groupBy(*VISITOR).agg(F.array_sort(F.collect_list("_key")).alias("_bounds"))
+    heavy = checkpoint_table(hot.select(*VISITOR).join(bounds, list(VISITOR), "left"), "heavy")
+    return None if heavy.isEmpty() else heavy
 
 
 def _scan_split(
     prepared: DataFrame,
     heavy: DataFrame,
-    n_heavy: int,
     options: AttributionOptions,
     with_gaps: bool,
 ) -> DataFrame:
     """Two-level scan: blocks for heavy visitors, carry across blocks."""
     timeout = options.session_timeout
     marked = heavy.withColumn("_heavy", F.lit(True))
-    flagged = prepared.join(_maybe_broadcast(marked, n_heavy, options), list(VISITOR), "left")
+    flagged = prepared.join(marked, list(VISITOR), "left")
     flagged = flagged.withColumn(
-        BLOCK, F.when(F.col("_heavy"), block_key(prepared, options, F.col("_span")))
-    ).drop("_heavy", "_span")
+        BLOCK, F.when(F.col("_heavy"), block_number(prepared, options, "_bounds"))
+    ).drop("_heavy", "_bounds")
     local = _scan(flagged, [*VISITOR, BLOCK], options, with_gaps=True)
 
     ordk = order_struct(options.order)
@@ -247,7 +216,8 @@ def _scan_split(
         )
     summary = summary.withColumn("carry_out", carry_out)
     summary = summary.withColumn("carry_in", F.last("carry_out", ignorenulls=True).over(before))
-    carry = summary.select(*VISITOR, BLOCK, "prev_last", "head_brk", "base", "carry_in")
+    summary = summary.withColumn("last_block", F.lead(F.lit(True)).over(wv).isNull())
+    carry = summary.select(*VISITOR, BLOCK, "prev_last", "head_brk", "base", "carry_in", "last_block")
 
     # The carry table has one row per block of a split visitor; AQE broadcasts
     # it when its measured size is small and shuffles it otherwise.
@@ -267,13 +237,14 @@ def _scan_split(
             "live_touch": live,
             "new_session": new_session,
             "session_id": sid_g,
+            "last_hit": F.col("last_hit") & F.coalesce("last_block", F.lit(True)),
             "prev_time": F.coalesce(F.col("prev_time"), F.col("prev_last")),
         }
     )
     out = _with_gap(out, True)
     if not (with_gaps or timeout is not None):
         out = out.drop("prev_time", "gap")
-    return out.drop("brk", "sid", "tag", "prev_last", "head_brk", "base", "carry_in", BLOCK)
+    return out.drop("brk", "sid", "tag", "prev_last", "head_brk", "base", "carry_in", "last_block", BLOCK)
 
 
 def last_touch(
@@ -281,10 +252,10 @@ def last_touch(
     options: Optional[AttributionOptions] = None,
     with_gaps: bool = False,
     visitors: Optional[DataFrame] = None,
-    visitors_fraction: float = 1.0,
 ) -> DataFrame:
     """Add ``live_touch`` (the session-scoped last touch, own referrer included),
-    ``new_session`` and ``session_id``; with a timeout or ``with_gaps`` also
+    ``new_session``, ``session_id`` and ``last_hit`` (no later hit of the
+    visitor in this frame); with a timeout or ``with_gaps`` also
     ``prev_time`` and ``gap``.
 
     Every input row is kept; filter *before* calling only when no timeout is set.
@@ -293,11 +264,9 @@ def last_touch(
     """
     options = options or AttributionOptions()
     if options.skew_threshold is not None:
-        heavy, n_heavy = heavy_visitors(
-            visitors if visitors is not None else prepared, options, visitors_fraction
-        )
-        if n_heavy > 0:
-            return _scan_split(prepared, heavy, n_heavy, options, with_gaps)
+        heavy = heavy_visitors(visitors if visitors is not None else prepared, options)
+        if heavy is not None:
+            return _scan_split(prepared, heavy, options, with_gaps)
     if options.visitor_partitions:
         # explicit size for the one visitor shuffle; the window reuses it
         prepared = prepared.repartition(options.visitor_partitions, *VISITOR)

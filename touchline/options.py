@@ -43,38 +43,37 @@ class AttributionOptions:
         cleared (strictly greater than); ``None`` disables expiry, ``0`` is valid.
     order: ``"file"`` processes hits in arrival order, ``"time"`` in
         (hit time, arrival) order.
+    strict_time: raise :class:`ParsingError` on a hit time that is neither blank
+        nor a whole number; otherwise it reads as 0 and is counted.
     validate_schema: raise :class:`InputSchemaError` on missing columns.
     prefilter: with no timeout, drop rows that are neither search hits nor
         purchases before the visitor shuffle (never applied with a timeout).
     skew_threshold: a visitor with more hits than this is split into blocks of
         the order key and carried across blocks, so no single task holds it.
         ``None`` disables the check.
-    block_rows: target number of hits per block of a split visitor; each
-        visitor's block width is its key range divided accordingly.
+    block_rows: target number of hits per block of a split visitor; blocks are
+        cut at quantiles of the visitor's order keys.
     block_span: fixed block width instead (arrival-sequence units in file
         order, seconds in time order); ``None`` uses ``block_rows``.
-    max_broadcast_rows: upper bound for any side this package broadcasts.
     visitor_partitions: number of partitions of the visitor shuffle; ``None``
         leaves it to ``spark.sql.shuffle.partitions`` and adaptive coalescing.
     """
 
     session_timeout: Optional[int] = None
     order: str = "file"
+    strict_time: bool = False
     validate_schema: bool = True
     prefilter: bool = True
     skew_threshold: Optional[int] = 5_000_000
     block_rows: int = 1_000_000
     block_span: Optional[int] = None
-    max_broadcast_rows: int = 2_000_000
     visitor_partitions: Optional[int] = None
     engines: tuple[tuple[str, str, str], ...] = field(default=SEARCH_ENGINES)
     internal_suffixes: tuple[str, ...] = field(default=INTERNAL_SUFFIXES)
 
     def __post_init__(self) -> None:
         if self.session_timeout is not None and self.session_timeout < 0:
-            raise ValueError(
-                f"session_timeout must be >= 0 or None, got {self.session_timeout}"
-            )
+            raise ValueError(f"a session timeout of {self.session_timeout} s is negative")
         if self.order not in ORDER_MODES:
             raise ValueError(f"order must be one of {ORDER_MODES}, got {self.order!r}")
         if self.skew_threshold is not None and self.skew_threshold < 1:
@@ -85,8 +84,6 @@ class AttributionOptions:
             raise ValueError(f"block_rows must be >= 1, got {self.block_rows}")
         if self.visitor_partitions is not None and self.visitor_partitions < 1:
             raise ValueError("visitor_partitions must be >= 1 or None")
-        if self.max_broadcast_rows < 1:
-            raise ValueError("max_broadcast_rows must be >= 1")
         if not self.engines:
             raise ValueError("engines must not be empty")
 

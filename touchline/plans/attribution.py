@@ -13,10 +13,11 @@ from typing import Optional, Sequence, Union
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import ParsingError
 from ..operators.aggregate import keyword_revenue, live_visitors, quality_counters, result_order, with_rank
 from ..functions import classify_referrer
 from ..operators.classify import with_outcome
-from ..operators.normalize import normalize_hits, observe_hits, parse_hits
+from ..operators.normalize import fence, normalize_hits, parse_hits
 from ..operators.touch import last_touch, relevant_only
 from ..options import REPORT_HEADERS, AttributionOptions
 from ..sources.hits import read_hits, spread_input
@@ -28,19 +29,15 @@ class AttributionResult:
 
     normalized: DataFrame
     prepared: DataFrame
-    observation: object
     options: AttributionOptions
     window_output: Optional[DataFrame] = None
-    observed: Optional[dict] = None
-    guard_hits: Optional[DataFrame] = None
-    guard_fraction: float = 1.0
 
     @cached_property
     def attributed(self) -> DataFrame:
         """Window output: every relevant hit with ``live_touch`` and ``outcome``."""
         if self.window_output is not None:
             return self.window_output
-        keep = [c for c in ("seq", "seq_block") if c in self.prepared.columns]
+        keep = ["seq"]
         flags = []
         if self.options.session_timeout is not None or not self.options.prefilter:
             # every hit goes through the window: carry the row-level quality
@@ -52,38 +49,21 @@ class AttributionResult:
                 (cls == "malformed").alias("q_malformed"),
                 (cls == "unknown_external").alias("q_unknown"),
                 F.col("time_blank").alias("q_blank"),
+                F.col("time_bad").alias("q_bad"),
             ]
         narrowed = relevant_only(self.prepared, self.options).select(
             *keep, "ip", "user_agent", "hit_time", "touch", "is_purchase", "revenue", *flags,
         )
-        source = self.guard_hits if self.guard_hits is not None else self.normalized
-        visitors = source.select(*keep, "ip", "user_agent", "hit_time")
-        return with_outcome(
-            last_touch(narrowed, self.options, visitors=visitors, visitors_fraction=self.guard_fraction)
-        )
-
-    def hit_counters(self) -> dict:
-        """Row-level counters observed during the first action that scanned the hits."""
-        if self.observed is not None:
-            return dict(self.observed)
-        return dict(self.observation.get) if hasattr(self.observation, "get") else {}
+        visitors = self.normalized.select(*keep, "ip", "user_agent", "hit_time")
+        return with_outcome(last_touch(narrowed, self.options, visitors=visitors))
 
     def materialize(self) -> "AttributionResult":
         """Run the scan and the visitor window once and keep the narrow window
-        output as a Parquet table in the shared checkpoint folder.
-
-        Every report of the returned result reads the checkpoint, and the
-        row-level counters come from the observation filled by that same pass,
-        so the input is scanned and shuffled once per run.
-        """
+        output as a Parquet table in the shared checkpoint folder; the reports
+        of the returned result read that table."""
         from ..session import checkpoint_table
 
-        out = checkpoint_table(self.attributed, "window")
-        return AttributionResult(
-            self.normalized, self.prepared, self.observation, self.options,
-            window_output=out, observed=self.hit_counters(),
-            guard_hits=self.guard_hits, guard_fraction=self.guard_fraction,
-        )
+        return AttributionResult(self.normalized, self.prepared, self.options, checkpoint_table(self.attributed, "window"))
 
     @cached_property
     def results(self) -> DataFrame:
@@ -107,49 +87,20 @@ class AttributionResult:
 
     @property
     def quality(self) -> DataFrame:
-        return quality_counters(self.prepared, self.attributed, self.options, self.observed)
+        return quality_counters(self.prepared, self.attributed, self.options)
 
     @property
     def run_counts(self) -> DataFrame:
         """rows_processed, visitors_with_live_touch, keyword_groups, total_attributed_revenue (A4)."""
-        if self.observed is not None:
-            spark = self.prepared.sparkSession
-            rows = spark.createDataFrame([(int(self.observed["rows_processed"]),)], "rows_processed long")
-        else:
-            # count the normalised hits: the parsed frame's observe node would
-            # force the whole URL parse just to count rows
-            rows = self.normalized.agg(F.count(F.lit(1)).alias("rows_processed"))
-        live = live_visitors(self.attributed, self.options)
+        # the normalised hits: counting the parsed ones would parse every URL
+        rows = self.normalized.agg(F.count(F.lit(1)).alias("rows_processed"))
+        live = live_visitors(self.attributed)
         groups = self.results.agg(
             F.count(F.lit(1)).alias("keyword_groups"),
             F.coalesce(F.sum("revenue"), F.lit(0)).cast("decimal(38,2)").alias("total_attributed_revenue"),
         )
-        cols = ["rows_processed", "visitors_with_live_touch", "keyword_groups", "total_attributed_revenue"]
-        parts = [
-            rows.select(F.col("rows_processed"), *_zeros(cols, "rows_processed")),
-            live.select(F.col("visitors_with_live_touch"), *_zeros(cols, "visitors_with_live_touch")),
-            groups.select("keyword_groups", "total_attributed_revenue",
-                          *_zeros(cols, "keyword_groups", "total_attributed_revenue")),
-        ]
-        u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-        return u.agg(
-            F.sum("rows_processed").cast("long").alias("rows_processed"),
-            F.sum("visitors_with_live_touch").cast("long").alias("visitors_with_live_touch"),
-            F.sum("keyword_groups").cast("long").alias("keyword_groups"),
-            F.sum("total_attributed_revenue").cast("decimal(38,2)").alias("total_attributed_revenue"),
-        )
-
-
-def _zeros(cols, *keep):
-    out = []
-    for c in cols:
-        if c in keep:
-            continue
-        if c == "total_attributed_revenue":
-            out.append(F.lit(0).cast("decimal(38,2)").alias(c))
-        else:
-            out.append(F.lit(0).cast("long").alias(c))
-    return out
+        both = rows.unionByName(live, allowMissingColumns=True).unionByName(groups, allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def attribute(raw_hits: DataFrame, options: Optional[AttributionOptions] = None) -> AttributionResult:
@@ -158,36 +109,19 @@ def attribute(raw_hits: DataFrame, options: Optional[AttributionOptions] = None)
     # ``normalized`` reads the scan as it is (skew guard, row count: cheap
     # columns only); the CPU-heavy parse runs on the spread scan.
     normalized = normalize_hits(raw_hits)
-    prepared, obs = observe_hits(
-        parse_hits(normalize_hits(spread_input(raw_hits)), options.engines),
-        internal_suffixes=options.internal_suffixes,
-    )
-    return AttributionResult(normalized, prepared, obs, options)
+    if options.strict_time:
+        bad = normalized.filter("time_bad").limit(1).collect()
+        if bad:
+            raise ParsingError(f"the hit at {bad[0]['seq']} has no whole number as its time")
+    prepared = fence(parse_hits(normalize_hits(spread_input(raw_hits)), options.engines))
+    return AttributionResult(normalized, prepared, options)
 
 
 def attribute_files(
     spark: SparkSession,
     paths: Union[str, Sequence[str]],
     options: Optional[AttributionOptions] = None,
-    guard_files: int = 20,
-    guard_share: float = 0.02,
 ) -> AttributionResult:
-    """Scan hit files (S1-S5) and build the attribution plan.
-
-    With many input files the skew guard reads only every k-th file (at least
-    ``guard_files`` files, about ``guard_share`` of them): a hot visitor spread
-    over the input shows up in that subset, and text files cannot skip rows, so
-    this saves a full extra read.  The attribution itself reads every file.
-    """
+    """Scan hit files (S1-S5) and build the attribution plan."""
     options = options or AttributionOptions()
-    raw = read_hits(spark, paths, options.validate_schema)
-    result = attribute(raw, options)
-    files = sorted(raw.inputFiles())
-    if options.skew_threshold is not None and len(files) > guard_files:
-        want = max(guard_files, int(len(files) * guard_share))
-        step = max(1, len(files) // want)
-        chosen = files[::step]
-        if len(chosen) < len(files):
-            result.guard_hits = normalize_hits(read_hits(spark, chosen, options.validate_schema))
-            result.guard_fraction = len(chosen) / len(files)
-    return result
+    return attribute(read_hits(spark, paths, options.validate_schema), options)

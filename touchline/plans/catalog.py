@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import (
     MONEY_TYPE,
     engine_lookup,
+    money_text,
     product_revenue,
     query_param,
     referrer_host,
@@ -66,8 +67,7 @@ def keyword_display(spark, sf_dir) -> DataFrame:
 
 
 def quality_metrics(spark, sf_dir, **opts) -> DataFrame:
-    # one scan + window pass, checkpointed; row counters come from its observation
-    q = _result(spark, sf_dir, **opts).materialize().quality
+    q = _result(spark, sf_dir, **opts).quality
     return q.withColumns(
         {"total_revenue_attributed": _money("total_revenue_attributed"),
          "total_revenue_unattributed": _money("total_revenue_unattributed")}
@@ -75,7 +75,7 @@ def quality_metrics(spark, sf_dir, **opts) -> DataFrame:
 
 
 def run_counts(spark, sf_dir, **opts) -> DataFrame:
-    return _result(spark, sf_dir, **opts).materialize().run_counts
+    return _result(spark, sf_dir, **opts).run_counts
 
 
 def search_share(spark, sf_dir) -> DataFrame:
@@ -146,7 +146,8 @@ def last_touch_asof(spark, sf_dir, **opts) -> DataFrame:
 
 
 def _all_hits_window(spark, sf_dir, options: AttributionOptions, with_gaps=False) -> DataFrame:
-    return last_touch(_prepared(spark, sf_dir), options, with_gaps=with_gaps)
+    visitors = normalize_hits(hits_from_events(spark, sf_dir)).select("seq", *VISITOR, "hit_time")
+    return last_touch(_prepared(spark, sf_dir), options, with_gaps=with_gaps, visitors=visitors)
 
 
 def last_touch_ffill(spark, sf_dir) -> DataFrame:
@@ -291,6 +292,12 @@ def registry() -> dict[str, Query]:
         "stream_last_touch": stream_last_touch_rows,
         "hit_file_scan": lambda s, d: hit_file_scan(s, d),
         "hit_file_scan_gzip_timeout": lambda s, d: hit_file_scan(s, d, codec="gzip", session_timeout=t),
+        "hit_file_scan_mixed_headers": lambda s, d: hit_file_scan(s, d, mixed=True),
+        "schema_contract": schema_contract,
+        "last_touch_time_order_skew_split": lambda s, d: keyword_revenue(
+            s, d, order="time", session_timeout=t, skew_threshold=20, block_rows=16),
+        "stream_running_totals": lambda s, d: stream_running_totals(s, d),
+        "stream_running_totals_time_order": lambda s, d: stream_running_totals(s, d, order="time", session_timeout=t),
         "report_file": lambda s, d: report_file(s, d),
         "intake_anti_join": intake_anti_join,
         "run_manifest": lambda s, d: run_manifest(s, d),
@@ -299,39 +306,21 @@ def registry() -> dict[str, Query]:
 
 
 def run_manifest(spark, sf_dir, **opts) -> DataFrame:
-    """Stable manifest fields as one row (S7, A4, A6), computed on Spark."""
-    from .sinks import summary_rows
-
+    """The manifest's stable fields beside each row of its result list (S7,
+    A4, A6): one row a result."""
     r = _result(spark, sf_dir, **opts).materialize()
-    counts = r.run_counts
-    text = summary_rows(r).select(
-        F.array_join(
-            F.transform(
-                "results_summary",
-                lambda x: F.concat_ws("|", x["domain"], x["keyword"], x["revenue"]),
-            ),
-            ";",
-        ).alias("results_summary")
-    )
-    nums = ["rows_processed", "unique_visitors", "keyword_groups"]
-    a = counts.select(
-        F.col("rows_processed"),
+    counts = r.run_counts.select(
+        F.lit("v1").alias("schema_version"),
+        "rows_processed",
         F.col("visitors_with_live_touch").alias("unique_visitors"),
-        F.col("keyword_groups"),
+        "keyword_groups",
         F.col("total_attributed_revenue").cast("string").alias("total_attributed_revenue"),
-        F.lit(None).cast("string").alias("results_summary"),
-    )
-    b = text.select(
-        *[F.lit(None).cast("long").alias(c) for c in nums],
-        F.lit(None).cast("string").alias("total_attributed_revenue"),
-        "results_summary",
     )
-    return a.unionByName(b).agg(
-        F.lit("v1").alias("schema_version"),
-        *[F.max(c).alias(c) for c in nums],
-        F.max("total_attributed_revenue").alias("total_attributed_revenue"),
-        F.max("results_summary").alias("results_summary"),
+    rows = with_rank(r.results).select(
+        "rank", F.col("search_engine_domain").alias("domain"), F.col("search_keyword").alias("keyword"), money_text("revenue").alias("revenue")
     )
+    # counts are one row: every result row is paired with it by a constant key
+    return rows.withColumn("_one", F.lit(1)).join(F.broadcast(counts.withColumn("_one", F.lit(1))), "_one").drop("_one")
 
 
 def stream_keyword_revenue(spark, sf_dir, **opts) -> DataFrame:
@@ -341,6 +330,13 @@ def stream_keyword_revenue(spark, sf_dir, **opts) -> DataFrame:
     return running_keyword_revenue(spark, sf_dir, AttributionOptions(**opts))
 
 
+def stream_running_totals(spark, sf_dir, **opts) -> DataFrame:
+    """Running totals merged batch by batch and read back."""
+    from ..streaming.runner import stream_running_totals as run
+
+    return run(spark, sf_dir, AttributionOptions(**opts)).drop("keyword_lower")
+
+
 def stream_last_touch_rows(spark, sf_dir) -> DataFrame:
     """Each purchase with its live touch, from the streaming form."""
     from ..streaming.runner import stream_attributed
@@ -351,35 +347,67 @@ def stream_last_touch_rows(spark, sf_dir) -> DataFrame:
     )
 
 
-def _hits_as_files(spark, sf_dir, codec: str = "none", parts: int = 4) -> str:
+def _hits_as_files(spark, sf_dir, codec: str = "none", mixed: bool = False) -> str:
     """Write the derived hits as tab-separated hit files (header, quoted) in the
     scratch folder: range-partitioned on arrival order, so part files in name
-    order hold the hits in order, written in parallel."""
+    order hold the hits in order, written in parallel.  ``mixed`` writes the
+    later half with its columns in another order and one more."""
     from ..session import scratch_path
     from ..sources.hits import HIT_COLUMNS
 
     folder = scratch_path(spark, "hitfiles")
     hits = hits_from_events(spark, sf_dir)
-    (
-        hits.repartitionByRange(parts, "seq")
-        .sortWithinPartitions("seq")
-        .select(*HIT_COLUMNS)
-        .write.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .option("compression", codec)
-        .csv(folder)
-    )
-    return folder
 
-
-def hit_file_scan(spark, sf_dir, codec: str = "none", **opts) -> DataFrame:
+    def write(rows, path, columns):
+        (
+            rows.repartitionByRange("seq")
+            .sortWithinPartitions("seq")
+            .select(*columns)
+            .write.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .option("compression", codec)
+            .csv(path)
+        )
+
+    if not mixed:
+        write(hits, folder, HIT_COLUMNS)
+        return folder
+    middle = hits.agg(F.percentile_approx("seq", 0.5)).first()[0] or 0
+    write(hits.filter(F.col("seq") <= middle), f"{folder}/1", HIT_COLUMNS)
+    write(hits.filter(F.col("seq") > middle), f"{folder}/2", ["seq", *reversed(HIT_COLUMNS)])
+    return f"{folder}/*"
+
+
+def hit_file_scan(spark, sf_dir, codec: str = "none", mixed: bool = False, **opts) -> DataFrame:
     """Keyword revenue over hit files scanned with the contract check."""
     from .attribution import attribute_files
 
-    folder = _hits_as_files(spark, sf_dir, codec)
+    folder = _hits_as_files(spark, sf_dir, codec, mixed)
     return attribute_files(spark, folder, AttributionOptions(**opts)).results.drop("keyword_lower")
 
 
+def schema_contract(spark, sf_dir) -> DataFrame:
+    """Each required column and the hits in files whose header names it (S4):
+    the hits of clicks are written without ``product_list``."""
+    from ..session import scratch_path
+    from ..sources.hits import HIT_COLUMNS, file_headers, read_hits
+
+    folder = scratch_path(spark, "contract")
+    hits = hits_from_events(spark, sf_dir)
+    clicks = F.col("event_list") == "2"
+    for name, rows, columns in (
+        ("whole", hits.filter(~clicks), HIT_COLUMNS),
+        ("short", hits.filter(clicks), [c for c in HIT_COLUMNS if c != "product_list"]),
+    ):
+        rows.select(*columns).write.option("sep", "\t").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
+    headers = file_headers(spark, [f"{folder}/*"])
+    named = spark.createDataFrame([(p.rsplit("/", 2)[1], c) for p, names in headers.items() for c in names], "folder string, column_name string")
+    rows = read_hits(spark, [f"{folder}/*"], validate_schema=False)
+    counted = rows.groupBy(F.element_at(F.split("seq.file", "/"), -2).alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+    return named.distinct().join(counted, "folder").groupBy("column_name").agg(F.sum("n").alias("hits"))
+
+
 def report_file(spark, sf_dir, **opts) -> DataFrame:
     """The published one-file report read back with its line order."""
     import datetime as _dt
@@ -407,32 +435,20 @@ def business_summary(spark, sf_dir, **opts) -> DataFrame:
     malformed referrers, blank hit times (with a timeout) or zero-revenue
     purchases occurred.
     """
-    r = _result(spark, sf_dir, **opts).materialize()
+    r = _result(spark, sf_dir, **opts)
     c, q = r.run_counts, r.quality
-    rows = int(r.hit_counters()["rows_processed"])
-    search = int(r.hit_counters()["rows_with_search_referrer"])
-    share = round(100.0 * search / rows, 4) if rows else 0.0
-    a = c.select(
+    both = c.unionByName(q, allowMissingColumns=True)
+    one = both.agg(*[F.max(x).alias(x) for x in both.columns])
+    share = F.when(F.col("rows_processed") > 0, F.lit(100.0) * F.col("rows_with_search_referrer") / F.col("rows_processed"))
+    return one.select(
         F.col("total_attributed_revenue").alias("attributed_revenue"),
         "keyword_groups",
-        F.lit(None).cast("long").alias("attributed_purchases"),
-        F.lit(None).cast("long").alias("unattributed_purchases"),
-        F.lit(None).cast("boolean").alias("warn_malformed_referrers"),
-        F.lit(None).cast("boolean").alias("warn_blank_timestamps"),
-        F.lit(None).cast("boolean").alias("warn_zero_revenue_purchases"),
-    )
-    b = q.select(
-        F.lit(None).cast("decimal(38,2)").alias("attributed_revenue"),
-        F.lit(None).cast("long").alias("keyword_groups"),
         F.col("attributed_purchase_events").alias("attributed_purchases"),
-        F.col("unattributed_purchases"),
+        "unattributed_purchases",
         (F.col("malformed_referrers") > 0).alias("warn_malformed_referrers"),
         (F.col("blank_timestamps") > 0).alias("warn_blank_timestamps"),
         (F.col("purchases_without_revenue") > 0).alias("warn_zero_revenue_purchases"),
-    )
-    return a.unionByName(b).agg(
-        *[F.max(x).alias(x) for x in a.columns],
-        F.lit(share).cast("decimal(10,4)").alias("search_share_pct"),
+        F.coalesce(F.round(share, 4), F.lit(0.0)).cast("decimal(10,4)").alias("search_share_pct"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from ..errors import DuplicateRunError
 from ..options import AttributionOptions
+from ..sources.hits import literal_path
 from ..sources.intake import list_inputs, pending_inputs, read_ledger, record_processed
 from .attribution import attribute_files
 from .sinks import manifest, write_manifest, write_report
@@ -39,11 +40,11 @@ def run_pending(
         if raise_if_nothing:
             raise DuplicateRunError(f"all inputs under {input_dir} were already processed")
         return None
-    paths = sorted(r["path"] for r in rows)
+    paths = sorted(literal_path(r["path"]) for r in rows)
     result = attribute_files(spark, paths, options).materialize()
     report = write_report(result, out_dir, run_date)
-    doc = manifest(result, ",".join(paths), started, results_path=report)
-    write_manifest(spark, doc, out_dir, run_date)
+    doc = manifest(result, ",".join(sorted(r["path"] for r in rows)), started, results_path=report)
+    write_manifest(spark, doc, out_dir, run_date, result)
     done = spark.createDataFrame([(r["input_key"], r["content_tag"]) for r in rows],
                                  "input_key string, content_tag string")
     record_processed(done, ledger_path, report)

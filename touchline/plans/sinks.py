@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from ..errors import OutputWriteError
 from ..functions import money_text
-from ..options import OUTPUT_SCHEMA_VERSION
+from ..operators.aggregate import result_order
+from ..options import OUTPUT_SCHEMA_VERSION, REPORT_HEADERS
 from .attribution import AttributionResult
 
 REPORT_SUFFIX = "_SearchKeywordPerformance.tab"
 MANIFEST_SUFFIX = "_SearchKeywordPerformance_metadata.json"
+SUMMARY_SUFFIX = "_SearchKeywordPerformance_results.jsonl"
 
 
 def report_name(run_date: Optional[_dt.date] = None) -> str:
@@ -30,20 +32,50 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    """Rename ``source`` to ``target`` over whatever is there.
+
+    A file replaces a file in one rename.  A folder (or a file where a folder
+    stood) is first moved beside, so the old report is never gone before the
+    new one is in place under one of the two names.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, src = _fs(spark, source)
+    _, dst = _fs(spark, target)
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    old = None
+    if fs.exists(dst) and (fs.getFileStatus(dst).isDirectory() or fs.getFileStatus(src).isDirectory()):
+        old = _fs(spark, f"{target}.__old")[1]
+        fs.delete(old, True)
+        if not fs.rename(dst, old):
+            raise OutputWriteError(f"could not move {target} aside")
+    try:
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        files.rename(fs.makeQualified(src), fs.makeQualified(dst), options)
+    except Exception as e:  # noqa: BLE001
+        raise OutputWriteError(f"could not publish {source} as {target}: {e}") from e
+    if old is not None:
+        fs.delete(old, True)
+
+
 def _publish_single_part(spark: SparkSession, folder: str, target: str, prefix: str = "part-") -> None:
-    """Move the one part file of ``folder`` to ``target`` (replace), drop ``folder``."""
+    """Publish the one part file of ``folder`` as ``target``, drop ``folder``."""
     fs, src = _fs(spark, folder)
     parts = [s.getPath() for s in fs.listStatus(src) if s.getPath().getName().startswith(prefix)]
     if len(parts) != 1:
         raise OutputWriteError(f"expected one part file in {folder}, found {len(parts)}")
-    _, dst = _fs(spark, target)
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    if not fs.rename(parts[0], dst):
-        raise OutputWriteError(f"could not publish {parts[0]} as {target}")
+    _replace(spark, str(parts[0].toString()), target)
     fs.delete(src, True)
 
 
+def _one_after_another(df: DataFrame) -> DataFrame:
+    """A sorted frame whose partitions one task writes in turn.  Aggregation
+    and range exchange stay distributed; the task holds one range at a time."""
+    return df.repartitionByRange(*result_order()).sortWithinPartitions(*result_order()).coalesce(1)
+
+
 def _tab_writer(df: DataFrame):
     return (
         df.write.mode("overwrite")
@@ -62,41 +94,28 @@ def write_report(
     result: AttributionResult,
     out_dir: str,
     run_date: Optional[_dt.date] = None,
-    max_single_file_rows: int = 1_000_000,
+    layout: str = "file",
 ) -> str:
     """Write the three-column tab report in report order and return its path.
 
-    Up to ``max_single_file_rows`` result rows (checked with a count of the
-    aggregated result) become one file named ``YYYY-mm-dd_SearchKeywordPerformance.tab``;
-    the sort runs distributed and only the final, small write is one task.
-    Larger results are written as a folder of that name whose part files, in
-    part order, hold the report in order.
+    ``layout="file"`` gives one file named ``YYYY-mm-dd_SearchKeywordPerformance.tab``,
+    ``layout="folder"`` a folder of that name whose part files, in part order,
+    hold the report in order.  Either replaces what is there.
     """
-    from ..operators.aggregate import result_order
-    from ..options import REPORT_HEADERS
-    from ..session import checkpoint_table
-
+    if layout not in ("file", "folder"):
+        raise ValueError(f"layout must be file or folder, not {layout!r}")
     spark = result.prepared.sparkSession
-    name = report_name(run_date)
-    target = f"{out_dir.rstrip('/')}/{name}"
+    target = f"{out_dir.rstrip('/')}/{report_name(run_date)}"
+    staging = f"{target}.__staging"
+    columns = ("search_engine_domain", "search_keyword", "revenue")
+    headers = [F.col(c).alias(h) for c, h in zip(columns, REPORT_HEADERS, strict=True)]
     try:
-        # the aggregated result is small: compute it once, then count and write
-        # it (a materialized run already reads from its checkpointed window table)
-        res = result.results if result.window_output is not None else checkpoint_table(result.results, "report")
-        headers = [
-            F.col("search_engine_domain").alias(REPORT_HEADERS[0]),
-            F.col("search_keyword").alias(REPORT_HEADERS[1]),
-            F.col("revenue").alias(REPORT_HEADERS[2]),
-        ]
-        n = res.count()
-        if n <= max_single_file_rows:
-            # one partition sorted in place: the total order without a range shuffle
-            one = res.coalesce(1).sortWithinPartitions(*result_order()).select(*headers)
-            staging = f"{target}.__staging"
-            _tab_writer(one).csv(staging)
+        if layout == "file":
+            _tab_writer(_one_after_another(result.results).select(*headers)).csv(staging)
             _publish_single_part(spark, staging, target)
         else:
-            _tab_writer(res.orderBy(*result_order()).select(*headers)).csv(target)
+            _tab_writer(result.results.orderBy(*result_order()).select(*headers)).csv(staging)
+            _replace(spark, staging, target)
     except OutputWriteError:
         raise
     except Exception as e:  # noqa: BLE001
@@ -105,45 +124,24 @@ def write_report(
 
 
 def summary_rows(result: AttributionResult) -> DataFrame:
-    """Ordered results as one array of (domain, keyword, revenue text)."""
-    return result.results.agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    (-F.col("revenue")).alias("neg"),
-                    F.col("search_engine_domain").alias("d"),
-                    F.col("keyword_lower").alias("k"),
-                    F.struct(
-                        F.col("search_engine_domain").alias("domain"),
-                        F.col("search_keyword").alias("keyword"),
-                        money_text("revenue").alias("revenue"),
-                    ).alias("row"),
-                )
-            )
-        ).alias("s")
-    ).select(F.transform("s", lambda x: x["row"]).alias("results_summary"))
+    """(domain, keyword, revenue text) of every result, in report order."""
+    return result.results.orderBy(*result_order()).select(
+        F.col("search_engine_domain").alias("domain"),
+        F.col("search_keyword").alias("keyword"),
+        money_text("revenue").alias("revenue"),
+    )
 
 
 def manifest(
     result: AttributionResult,
     input_file: str,
     started: Optional[float] = None,
-    max_summary_rows: int = 10_000,
     results_path: Optional[str] = None,
 ) -> dict:
-    """The run manifest (S7) as a dict built from one-row aggregates.
-
-    ``results_summary`` embeds the ordered results when there are at most
-    ``max_summary_rows`` groups (checked first); beyond that it is ``None`` and
-    ``results_path`` points to the full report, so no unbounded list is ever
-    gathered into one row or the driver.
-    """
+    """The run manifest (S7) as a dict built from one-row aggregates; the
+    complete result list is written beside it by :func:`write_manifest`."""
     o = result.options
     counts, quality = _counts_and_quality(result)
-    summary = None
-    if counts["keyword_groups"] <= max_summary_rows:
-        rows = summary_rows(result).first()["results_summary"] or []
-        summary = [r.asDict() for r in rows]
     return {
         "schema_version": OUTPUT_SCHEMA_VERSION,
         "input_file": input_file,
@@ -163,7 +161,6 @@ def manifest(
             k: (str(v.quantize(_dt_cents())) if k.startswith("total_revenue") else v)
             for k, v in quality.items()
         },
-        "results_summary": summary,
         "results_path": results_path,
     }
 
@@ -190,14 +187,32 @@ def _dt_cents():
     return Decimal("0.01")
 
 
-def write_manifest(spark: SparkSession, doc: dict, out_dir: str, run_date: Optional[_dt.date] = None) -> str:
-    """Write the manifest dict as one JSON file next to the report."""
+def write_manifest(
+    spark: SparkSession,
+    doc: dict,
+    out_dir: str,
+    run_date: Optional[_dt.date] = None,
+    result: Optional[AttributionResult] = None,
+) -> str:
+    """Write the manifest dict as one JSON file next to the report.
+
+    With ``result`` the complete result list, one JSON object a line in report
+    order, is written beside it and named as ``results_summary``, at any size.
+    """
     import json
 
-    d = run_date or _dt.date.today()
-    target = f"{out_dir.rstrip('/')}/{d.strftime('%Y-%m-%d')}{MANIFEST_SUFFIX}"
+    d = (run_date or _dt.date.today()).strftime("%Y-%m-%d")
+    base = f"{out_dir.rstrip('/')}/{d}"
+    target = f"{base}{MANIFEST_SUFFIX}"
     staging = f"{target}.__staging"
     try:
+        if result is not None:
+            rows = _one_after_another(result.results).select(
+                F.col("search_engine_domain").alias("domain"), F.col("search_keyword").alias("keyword"), money_text("revenue").alias("revenue")
+            )
+            rows.write.mode("overwrite").json(f"{base}{SUMMARY_SUFFIX}.__staging")
+            _publish_single_part(spark, f"{base}{SUMMARY_SUFFIX}.__staging", f"{base}{SUMMARY_SUFFIX}")
+            doc = {**doc, "results_summary": f"{d}{SUMMARY_SUFFIX}"}
         # a small driver-side document: written with the FileSystem client
         # (temp name, then rename), no Spark job
         text = json.dumps(doc, indent=2, default=str)
@@ -207,11 +222,7 @@ def write_manifest(spark: SparkSession, doc: dict, out_dir: str, run_date: Optio
             stream.write(bytearray(text.encode("utf-8")))
         finally:
             stream.close()
-        _, dst = _fs(spark, target)
-        if fs.exists(dst):
-            fs.delete(dst, False)
-        if not fs.rename(tmp, dst):
-            raise OutputWriteError(f"could not publish {staging} as {target}")
+        _replace(spark, staging, target)
     except OutputWriteError:
         raise
     except Exception as e:  # noqa: BLE001
@@ -221,8 +232,6 @@ def write_manifest(spark: SparkSession, doc: dict, out_dir: str, run_date: Optio
 
 def write_results_partitioned(result: AttributionResult, out_dir: str, partitions: int = 0) -> str:
     """Large-result form: Parquet, range-partitioned in report order."""
-    from ..operators.aggregate import result_order
-
     df = result.results
     ordered = df.repartitionByRange(partitions, *result_order()) if partitions else df.orderBy(*result_order())
     ordered.sortWithinPartitions(*result_order()).write.mode("overwrite").parquet(out_dir)

@@ -1,114 +1,164 @@
 """Hit-file scan (S1-S5): tab-separated text with a header, all columns text.
 
 Every reader returns the *raw hits* frame: the six required hit columns as
-STRING (NULL allowed), plus
+STRING (NULL allowed) and ``seq``, the arrival order key (orderable; never
+re-derived later).
 
-* ``seq``       - arrival order key (orderable; never re-derived later),
-* ``seq_block`` - coarse block of ``seq``, non-decreasing along ``seq``; used
-                  only to split very large visitors across tasks.
+Each file is read by its own header.  One small job brings every file's first
+line; files with the same columns are scanned together and the groups are
+joined by column name, so files may order their columns differently.
 """
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence, Union
+import csv
+import re
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.errors import AnalysisException
-
 from ..errors import InputSchemaError, StorageIOError
 from ..options import REQUIRED_COLUMNS
 
 HIT_COLUMNS = REQUIRED_COLUMNS
 
 
-def check_schema(columns: Sequence[str], required: Iterable[str] = REQUIRED_COLUMNS) -> None:
-    """Raise :class:`InputSchemaError` unless every required column is present.
+def column_names(header: str) -> list[str]:
+    """The columns that a header line names, stripped and in lower case."""
+    fields = next(csv.reader([header.removeprefix("﻿")], delimiter="\t"), [])
+    return [f.strip().lower() for f in fields]
 
-    Header names compare stripped and case-insensitively.  An empty file has no
-    columns, which reads as "no header row".
-    """
-    if not columns:
-        raise InputSchemaError("Input file has no header row")
-    present = {c.strip().lower() for c in columns}
-    missing = sorted(c for c in required if c.lower() not in present)
-    if missing:
-        raise InputSchemaError(
-            f"Input file is missing required columns: {missing}. "
-            f"Found columns: {sorted(columns)}"
-        )
+
+def require_columns(found: dict[str, list[str]], required: Sequence[str] = REQUIRED_COLUMNS) -> None:
+    """Refuse files (path -> columns) that lack a required column or a header;
+    the error names the first of them, what it lacks and how many there are."""
+    lacking = {path: [c for c in required if c not in names] for path, names in found.items()}
+    bad = sorted(path for path, gone in lacking.items() if gone)
+    if not bad:
+        return
+    path, more = bad[0], f" ({len(bad) - 1} more files are refused)" if len(bad) > 1 else ""
+    if not any(found[path]):
+        raise InputSchemaError(f"{path}: no header line{more}")
+    raise InputSchemaError(f"{path}: no column {', '.join(lacking[path])}; its header names {', '.join(found[path])}{more}")
 
 
-def conform(df: DataFrame, validate_schema: bool = True) -> DataFrame:
-    """Rename headers to ``trim(lower(name))`` and make every required column exist.
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Columns of every input file, from a distributed read of first lines.
 
-    With validation off, absent columns read as ``''``.
+    Each split is a partition of its own there, and its task stops after the
+    first line, so the job reads the start of every split and no more.  The
+    answer has one row a file, as the file listing has.
     """
-    renamed = df.toDF(*[c.strip().lower() for c in df.columns])
-    if validate_schema:
-        check_schema(df.columns)
-    for c in HIT_COLUMNS:
-        if c not in renamed.columns:
-            renamed = renamed.withColumn(c, F.lit(""))
-    return renamed
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))
+    lines = own.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                yield batch.slice(0, 1)
+                return
+
+    got = lines.mapInArrow(first_line, lines.schema).where("start = 0").select("file", "value").collect()
+    found = {plain_path(f): [] for f in lines.inputFiles()}
+    return found | {plain_path(r["file"]): column_names(r["value"]) for r in got}
+
+
+def plain_path(uri: str) -> str:
+    """The path that a listed file's (percent-encoded) URI stands for."""
+    return re.sub("^file:/+", "file:/", unquote(uri))
+
+
+GLOB = str.maketrans({c: f"\\{c}" for c in "\\{}[]*?"})
+
+
+def literal_path(path: str) -> str:
+    """A path whose glob characters mean themselves."""
+    return path.translate(GLOB)
+
+
+def scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], multiline: bool = False) -> DataFrame:
+    """Rows of files that share the columns ``names``, without their headers."""
+    kept = [n if n and n not in names[:i] else f"_column_{i}" for i, n in enumerate(names)]
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in kept)
+    rows = (
+        spark.read.schema(schema)
+        .option("sep", "\t")
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("encoding", "UTF-8")
+        .option("mode", "PERMISSIVE")
+        .csv(list(paths))
+    )
+    meta = F.col("_metadata")
+    return rows.select(
+        *[F.col(c) if c in kept else F.lit("").alias(c) for c in HIT_COLUMNS],
+        meta["file_path"].alias("_file"),
+        meta["file_block_start"].alias("_start"),
+    )
 
 
 def read_hits(
     spark: SparkSession,
-    paths: Union[str, Sequence[str]],
+    paths: str | Sequence[str],
     validate_schema: bool = True,
     multiline: bool = False,
 ) -> DataFrame:
     """Scan one or more hit files (plain, ``.gz`` or ``.zst``), prefixes or globs.
 
     Quoting is ``"`` with doubled quotes inside fields.  No type inference.
-    The arrival order of a row is (file path, split start, position in split),
-    which stays right across many files and many splits of one file.
+    With ``validate_schema`` every file must name the required columns (S4);
+    without it a column that a file doesn't name reads as ``''`` and a file
+    without a header has no hits.  The arrival order of a row is (file path,
+    split start, position in split), which stays right across many files and
+    many splits of one file.
     """
-    reader = (
-        spark.read.option("sep", "\t")
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("inferSchema", False)
-        .option("multiLine", multiline)
-        .option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE")
-    )
+    paths = [paths] if isinstance(paths, str) else list(paths)
     try:
-        raw = reader.csv(list(paths) if not isinstance(paths, str) else paths)
+        found = file_headers(spark, paths)
     except AnalysisException as e:
-        raise StorageIOError(f"cannot read hit files {paths}: {e.getMessage() if hasattr(e, 'getMessage') else e}") from e
-    hits = conform(raw, validate_schema)
-    meta = F.col("_metadata")
-    return hits.select(
-        *[F.col(c).cast("string").alias(c) for c in HIT_COLUMNS],
-        F.struct(
-            meta["file_path"].alias("file"),
-            meta["file_block_start"].alias("start"),
-            F.monotonically_increasing_id().alias("pos"),
-        ).alias("seq"),
-        F.struct(
-            meta["file_path"].alias("file"),
-            meta["file_block_start"].alias("start"),
-        ).alias("seq_block"),
-    )
+        raise StorageIOError(f"cannot read hit files {paths}: {e}") from e
+    if validate_schema:
+        require_columns(found)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, names in sorted(found.items()):
+        if names:
+            groups.setdefault(tuple(names), []).append(path)
+    if not groups:
+        if validate_schema:
+            raise InputSchemaError(f"{', '.join(paths)}: no header line")
+        schema = ", ".join(f"{c} string" for c in HIT_COLUMNS)
+        return spark.createDataFrame([], f"{schema}, seq struct<file: string, start: long, pos: long>")
+    # all files alike: the paths as given, so that Spark lists them, not we
+    scans = [scan(spark, paths if len(groups) == 1 else list(map(literal_path, files)), names, multiline) for names, files in groups.items()]
+    rows = scans[0]
+    for other in scans[1:]:
+        rows = rows.unionByName(other)
+    seq = F.struct(F.col("_file").alias("file"), F.col("_start").alias("start"), F.monotonically_increasing_id().alias("pos"))
+    return rows.select(*HIT_COLUMNS, seq.alias("seq"))
 
 
 def spread_input(df: DataFrame) -> DataFrame:
-    """Round-robin repartition a raw scan that has fewer partitions than cores.
-
-    A single compressed file (``.gz`` / ``.zst`` never split) or a file with one
-    row group is read by one task; the per-hit parsing that follows is CPU
-    bound, so it is spread over ``defaultParallelism`` partitions.  Arrival
-    order is already a column (``seq``), so nothing depends on the placement.
-    Round robin keeps a hot visitor from landing in one task.  Scans that
-    already have enough partitions (any large input) are left alone.
+    """Round-robin repartition of a raw scan that gives fewer tasks than cores.
+
+    A compressed file (``.gz`` / ``.zst`` never split) or a small file is read
+    by one task; the per-hit parsing that follows is CPU bound.  The number of
+    tasks is estimated from the files and their size, without running anything.
+    Arrival order is already a column (``seq``), so nothing depends on the
+    placement, and round robin keeps a hot visitor from landing in one task.
     """
     if df.isStreaming:
         return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if target > 1 and df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    split = any(not f.endswith((".gz", ".zst")) for f in files)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) if split else 0
+    widest = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return df if max(len(files), size // widest) >= target else df.repartition(target)

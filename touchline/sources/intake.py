@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import url_decode
@@ -26,7 +26,8 @@ def list_inputs(
 ) -> DataFrame:
     """(input_key, content_tag, size) per file under ``location``.
 
-    ``input_key`` is the decoded path (F13).  ``content_tag`` is size plus
+    ``input_key`` is the path as listed; a listing's names are not encoded (keys
+    that come from upload events are, see :func:`event_key`).  ``content_tag`` is size plus
     modification time, or the SHA-256 of the bytes when ``content_hash`` is set
     (reads every byte; only for files under the 2 GB binary-file limit).
     """
@@ -41,13 +42,18 @@ def list_inputs(
             "-", F.col("length").cast("string"), F.unix_millis(F.col("modificationTime")).cast("string")
         )
     return files.select(
-        url_decode(F.col("path")).alias("input_key"),
+        F.col("path").alias("input_key"),
         tag.alias("content_tag"),
         F.col("length").alias("size"),
         F.col("path").alias("path"),
     )
 
 
+def event_key(key) -> Column:
+    """The object key of an upload event, which encodes it."""
+    return url_decode(key)
+
+
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(ledger_path)

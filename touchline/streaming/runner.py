@@ -7,7 +7,10 @@ from typing import Callable, Optional
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import CheckpointError
+from ..functions import to_cents
 from ..operators.aggregate import keyword_revenue
+from ..operators.touch import order_struct
 from ..options import AttributionOptions
 from ..session import scratch_path
 from ..sources.events import derive_hits
@@ -65,63 +68,98 @@ def running_keyword_revenue(
     return keyword_revenue(as_attributed(out), options).drop("keyword_lower")
 
 
-def merge_totals(totals_path: str) -> Callable[[DataFrame, int], None]:
+def merge_totals(totals_path: str, options: Optional[AttributionOptions] = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` sink keeping running totals per keyword group.
 
     Each micro-batch's attributed revenue and display candidates are merged
-    with the stored totals: sums add, the earliest display candidate wins.
-    A new version folder is written per batch id, so a replayed batch id
-    rewrites the same version (idempotent).
+    with the stored totals: sums add, the earliest display candidate in the
+    processing order wins.  A version folder is written per batch id, so a
+    replayed batch rewrites the same version; a missing predecessor is an
+    error, and versions before it are removed.
     """
+    opts = options or AttributionOptions()
 
     def _merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         a = as_attributed(batch)
         is_attr = F.col("is_purchase") & (F.col("revenue") > 0) & F.col("live_touch").isNotNull()
         key = F.when(F.col("touch").isNotNull(), F.col("touch")).otherwise(F.col("live_touch"))
+        seen = F.struct(order_struct(opts.order).alias("at"), F.col("touch.keyword").alias("kw"))
         part = a.filter(F.col("touch").isNotNull() | is_attr).select(
             key["domain"].alias("search_engine_domain"),
             F.lower(key["keyword"]).alias("keyword_lower"),
-            F.when(F.col("touch").isNotNull(), F.struct(F.col("seq"), F.col("touch.keyword").alias("kw"))).alias("seen"),
+            F.when(F.col("touch").isNotNull(), seen).alias("seen"),
             F.when(is_attr, F.col("revenue")).alias("credit"),
         )
-        prev_path = f"{totals_path}/v={batch_id - 1}"
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(prev_path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if batch_id > 0 and fs.exists(p):
-            part = part.unionByName(spark.read.parquet(prev_path))
+        if batch_id > 0:
+            previous = f"{totals_path}/v={batch_id - 1}"
+            if not _exists(spark, previous):
+                raise CheckpointError(f"running totals: {previous} is missing, batch {batch_id} can't be added")
+            part = part.unionByName(spark.read.parquet(previous))
         merged = part.groupBy("search_engine_domain", "keyword_lower").agg(
             F.sum("credit").alias("credit"), F.min("seen").alias("seen")
         )
         merged.write.mode("overwrite").parquet(f"{totals_path}/v={batch_id}")
+        _remove(spark, f"{totals_path}/v={batch_id - 2}")
 
     return _merge
 
 
-def hit_file_stream(spark: SparkSession, input_dir: str, max_files: int = 1) -> DataFrame:
-    """Structured Streaming scan of new hit files under ``input_dir``.
+def read_totals(spark: SparkSession, totals_path: str) -> DataFrame:
+    """The running totals after the last merged batch, as the keyword report."""
+    fs, path = _file_system(spark, totals_path)
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    versions = [int(n[2:]) for n in names if n.startswith("v=")]
+    if not versions:
+        raise CheckpointError(f"no running totals in {totals_path}")
+    last = spark.read.parquet(f"{totals_path}/v={max(versions)}").filter(F.col("credit").isNotNull())
+    return last.select("search_engine_domain", F.col("seen.kw").alias("search_keyword"), "keyword_lower", to_cents("credit").alias("revenue"))
 
-    The header of the files already present fixes the schema (all strings);
-    the stream's checkpoint is the ledger of processed files.  The file path
-    and split start travel with each row so arrival order can be rebuilt.
-    """
-    header = (
-        spark.read.option("sep", "\t").option("header", True).option("inferSchema", False)
-        .csv(input_dir).schema
-    )
-    stream = (
-        spark.readStream.schema(header)
-        .option("sep", "\t").option("header", True)
-        .option("quote", '"').option("escape", '"')
-        .option("maxFilesPerTrigger", max_files)
-        .csv(input_dir)
-    )
-    return stream.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
+
+def stream_running_totals(
+    spark: SparkSession,
+    sf_dir: str,
+    options: Optional[AttributionOptions] = None,
+    max_files: Optional[int] = 1,
+) -> DataFrame:
+    """Run the stateful stream into running totals and read them."""
+    options = options or AttributionOptions()
+    root = scratch_path(spark, "totals")
+    q = (
+        stream_last_touch(events_stream(spark, sf_dir, max_files), options)
+        .writeStream.foreachBatch(merge_totals(f"{root}/totals", options))
+        .option("checkpointLocation", f"{root}/chk")
+        .trigger(availableNow=True)
+        .start()
     )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return read_totals(spark, f"{root}/totals")
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def hit_file_stream(spark: SparkSession, input_dir: str, max_files: int = 1) -> DataFrame:
+    """Structured Streaming listing of new hit files under ``input_dir`` (S9):
+    path, modification time and length.  Contents are read per batch, every
+    file by its own header."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", max_files).load(input_dir)
+    return files.select("path", "modificationTime", "length")
 
 
 def attribute_each_batch(
@@ -135,34 +173,20 @@ def attribute_each_batch(
     ``maxFilesPerTrigger=1`` that is one run per file.  Outputs go to
     ``out_dir/batch=<id>/`` so a replayed batch id rewrites the same folder.
     """
-    from ..plans.attribution import attribute
+    from ..plans.attribution import attribute_files
     from ..plans.sinks import manifest, write_manifest, write_report
-    from ..sources.hits import HIT_COLUMNS, check_schema
+    from ..sources.hits import literal_path
 
     def _run(batch: DataFrame, batch_id: int) -> None:
-        opts = options or AttributionOptions()
-        data_cols = [c for c in batch.columns if c not in ("_file", "_start")]
-        if opts.validate_schema:
-            check_schema(data_cols)
-        names = [c.strip().lower() for c in data_cols]
-        hits = batch.select(
-            *data_cols,
-            F.struct(
-                F.col("_file").alias("file"),
-                F.col("_start").alias("start"),
-                F.monotonically_increasing_id().alias("pos"),
-            ),
-            F.struct(F.col("_file").alias("file"), F.col("_start").alias("start")),
-        ).toDF(*names, "seq", "seq_block")
-        for c in HIT_COLUMNS:
-            if c not in names:
-                hits = hits.withColumn(c, F.lit(""))
-        raw = hits.select(*HIT_COLUMNS, "seq", "seq_block")
+        # at most maxFilesPerTrigger paths
+        files = sorted(r["path"] for r in batch.select("path").distinct().collect())
+        if not files:
+            return
         folder = f"{out_dir.rstrip('/')}/batch={batch_id}"
-        result = attribute(raw, opts).materialize()
+        result = attribute_files(batch.sparkSession, [literal_path(f) for f in files], options).materialize()
         report = write_report(result, folder, run_date)
-        files = ",".join(sorted(r[0] for r in batch.select("_file").distinct().collect()))
-        write_manifest(batch.sparkSession, manifest(result, files, results_path=report), folder, run_date)
+        doc = manifest(result, ",".join(files), results_path=report)
+        write_manifest(batch.sparkSession, doc, folder, run_date, result)
 
     return _run
 

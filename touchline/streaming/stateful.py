@@ -71,16 +71,10 @@ class LastTouchProcessor(StatefulProcessor):
         pdf = pdf.sort_values(self.order, kind="stable").reset_index(drop=True)
         t = pdf["hit_time"].to_numpy(dtype=np.int64)
         n = len(pdf)
-        had_time = self.last_time.exists()
-        prev = np.empty(n, dtype=np.float64)
-        prev[0] = float(self.last_time.get()[0]) if had_time else np.nan
-        prev[1:] = t[:-1]
-        if self.timeout is None:
-            brk = np.zeros(n, dtype=bool)
-        else:
-            with np.errstate(invalid="ignore"):
-                brk = (t - prev) > self.timeout
-            brk = np.where(np.isnan(prev), False, brk)
+        # gaps in whole seconds: a float would lose them beyond 2**53
+        before = int(self.last_time.get()[0]) if self.last_time.exists() else int(t[0])
+        gap = np.diff(t, prepend=np.int64(before))
+        brk = np.zeros(n, dtype=bool) if self.timeout is None else gap > self.timeout
         sid = np.cumsum(brk)
         dom = pdf["own_domain"]
         kw = pdf["own_keyword"]
@@ -140,7 +134,7 @@ def stream_last_touch(
     ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != STATE_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
-    prepared, _ = observe_hits(parse_hits(normalize_hits(raw_stream), options.engines), metrics_name)
+    prepared = observe_hits(parse_hits(normalize_hits(raw_stream), options.engines), metrics_name, options.internal_suffixes)
     if options.session_timeout is None and options.prefilter and not emit_all:
         prepared = prepared.filter(F.col("touch").isNotNull() | F.col("is_purchase"))
     return (
