@@ -214,9 +214,19 @@ def quality_counters(prepared: DataFrame, attributed: DataFrame, options: Attrib
     return both.agg(*[_typed(n, F.max(n)) for n in QUALITY_COLUMNS])
 
 
-def live_visitors(attributed: DataFrame) -> DataFrame:
-    """Visitors whose state still holds a touch after their last hit (one row)."""
-    return attributed.agg(F.count_if(F.col("last_hit") & F.col("live_touch").isNotNull()).alias("visitors_with_live_touch"))
+def window_counts(attributed: DataFrame) -> DataFrame:
+    """Live visitors, keyword groups and their revenue as one row, in one pass
+    over the window: the first level groups by keyword and also counts the last
+    hits that still have a touch."""
+    is_attr = F.col("is_purchase") & (F.col("revenue") > 0) & F.col("live_touch").isNotNull()
+    groups = attributed.groupBy(
+        F.when(is_attr, F.col("live_touch.domain")).alias("domain"), F.when(is_attr, F.lower("live_touch.keyword")).alias("keyword_lower")
+    ).agg(F.sum(F.when(is_attr, F.col("revenue"))).alias("credit"), F.count_if(F.col("last_hit") & F.col("live_touch").isNotNull()).alias("live"))
+    return groups.agg(
+        F.coalesce(F.sum("live"), F.lit(0)).cast("long").alias("visitors_with_live_touch"),
+        F.count("credit").alias("keyword_groups"),
+        F.coalesce(F.sum(to_cents("credit")), F.lit(0)).cast("decimal(38,2)").alias("total_attributed_revenue"),
+    )
 
 
 def with_rank(results: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import ParsingError
-from ..operators.aggregate import keyword_revenue, live_visitors, quality_counters, result_order, with_rank
+from ..operators.aggregate import keyword_revenue, quality_counters, result_order, window_counts, with_rank
 from ..functions import classify_referrer
 from ..operators.classify import with_outcome
 from ..operators.normalize import fence, normalize_hits, parse_hits
@@ -94,12 +94,7 @@ class AttributionResult:
         """rows_processed, visitors_with_live_touch, keyword_groups, total_attributed_revenue (A4)."""
         # the normalised hits: counting the parsed ones would parse every URL
         rows = self.normalized.agg(F.count(F.lit(1)).alias("rows_processed"))
-        live = live_visitors(self.attributed)
-        groups = self.results.agg(
-            F.count(F.lit(1)).alias("keyword_groups"),
-            F.coalesce(F.sum("revenue"), F.lit(0)).cast("decimal(38,2)").alias("total_attributed_revenue"),
-        )
-        both = rows.unionByName(live, allowMissingColumns=True).unionByName(groups, allowMissingColumns=True)
+        both = rows.unionByName(window_counts(self.attributed), allowMissingColumns=True)
         return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
