@@ -356,7 +356,9 @@ FROM cols, raw WHERE column_name <> 'product_list' OR event_list <> '2' GROUP BY
 SELECT search_engine_domain, search_keyword, CAST(revenue AS VARCHAR) AS revenue_text,
        CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, search_engine_domain, lower(search_keyword)) AS BIGINT) AS rank
 FROM res""",
-        "intake_anti_join": "SELECT 'day2' AS input_name, CAST(count(*) AS BIGINT) AS hits FROM events",
+        "intake_anti_join": """
+SELECT CASE event_id % 3 WHEN 1 THEN 'day+0' ELSE 'day%25200' END AS input_name, CAST(count(*) AS BIGINT) AS hits
+FROM events WHERE event_id % 3 <> 0 GROUP BY 1""",
         "run_manifest": run_manifest(None),
         "run_manifest_timeout": run_manifest(t),
         "business_summary": business_summary(None),

@@ -452,34 +452,35 @@ def business_summary(spark, sf_dir, **opts) -> DataFrame:
     )
 
 
+UPLOADS = ("day 0", "day+0", "day%200")
+
+
 def intake_anti_join(spark, sf_dir) -> DataFrame:
     """Ledger anti-join over real uploads.
 
-    The derived hits are written as upload ``day1`` and recorded in the
-    ledger; the same hits are then uploaded again as ``day2``.  The query
-    returns what is still pending: only ``day2``, with every hit in it.
+    The derived hits are dealt to three uploads whose names look alike when
+    they are decoded; the first is uploaded and recorded in the ledger, then
+    the others arrive.  The query returns what is pending: each other upload
+    (its name as a URI has it) with its hits.
     """
     from ..session import scratch_path
-    from ..sources.hits import HIT_COLUMNS, read_hits
+    from ..sources.hits import HIT_COLUMNS, literal_path, read_hits
     from ..sources.intake import list_inputs, pending_inputs, read_ledger, record_processed
 
     root = scratch_path(spark, "intake")
     inbox, ledger = f"{root}/in", f"{root}/ledger"
-    hits = hits_from_events(spark, sf_dir).select(*HIT_COLUMNS)
-
-    def upload(name):
-        hits.write.option("sep", "\t").option("header", True).option("quote", '"').option(
-            "escape", '"').option("ignoreLeadingWhiteSpace", False).option(
-            "ignoreTrailingWhiteSpace", False).csv(f"{inbox}/{name}")
-
-    upload("day1")
-    first = pending_inputs(list_inputs(spark, inbox, "*.csv"), read_ledger(spark, ledger))
-    record_processed(first.select("input_key", "content_tag"), ledger, f"{root}/out")
-    upload("day2")
-    pending = pending_inputs(list_inputs(spark, inbox, "*.csv"), read_ledger(spark, ledger))
-    paths = [r["path"] for r in pending.select("path").collect()]
-    scanned = read_hits(spark, paths) if paths else None
-    if scanned is None:
+    hits = hits_from_events(spark, sf_dir)
+
+    def pending():
+        return pending_inputs(list_inputs(spark, inbox, "*.csv"), read_ledger(spark, ledger))
+
+    for n, name in enumerate(UPLOADS):
+        hits.filter(F.pmod("seq", F.lit(len(UPLOADS))) == n).select(*HIT_COLUMNS).write.option("sep", "\t").option("header", True).option(
+            "quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{inbox}/{name}")
+        if n == 0:
+            record_processed(pending().select("input_key", "content_tag"), ledger, f"{root}/out")
+    paths = [literal_path(r["path"]) for r in pending().select("path").collect()]  # one row a file
+    if not paths:
         return spark.createDataFrame([], "input_name string, hits long")
-    name = F.regexp_extract(F.col("seq.file"), "/(day[0-9]+)/", 1)
-    return scanned.groupBy(name.alias("input_name")).agg(F.count(F.lit(1)).alias("hits"))
+    name = F.element_at(F.split("seq.file", "/"), -2)
+    return read_hits(spark, paths, validate_schema=False).groupBy(name.alias("input_name")).agg(F.count(F.lit(1)).alias("hits"))
