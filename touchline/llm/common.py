@@ -172,6 +172,38 @@ def gram_hashes(h: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     return mix(out)
 
 
+FILTER_BITS = 25
+
+
+def filter_places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of a Bloom filter for each (well mixed) 64-bit value."""
+    values = values.view(np.uint64)
+    return (values >> np.uint64(64 - FILTER_BITS)).astype(np.int64), (values & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+
+
+def filter_of(values: DataFrame):
+    """A broadcast Bloom filter of a column ``value`` of well mixed longs.
+
+    It has ``2**FILTER_BITS`` bits whatever the number of values, and at most
+    ``2**FILTER_BITS / 64`` rows come to the driver.  A filter fuller than
+    intended lets more rows through; what it lets through is joined exactly.
+    """
+    low = F.expr(f"value & {(1 << FILTER_BITS) - 1}L")
+    high = F.shiftrightunsigned("value", 64 - FILTER_BITS)
+    bit = values.select(F.explode(F.array(low, high)).alias("bit"))
+    words = bit.groupBy(F.floor(F.col("bit") / 64).cast("long").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")
+    )
+    got = words.toArrow()
+    out = np.zeros((1 << FILTER_BITS) // 64, np.int64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    return values.sparkSession.sparkContext.broadcast(out)
+
+
+def filter_bits(words: np.ndarray) -> np.ndarray:
+    return np.unpackbits(words.view(np.uint8), bitorder="little").view(bool)
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``id`` and ``label``, the smallest id of its component, of every end of
     an edge (a, b).
@@ -185,7 +217,7 @@ def connected(edges: DataFrame) -> DataFrame:
     while True:
         both = now.select("a", "b").unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         below = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(below, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(below.select("a", F.col("m").alias("b")))
         now = stored(small.where("a <> b").distinct(), "edges")

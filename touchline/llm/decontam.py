@@ -9,8 +9,7 @@ finds all common stretches, and the longest unmarked one is marked again and
 again until none of ``MATCH`` tokens is left.  A pair counts if its tiles cover
 at least ``COVERAGE`` of the item's tokens, in whatever order they stand.
 
-The pass over the documents tests seeds against a Bloom filter of ``2**BITS``
-bits; its size doesn't depend on the benchmark, and the join decides, so a
+The pass over the documents tests seeds against a Bloom filter; its size doesn't depend on the benchmark, and the join decides, so a
 fuller filter only lets more rows through.
 
 Defined cases: null and empty texts share nothing; an item of fewer than
@@ -28,23 +27,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, chunks, gram_hashes, spans, table, text_or_empty, with_body, word_hashes
+from .common import by_value, chunks, filter_bits, filter_of, filter_places, gram_hashes, spans, table, text_or_empty, with_body, word_hashes
 
 by_value(__name__)
 
 MATCH = 5
 COVERAGE = 0.5
-BITS = 25
 
 TOKEN = np.zeros(256, dtype=bool)
 TOKEN[48:58] = TOKEN[97:123] = TOKEN[65:91] = TOKEN[128:] = True
 
 
-def probes(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of the filter for each seed."""
-    return (seeds >> np.uint64(64 - BITS)).astype(np.int64), (seeds & np.uint64((1 << BITS) - 1)).astype(np.int64)
-
-
 def item_seeds(items: DataFrame, match: int = MATCH) -> DataFrame:
     """item_id, item (tokens with one space between), n_tokens, seeds."""
 
@@ -68,33 +61,16 @@ def item_seeds(items: DataFrame, match: int = MATCH) -> DataFrame:
     return source.mapInArrow(run, "item_id long, item string, n_tokens long, seeds array<long>").where(F.col("n_tokens") >= match)
 
 
-def seed_filter(seeds: DataFrame) -> np.ndarray:
-    """The Bloom filter of a column ``seed`` as 64-bit words: at most
-    ``2**BITS / 64`` rows come to the driver."""
-    low = F.expr(f"seed & {(1 << BITS) - 1}L")
-    high = F.shiftrightunsigned("seed", 64 - BITS)
-    bit = seeds.select(F.explode(F.array(low, high)).alias("bit"))
-    words = bit.groupBy(F.floor(F.col("bit") / 64).cast("long").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")
-    )
-    got = words.toArrow()
-    out = np.zeros((1 << BITS) // 64, np.int64)
-    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
-    return np.unpackbits(out.view(np.uint8), bitorder="little")
-
-
-def shared_stretches(docs: DataFrame, packed: np.ndarray, match: int = MATCH) -> DataFrame:
+def shared_stretches(docs: DataFrame, shared, match: int = MATCH) -> DataFrame:
     """doc_id, body, stretches (token runs that hold nothing but seeds that pass the
-    filter), seeds; only documents that have any."""
-
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(packed, bitorder="little"))
+    broadcast filter ``shared``), seeds; only documents that have any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value, bitorder="little").view(bool)
+        bits = filter_bits(shared.value)
         for batch, data, offs in chunks(batches, "text"):
             s, e, row = spans(data, offs, TOKEN[data])
             grams = gram_hashes(word_hashes(data, s, e), match)
-            high, low = probes(grams)
+            high, low = filter_places(grams)
             hit = np.flatnonzero(bits[high] & bits[low] & (row[: len(grams)] == row[match - 1 :][: len(grams)]))
             if not len(hit):
                 continue
@@ -215,7 +191,7 @@ def contaminated(docs: DataFrame, items: DataFrame, match: int = MATCH, coverage
     ``coverage`` of the item."""
     wanted = item_seeds(items, match)
     seeds = wanted.select(F.explode("seeds").alias("seed"), "item_id", "item")
-    found = shared_stretches(docs, seed_filter(seeds.select("seed").distinct()), match)
+    found = shared_stretches(docs, filter_of(seeds.select(F.col("seed").alias("value")).distinct()), match)
     pairs = (
         found.select("doc_id", "body", "stretches", F.explode("seeds").alias("seed"))
         .join(seeds, "seed")

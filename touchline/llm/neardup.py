@@ -16,8 +16,9 @@ group of copies takes one comparison a member.  A pair is left out only if
 both ends are in one component or one of them was compared with the whole
 group; the components are exact for the pairs that the trees brought together.
 
-Nothing is capped.  A node that ``DEPTH`` levels can't split is a candidate
-group as a whole, tied to its smallest member; a candidate group of more than
+Nothing is capped.  A large node that keeps ``UNSPLIT`` of its parent's classes
+or is left after ``DEPTH`` levels is a candidate group as a whole, tied to its
+smallest member; a candidate group of more than
 ``GROUP_SHINGLES`` shingles is resolved by the same comparisons in rounds of
 distributed jobs instead of in one task.
 
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, by_value, chunks, connected, gram_hashes, mix, seeded, stored, table, text_or_empty, with_body, word_hashes, word_spans
+from .common import LOWER, by_value, chunks, connected, filter_bits, filter_of, filter_places, gram_hashes, mix, seeded, stored, table, text_or_empty, with_body, word_hashes, word_spans
 
 by_value(__name__)
 
@@ -48,6 +49,8 @@ TREES = 12
 DOUBLE = 3
 LEAF = 64
 DEPTH = 5
+#: share of its parent's classes from which a large node is a group as a whole
+UNSPLIT = 0.7
 #: agreeing tokens of 64 that make a candidate; a pair at the threshold has 51
 #: on average, with a standard deviation of 3.2
 AGREE = 35
@@ -168,28 +171,36 @@ def agreeing(nodes: DataFrame) -> DataFrame:
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """Candidate edges (a, b) between classes (class, roots, sketch)."""
-    rows = classes.select(F.explode("roots").alias("node"), "class", "sketch")
+    """Candidate edges (a, b) between classes (class, roots, sketch).
+
+    A large node that keeps most of its parent's classes can't be split by
+    branching: its classes are a candidate group, each tied to the smallest.
+    """
+    rows = classes.select(F.explode("roots").alias("node"), "class", F.lit(None).cast("long").alias("before"))
     found = None
     for level in range(1, DEPTH + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("class").alias("least")).where("n > 1")
-        shared = rows.join(sizes, "node")
-        if level > 1:
-            shared = stored(shared, "nodes")
-        small = shared.where(F.col("n") <= LEAF).groupBy("node").agg(F.collect_list(F.struct("class", "sketch")).alias("members"))
-        edges = agreeing(small)
-        large = stored(shared.where(F.col("n") > LEAF), "large")
-        if level == DEPTH:
-            edges = edges.unionAll(large.where("class <> least").select(F.col("least").alias("a"), F.col("class").alias("b")))
+        shared = stored(rows.join(sizes, "node"), "nodes")
+        whole = F.col("n") >= F.lit(UNSPLIT) * F.col("before") if level < DEPTH else F.lit(True)
+        whole = (F.col("n") > LEAF) & F.coalesce(whole, F.lit(False))
+        small = shared.where(F.col("n") <= LEAF).join(classes.select("class", "sketch"), "class")
+        edges = agreeing(small.groupBy("node").agg(F.collect_list(F.struct("class", "sketch")).alias("members")))
+        edges = edges.unionAll(shared.where(whole & (F.col("class") != F.col("least"))).select(F.col("least").alias("a"), F.col("class").alias("b")))
         found = edges if found is None else found.unionAll(edges)
+        large = shared.where((F.col("n") > LEAF) & ~whole)
         if level == DEPTH or large.isEmpty():
             return found
         # a position of the node's own, and a second one for every fourth node
         first = F.pmod(F.xxhash64("node", F.lit("first")), F.lit(POSITIONS))
-        second = F.when(F.pmod(F.xxhash64("node", F.lit("two")), F.lit(4)) == 0, F.pmod(first + 1 + F.pmod(F.xxhash64("node", F.lit("second")), F.lit(POSITIONS - 1)), F.lit(POSITIONS)))
+        second = F.when(
+            F.pmod(F.xxhash64("node", F.lit("two")), F.lit(4)) == 0,
+            F.pmod(first + 1 + F.pmod(F.xxhash64("node", F.lit("second")), F.lit(POSITIONS - 1)), F.lit(POSITIONS)),
+        )
         at = F.explode(F.array_compact(F.array(first, second)))
-        rows = large.select("class", "sketch", "node", at.alias("at")).select(
-            F.xxhash64("node", "at", F.expr("substring(sketch, cast(at as int) + 1, 1)")).alias("node"), "class", "sketch"
+        rows = (
+            large.join(classes.select("class", "sketch"), "class")
+            .select("class", "sketch", "node", "n", at.alias("at"))
+            .select(F.xxhash64("node", "at", F.expr("substring(sketch, cast(at as int) + 1, 1)")).alias("node"), "class", F.col("n").alias("before"))
         )
 
 
@@ -202,20 +213,41 @@ def compared(pivot: np.ndarray, values: np.ndarray, owner: np.ndarray, sizes: np
 
 
 def resolve(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
-    """Component number of each set under the similarity, within one group."""
+    """Component number of each set under the similarity, within one group.
+
+    The sets that hold a value are found through an index of values.  A set
+    can only be similar to one that holds some of its rarest values (all but
+    the share that both must have, and one), so a member whose rarest values
+    stand only in its own component needs no comparison.
+    """
     n = len(sets)
     sizes = np.array([len(x) for x in sets])
     values, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+    order = np.argsort(values, kind="stable")
+    holders = owner[order]
+    distinct, first = np.unique(values[order], return_index=True)
+    many = np.diff(np.append(first, len(values)))
+
+    def holding(places: np.ndarray) -> np.ndarray:
+        count = many[places]
+        return holders[np.repeat(first[places] - np.cumsum(count) + count, count) + np.arange(count.sum())]
+
     label, done = np.arange(n), np.zeros(n, bool)
     while True:
         largest = np.bincount(label).argmax()
         open_ = np.flatnonzero(~done & (label != largest)) if done.any() else np.array([int(sizes.argmax())])
         if not len(open_):
             return label
-        p = open_[0]
-        done[p] = True
-        linked = compared(sets[p], values, owner, sizes, percent)
-        label[np.isin(label, label[linked])] = label[p]
+        for p in open_:
+            done[p] = True
+            places = np.searchsorted(distinct, sets[p])
+            rare = sizes[p] - -(-percent * int(sizes[p]) // 100) + 1
+            near = holding(places[np.argsort(many[places], kind="stable")[:rare]])
+            if (label[near] != label[p]).any():
+                both = np.bincount(holding(places), minlength=n)
+                linked = 100 * both >= percent * (sizes[p] + sizes - both)
+                if (label[linked] != label[p]).any():
+                    label[np.isin(label, label[linked])] = label[p]
 
 
 def resolve_groups(groups: DataFrame, percent: int) -> DataFrame:
@@ -282,19 +314,30 @@ def resolve_large(members: DataFrame, percent: int) -> DataFrame:
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """class, group, shingles (sorted 64-bit hashes) of the wanted classes
-    (doc_id, class, group), from the text of one document of each."""
+    (doc_id, class, group), from the text of one document of each.
+
+    Texts stay where they are: a Bloom filter of the wanted ids goes to the
+    documents, and the sets made there join the wanted classes."""
+    key = F.xxhash64("doc_id")
+    ids = filter_of(wanted.select(key.alias("value")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offs in chunks(batches, "text"):
-            sets = shingle_sets(data, offs, len(batch), shingle)
-            same = [len(x) > 0 and set_key(x) == key for x, key in zip(sets, batch.column(0).to_pylist(), strict=True)]
+        bits = filter_bits(ids.value)
+
+        def passing():
+            for batch in batches:
+                high, low = filter_places(batch.column(0).to_numpy())
+                yield batch.filter(pa.array(bits[high] & bits[low]))
+
+        for batch, data, offs in chunks(passing(), "text"):
+            sets = [x for x in shingle_sets(data, offs, len(batch), shingle) if len(x)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([x.tobytes() for x in sets], pa.binary())], names=["class", "group", "shingles"]
-            ).filter(pa.array(same, pa.bool_()))
+                [pa.array([set_key(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["class", "shingles"]
+            )
 
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    joined = text.join(wanted, "doc_id").select("class", "group", "text")
-    return joined.mapInArrow(run, "class binary, group binary, shingles binary")
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).where("doc_id is not null")
+    sets = text.select(key.alias("key"), "text").mapInArrow(run, "class binary, shingles binary")
+    return sets.join(wanted.select("class", "group"), "class").select("class", "group", "shingles")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -313,12 +356,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     # one row a class, also where a doc_id occurs with the same text twice
     sets = full_sets(docs, wanted.where(~F.col("large")).select("doc_id", "class", "group"), shingle)
     small = sets.groupBy("group").agg(F.collect_set(F.struct("class", "shingles")).alias("members"))
-    links = resolve_groups(small, percent)
+    # links run from one member of a component to each other one
+    named = stored(resolve_groups(small, percent).select(F.col("b").alias("id"), F.col("a").alias("label")), "links")
+    named = named.unionAll(named.select(F.col("label").alias("id"), "label").distinct())
     if not wanted.where("large").isEmpty():
         members = stored(full_sets(docs, wanted.where("large").select("doc_id", "class", "group"), shingle).dropDuplicates(["class"]), "members")
-        links = links.unionAll(resolve_large(members, percent))
-    joined = connected(links)
-    ids = joined.join(classes.select(F.col("class").alias("id"), "doc_id"), "id")
+        named = named.unionAll(connected(resolve_large(members, percent)))
+    ids = named.join(classes.select(F.col("class").alias("id"), "doc_id"), "id")
     component = ids.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = ids.join(component, "label").select(F.col("id").alias("class"), "component_id")
     of_class = classes.select("class", "doc_id").join(named, "class", "left").select("class", F.coalesce("component_id", "doc_id").alias("_component"))
