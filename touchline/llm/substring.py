@@ -72,21 +72,38 @@ def anchors(data: np.ndarray, offs: np.ndarray, window: int, seed: int):
     return h, row, first, grams, starts, at
 
 
+def equal_runs(at: np.ndarray, value: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place and length of each run of consecutive places with one value
+    in one row."""
+    if not len(at):
+        return at, np.zeros(0, np.int32)
+    new = np.flatnonzero((np.diff(at) != 1) | (value[1:] != value[:-1]) | (row[1:] != row[:-1])) + 1
+    new = np.concatenate([[0], new])
+    return at[new], np.diff(np.append(new, len(at))).astype(np.int32)
+
+
+def expand(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of runs."""
+    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 def seeds(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """seed, doc_id, body, pos: the distinct anchors of each document."""
+    """seed, doc_id, body, pos, run: the distinct anchors of each document; a
+    run of places with one seed (a repeated word) is one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offs in chunks(batches, "text"):
             _, row, first, grams, _, at = anchors(data, offs, window, seed)
             at = at[np.flatnonzero(np.diff(at, prepend=-1))]
+            at, size = equal_runs(at, grams[at], row[at])
             rows = row[at]
             take = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[at].view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array((at - first[rows]).astype(np.int32))],
-                names=["seed", "doc_id", "body", "pos"],
+                [pa.array(grams[at].view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array((at - first[rows]).astype(np.int32)), pa.array(size)],
+                names=["seed", "doc_id", "body", "pos", "run"],
             )
 
-    return docs.select("doc_id", "body", "text").mapInArrow(run, "seed long, doc_id long, body long, pos int")
+    return docs.select("doc_id", "body", "text").mapInArrow(run, "seed long, doc_id long, body long, pos int, run int")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -129,8 +146,9 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def window_rows(marked: DataFrame, window: int, seed: int) -> DataFrame:
-    """hash, doc_id, body, start of the windows on recurring anchors; marked:
-    doc_id, body, positions, packed."""
+    """hash, doc_id, body, start, run of the windows on recurring anchors (a run
+    of starts with one hash is one row); marked: doc_id, body, positions
+    (runs), packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in unpacked(batches):
@@ -138,23 +156,27 @@ def window_rows(marked: DataFrame, window: int, seed: int) -> DataFrame:
                 h, row, first, _, starts, at = anchors(data, offs, window, seed)
                 recurring = np.zeros(len(h) + 1, bool)
                 known = batch.column(2)
-                flat = known.flatten().to_numpy(zero_copy_only=False)
+                flat = known.flatten()
+                pos, size = flat.field("pos").to_numpy(), flat.field("run").to_numpy().astype(np.int64)
                 owner = np.repeat(np.arange(len(batch)), np.diff(known.offsets.to_numpy()))
-                recurring[np.minimum(first[owner] + flat, len(h))] = True
+                recurring[np.minimum(expand(first[owner] + pos, size), len(h))] = True
                 starts = starts[recurring[at]]
+                hashes = gram_hashes(h, window, 5)
+                starts, size = equal_runs(starts, hashes[starts], row[starts])
                 rows = row[starts]
                 take = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(gram_hashes(h, window, 5)[starts].view(np.int64)),
+                        pa.array(hashes[starts].view(np.int64)),
                         batch.column(0).take(take),
                         batch.column(1).take(take),
                         pa.array((starts - first[rows]).astype(np.int32)),
+                        pa.array(size),
                     ],
-                    names=["hash", "doc_id", "body", "start"],
+                    names=["hash", "doc_id", "body", "start", "run"],
                 )
 
-    return marked.select("doc_id", "body", "positions", "packed").mapInArrow(run, "hash long, doc_id long, body long, start int")
+    return marked.select("doc_id", "body", "positions", "packed").mapInArrow(run, "hash long, doc_id long, body long, start int, run int")
 
 
 def runs_of(starts: np.ndarray) -> list[tuple[int, int]]:
@@ -203,8 +225,8 @@ def removed(joined: DataFrame, window: int, keep_spacing: bool) -> DataFrame:
                 if copy:
                     later.append(np.arange(n))
                 elif starts.is_valid:
-                    x = np.sort(starts.values.to_numpy())
-                    later.append(x[x < n])
+                    x = expand(starts.values.field("start").to_numpy().astype(np.int64), starts.values.field("run").to_numpy())
+                    later.append(np.unique(x[x < n]))
                 else:
                     later.append(np.zeros(0, np.int64))
             n_words, n_removed, kept = [], [], []
@@ -237,10 +259,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, keep
     same = Window.partitionBy("seed").orderBy("doc_id", "pos")
     recurring = (
         seeds(docs, window, seed)
-        .withColumn("_more", F.lead("seed").over(same).isNotNull() | F.lag("seed").over(same).isNotNull())
+        .withColumn("_more", (F.col("run") > 1) | F.lead("seed").over(same).isNotNull() | F.lag("seed").over(same).isNotNull())
         .where("_more")
         .groupBy("doc_id", "body")
-        .agg(F.collect_set("pos").alias("positions"))
+        .agg(F.collect_set(F.struct("pos", "run")).alias("positions"))
     )
     # a copy: the same text stands under a smaller id
     bodies = docs.select("doc_id", "body", F.xxhash64(F.lit("second"), "text").alias("_other"), F.length("text").alias("_n"))
@@ -258,11 +280,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, keep
     rows = window_rows(marked, window, seed)
     by_place = Window.partitionBy("hash").orderBy("doc_id", "start")
     own = F.struct("doc_id", "start")
-    later = rows.withColumn("_first", F.first(own).over(by_place)).where(~F.col("_first").eqNullSafe(own))
-    spans = later.groupBy("doc_id", "body").agg(F.collect_set("start").alias("starts"))
+    # of the run that holds the first window, the rest is later
+    held = F.first(own).over(by_place).eqNullSafe(own).cast("int")
+    later = rows.withColumn("_held", held).select("doc_id", "body", (F.col("start") + F.col("_held")).alias("start"), (F.col("run") - F.col("_held")).alias("run"))
+    spans = later.where("run > 0").groupBy("doc_id", "body").agg(F.collect_set(F.struct("start", "run")).alias("starts"))
     facts = stored(
         spans.select("doc_id", "body", F.lit(False).alias("copy"), "starts").unionAll(
-            copies.select("doc_id", "body", F.lit(True), F.lit(None).cast("array<int>"))
+            copies.select("doc_id", "body", F.lit(True), F.lit(None).cast("array<struct<start:int,run:int>>"))
         ),
         "repeats",
     )
