@@ -170,7 +170,11 @@ def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Network | None:
     )
     span = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     picks = [F.expr("text").substr((F.lit(1) + F.pmod(F.xxhash64("key", F.lit(i)), span)).cast("int"), F.lit(WINDOW)) for i in range(WINDOWS_EACH)]
-    small = rows.select("lang", "key", F.array(*picks).alias("text"))
+    # about twice as many as wanted of each language, so that no task meets all
+    # documents of one
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    some = rows.join(counts, "lang").where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.lit(float(2 * per_lang << 30)) / F.col("n"))
+    small = some.select("lang", "key", F.array(*picks).alias("text"))
     sample = small.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= per_lang)
     got = sample.select("lang", F.explode("text").alias("text")).where(F.col("text").rlike(r"\p{L}")).toArrow()
     langs = sorted(set(got.column("lang").to_pylist()))
