@@ -129,7 +129,8 @@ def bigram_counts(docs: DataFrame, target_ids: DataFrame, vocabulary) -> DataFra
 
     flags = target_ids.select(F.col("doc_id").alias("_id")).distinct().withColumn("target", F.lit(True))
     text = docs.select(F.col("doc_id").cast("long").alias("_id"), text_or_empty().alias("text"))
-    flagged = text.join(flags, "_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    # labels grow with the documents: one plan at every size
+    flagged = text.join(flags.hint("merge"), "_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     counted = flagged.mapInArrow(run, "key long, n_all long, n_target long")
     return counted.groupBy("key").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
 
