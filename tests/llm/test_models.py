@@ -152,6 +152,42 @@ def test_scores_equal_brute_force(spark, monkeypatch):
     assert lm_score.score(frame.limit(0), ids).count() == 0
 
 
+def test_scores_know_every_word_and_bigram(spark):
+    """Words and bigrams seen once among 400,000 words, in several parts."""
+    rng = random.Random(8)
+    docs = [(i, "the cat sat on a mat " * 22_000) for i in range(3)]
+    docs += [(i, " ".join(rng.choice(["the", "cat", "mat", f"w{rng.randrange(300)}", f"Rare{i}"]) for _ in range(30))) for i in range(3, 40)]
+    docs += [(40, None), (None, "the cat rareX"), (None, "the cat rareX"), docs[5]]
+    targets = {1, 4, 5, 6, 7}
+    texts = [(i, [w.lower() for w in (t or "").split()]) for i, t in docs]
+    models = []
+    for rows in ([t for i, t in texts if i in targets], [t for _, t in texts]):
+        pairs = Counter(p for t in rows for p in zip(["", *t], t))
+        words, contexts = Counter(), Counter()
+        for (a, w), n in pairs.items():
+            words[w] += n
+            contexts[a] += n
+        models.append((pairs, words, contexts, sum(words.values())))
+    kinds = len(models[1][1]) + 1
+
+    def loss(m, a, w):
+        pairs, words, contexts, total = m
+        known = lm_score.WEIGHT if contexts[a] else 0
+        return -math.log((1 - known) * (words[w] + 1) / (total + kinds) + known * pairs[a, w] / max(contexts[a], 1))
+
+    want = []
+    for i, t in texts:
+        t_loss, b_loss = (sum(n * loss(m, *p) for p, n in Counter(zip(["", *t], t)).items()) / max(len(t), 1) for m in models)
+        want.append((-1 if i is None else i, len(t), t_loss, b_loss, t_loss - b_loss))
+    ids = spark.createDataFrame([(i,) for i in [*targets, 5, None]], "doc_id long")
+    rows = lm_score.score(spark.createDataFrame([(i, t, "x", 1, "") for i, t in docs], DOCS), ids).collect()
+    assert [r.n_words for r in rows if r.doc_id == 40] == [0] and all((r.score is None) == (r.n_words == 0) for r in rows)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, *(x or 0 for x in r[2:])) for r in rows)
+    assert np.allclose(got, sorted(want), atol=1e-9)
+    none = lm_score.score(spark.createDataFrame([], DOCS), ids)
+    assert none.count() == 0
+
+
 def brute_licenses(docs, templates, stride):
     def tokens(t):
         return [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]

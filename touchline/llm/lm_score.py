@@ -6,13 +6,19 @@ of bigrams and one smoothing; only their counts differ.  A document's score is
 the mean over its words of the target loss less the background loss, in nats:
 the lower, the more it resembles the target.
 
-All counts cover the whole corpus: every task counts the n-grams of its part,
-and Spark adds them up by key.  What scoring needs is bounded by shares, not by
-caps: a word is in the vocabulary if it makes up at least ``WORD_SHARE`` of
-all words, so there are at most ``1 / WORD_SHARE``; a bigram is listed if it
-makes up at least ``BIGRAM_SHARE`` of either corpus, so there are at most
-``2 / BIGRAM_SHARE`` (under 50 MB).  Other words are the unknown word, other
-bigrams back off to the unigram, with the weight that their listed ones leave.
+Every word and every bigram of the corpus is in the models, however rare, so
+what scoring reads grows with the input.  Documents are dealt into parts of
+about ``PART_BYTES`` of text.  A part sends its distinct n-grams with their
+counts, a sorted run for each bucket of hashes; a bucket adds up the runs of
+all parts and answers each with the sums in the order of its run; a part's
+documents are then scored against the sums of its own n-grams.  A frequent
+n-gram counts once a part, so no bucket is hot, and nothing is broadcast but
+the size of the vocabulary.
+
+A share set in ``WORD_SHARE`` or ``BIGRAM_SHARE`` asks for a small model on
+purpose: rarer words are the unknown word, rarer bigrams back off to the
+unigram with the weight that their listed ones leave, and the lists, at most
+``1 / WORD_SHARE`` and ``2 / BIGRAM_SHARE`` long, are broadcast.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` in lower case (A-Z).
 
@@ -29,15 +35,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, by_value, chunks, stored, table, text_or_empty, word_hashes, word_spans
+from .common import LOWER, by_value, chunks, mix, seeded, shuffle_parts, stored, table, text_or_empty, word_hashes, word_spans
 
 by_value(__name__)
 
-WORD_SHARE = 1e-5
-BIGRAM_SHARE = 1e-6
+#: least share of a known word and of a listed bigram; at 0 all are
+WORD_SHARE = 0.0
+BIGRAM_SHARE = 0.0
+#: text of the documents that are counted and scored together
+PART_BYTES = 8 << 20
+#: text whose n-grams make up a bucket
+BUCKET_BYTES = 32 << 20
 #: weight of the listed bigrams against the unigrams
 WEIGHT = 0.7
 #: distinct keys that a task holds before it hands them on
@@ -189,8 +200,19 @@ def fit(docs: DataFrame, target_ids: DataFrame):
     return vocabulary, spark.sparkContext.broadcast((keys, *models))
 
 
-def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """doc_id, n_words, loss_target, loss_background, score."""
+SCORES = "doc_id long, n_words long, loss_target double, loss_background double, score double"
+
+
+def means(ids: pa.Array, row: np.ndarray, target: np.ndarray, background: np.ndarray) -> pa.RecordBatch:
+    """The scores of documents from the losses of their words."""
+    n = np.bincount(row, minlength=len(ids))
+    mean = [np.bincount(row, x, len(ids)) / np.maximum(n, 1) for x in (target, background, target - background)]
+    columns = [pa.array(x, pa.float64(), mask=n == 0) for x in mean]
+    return pa.RecordBatch.from_arrays([ids, pa.array(n.astype(np.int64)), *columns], names=["doc_id", "n_words", "loss_target", "loss_background", "score"])
+
+
+def score_listed(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """``score`` with the words and bigrams of at least the given shares."""
     vocabulary, models = fit(docs, target_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,15 +223,135 @@ def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
             at = np.minimum(np.searchsorted(listed, keys), max(len(listed) - 1, 0))
             hit = listed[at] == keys if len(listed) else np.zeros(len(keys), bool)
             b, t = background.loss(at, hit, context, ids), target.loss(at, hit, context, ids)
-            n = np.bincount(row, minlength=len(batch))
-            mean = [np.bincount(row, x, len(batch)) / np.maximum(n, 1) for x in (t, b, t - b)]
-            columns = [pa.array(x, pa.float64(), mask=n == 0) for x in mean]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n.astype(np.int64)), *columns], names=["doc_id", "n_words", "loss_target", "loss_background", "score"]
-            )
-
-    schema = "doc_id long, n_words long, loss_target double, loss_background double, score double"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, schema)
+            yield means(batch.column(0), row, t, b)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, SCORES)
+
+
+#: the n-gram of no word, which counts all of them; the start; what tells a
+#: context from a word; the two places of a bigram
+TOTAL, START, CONTEXT, FIRST, SECOND = seeded(5, 23) | np.uint64(1)
+
+
+def packed(x: np.ndarray) -> bytes:
+    """64-bit values as bytes, compressed place by place."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T), codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes, n: int, kind: type) -> np.ndarray:
+    places = np.frombuffer(pa.decompress(raw, 8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(places.reshape(8, n).T).view(kind).ravel()
+
+
+def gram_keys(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of each word, of the word before as a context and of both as a
+    bigram, and the word's row."""
+    words, row = lowered_words(data, offs)
+    before = np.full(len(words), START)
+    before[1:] = np.where(row[1:] == row[:-1], words[:-1], START)
+    pairs = mix(before * FIRST + words * SECOND)
+    return words, mix(before ^ CONTEXT), pairs, row
+
+
+def summed(keys: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
+    """Distinct keys in order and their summed counts."""
+    keys, inverse = np.unique(keys, return_inverse=True)
+    return [keys, *(np.bincount(inverse, n, len(keys)).astype(np.int64) for n in counts)]
+
+
+def part_grams(texts: pa.Table, targets: np.ndarray) -> list[np.ndarray]:
+    """Distinct n-grams of a part in order, and how often they occur in all of
+    its documents and in the targets."""
+    out = [[np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]]
+    for batch, data, offs in chunks(iter(texts.to_batches()), "text"):
+        words, contexts, pairs, row = gram_keys(data, offs)
+        ids = batch.column("doc_id")
+        target = ids.is_valid().to_numpy(zero_copy_only=False) & np.isin(ids.fill_null(0).to_numpy(), targets)
+        flags = np.tile(target[row], 4)
+        total = np.full(len(words), TOTAL)
+        out.append(summed(np.concatenate([words, contexts, pairs, total]), np.ones(len(flags)), flags))
+    return summed(*map(np.concatenate, zip(*out, strict=True)))
+
+
+def parted(docs: DataFrame, parts: int) -> DataFrame:
+    """part, doc_id, text; a document's part follows from its id."""
+    key = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return text.select(F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("part"), "doc_id", "text")
+
+
+def gram_counts(docs: DataFrame, target_ids: DataFrame, parts: int, buckets: int) -> DataFrame:
+    """part, bucket, n, counts: how often the ``n`` n-grams of the part in the
+    bucket, in order, occur in all documents and in all targets."""
+
+    def send(texts: pa.Table, labels: pa.Table) -> pa.Table:
+        keys, n_all, n_target = part_grams(texts, labels.column("doc_id").to_numpy())
+        # buckets are ranges of the upper half of the hash
+        at = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        found, start = np.unique(at, return_index=True)
+        runs = [slice(i, j) for i, j in zip(start, np.append(start[1:], len(keys)), strict=False)]
+        part = texts.column("part")[0].as_py() if runs else 0
+        return pa.table(
+            {
+                "part": pa.array([part] * len(runs), pa.int32()),
+                "bucket": pa.array(found, pa.int32()),
+                "n": pa.array([r.stop - r.start for r in runs], pa.int32()),
+                "keys": pa.array([packed(np.diff(keys[r], prepend=np.uint64(0))) for r in runs], pa.binary()),
+                "counts": pa.array([packed(np.concatenate([n_all[r], n_target[r]])) for r in runs], pa.binary()),
+            }
+        )
+
+    def answer(runs: pa.Table) -> pa.Table:
+        n = runs.column("n").to_pylist()
+        keys = np.concatenate([np.cumsum(unpacked(raw, k, np.uint64), dtype=np.uint64) for raw, k in zip(runs.column("keys").to_pylist(), n, strict=True)])
+        counts = [unpacked(raw, 2 * k, np.int64).reshape(2, k) for raw, k in zip(runs.column("counts").to_pylist(), n, strict=True)]
+        distinct, inverse = np.unique(keys, return_inverse=True)
+        sums = [np.bincount(inverse, np.concatenate([c[i] for c in counts]), len(distinct)).astype(np.int64)[inverse] for i in (0, 1)]
+        ends = np.cumsum(n)
+        back = [packed(np.concatenate([x[end - k : end] for x in sums])) for end, k in zip(ends, n, strict=True)]
+        return runs.select(["part", "bucket", "n"]).append_column("counts", pa.array(back, pa.binary()))
+
+    ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    labels = ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("part"), "doc_id")
+    sent = parted(docs, parts).groupBy("part").cogroup(labels.groupBy("part")).applyInArrow(send, "part int, bucket int, n int, keys binary, counts binary")
+    return sent.groupBy("bucket").applyInArrow(answer, "part int, bucket int, n int, counts binary")
+
+
+def score_all(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """``score`` with every word and bigram."""
+    size = docs.agg(F.sum(F.octet_length(text_or_empty()))).first()[0] or 0
+    # small inputs have parts and buckets for every task
+    least = 2 * shuffle_parts(docs.sparkSession)
+    parts, buckets = (max(-(-size // b), least) for b in (PART_BYTES, BUCKET_BYTES))
+    kinds = word_counts(docs).count() + 1  # and a word never seen
+    scored = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), *((c, pa.float64()) for c in ("loss_target", "loss_background", "score"))])
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        keys = part_grams(texts, np.zeros(0, np.int64))[0]
+        answers = answers.sort_by("bucket")
+        got = [unpacked(raw, 2 * k, np.int64).reshape(2, k) for raw, k in zip(answers.column("counts").to_pylist(), answers.column("n").to_pylist(), strict=True)]
+        n_all, n_target = np.concatenate([np.zeros((2, 0)), *got], axis=1)
+        all_at = np.searchsorted(keys, TOTAL)
+        out = []
+        for batch, data, offs in chunks(iter(texts.to_batches()), "text"):
+            *grams, row = gram_keys(data, offs)
+            word, context, pair = (np.searchsorted(keys, k) for k in grams)
+            losses = []
+            for n in (n_target, n_all):
+                before = n[context]
+                left = np.where(before > 0, 1.0 - WEIGHT, 1.0)
+                unigram = (n[word] + 1.0) / (n[all_at : all_at + 1].sum() + kinds)
+                losses.append(-np.log(left * unigram + WEIGHT * n[pair] / np.maximum(before, 1.0)))
+            out.append(means(batch.column("doc_id"), row, *losses))
+        return pa.Table.from_batches(out, schema=scored)
+
+    counted = gram_counts(docs, target_ids, parts, buckets)
+    return parted(docs, parts).groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(run, SCORES)
+
+
+def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """doc_id, n_words, loss_target, loss_background, score."""
+    return (score_listed if WORD_SHARE or BIGRAM_SHARE else score_all)(docs, target_ids)
 
 
 def op1_cross_entropy_difference(spark, sf_dir: str) -> DataFrame:
