@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_value, chunks, seeded, table, text_or_empty
+from .common import LOWER, by_value, chunks, seeded, table, text_or_empty
 
 by_value(__name__)
 
@@ -42,6 +42,13 @@ EPOCHS = 6
 #: windows that are convolved at a time
 BLOCK = 512
 UNKNOWN = "und"
+#: bytes that a byte's successors are smoothed by
+PAIR_PRIOR = 5.0
+#: usual bytes that a text is lengthened by, see ``recognised``
+LIKE_PRIOR = 32.0
+REJECT = 4.0
+#: least margin of ``recognised``, for a few documents that are all alike
+LEAST_MARGIN = 1.0
 
 
 @dataclass
@@ -161,9 +168,9 @@ def cut_windows(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return x, doc, used
 
 
-def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Network | None:
-    """A network for the languages of ``labelled`` (doc_id, text, lang); None
-    if there is nothing to learn from."""
+def sample_windows(labelled: DataFrame, per_lang: int = PER_LANG) -> tuple[list[bytes], list[str]]:
+    """Windows of a bounded sample of ``labelled`` (doc_id, text, lang) and the
+    language of each."""
     rank = Window.partitionBy("lang").orderBy("key", "text")
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64(F.lit("sample"), F.col("doc_id").cast("string")).alias("key")
@@ -177,13 +184,19 @@ def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Network | None:
     small = some.select("lang", "key", F.array(*picks).alias("text"))
     sample = small.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= per_lang)
     got = sample.select("lang", F.explode("text").alias("text")).where(F.col("text").rlike(r"\p{L}")).toArrow()
-    langs = sorted(set(got.column("lang").to_pylist()))
+    return [t.encode()[:WINDOW] for t in got.column("text").to_pylist()], got.column("lang").to_pylist()
+
+
+def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Network | None:
+    """A network for the languages of ``labelled`` (doc_id, text, lang); None
+    if there is nothing to learn from."""
+    raw, lang_of = sample_windows(labelled, per_lang)
+    langs = sorted(set(lang_of))
     if not langs:
         return None
-    raw = [t.encode()[:WINDOW] for t in got.column("text").to_pylist()]
     x = np.frombuffer(b"".join(r.ljust(WINDOW, b"\0") for r in raw), np.uint8).reshape(len(raw), WINDOW)
     code = {lang: i for i, lang in enumerate(langs)}
-    y = np.array([code[lang] for lang in got.column("lang").to_pylist()])
+    y = np.array([code[lang] for lang in lang_of])
     order = np.argsort(np.array([hash_of(r) for r in raw], np.uint64), kind="stable")
     return fit(x[order], y[order], langs)
 
@@ -224,6 +237,67 @@ def held_out() -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
+def byte_pairs(labelled: DataFrame) -> np.ndarray | None:
+    """Logarithms of the chance of each byte after each other in every language,
+    A-Z in lower case (byte 0 stands before the first); None without labelled text."""
+    raw, lang_of = sample_windows(labelled)
+    tables = []
+    for lang in sorted(set(lang_of)):
+        texts = [LOWER[np.frombuffer(r, np.uint8)] for r, own in zip(raw, lang_of, strict=True) if own == lang]
+        n = np.zeros((256, 256))
+        for t in texts:
+            np.add.at(n, (t[:-1], t[1:]), 1)
+        single = np.bincount(np.concatenate(texts), minlength=256) + 0.5
+        n[0] = 0  # windows begin anywhere: any byte may be the first
+        single /= single.sum()
+        tables.append(np.log((n + PAIR_PRIOR * single) / (n.sum(axis=1, keepdims=True) + PAIR_PRIOR)))
+    return np.stack(tables) if tables else None
+
+
+def likeness(docs: DataFrame, tables: np.ndarray, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` with ``n_bytes`` and ``like``, the mean logarithm of
+    the chance of the text's bytes in the language that fits it best."""
+    columns = [F.col(f"`{c}`") for c in keep]
+    source = docs.select(*columns, text_or_empty().alias("_model_text"))
+    schema = source.select(*columns, F.lit(0).cast("long").alias("n_bytes"), F.lit(0.0).alias("like")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat = tables.reshape(len(tables), -1)
+        for batch, data, offs in chunks(batches, "_model_text"):
+            n, data = np.diff(offs), LOWER[data]
+            before = np.zeros(len(data), np.int64)
+            before[1:] = data[:-1]
+            before[offs[:-1][n > 0]] = 0
+            pair = before * 256 + data
+            row = np.repeat(np.arange(len(n)), n)
+            like = np.max([np.bincount(row, t[pair], len(n)) for t in flat], axis=0) / np.maximum(n, 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(n), pa.array(like)], names=[*keep, "n_bytes", "like"])
+
+    return source.mapInArrow(run, schema)
+
+
+def recognised(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of the documents (doc_id, text, lang) whose text looks
+    like one of the labelled languages, however many these are.
+
+    Labelled documents that aren't held out give the chances of byte pairs, held
+    out ones (or all, if none is) what is usual: a document goes if it lies
+    ``REJECT`` times as far below their median as the lowest hundredth of them
+    begins, and by ``LEAST_MARGIN`` at least.  A short text counts as if ``LIKE_PRIOR`` usual bytes followed it.
+    Texts without a letter go; without labelled text all do."""
+    letters = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
+    labelled = docs.where(F.col("lang").isNotNull() & letters).select("doc_id", "text", "lang")
+    for learn, usual in ((~held_out(), held_out()), (F.lit(True), F.lit(True))):
+        tables = byte_pairs(labelled.where(learn))
+        if tables is None:
+            continue
+        low, middle = likeness(labelled.where(usual), tables, ["doc_id"]).agg(F.percentile_approx("like", [0.01, 0.5], 10_000)).first()[0] or (None, None)
+        if low is not None:
+            like = (F.col("like") * F.col("n_bytes") + LIKE_PRIOR * middle) / (F.col("n_bytes") + LIKE_PRIOR)
+            return likeness(docs.where(letters), tables, keep).where(like >= middle - max(REJECT * (middle - low), LEAST_MARGIN)).select(*[f"`{c}`" for c in keep])
+    return docs.where(F.lit(False)).select(*[f"`{c}`" for c in keep])
+
+
 def learn_and_predict(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Train on the documents that aren't held out, then predict all."""
     return predict(docs, train(docs.where(~held_out()).select("doc_id", "text", "lang")), keep)
