@@ -10,10 +10,12 @@ separators in the interval are the occurrences that can't be extended to the
 right, as those in the first can't be extended to the left.  All intervals of
 one length are extended at once by numpy.
 
-Shards are summed by phrase text, length by length.  A phrase can only be as
-frequent as the phrases it holds, so the next pass extends a phrase only by
-what was frequent over all shards (a broadcast Bloom filter of fixed size; what it
-lets through by mistake is counted and dropped, so results are exact).
+Shards are summed length by length, first by a hash of the phrase.  A phrase can
+only be as frequent as the phrases it holds, so the next pass extends a phrase
+only by what was frequent over all shards.  A last pass sums the text of what was
+frequent by hash.  Hashes reach the shards as broadcast Bloom filters of fixed
+size; what they or a collision let through by mistake is counted by its text and
+dropped, so results are exact.
 
 A candidate is scored at each of its cuts by its count against those of both
 sides, and dropped if a longer candidate that holds it is nearly as frequent.
@@ -31,10 +33,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, by_value, chunks, filter_bits, filter_of, filter_places, mix, spans, stored, table, text_or_empty, word_hashes
+from touchline.session import scratch_path
+
+from .common import LOWER, by_value, chunks, filter_of, filter_places, mix, spans, stored, table, text_or_empty, word_hashes
 
 by_value(__name__)
 
@@ -52,10 +56,10 @@ BREAK[[*b".,;:!?", *range(10, 14)]] = True
 BLANK = BREAK.copy()
 BLANK[[9, 32]] = True
 
-INDEX = "lang string, words array<string>, counts binary, bwt binary, rbwt binary"
-NAMES = ["lang", "words", "counts", "bwt", "rbwt"]
-TYPES = [pa.string(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary()]
-FOUND = "lang string, phrase string, hash long, f long, left long, right long"
+INDEX = "lang string, size long, words array<string>, counts binary, bwt binary, rbwt binary"
+NAMES = ["lang", "size", "words", "counts", "bwt", "rbwt"]
+TYPES = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary()]
+FOUND = "lang string, phrase string, words int, f long, left long, right long"
 
 
 def suffix_order(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -100,7 +104,7 @@ def shard_row(lang: str, texts: list[np.ndarray]) -> list:
     ids[at] = word + 1
     counts = np.bincount(ids, minlength=len(words) + 1)
     backward = ids[::-1].copy()
-    return [lang, words, counts.astype(np.int64).tobytes(), transform(ids, DEPTH).tobytes(), transform(backward, DEPTH).tobytes()]
+    return [lang, len(word), words, counts.astype(np.int64).tobytes(), transform(ids, DEPTH).tobytes(), transform(backward, DEPTH).tobytes()]
 
 
 def shards(docs: DataFrame, size: int = SHARD) -> DataFrame:
@@ -207,37 +211,79 @@ class Index:
     def rows(self, level: dict, lang: str) -> pa.RecordBatch:
         lo, rlo, size, ids = (level[k] for k in ("lo", "rlo", "size", "ids"))
         phrase = [self.phrases.take(pa.array(ids[:, k])) for k in range(ids.shape[1])]
-        stops = np.concatenate([[0], np.cumsum(self.bwt == 0)])
-        left = size - (stops[lo + size] - stops[lo])
+        starts = np.concatenate([[0], np.cumsum(self.bwt == 0)])
+        left = size - (starts[lo + size] - starts[lo])
         right = size - (self.stops[rlo + size] - self.stops[rlo])
         text = phrase[0] if len(phrase) == 1 else pc.binary_join_element_wise(*phrase, " ")
-        columns = [pa.repeat(pa.scalar(lang, pa.string()), len(ids)), text, pa.array(self.hash_of(level).view(np.int64)), *[pa.array(x, pa.int64()) for x in (size, left, right)]]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "hash", "f", "left", "right"])
+        columns = [pa.repeat(pa.scalar(lang, pa.string()), len(ids)), text, pa.repeat(pa.scalar(ids.shape[1], pa.int32()), len(ids))]
+        return pa.RecordBatch.from_arrays(columns + [pa.array(x, pa.int64()) for x in (size, left, right)], names=["lang", "phrase", "words", "f", "left", "right"])
+
 
+def written(df: DataFrame, name: str) -> str:
+    """The path of ``df`` as a Parquet table in the shared checkpoint folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return path
 
-def passing(level: dict, hashes: np.ndarray, bits: np.ndarray) -> dict:
-    high, low = filter_places(hashes)
-    keep = bits[high] & bits[low]
+
+def passing(level: dict, hashes: np.ndarray, words: np.ndarray) -> dict:
+    """The phrases whose hashes pass a filter (its 64-bit words)."""
+    keep = np.ones(len(hashes), bool)
+    for places in filter_places(hashes):
+        keep &= (words[places >> 6] >> (places & 63) & 1).astype(bool)
     return {k: v[keep] for k, v in level.items()}
 
 
-def phrases(index: DataFrame, frequent: list) -> DataFrame:
-    """Every phrase of one word more than there are filters in ``frequent`` of each
-    shard, if its shorter phrases all pass those: lang, phrase, hash, f, left
-    and right (occurrences that a word goes before, comes after)."""
+def reading(spark: SparkSession, rows: int) -> SparkSession:
+    """A session that reads ``rows`` rows at a time, for tables of long rows."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key in ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch"):
+        own.conf.set(key, str(rows))
+    return own
+
+
+def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Index]]:
+    for batch in batches:
+        for i in range(len(batch)):
+            lang, counts, bwt, rbwt = (batch.column(k)[i].as_py() for k in (0, 3, 4, 5))
+            yield lang, Index(lang, batch.column(2)[i].values, counts, bwt, rbwt)
+
+
+def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(batch), 1 << 15):
+        yield batch.slice(at, 1 << 15)
+
+
+def phrase_hashes(index: DataFrame, frequent: list) -> DataFrame:
+    """hash, f of every phrase of one word more than there are filters in
+    ``frequent``, in each shard, if its shorter phrases pass those."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = [f.value for f in frequent]
+        for _, shard in opened(batches):
+            level = shard.singles()
+            for words in filters:
+                level = shard.extended(passing(level, shard.hash_of(level), words))
+            yield from sliced(pa.RecordBatch.from_arrays([pa.array(shard.hash_of(level).view(np.int64)), pa.array(level["size"], pa.int64())], names=["hash", "f"]))
+
+    return index.mapInArrow(run, "hash long, f long")
+
+
+def phrase_texts(index: DataFrame, frequent: list) -> DataFrame:
+    """lang, phrase, words, f, left and right (occurrences that a word goes
+    before, comes after) of the phrases of each shard that pass the filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = [filter_bits(f.value) for f in frequent]
-        for batch in batches:
-            for i in range(len(batch)):
-                lang, counts, bwt, rbwt = (batch.column(k)[i].as_py() for k in (0, 2, 3, 4))
-                shard = Index(lang, batch.column(1)[i].values, counts, bwt, rbwt)
-                level = shard.singles()
-                for bits in filters:
-                    level = shard.extended(passing(level, shard.hash_of(level), bits))
-                out = shard.rows(level, lang)
-                for at in range(0, len(out), 1 << 17):
-                    yield out.slice(at, 1 << 17)
+        filters = [f.value for f in frequent]
+        for lang, shard in opened(batches):
+            level = shard.singles()
+            for k, words in enumerate(filters):
+                level = shard.extended(level) if k else level
+                level = passing(level, shard.hash_of(level), words)
+                yield from sliced(shard.rows(level, lang))
 
     return index.mapInArrow(run, FOUND)
 
@@ -245,22 +291,17 @@ def phrases(index: DataFrame, frequent: list) -> DataFrame:
 def counted(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, size: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """lang, phrase, words, f, left, right of all phrases of up to ``depth`` words
     that occur ``least`` times in a language; and lang, n (all words)."""
-    index = stored(shards(docs, size), "shards")
-    totals, found, filters = None, [], []
-    for length in range(1, depth + 1):
-        sums = [F.sum(c).alias(c) for c in ("f", "left", "right")]
-        rows = phrases(index, filters).groupBy("lang", "phrase").agg(F.first("hash").alias("hash"), *sums)
-        if length == 1:
-            rows = stored(rows, "words")
-            totals = stored(rows.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
-        level = stored(rows.where(F.col("f") >= least), "phrases")
-        found.append(level.select("lang", "phrase", F.lit(length).alias("words"), "f", "left", "right"))
-        if length < depth:
-            filters.append(filter_of(level.select(F.col("hash").alias("value"))))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionAll(more)
-    return out, totals
+    spark = docs.sparkSession
+    path = written(shards(docs, size), "shards")
+    index, frequent = reading(spark, 1).read.parquet(path), []
+    for _ in range(depth):
+        sums = phrase_hashes(index, frequent).groupBy("hash").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+        hashes = spark.read.parquet(written(sums.select(F.col("hash").alias("value")), "hashes"))
+        frequent.append(filter_of(hashes))
+    sums = [F.sum(c).alias(c) for c in ("f", "left", "right")]
+    texts = phrase_texts(index, frequent).groupBy("lang", "phrase", "words").agg(*sums).where(F.col("f") >= least)
+    totals = spark.read.parquet(path).groupBy("lang").agg(F.sum("size").alias("n"))
+    return spark.read.parquet(written(texts, "phrases")), totals
 
 
 def part(first, count) -> F.Column:
