@@ -59,7 +59,10 @@ BLANK[[9, 32]] = True
 INDEX = "lang string, size long, words array<string>, counts binary, bwt binary, rbwt binary"
 NAMES = ["lang", "size", "words", "counts", "bwt", "rbwt"]
 TYPES = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary()]
-FOUND = "lang string, phrase string, words int, f long, left long, right long"
+FOUND = "lang string, phrase string, words int, f long, starts long, ends long"
+FOUND_NAMES = ["lang", "phrase", "words", "f", "starts", "ends"]
+#: bits of a phrase's hash that are summed; fewer make fewer bytes to shuffle
+HASH_BITS = 40
 
 
 def suffix_order(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -206,17 +209,16 @@ class Index:
         out = np.repeat(self.lang, len(ids))
         for k in range(ids.shape[1]):
             out = mix(out * np.uint64(0x9E3779B97F4A7C15) + self.hashes[ids[:, k]])
-        return out
+        return out >> np.uint64(64 - HASH_BITS)
 
     def rows(self, level: dict, lang: str) -> pa.RecordBatch:
         lo, rlo, size, ids = (level[k] for k in ("lo", "rlo", "size", "ids"))
         phrase = [self.phrases.take(pa.array(ids[:, k])) for k in range(ids.shape[1])]
         starts = np.concatenate([[0], np.cumsum(self.bwt == 0)])
-        left = size - (starts[lo + size] - starts[lo])
-        right = size - (self.stops[rlo + size] - self.stops[rlo])
+        first, last = starts[lo + size] - starts[lo], self.stops[rlo + size] - self.stops[rlo]
         text = phrase[0] if len(phrase) == 1 else pc.binary_join_element_wise(*phrase, " ")
         columns = [pa.repeat(pa.scalar(lang, pa.string()), len(ids)), text, pa.repeat(pa.scalar(ids.shape[1], pa.int32()), len(ids))]
-        return pa.RecordBatch.from_arrays(columns + [pa.array(x, pa.int64()) for x in (size, left, right)], names=["lang", "phrase", "words", "f", "left", "right"])
+        return pa.RecordBatch.from_arrays(columns + [pa.array(x, pa.int64()) for x in (size, first, last)], names=FOUND_NAMES)
 
 
 def written(df: DataFrame, name: str) -> str:
@@ -226,10 +228,17 @@ def written(df: DataFrame, name: str) -> str:
     return path
 
 
+def filtered(hashes: DataFrame):
+    """A filter of the column ``hash``, whose bits are spread over 64."""
+    low = (1 << 64 - HASH_BITS) - 1
+    return filter_of(hashes.select(F.shiftleft("hash", 64 - HASH_BITS).bitwiseOR(F.col("hash").bitwiseAND(F.lit(low))).alias("value")))
+
+
 def passing(level: dict, hashes: np.ndarray, words: np.ndarray) -> dict:
     """The phrases whose hashes pass a filter (its 64-bit words)."""
     keep = np.ones(len(hashes), bool)
-    for places in filter_places(hashes):
+    spread = np.uint64(64 - HASH_BITS)
+    for places in filter_places(hashes << spread | hashes & ((np.uint64(1) << spread) - np.uint64(1))):
         keep &= (words[places >> 6] >> (places & 63) & 1).astype(bool)
     return {k: v[keep] for k, v in level.items()}
 
@@ -273,8 +282,8 @@ def phrase_hashes(index: DataFrame, frequent: list) -> DataFrame:
 
 
 def phrase_texts(index: DataFrame, frequent: list) -> DataFrame:
-    """lang, phrase, words, f, left and right (occurrences that a word goes
-    before, comes after) of the phrases of each shard that pass the filters."""
+    """lang, phrase, words, f, starts and ends (occurrences that begin, end a
+    piece) of the phrases of each shard that pass the filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [f.value for f in frequent]
@@ -289,17 +298,17 @@ def phrase_texts(index: DataFrame, frequent: list) -> DataFrame:
 
 
 def counted(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, size: int = SHARD) -> tuple[DataFrame, DataFrame]:
-    """lang, phrase, words, f, left, right of all phrases of up to ``depth`` words
-    that occur ``least`` times in a language; and lang, n (all words)."""
+    """lang, phrase, words, f, left, right (occurrences that a word goes before,
+    comes after) of all phrases of up to ``depth`` words that occur ``least`` times in a language; and lang, n (all words)."""
     spark = docs.sparkSession
     path = written(shards(docs, size), "shards")
     index, frequent = reading(spark, 1).read.parquet(path), []
     for _ in range(depth):
         sums = phrase_hashes(index, frequent).groupBy("hash").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-        hashes = spark.read.parquet(written(sums.select(F.col("hash").alias("value")), "hashes"))
-        frequent.append(filter_of(hashes))
-    sums = [F.sum(c).alias(c) for c in ("f", "left", "right")]
+        frequent.append(filtered(spark.read.parquet(written(sums.select("hash"), "hashes"))))
+    sums = [F.sum(c).alias(c) for c in ("f", "starts", "ends")]
     texts = phrase_texts(index, frequent).groupBy("lang", "phrase", "words").agg(*sums).where(F.col("f") >= least)
+    texts = texts.select("lang", "phrase", "words", "f", (F.col("f") - F.col("starts")).alias("left"), (F.col("f") - F.col("ends")).alias("right"))
     totals = spark.read.parquet(path).groupBy("lang").agg(F.sum("size").alias("n"))
     return spark.read.parquet(written(texts, "phrases")), totals
 
