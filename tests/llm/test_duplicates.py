@@ -82,6 +82,25 @@ def test_near_duplicates_deep_and_large(spark, monkeypatch):
     check_near(spark, fixture(2))
 
 
+def test_a_large_group_of_near_copies_is_not_branched(spark, monkeypatch):
+    """Members that resemble one member only stay findable, and the group's
+    nodes have a row a class and tree, however many levels there are."""
+    rng = random.Random(9)
+    base = words(rng, 120, of=5000)
+    rows = [(i, " ".join(base[:k] + [f"x{i}"] + base[k + 1 :])) for i, k in enumerate(rng.choices(range(120), k=150))]
+    chain = rows[0][1].split()
+    for i in range(200, 212):  # each resembles the one before
+        chain = chain[8:] + [f"y{i}_{j}" for j in range(8)]
+        rows.append((i, " ".join(chain)))
+    rows += [(300 + i, " ".join(words(rng, 90, of=5000))) for i in range(60)]
+    monkeypatch.setattr(neardup, "LEAF", 16)
+    made, kept = [], neardup.stored
+    monkeypatch.setattr(neardup, "stored", lambda df, name: made.append((name, kept(df, name))) or made[-1][1])
+    check_near(spark, rows)
+    nodes = [df.count() for name, df in made if name == "nodes"]
+    assert sum(nodes[1:]) < nodes[0] / 2
+
+
 def test_near_duplicates_odd_tables(spark):
     assert neardup.near_duplicates(frame(spark, [])).count() == 0
     got = neardup.near_duplicates(frame(spark, [(None, "a b c d e"), (4, "a b c d e"), (None, None), (9, "A B c d e")])).collect()

@@ -16,8 +16,8 @@ group of copies takes one comparison a member.  A pair is left out only if
 both ends are in one component or one of them was compared with the whole
 group; the components are exact for the pairs that the trees brought together.
 
-Nothing is capped.  A large node that keeps ``UNSPLIT`` of its parent's classes
-or is left after ``DEPTH`` levels is a candidate group as a whole, tied to its
+Nothing is capped.  A large node that keeps ``UNSPLIT`` of its parent's classes,
+of whose classes so many agree with one, or that is left after ``DEPTH`` levels is a candidate group as a whole, tied to its
 smallest member; a candidate group of more than
 ``GROUP_SHINGLES`` shingles is resolved by the same comparisons in rounds of
 distributed jobs instead of in one task.
@@ -49,7 +49,8 @@ TREES = 12
 DOUBLE = 3
 LEAF = 64
 DEPTH = 5
-#: share of its parent's classes from which a large node is a group as a whole
+#: share of its parent's classes, or of near copies of one of its classes, from
+#: which a large node is a group as a whole
 UNSPLIT = 0.7
 #: agreeing tokens of 64 that make a candidate; a pair at the threshold has 51
 #: on average, with a standard deviation of 3.2
@@ -170,18 +171,40 @@ def agreeing(nodes: DataFrame) -> DataFrame:
     return nodes.select("members").mapInArrow(run, "a binary, b binary")
 
 
+def dense_nodes(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """node, dense: whether ``UNSPLIT`` of the classes of a node agree with one of
+    them, which a hash picks.  Branching would carry every one of such a group of
+    near copies through all levels of all trees."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, one = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, POSITIONS) for k in (1, 2))
+            agrees = (own == one).sum(axis=1) >= AGREE
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(agrees.astype(np.float64))], names=["node", "agrees"])
+
+    rows = large.select("node", "class").join(classes.select("class", "sketch"), "class")
+    picked = rows.groupBy("node").agg(F.min_by("sketch", F.xxhash64("class", "node")).alias("one"))
+    compared_ = rows.join(picked, "node").select("node", "sketch", "one").mapInArrow(run, "node long, agrees double")
+    return compared_.groupBy("node").agg((F.avg("agrees") >= UNSPLIT).alias("dense"))
+
+
 def candidates(classes: DataFrame) -> DataFrame:
     """Candidate edges (a, b) between classes (class, roots, sketch).
 
-    A large node that keeps most of its parent's classes can't be split by
-    branching: its classes are a candidate group, each tied to the smallest.
+    A large node that keeps most of its parent's classes, or most of whose
+    classes are near copies of one, isn't split by branching: its classes are a
+    candidate group as a whole, each tied to the smallest.  Nothing leaves a
+    node, so each class stays findable from all its nodes.
     """
     rows = classes.select(F.explode("roots").alias("node"), "class", F.lit(None).cast("long").alias("before"))
     found = None
     for level in range(1, DEPTH + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("class").alias("least")).where("n > 1")
         shared = stored(rows.join(sizes, "node"), "nodes")
-        whole = F.col("n") >= F.lit(UNSPLIT) * F.col("before") if level < DEPTH else F.lit(True)
+        if level < DEPTH:
+            dense = stored(dense_nodes(shared.where(F.col("n") > LEAF), classes), "dense")
+            shared = shared.join(dense, "node", "left")
+        whole = F.col("dense") | (F.col("n") >= F.lit(UNSPLIT) * F.col("before")) if level < DEPTH else F.lit(True)
         whole = (F.col("n") > LEAF) & F.coalesce(whole, F.lit(False))
         small = shared.where(F.col("n") <= LEAF).join(classes.select("class", "sketch"), "class")
         edges = agreeing(small.groupBy("node").agg(F.collect_list(F.struct("class", "sketch")).alias("members")))
