@@ -97,6 +97,41 @@ def test_continuous_intake_processes_each_file_once(spark, workdir):
     more = [SHOP_DAY[1], hit(1_700_000_050, "172.16.3.3", "Phone 2", "1", "E;Z;1;9;")]
     write_tsv(more, inbox, "b.tsv", fields=["referrer", "product_list", "event_list", "user_agent", "ip", "hit_time_gmt"])
     assert report(1) == ["yahoo.com\ttent pegs\t9.00"]
+    # a file written anew under its old name is run once more, over a restart,
+    # and the untouched one is not
+    changed = [*more, hit(1_700_000_060, "172.16.3.3", "Phone 2", "1", "E;Z;1;1;")]
+    write_tsv(changed, inbox, "b.tsv")
+    assert report(2) == ["yahoo.com\ttent pegs\t10.00"]
+    assert report(2) and sorted(os.listdir(out)) == ["batch=0", "batch=1", "batch=2"]
+    runs = spark.read.parquet(f"{chk}/ledger").groupBy("input_key").count().collect()
+    assert sorted((r.input_key.rsplit("/", 1)[1], r["count"]) for r in runs) == [("a.tsv", 1), ("b.tsv", 2)]
+
+
+def test_intake_runs_again_what_was_not_recorded(spark, workdir):
+    """A run that failed before its ledger entry writes the same folder again."""
+    from tests.hits import SHOP_DAY, SHOP_DAY_RESULT, write_tsv
+    from touchline.sources import intake
+    from touchline.streaming.runner import attribute_each_batch
+
+    inbox, out, ledger = (os.path.join(workdir, x) for x in ("in", "out", "ledger"))
+    os.makedirs(inbox)
+    for name in ("a.tsv", "b.tsv"):
+        write_tsv(SHOP_DAY, inbox, name)
+
+    def refuse(*a):
+        raise OSError("no ledger today")
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(intake, "record_processed", refuse)
+        with pytest.raises(OSError):
+            attribute_each_batch(inbox, out, ledger)(spark.range(1), 0)
+    assert os.listdir(out) == ["batch=0"]
+    attribute_each_batch(inbox, out, ledger)(spark.range(1), 0)
+    assert sorted(os.listdir(out)) == ["batch=0", "batch=1"]
+    for n in (0, 1):
+        [name] = [f for f in os.listdir(f"{out}/batch={n}") if f.endswith(".tab")]
+        with open(f"{out}/batch={n}/{name}") as fh:
+            assert fh.read().splitlines()[1:] == ["\t".join(r) for r in SHOP_DAY_RESULT]
 
 
 @pytest.mark.parametrize("order,timeout", [("file", None), ("time", 21600)])
@@ -135,3 +170,199 @@ def test_running_totals_merge_equals_batch(spark, workdir, order, timeout):
     lost = spark.read.parquet(os.path.join(workdir, "again", "out"))
     with pytest.raises(CheckpointError):
         merge_totals(os.path.join(workdir, "none"), opts)(lost, 4)
+
+
+def _hits(rows):
+    """Streamed rows of one visitor: (seq, time, keyword or None, revenue or None)."""
+    import decimal
+
+    import pandas as pd
+
+    return pd.DataFrame(
+        {
+            "ip": "1.1.1.1",
+            "user_agent": "u",
+            "seq": [r[0] for r in rows],
+            "hit_time": [r[1] for r in rows],
+            "is_purchase": [r[3] is not None for r in rows],
+            "revenue": [None if r[3] is None else decimal.Decimal(r[3]) for r in rows],
+            "own_domain": [None if r[2] is None else "google.com" for r in rows],
+            "own_keyword": [r[2] for r in rows],
+        }
+    )
+
+
+class _Value:
+    def __init__(self):
+        self.row = None
+
+    def exists(self):
+        return self.row is not None
+
+    def get(self):
+        return self.row
+
+    def update(self, row):
+        self.row = row
+
+    def clear(self):
+        self.row = None
+
+
+class _Handle:
+    def __init__(self):
+        self.timers = set()
+
+    def getValueState(self, name, schema):
+        return _Value()
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def _processor(**kw):
+    from touchline.streaming.stateful import LastTouchProcessor
+
+    processor, handle = LastTouchProcessor(**kw), _Handle()
+    processor.init(handle)
+    return processor, handle
+
+
+@pytest.mark.parametrize("order", ["file", "time"])
+def test_fold_over_chunks_and_batches_equals_a_plain_fold(order):
+    import random
+
+    rng = random.Random(4)
+    for timeout in (None, 5):
+        rows = [(i, 100 + i * 2 + rng.choice([0, 0, 3, 9, -2]), rng.choice([None, None, "a", "b"]), rng.choice([None, "1.5"])) for i in range(300)]
+        processor, _ = _processor(session_timeout=timeout, order=order, emit_all=True)
+        got, want, touch, before = [], [], None, None
+        for a, b in ((0, 1), (1, 120), (120, 300)):
+            batch = rows[a:b]
+            mixed = rng.sample(batch, len(batch))
+            chunks = [_hits(mixed[i : i + 7]) for i in range(0, len(mixed), 7)]
+            for out in processor.handleInputRows(("1.1.1.1", "u"), iter(chunks), None):
+                got += [(r.seq, r.live_keyword or None, r.new_session) for r in out.itertuples()]
+            for seq, t, keyword, _ in sorted(batch, key=lambda r: (r[1], r[0]) if order == "time" else r[0]):
+                fresh = timeout is not None and before is not None and t - before > timeout
+                touch = keyword or (None if fresh else touch)
+                before = t
+                want.append((seq, touch, fresh))
+        assert got == want
+
+
+def test_hot_visitor_of_a_batch_is_folded_in_little_memory():
+    """Two million hits of one visitor: as frames of texts they'd be some 1.5 GB."""
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    n, step = 2_000_000, 50_000
+
+    def chunks():
+        for at in range(0, n, step):
+            seq = np.arange(at, at + step)
+            keyword = np.where(seq % 1000 == 0, "tent pegs", None)
+            yield pd.DataFrame({"ip": "1.1.1.1", "user_agent": "a long agent " * 20, "seq": seq, "hit_time": 1_700_000_000 + seq, "is_purchase": seq % 100_000 == 99_999, "revenue": None, "own_domain": np.where(keyword == "tent pegs", "google.com", None), "own_keyword": keyword})
+
+    processor, _ = _processor(session_timeout=1800, order="file")
+    tracemalloc.start()
+    found = sum(len(out) for out in processor.handleInputRows(("1.1.1.1", "u"), chunks(), None))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 2000 + 20 and processor.touch.get() == ("google.com", "tent pegs")
+    assert peak < 300 << 20
+
+
+def test_idle_visitor_is_forgotten_by_its_timer():
+    processor, handle = _processor(session_timeout=10, order="file", idle_limit=60)
+    list(processor.handleInputRows(("1.1.1.1", "u"), iter([_hits([(1, 100, "a", None)])]), None))
+    assert handle.timers == {160_000}
+    list(processor.handleInputRows(("1.1.1.1", "u"), iter([_hits([(2, 105, None, None)])]), None))
+    assert handle.timers == {165_000} and processor.touch.exists()
+    list(processor.handleInputRows(("1.1.1.1", "u"), iter([_hits([(3, 0, None, None)])]), None))
+    assert handle.timers == set()  # a last hit without a time has no timer
+    assert list(processor.handleExpiredTimer("k", None, None)) == []
+    assert not processor.touch.exists() and not processor.last_time.exists()
+
+
+def test_state_of_idle_visitors_is_freed_and_results_stay(spark, workdir):
+    """State rows in the store, and credits with and without freeing."""
+    from pyspark.sql import functions as F
+
+    from touchline.streaming.runner import known_visitors, live_touches
+
+    inbox = os.path.join(workdir, "inbox")
+    for p in _split_events(os.path.join(workdir, "parts"), 6):
+        _stage(p, inbox)
+    opts = AttributionOptions(session_timeout=3600)
+    seen = {}
+    for name, limit in (("kept", None), ("freed", 7200)):
+        root = os.path.join(workdir, name)
+        q = run_to_parquet(stream_last_touch(events_stream(spark, inbox, max_files=1), opts, idle_limit=limit, max_delay=0), root)
+        q.awaitTermination()
+        assert q.exception() is None
+        seen[name] = (spark.read.parquet(f"{root}/out"), known_visitors(spark, f"{root}/chk"), live_touches(spark, f"{root}/chk"))
+    (kept, all_known, _), (freed, few_known, _) = seen["kept"], seen["freed"]
+    same = ["ip", "user_agent", "seq", "revenue", "live_domain", "live_keyword"]
+    assert kept.count() == freed.count() and kept.select(same).exceptAll(freed.select(same)).isEmpty()
+    latest = all_known.agg(F.max("last_time")).first()[0]
+    assert all_known.count() > few_known.count()
+    # all that is left was seen less than the limit before the last watermark
+    assert few_known.agg(F.min("last_time")).first()[0] > latest - 2 * 7200 - 86400
+
+
+def test_idle_limit_needs_a_timeout(spark, workdir):
+    for p in _split_events(os.path.join(workdir, "parts"), 1):
+        _stage(p, os.path.join(workdir, "inbox"))
+    hits = events_stream(spark, os.path.join(workdir, "inbox"))
+    for timeout, limit in ((None, 60), (60, 59)):
+        with pytest.raises(ValueError):
+            stream_last_touch(hits, AttributionOptions(session_timeout=timeout), idle_limit=limit)
+
+
+def test_live_touches_of_a_stopped_stream_equal_the_batch(spark, workdir):
+    from touchline.plans.attribution import attribute
+    from touchline.sources.events import hits_from_events
+    from touchline.streaming.runner import live_touches
+
+    inbox = os.path.join(workdir, "inbox")
+    for p in _split_events(os.path.join(workdir, "parts"), 3):
+        _stage(p, inbox)
+    for timeout in (None, 21600):
+        opts = AttributionOptions(session_timeout=timeout)
+        root = os.path.join(workdir, f"s{timeout}")
+        q = run_to_parquet(stream_last_touch(events_stream(spark, inbox, max_files=1), opts), root)
+        q.awaitTermination()
+        want = attribute(hits_from_events(spark, SF001), opts).run_counts.first()["visitors_with_live_touch"]
+        got = live_touches(spark, f"{root}/chk")
+        assert got.count() == got.select("ip", "user_agent").distinct().count() == want > 0
+
+
+def test_counters_outlive_the_query_and_a_restart(spark, workdir):
+    import time
+
+    from touchline.streaming.runner import CounterTable, read_counters
+
+    parts = _split_events(os.path.join(workdir, "parts"), 4)
+    inbox, root, path = (os.path.join(workdir, x) for x in ("inbox", "s", "counters"))
+    table = CounterTable(spark, path, "kept")
+    spark.streams.addListener(table)
+    try:
+        for wanted, files in ((2, parts[:2]), (4, parts[2:])):
+            for p in files:
+                _stage(p, inbox)
+            q = run_to_parquet(stream_last_touch(events_stream(spark, inbox, max_files=1), metrics_name="kept"), root)
+            q.awaitTermination()
+            for _ in range(120):  # the listener hears of a batch some time after it
+                time.sleep(0.5)
+                if os.path.isdir(path) and [r.batches for r in read_counters(spark, path).collect()] == [wanted]:
+                    break
+    finally:
+        spark.streams.removeListener(table)
+    [row] = read_counters(spark, path).collect()
+    assert (row.batches, row.rows_processed, row.total_purchase_events) == (4, 1000, 202)

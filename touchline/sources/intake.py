@@ -24,7 +24,7 @@ def list_inputs(
     glob: Optional[str] = None,
     content_hash: bool = False,
 ) -> DataFrame:
-    """(input_key, content_tag, size) per file under ``location``.
+    """(input_key, content_tag, size, path, modified) per file under ``location``.
 
     ``input_key`` is the path as listed; a listing's names are not encoded (keys
     that come from upload events are, see :func:`event_key`).  ``content_tag`` is size plus
@@ -46,6 +46,7 @@ def list_inputs(
         tag.alias("content_tag"),
         F.col("length").alias("size"),
         F.col("path").alias("path"),
+        F.col("modificationTime").alias("modified"),
     )
 
 

@@ -6,6 +6,7 @@ from typing import Callable, Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..errors import CheckpointError
 from ..functions import to_cents
@@ -46,10 +47,12 @@ def stream_attributed(
     root: Optional[str] = None,
     max_files: Optional[int] = None,
     emit_all: bool = False,
+    idle_limit: Optional[int] = None,
 ) -> DataFrame:
     """Run the stateful stream to completion (available-now) and read the sink."""
     root = root or scratch_path(spark, "stream")
-    q = run_to_parquet(stream_last_touch(events_stream(spark, sf_dir, max_files), options, emit_all=emit_all), root)
+    hits = stream_last_touch(events_stream(spark, sf_dir, max_files), options, emit_all=emit_all, idle_limit=idle_limit)
+    q = run_to_parquet(hits, root)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
@@ -153,40 +156,95 @@ def _remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def hit_file_stream(spark: SparkSession, input_dir: str, max_files: int = 1) -> DataFrame:
-    """Structured Streaming listing of new hit files under ``input_dir`` (S9):
-    path, modification time and length.  Contents are read per batch, every
-    file by its own header."""
-    schema = "path string, modificationTime timestamp, length long, content binary"
-    files = spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", max_files).load(input_dir)
-    return files.select("path", "modificationTime", "length")
+def live_touches(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """ip, user_agent, domain, keyword: the live touch of every visitor that has
+    one, after the last batch of the stream whose checkpoint this is.  Reads the
+    state store, so the stream may be running, stopped or in another process."""
+    state = _state(spark, checkpoint, "touch")
+    return state.select("key.ip", "key.user_agent", "value.domain", "value.keyword")
+
+
+def known_visitors(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """ip, user_agent, last_time: every visitor that the stream holds state of."""
+    return _state(spark, checkpoint, "last_time").select("key.ip", "key.user_agent", F.col("value.t").alias("last_time"))
+
+
+def _state(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
+    return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
+
+
+class CounterTable(StreamingQueryListener):
+    """Writes the live counters of every micro-batch to a table.
+
+    ``path/query=<id>/batch=<id>`` holds the counters observed under ``name``.  A
+    query keeps its id over restarts and a batch that is run again replaces its
+    own row, so the sums count nothing twice.  Add it with
+    ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str = "hits"):
+        self.spark, self.path, self.name = spark, path.rstrip("/"), name
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        seen = progress.observedMetrics.get(self.name)
+        if seen is None:
+            return
+        counts = {k: int(v or 0) for k, v in seen.asDict().items()}
+        row = self.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} long" for k in counts))
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/query={progress.id}/batch={progress.batchId}")
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def read_counters(spark: SparkSession, path: str) -> DataFrame:
+    """The counters of all batches so far, one row a query."""
+    rows = spark.read.parquet(path)
+    return rows.groupBy("query").agg(F.count("*").alias("batches"), *[F.sum(c).alias(c) for c in rows.columns if c not in ("query", "batch")])
 
 
 def attribute_each_batch(
+    input_dir: str,
     out_dir: str,
+    ledger_path: str,
     options: Optional[AttributionOptions] = None,
     run_date=None,
+    max_files: int = 1,
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: every micro-batch of new files is one run.
+    """``foreachBatch`` body: list the uploads, run those that the ledger hasn't.
 
-    Like a per-upload job, each batch starts from empty visitor state; with
-    ``maxFilesPerTrigger=1`` that is one run per file.  Outputs go to
-    ``out_dir/batch=<id>/`` so a replayed batch id rewrites the same folder.
+    The ledger holds (path, content tag), so a file that was written anew is run
+    once more and an untouched one is not.  Like a per-upload job each run of up
+    to ``max_files`` files, oldest first, starts from empty visitor state.  Outputs go to
+    ``out_dir/batch=<n>/`` for the n-th recorded run, and a run is recorded after
+    its outputs are written: what fails before is run again into the same folder.
     """
     from ..plans.attribution import attribute_files
     from ..plans.sinks import manifest, write_manifest, write_report
     from ..sources.hits import literal_path
+    from ..sources.intake import list_inputs, pending_inputs, read_ledger, record_processed
 
     def _run(batch: DataFrame, batch_id: int) -> None:
-        # at most maxFilesPerTrigger paths
-        files = sorted(r["path"] for r in batch.select("path").distinct().collect())
-        if not files:
-            return
-        folder = f"{out_dir.rstrip('/')}/batch={batch_id}"
-        result = attribute_files(batch.sparkSession, [literal_path(f) for f in files], options).materialize()
-        report = write_report(result, folder, run_date)
-        doc = manifest(result, ",".join(files), results_path=report)
-        write_manifest(batch.sparkSession, doc, folder, run_date, result)
+        spark = batch.sparkSession
+        while True:
+            ledger = read_ledger(spark, ledger_path)
+            # at most max_files rows come to the driver
+            files = pending_inputs(list_inputs(spark, input_dir), ledger).orderBy("modified", "path").limit(max_files).collect()
+            if not files:
+                return
+            done = ledger.select("output_path").distinct().count()
+            folder = f"{out_dir.rstrip('/')}/batch={done}"
+            paths = sorted(r["path"] for r in files)
+            result = attribute_files(spark, [literal_path(f) for f in paths], options).materialize()
+            report = write_report(result, folder, run_date)
+            doc = manifest(result, ",".join(paths), results_path=report)
+            write_manifest(spark, doc, folder, run_date, result)
+            seen = [(r["input_key"], r["content_tag"]) for r in files]
+            record_processed(spark.createDataFrame(seen, "input_key string, content_tag string"), ledger_path, report)
 
     return _run
 
@@ -199,17 +257,18 @@ def continuous_intake(
     options: Optional[AttributionOptions] = None,
     available_now: bool = True,
     run_date=None,
+    max_files: int = 1,
 ):
-    """Process each new hit file once (S9): file stream + ``foreachBatch`` runs.
+    """Process each upload once, and again when its content changes.
 
-    The checkpoint (default: a folder under the shared checkpoint root) records
-    which files were processed; restarting resumes after them.
+    A file stream remembers paths only, so the stream is a heartbeat and every
+    beat lists the folder and asks the ledger (``<checkpoint>/ledger``, by default
+    under the shared checkpoint root), which also survives a restart.
     """
-    checkpoint = checkpoint or scratch_path(spark, "intake")
-    w = (
-        hit_file_stream(spark, input_dir)
-        .writeStream.foreachBatch(attribute_each_batch(out_dir, options, run_date))
-        .option("checkpointLocation", checkpoint)
-    )
+    checkpoint = (checkpoint or scratch_path(spark, "intake")).rstrip("/")
+    beats = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+    w = beats.writeStream.foreachBatch(
+        attribute_each_batch(input_dir, out_dir, f"{checkpoint}/ledger", options, run_date, max_files)
+    ).option("checkpointLocation", f"{checkpoint}/beats")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

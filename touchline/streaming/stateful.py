@@ -5,8 +5,13 @@ the time of the last hit.  Inside a micro-batch the visitor's rows are sorted
 by the processing order (arrival ``seq``, or hit time then ``seq``); across
 micro-batches arrival order holds (T5).  Expiry is the strict ``>`` gap test on
 arrival, exactly as in batch (T2); state lives in the checkpointed state store
-(T4).  The fold inside a batch is vectorised with pandas (diff, cumulative sum,
-forward fill per session), not a per-row loop.
+(T4), and with an idle limit an event-time timer frees it (see
+:func:`stream_last_touch`).
+
+The fold inside a batch reads the visitor's rows chunk by chunk into packed
+arrays (``Hits``: 37 bytes a hit, touches as numbers), orders and scans those
+with numpy and emits its rows chunk by chunk, so a visitor with millions of hits
+in one micro-batch never stands as one frame of texts.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from typing import Iterator, Optional
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -52,52 +58,133 @@ TOUCH_STATE = StructType([StructField("domain", StringType()), StructField("keyw
 TIME_STATE = StructType([StructField("t", LongType())])
 
 
+#: output rows of a visitor that leave the fold at a time
+EMIT_ROWS = 10_000
+
+
+class Hits:
+    """One visitor's hits of a micro-batch as packed arrays."""
+
+    MONEY = pa.decimal128(38, 10)
+
+    def __init__(self) -> None:
+        self.touches: list[tuple[str, str]] = []
+        self._code: dict[tuple[str, str], int] = {}
+        self._parts: list[tuple] = []
+
+    def code(self, touch: tuple[str, str]) -> int:
+        """The number of a touch; the same touch has one number."""
+        if touch not in self._code:
+            self._code[touch] = len(self.touches)
+            self.touches.append(touch)
+        return self._code[touch]
+
+    def add(self, pdf: pd.DataFrame) -> None:
+        domain, keyword = pdf["own_domain"], pdf["own_keyword"]
+        own = np.full(len(pdf), -1, np.int32)
+        for i in np.flatnonzero(domain.notna().to_numpy()):
+            own[i] = self.code((domain.iat[i], keyword.iat[i]))
+        self._parts.append(
+            (
+                pdf["hit_time"].to_numpy(dtype=np.int64),
+                pdf["seq"].to_numpy(dtype=np.int64),
+                own,
+                pdf["is_purchase"].fillna(False).to_numpy(dtype=bool),
+                pa.Array.from_pandas(pdf["revenue"], type=self.MONEY),
+            )
+        )
+
+    def in_order(self, by_time: bool) -> None:
+        """Bring the hits into the processing order: time, seq, own, purchase, revenue."""
+        parts, self._parts = self._parts, []
+        time, seq, own, purchase = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        revenue = pa.chunked_array([p[4] for p in parts], self.MONEY)
+        at = np.lexsort((seq, time)) if by_time else np.argsort(seq, kind="stable")
+        self.time, self.seq, self.own, self.purchase = time[at], seq[at], own[at], purchase[at]
+        self.revenue = revenue.combine_chunks().take(pa.array(at))
+
+    def scan(self, timeout: Optional[int], before: Optional[int], touch: Optional[tuple[str, str]]) -> None:
+        """Sessions and the live touch of every hit (``new_session``, ``live``),
+        going on from the time of the last hit and the touch before."""
+        place = np.arange(len(self.time))
+        # gaps in whole seconds: a float would lose them beyond 2**53
+        gap = np.diff(self.time, prepend=self.time[0] if before is None else np.int64(before))
+        self.new_session = np.zeros(len(place), bool) if timeout is None else gap > timeout
+        last = np.maximum.accumulate(np.where(self.own >= 0, place, -1))
+        begun = np.maximum.accumulate(np.where(self.new_session, place, -1))
+        carried = -1 if touch is None else self.code(touch)
+        self.live = np.where(last >= np.maximum(begun, 0), self.own[last], np.where(begun < 0, carried, -1))
+
+    def rows(self, key, at: np.ndarray) -> pd.DataFrame:
+        names = [*self.touches, (None, None)]
+        own, live = ([names[k] for k in codes[at]] for codes in (self.own, self.live))
+        return pd.DataFrame(
+            {
+                "ip": key[0],
+                "user_agent": key[1],
+                "seq": self.seq[at],
+                "hit_time": self.time[at],
+                "is_purchase": self.purchase[at],
+                "revenue": pd.Series(self.revenue.take(pa.array(at)).to_pylist(), dtype=object),
+                "own_domain": [x[0] for x in own],
+                "own_keyword": [x[1] for x in own],
+                "live_domain": [x[0] for x in live],
+                "live_keyword": [x[1] for x in live],
+                "new_session": self.new_session[at],
+            }
+        )
+
+
 class LastTouchProcessor(StatefulProcessor):
     """Session-scoped last touch per visitor; emits search hits and purchases."""
 
-    def __init__(self, session_timeout: Optional[int], order: str, emit_all: bool = False):
+    def __init__(self, session_timeout: Optional[int], order: str, emit_all: bool = False, idle_limit: Optional[int] = None):
         self.timeout = session_timeout
-        self.order = ["seq"] if order == "file" else ["hit_time", "seq"]
+        self.by_time = order != "file"
         self.emit_all = emit_all
+        self.idle_limit = idle_limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.touch = handle.getValueState("touch", TOUCH_STATE)
         self.last_time = handle.getValueState("last_time", TIME_STATE)
 
+    def _expiry(self, last: Optional[int]) -> Optional[int]:
+        """When a visitor last seen at ``last`` is forgotten (ms); a visitor whose
+        last hit has no time never is."""
+        return None if self.idle_limit is None or not last else (last + self.idle_limit) * 1000
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        if pdf.empty:
+        hits, n = Hits(), 0
+        for pdf in rows:
+            n += len(pdf)
+            if len(pdf):
+                hits.add(pdf)
+        if not n:
             return
-        pdf = pdf.sort_values(self.order, kind="stable").reset_index(drop=True)
-        t = pdf["hit_time"].to_numpy(dtype=np.int64)
-        n = len(pdf)
-        # gaps in whole seconds: a float would lose them beyond 2**53
-        before = int(self.last_time.get()[0]) if self.last_time.exists() else int(t[0])
-        gap = np.diff(t, prepend=np.int64(before))
-        brk = np.zeros(n, dtype=bool) if self.timeout is None else gap > self.timeout
-        sid = np.cumsum(brk)
-        dom = pdf["own_domain"]
-        kw = pdf["own_keyword"]
-        live = pd.DataFrame({"d": dom, "k": kw, "sid": sid})
-        live[["d", "k"]] = live.groupby("sid")[["d", "k"]].ffill()
-        if self.touch.exists():
-            d0, k0 = self.touch.get()
-            first = (sid == 0) & live["d"].isna().to_numpy()
-            live.loc[first, "d"] = d0
-            live.loc[first, "k"] = k0
-        pdf["live_domain"] = live["d"]
-        pdf["live_keyword"] = live["k"]
-        pdf["new_session"] = brk
-        self.last_time.update((int(t[-1]),))
-        last_d, last_k = live["d"].iloc[-1], live["k"].iloc[-1]
-        if isinstance(last_d, str):
-            self.touch.update((last_d, last_k))
+        hits.in_order(self.by_time)
+        before = int(self.last_time.get()[0]) if self.last_time.exists() else None
+        hits.scan(self.timeout, before, tuple(self.touch.get()) if self.touch.exists() else None)
+        last = int(hits.time[-1])
+        self.last_time.update((last,))
+        if hits.live[-1] >= 0:
+            self.touch.update(hits.touches[hits.live[-1]])
         elif self.touch.exists():
             self.touch.clear()
-        if not self.emit_all:
-            pdf = pdf[pdf["own_domain"].notna() | pdf["is_purchase"]]
-        if len(pdf):
-            yield pdf[[f.name for f in OUTPUT_SCHEMA.fields]]
+        old, new = self._expiry(before), self._expiry(last)
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            if new is not None:
+                self.handle.registerTimer(new)
+        out = np.arange(n) if self.emit_all else np.flatnonzero((hits.own >= 0) | hits.purchase)
+        for at in range(0, len(out), EMIT_ROWS):
+            yield hits.rows(key, out[at : at + EMIT_ROWS])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.touch.clear()
+        self.last_time.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
@@ -113,6 +200,7 @@ def _flat(prepared: DataFrame) -> DataFrame:
         F.col("revenue").cast("decimal(38,10)").alias("revenue"),
         F.col("touch.domain").alias("own_domain"),
         F.col("touch.keyword").alias("own_keyword"),
+        F.when(~F.col("time_blank") & ~F.col("time_bad"), F.timestamp_seconds("hit_time")).alias("event_time"),
     )
 
 
@@ -121,6 +209,8 @@ def stream_last_touch(
     options: Optional[AttributionOptions] = None,
     metrics_name: str = "hits",
     emit_all: bool = False,
+    idle_limit: Optional[int] = None,
+    max_delay: int = 3600,
 ) -> DataFrame:
     """Streaming form of the attribution window.
 
@@ -128,8 +218,18 @@ def stream_last_touch(
     output holds one row per search hit and per purchase (all rows with
     ``emit_all``) with the visitor's live touch.  Row-level counters are
     observed under ``metrics_name`` (``query.lastProgress['observedMetrics']``).
+
+    With ``idle_limit`` (seconds, at least the session timeout) the state of a
+    visitor goes when the watermark, the largest hit time less ``max_delay``
+    seconds, has passed the visitor's last hit by that much.  The clock is the
+    hits' own, so a stream that was down forgets nobody too early, and credits
+    don't change: a later hit would have begun a new session anyway.  Hits older
+    than the watermark are dropped and counted (``numRowsDroppedByWatermark``);
+    hits without a time aren't, they find no touch once a visitor is forgotten.
     """
     options = options or AttributionOptions()
+    if idle_limit is not None and (options.session_timeout is None or idle_limit < options.session_timeout):
+        raise ValueError(f"an idle limit of {idle_limit} s needs a session timeout that is no longer")
     spark = raw_stream.sparkSession
     ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != STATE_PROVIDER:
@@ -137,15 +237,13 @@ def stream_last_touch(
     prepared = observe_hits(parse_hits(normalize_hits(raw_stream), options.engines), metrics_name, options.internal_suffixes)
     if options.session_timeout is None and options.prefilter and not emit_all:
         prepared = prepared.filter(F.col("touch").isNotNull() | F.col("is_purchase"))
-    return (
-        _flat(prepared)
-        .groupBy("ip", "user_agent")
-        .transformWithStateInPandas(
-            statefulProcessor=LastTouchProcessor(options.session_timeout, options.order, emit_all),
-            outputStructType=OUTPUT_SCHEMA,
-            outputMode="Append",
-            timeMode="None",
-        )
+    hits = _flat(prepared)
+    hits = hits.drop("event_time") if idle_limit is None else hits.withWatermark("event_time", f"{max_delay} seconds")
+    return hits.groupBy("ip", "user_agent").transformWithStateInPandas(
+        statefulProcessor=LastTouchProcessor(options.session_timeout, options.order, emit_all, idle_limit),
+        outputStructType=OUTPUT_SCHEMA,
+        outputMode="Append",
+        timeMode="None" if idle_limit is None else "EventTime",
     )
 
 
