@@ -143,6 +143,49 @@ classed AS (
   FROM parsed
 )"""
 
+# Referrers of every odd kind in turn; the class names the characters whose
+# compatibility form holds a URL delimiter.
+_REFERRER_RULES = r"""
+WITH odd AS (
+  SELECT event_id AS seq, CASE event_id % 12
+      WHEN 0 THEN 'http://user:pw@www.google.com:8080/search?q=' || event_id
+      WHEN 1 THEN 'HTTPS://WWW.Bing.COM:443/search?q=' || event_id || '&q=Second'
+      WHEN 2 THEN 'mailto:buyer' || event_id || '@example.org'
+      WHEN 3 THEN 'http://shop℀.example.org/' || event_id
+      WHEN 4 THEN 'http://example.org：80/' || event_id
+      WHEN 5 THEN 'http://www.esshopzilla.com/' || event_id
+      WHEN 6 THEN 'http://[::1]:80/' || event_id
+      WHEN 7 THEN 'http://[fe80::1/' || event_id
+      WHEN 8 THEN '//partner.example.org/' || event_id
+      WHEN 9 THEN '/search?q=' || event_id
+      WHEN 10 THEN 'http://café' || event_id || '.example.org/'
+      ELSE 'http://msn.com@example.org/?q=' || event_id END AS referrer
+  FROM events
+),
+split AS (
+  SELECT seq, regexp_extract(referrer, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)', 1) AS auth,
+    string_split(regexp_extract(referrer, '^[^?#]*\?([^#]*)', 1), '&') AS pairs
+  FROM odd
+),
+hosts AS (
+  SELECT seq, pairs,
+    (strpos(auth, '[') > 0) <> (strpos(auth, ']') > 0)
+      OR regexp_matches(auth, '[℀℁℅℆⁇⁈⁉⩴：／＃？＠﹕﹖﹟﹫︓︖]') AS malformed,
+    nullif(lower(CASE WHEN auth LIKE '%[%' THEN regexp_extract(auth, '\[([^\]]*)\]', 1)
+      ELSE regexp_extract(regexp_extract(auth, '([^@]*)$', 1), '^([^:]*)', 1) END), '') AS host
+  FROM split
+),
+touched AS (
+  SELECT seq, malformed, CASE WHEN NOT malformed THEN host END AS ref_host,
+    CASE regexp_replace(host, '^www[.]', '') WHEN 'google.com' THEN 'google.com' WHEN 'bing.com' THEN 'bing.com' END AS domain,
+    substr(list_filter(pairs, lambda x: starts_with(x, 'q='))[1], 3) AS keyword
+  FROM hosts
+)
+SELECT seq, ref_host, domain, CASE WHEN domain IS NOT NULL THEN keyword END AS keyword,
+  CASE WHEN domain IS NOT NULL THEN 'search' WHEN malformed THEN 'malformed' WHEN ref_host IS NULL THEN 'hostless'
+    WHEN ref_host LIKE '%esshopzilla.com' THEN 'internal' ELSE 'unknown_external' END AS referrer_class
+FROM touched"""
+
 BASE = "WITH " + _RAW + "," + _NORM
 
 
@@ -337,8 +380,11 @@ SELECT CAST(count(*) AS BIGINT) AS rows_processed,
        CAST(COALESCE(round(100.0 * count(*) FILTER (WHERE keyword IS NOT NULL) / nullif(count(*), 0), 4), 0)
             AS DECIMAL(10,4)) AS search_share_pct
 FROM classed""",
+        "referrer_rules": _REFERRER_RULES,
         "stream_keyword_revenue": keyword_revenue("file", None),
         "stream_session_timeout": keyword_revenue("file", t),
+        "stream_idle_limit": keyword_revenue("file", t),
+        "stream_live_visitors": f"SELECT visitors_with_live_touch FROM ({run_counts(t)})",
         "stream_order_policy": keyword_revenue("time", t),
         "stream_last_touch": BASE + _live("file", None) + """
 SELECT seq, ldomain AS search_engine_domain, lkeyword AS search_keyword FROM live WHERE is_purchase""",

@@ -6,6 +6,8 @@ hosts with spaces, ``|`` or ``_``, which a lenient URL splitter accepts.
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cache
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +44,14 @@ def _ipv6_pattern() -> str:
     return "^(?:" + "|".join(forms) + ")(?:%[^%]+)?$"
 
 
+@cache
+def delimiter_lookalikes() -> str:
+    """A class of the code points whose compatibility form (NFKC) holds a URL
+    delimiter, such as a full-width colon; built by rule."""
+    beyond = (chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c <= 0xDFFF)
+    return "[" + "".join(c for c in beyond if set("/?#@:") & set(unicodedata.normalize("NFKC", c))) + "]"
+
+
 _IPV6 = _ipv6_pattern()
 _IPVFUTURE = "^v[a-fA-F0-9]+\\..+$"
 
@@ -99,9 +109,11 @@ def referrer_host(c) -> Column:
 
 
 def _malformed_authority(auth: Column) -> Column:
-    """Bracket rules of a standard URL splitter on an authority (see url_is_malformed).
+    """Bracket and look-alike rules of a standard URL splitter on an authority
+    (see url_is_malformed).
 
-    The regex checks run only when the authority holds a bracket at all.
+    The regex checks run only when the authority holds a bracket, or something
+    that isn't ASCII, at all.
     """
     has_open = F.instr(auth, "[") > 0
     has_close = F.instr(auth, "]") > 0
@@ -110,19 +122,20 @@ def _malformed_authority(auth: Column) -> Column:
     bad_literal = F.when(literal.startswith("v"), ~literal.rlike(_IPVFUTURE)).otherwise(
         ~literal.rlike(_IPV6)
     )
+    lookalike = (F.octet_length(auth) > F.length(auth)) & auth.rlike(delimiter_lookalikes())
     return F.coalesce(
         F.when(has_open | has_close, (has_open != has_close) | bad_literal),
         F.lit(False),
-    )
+    ) | F.coalesce(lookalike, F.lit(False))
 
 
 def url_is_malformed(c) -> Column:
-    """True when a standard URL splitter rejects the URL (bracket rules, trap 16).
+    """True when a standard URL splitter rejects the URL (trap 16).
 
     Rejected: an authority with '[' but no ']' or the reverse; or, with both,
     a bracketed literal (from the first '[' to the next ']') that is neither an
-    IPv6 address (optional zone) nor an IPvFuture literal.  (Host characters
-    that normalise to delimiters under NFKC are not detected.)
+    IPv6 address (optional zone) nor an IPvFuture literal; or a character in the
+    authority whose NFKC form holds one of ``/?#@:``.
     """
     return _malformed_authority(url_authority(c))
 

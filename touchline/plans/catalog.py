@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import (
     MONEY_TYPE,
+    blank_to_empty,
+    classify_referrer,
     engine_lookup,
     money_text,
     product_revenue,
@@ -25,13 +27,15 @@ from ..functions import (
     to_cents,
     url_decode,
     url_query,
+    with_referrer_parts,
 )
+from ..operators.aggregate import keyword_revenue as keyword_report
 from ..operators.aggregate import with_rank
 from ..operators.classify import attributed_purchases, purchase_hits, search_hits, with_referrer_class
 from ..operators.normalize import VISITOR, normalize_hits, prepare_hits
 from ..operators.touch import last_touch
 from ..options import AttributionOptions
-from ..sources.events import hits_from_events, read_table
+from ..sources.events import hits_from_events, odd_referrers, read_table
 from .attribution import attribute
 
 TIMEOUT = 21600
@@ -103,6 +107,15 @@ def referrer_classes(spark, sf_dir) -> DataFrame:
     return c.groupBy("referrer_class").agg(F.count(F.lit(1)).alias("hits"))
 
 
+def referrer_rules(spark, sf_dir) -> DataFrame:
+    """Host, class, engine and keyword of odd referrers."""
+    odd = odd_referrers(read_table(spark, sf_dir, "events")).withColumn("referrer", blank_to_empty("referrer"))
+    parts = with_referrer_parts(odd)
+    cls = classify_referrer("referrer", "touch", "ref_host", "ref_malformed")
+    host = F.when(~F.col("ref_malformed"), F.col("ref_host")).alias("ref_host")
+    return parts.select("seq", host, cls.alias("referrer_class"), "touch.domain", "touch.keyword")
+
+
 def hit_normalize(spark, sf_dir) -> DataFrame:
     n = normalize_hits(hits_from_events(spark, sf_dir))
     return n.select("seq", "ip", "user_agent", "referrer", "event_list", "product_list")
@@ -267,6 +280,7 @@ def registry() -> dict[str, Query]:
         "purchase_outcomes": purchase_outcomes,
         "purchase_outcomes_timeout": lambda s, d: purchase_outcomes(s, d, session_timeout=t),
         "referrer_class": referrer_classes,
+        "referrer_rules": referrer_rules,
         "hit_normalize": hit_normalize,
         "hit_time_coerce": hit_time_coerce,
         "visitor_key": visitor_key,
@@ -288,6 +302,8 @@ def registry() -> dict[str, Query]:
         "strip_text": agent_strip,
         "stream_keyword_revenue": lambda s, d: stream_keyword_revenue(s, d),
         "stream_session_timeout": lambda s, d: stream_keyword_revenue(s, d, session_timeout=t),
+        "stream_idle_limit": lambda s, d: stream_idle_limit(s, d),
+        "stream_live_visitors": lambda s, d: stream_live_visitors(s, d),
         "stream_order_policy": lambda s, d: stream_keyword_revenue(s, d, order="time", session_timeout=t),
         "stream_last_touch": stream_last_touch_rows,
         "hit_file_scan": lambda s, d: hit_file_scan(s, d),
@@ -330,6 +346,26 @@ def stream_keyword_revenue(spark, sf_dir, **opts) -> DataFrame:
     return running_keyword_revenue(spark, sf_dir, AttributionOptions(**opts))
 
 
+def stream_idle_limit(spark, sf_dir) -> DataFrame:
+    """Keyword revenue of the stream that frees the state of idle visitors."""
+    from ..streaming.runner import stream_attributed
+    from ..streaming.stateful import as_attributed
+
+    options = AttributionOptions(session_timeout=TIMEOUT)
+    out = stream_attributed(spark, sf_dir, options, idle_limit=2 * TIMEOUT)
+    return keyword_report(as_attributed(out), options).drop("keyword_lower")
+
+
+def stream_live_visitors(spark, sf_dir) -> DataFrame:
+    """Visitors with a live touch, read from the state store of a stopped stream (T4, A4)."""
+    from ..session import scratch_path
+    from ..streaming.runner import live_touches, stream_attributed
+
+    root = scratch_path(spark, "stream")
+    stream_attributed(spark, sf_dir, AttributionOptions(session_timeout=TIMEOUT), root=root)
+    return live_touches(spark, f"{root}/chk").agg(F.count("*").alias("visitors_with_live_touch"))
+
+
 def stream_running_totals(spark, sf_dir, **opts) -> DataFrame:
     """Running totals merged batch by batch and read back."""
     from ..streaming.runner import stream_running_totals as run

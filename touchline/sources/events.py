@@ -92,6 +92,31 @@ def derive_hits(events: DataFrame) -> DataFrame:
     )
 
 
+#: starts and ends of referrers that try the URL rules: user info and port, upper
+#: case, no host, look-alike delimiters, Unicode spaces, brackets, no scheme
+ODD_REFERRERS = (
+    ("http://user:pw@www.google.com:8080/search?q=", ""),
+    ("HTTPS://WWW.Bing.COM:443/search?q=", "&q=Second"),
+    ("mailto:buyer", "@example.org"),
+    ("http://shop\u2100.example.org/", ""),
+    ("http://example.org\uff1a80/", ""),
+    ("\u2003http://www.esshopzilla.com/", "\u00a0"),
+    ("http://[::1]:80/", ""),
+    ("http://[fe80::1/", ""),
+    ("//partner.example.org/", ""),
+    ("/search?q=", ""),
+    ("http://caf\u00e9", ".example.org/"),
+    ("http://msn.com@example.org/?q=", ""),
+)
+
+
+def odd_referrers(events: DataFrame) -> DataFrame:
+    """seq, referrer: a referrer of every kind in ``ODD_REFERRERS`` in turn."""
+    number, kind = F.col("event_id").cast("string"), F.col("event_id") % len(ODD_REFERRERS)
+    text = _pick(kind, [x for x, _ in ODD_REFERRERS]), _pick(kind, [x for _, x in ODD_REFERRERS])
+    return events.select(F.col("event_id").alias("seq"), F.concat(text[0], number, text[1]).alias("referrer"))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
