@@ -14,6 +14,7 @@ from .langid import op8_language_id
 from .licenses import op2_license_scan
 from .lm_score import op1_cross_entropy_difference
 from .neardup import op10_chosen_path_join
+from .oracles import ORACLES
 from .packing import op3_best_fit_packing
 from .sharding import op9_external_shuffle
 from .spelling import op13_spelling_variants
@@ -28,4 +29,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_queries() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
