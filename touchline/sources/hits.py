@@ -49,12 +49,13 @@ def require_columns(found: dict[str, list[str]], required: Sequence[str] = REQUI
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
     """Columns of every input file, from a distributed read of first lines.
 
-    Each split is a partition of its own there, and its task stops after the
-    first line, so the job reads the start of every split and no more.  The
-    answer has one row a file, as the file listing has.
+    Each file is one partition there, and its task stops after the first line,
+    so the job reads the start of every file and no more.  The answer has one
+    row a file, as the file listing has.
     """
     own = spark.newSession()
-    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))
+    for key in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"):
+        own.conf.set(key, str(1 << 40))
     lines = own.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 
     def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
