@@ -15,7 +15,9 @@ windows at a time.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 without any labelled text every document is; repeated rows are predicted
-separately; labels are the non-null values of ``lang`` as they stand.
+separately; labels are the non-null values of ``lang`` as they stand; an empty
+table gives no rows; other columns are carried by position, so the columns asked
+for may have any names but ``lang_pred`` and ``score``.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, by_value, chunks, seeded, table, text_or_empty
+from .common import LOWER, by_value, chunks, seeded, stored, table, text_or_empty
 
 by_value(__name__)
 
@@ -38,6 +40,8 @@ FILTERS = 16
 EMBED = 8
 PER_LANG = 1500
 WINDOWS_EACH = 4
+#: up to this many languages their counts are broadcast
+BROADCAST_LANGS = 100_000
 EPOCHS = 6
 #: windows that are convolved at a time
 BLOCK = 512
@@ -179,7 +183,9 @@ def sample_windows(labelled: DataFrame, per_lang: int = PER_LANG) -> tuple[list[
     picks = [F.expr("text").substr((F.lit(1) + F.pmod(F.xxhash64("key", F.lit(i)), span)).cast("int"), F.lit(WINDOW)) for i in range(WINDOWS_EACH)]
     # about twice as many as wanted of each language, so that no task meets all
     # documents of one
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    if counts.count() <= BROADCAST_LANGS:  # whole texts stay where they are
+        counts = F.broadcast(counts)
     some = rows.join(counts, "lang").where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.lit(float(2 * per_lang << 30)) / F.col("n"))
     small = some.select("lang", "key", F.array(*picks).alias("text"))
     sample = small.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= per_lang)
@@ -284,7 +290,8 @@ def recognised(docs: DataFrame, keep: list[str]) -> DataFrame:
     out ones (or all, if none is) what is usual: a document goes if it lies
     ``REJECT`` times as far below their median as the lowest hundredth of them
     begins, and by ``LEAST_MARGIN`` at least.  A short text counts as if ``LIKE_PRIOR`` usual bytes followed it.
-    Texts without a letter go; without labelled text all do."""
+    Texts without a letter go.  Without labelled text there is nothing to judge the
+    others by, and all of them stay."""
     letters = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
     labelled = docs.where(F.col("lang").isNotNull() & letters).select("doc_id", "text", "lang")
     for learn, usual in ((~held_out(), held_out()), (F.lit(True), F.lit(True))):
@@ -295,7 +302,7 @@ def recognised(docs: DataFrame, keep: list[str]) -> DataFrame:
         if low is not None:
             like = (F.col("like") * F.col("n_bytes") + LIKE_PRIOR * middle) / (F.col("n_bytes") + LIKE_PRIOR)
             return likeness(docs.where(letters), tables, keep).where(like >= middle - max(REJECT * (middle - low), LEAST_MARGIN)).select(*[f"`{c}`" for c in keep])
-    return docs.where(F.lit(False)).select(*[f"`{c}`" for c in keep])
+    return docs.where(letters).select(*[f"`{c}`" for c in keep])
 
 
 def learn_and_predict(docs: DataFrame, keep: list[str]) -> DataFrame:
