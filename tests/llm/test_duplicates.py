@@ -214,6 +214,25 @@ def test_decontamination(spark):
     assert decontam.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items(spark):
+    """Items under five tokens count as whole runs only, items of five to eight
+    with all their tokens; checked against every run of every document."""
+    rng = random.Random(9)
+    vocabulary = ["what", "is", "love", "now", "then", "so"]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(0, 25))) for _ in range(60)]
+    texts += ["What is LOVE", "what is", "love is what", "so " * 70_000 + "what is love", texts[0], None]
+    items = ["what is love", "love", "now then", "is is is so", "what is love now then so", "..", None, "what is love", "what is love now then so then now what so"]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in enumerate(texts)], "doc_id long, text string, item long, seeds int, stretches int")
+    found = spark.createDataFrame([(i, t, 1) for i, t in enumerate(items)], "item_id long, text string, doc_id int")
+    got = decontam.contaminated(docs, found).collect()
+    short = {(r.doc_id, r.item_id) for r in got if r.n_tokens < decontam.MATCH}
+    runs = {i: f" {x} " for i, x in enumerate(items) if x and x != ".." and len(x.split()) < decontam.MATCH}
+    assert short == {(d, i) for d, t in enumerate(texts) for i, x in runs.items() if x in f" {(t or '').lower()} "}
+    assert all(r.n_covered == r.n_tokens for r in got if r.n_tokens <= decontam.LEAST)
+    assert all(r.n_covered >= decontam.LEAST for r in got if r.n_tokens > decontam.LEAST)
+    assert {r.n_words for r in got if r.doc_id == 60} == {3}
+
+
 def test_decontamination_query(spark):
     sf = "/root/testdata/sf0.01"
     docs = {r["doc_id"]: r["text"] for r in pq.read_table(f"{sf}/documents.parquet").to_pylist()}

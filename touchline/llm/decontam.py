@@ -7,14 +7,18 @@ over the documents keeps just those stretches, and seeds join documents with
 the items they share one with.  Each pair is then tiled: running Karp-Rabin
 finds all common stretches, and the longest unmarked one is marked again and
 again until none of ``MATCH`` tokens is left.  A pair counts if its tiles cover
-at least ``COVERAGE`` of the item's tokens, in whatever order they stand.
+at least ``COVERAGE`` of the item's tokens, in whatever order they stand, and at
+least ``LEAST`` tokens (or all, if the item has no more): one common phrase is no
+proof of a short item.  An item of fewer than ``MATCH`` tokens is a seed and a
+tile as a whole: the document holds all of it as one run.
 
 The pass over the documents tests seeds against a Bloom filter; its size doesn't depend on the benchmark, and the join decides, so a
 fuller filter only lets more rows through.
 
-Defined cases: null and empty texts share nothing; an item of fewer than
-``MATCH`` tokens takes no part; an item_id or doc_id that occurs with several
-texts counts with its best pair; empty tables give no rows.
+Defined cases: null and empty texts, and items without a token, share nothing; an
+item_id or doc_id that occurs with several texts counts with its best pair; a
+text of any length is read whole; empty tables give no rows; other columns
+aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,13 +37,16 @@ by_value(__name__)
 
 MATCH = 5
 COVERAGE = 0.5
+#: tokens that the tiles of a pair cover at least
+LEAST = 8
 
 TOKEN = np.zeros(256, dtype=bool)
 TOKEN[48:58] = TOKEN[97:123] = TOKEN[65:91] = TOKEN[128:] = True
 
 
 def item_seeds(items: DataFrame, match: int = MATCH) -> DataFrame:
-    """item_id, item (tokens with one space between), n_tokens, seeds."""
+    """item_id, item (tokens with one space between), n_tokens, seeds; the only
+    seed of an item of fewer than ``match`` tokens is the whole of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offs in chunks(batches, "text"):
@@ -51,52 +58,63 @@ def item_seeds(items: DataFrame, match: int = MATCH) -> DataFrame:
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 items_.append(" ".join(raw[x:y].decode() for x, y in zip(s[a:b], e[a:b], strict=True)))
                 n.append(b - a)
-                seeds.append(np.unique(gram_hashes(h[a:b], match)).view(np.int64))
+                seeds.append(np.unique(gram_hashes(h[a:b], max(min(match, b - a), 1))).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(items_, pa.string()), pa.array(n, pa.int64()), pa.array(seeds, pa.list_(pa.int64()))],
                 names=["item_id", "item", "n_tokens", "seeds"],
             )
 
     source = items.select(F.col("item_id").cast("long").alias("item_id"), F.lower(text_or_empty()).alias("text"))
-    return source.mapInArrow(run, "item_id long, item string, n_tokens long, seeds array<long>").where(F.col("n_tokens") >= match)
+    return source.mapInArrow(run, "item_id long, item string, n_tokens long, seeds array<long>").where("n_tokens > 0")
 
 
-def shared_stretches(docs: DataFrame, shared, match: int = MATCH) -> DataFrame:
-    """doc_id, body, stretches (token runs that hold nothing but seeds that pass the
-    broadcast filter ``shared``), seeds; only documents that have any."""
+def shared_stretches(docs: DataFrame, shared, sizes: list[int]) -> DataFrame:
+    """doc_id, body, n_words (the document's tokens), stretches (token runs that hold
+    nothing but seeds that pass the broadcast filter ``shared``), seeds; only
+    documents that have any.  Seeds are runs of any of the ``sizes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = filter_bits(shared.value)
         for batch, data, offs in chunks(batches, "text"):
             s, e, row = spans(data, offs, TOKEN[data])
-            grams = gram_hashes(word_hashes(data, s, e), match)
-            high, low = filter_places(grams)
-            hit = np.flatnonzero(bits[high] & bits[low] & (row[: len(grams)] == row[match - 1 :][: len(grams)]))
+            h = word_hashes(data, s, e)
+            hits = []
+            for size in sizes:
+                grams = gram_hashes(h, size)
+                high, low = filter_places(grams)
+                at = np.flatnonzero(bits[high] & bits[low] & (row[: len(grams)] == row[size - 1 :][: len(grams)]))
+                hits.append((at, at + size, grams[at]))
+            hit, end, grams = map(np.concatenate, zip(*hits, strict=True))
             if not len(hit):
                 continue
+            order = np.argsort(hit, kind="stable")
+            hit, end, grams = hit[order], end[order], grams[order]
             # a stretch ends where the next seed starts after it or in another row
-            far = np.flatnonzero((hit[1:] > hit[:-1] + match) | (row[hit[1:]] != row[hit[:-1]])) + 1
+            reach = np.maximum.accumulate(end)
+            far = np.flatnonzero((hit[1:] > reach[:-1]) | (row[hit[1:]] != row[hit[:-1]])) + 1
             first = hit[np.concatenate([[0], far])]
-            last = hit[np.concatenate([far - 1, [len(hit) - 1]])] + match
+            last = reach[np.concatenate([far - 1, [len(hit) - 1]])]
             raw = data.tobytes()
             texts = [" ".join(raw[x:y].decode() for x, y in zip(s[a:b], e[a:b], strict=True)) for a, b in zip(first, last, strict=True)]
             rows = row[first]
             edges = np.flatnonzero(np.diff(rows, prepend=-1))
             ends = [*edges[1:], len(rows)]
             of_hit = row[hit]
-            seeds = [np.unique(grams[hit[np.searchsorted(of_hit, r) : np.searchsorted(of_hit, r, "right")]]).view(np.int64) for r in rows[edges]]
+            seeds = [np.unique(grams[np.searchsorted(of_hit, r) : np.searchsorted(of_hit, r, "right")]).view(np.int64) for r in rows[edges]]
+            n_words = np.bincount(row, minlength=len(batch))[rows[edges]]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows[edges])),
                     batch.column(1).take(pa.array(rows[edges])),
+                    pa.array(n_words, pa.int64()),
                     pa.array([texts[a:b] for a, b in zip(edges, ends, strict=True)], pa.list_(pa.string())),
                     pa.array(seeds, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "body", "stretches", "seeds"],
+                names=["doc_id", "body", "n_words", "stretches", "seeds"],
             )
 
     source = with_body(docs).withColumn("text", F.lower("text"))
-    return source.mapInArrow(run, "doc_id long, body long, stretches array<string>, seeds array<long>")
+    return source.mapInArrow(run, "doc_id long, body long, n_words long, stretches array<string>, seeds array<long>")
 
 
 _MOD = (1 << 61) - 1
@@ -169,37 +187,41 @@ def tiles(item: list[str], stretches: list[list[str]], match: int = MATCH) -> li
 
 
 def tile_pairs(pairs: DataFrame, match: int = MATCH) -> DataFrame:
-    """doc_id, body, item_id, n_tokens, n_covered, n_tiles, longest of each
-    pair (doc_id, body, stretches, item_id, item)."""
+    """doc_id, body, n_words, item_id, n_tokens, n_covered, n_tiles, longest of each
+    pair (doc_id, body, n_words, stretches, item_id, item).  An item shorter than
+    ``match`` is one tile or none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, body, stretches, item_id, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, body, n_words, stretches, item_id, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens = item.split(" ")
-                found = tiles(tokens, [s.split(" ") for s in stretches], match)
-                rows.append((doc, body, item_id, len(tokens), sum(t[0] for t in found), len(found), max((t[0] for t in found), default=0)))
+                found = tiles(tokens, [s.split(" ") for s in stretches], min(match, len(tokens)))
+                rows.append((doc, body, n_words, item_id, len(tokens), sum(t[0] for t in found), len(found), max((t[0] for t in found), default=0)))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names=names)
 
-    names = ["doc_id", "body", "item_id", "n_tokens", "n_covered", "n_tiles", "longest"]
-    return pairs.select("doc_id", "body", "stretches", "item_id", "item").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    names = ["doc_id", "body", "n_words", "item_id", "n_tokens", "n_covered", "n_tiles", "longest"]
+    return pairs.select("doc_id", "body", "n_words", "stretches", "item_id", "item").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, match: int = MATCH, coverage: float = COVERAGE) -> DataFrame:
-    """doc_id, body, item_id, n_tokens, n_covered, n_tiles, longest, coverage:
-    pairs of a document and a benchmark item whose tiles cover at least
-    ``coverage`` of the item."""
+    """doc_id, body, n_words, item_id, n_tokens, n_covered, n_tiles, longest,
+    coverage: pairs of a document and a benchmark item whose tiles cover at least
+    ``coverage`` of the item and ``LEAST`` of its tokens, or all of them."""
     wanted = item_seeds(items, match)
+    short = wanted.where(F.col("n_tokens") < match).select("n_tokens").distinct().collect()  # fewer rows than ``match``
+    sizes = [match, *sorted(r["n_tokens"] for r in short)]
     seeds = wanted.select(F.explode("seeds").alias("seed"), "item_id", "item")
-    found = shared_stretches(docs, filter_of(seeds.select(F.col("seed").alias("value")).distinct()), match)
+    found = shared_stretches(docs, filter_of(seeds.select(F.col("seed").alias("value")).distinct()), sizes)
     pairs = (
-        found.select("doc_id", "body", "stretches", F.explode("seeds").alias("seed"))
+        found.select("doc_id", "body", "n_words", "stretches", F.explode("seeds").alias("seed"))
         .join(seeds, "seed")
-        .select("doc_id", "body", "stretches", "item_id", "item")
+        .select("doc_id", "body", "n_words", "stretches", "item_id", "item")
         .distinct()
     )
     share = F.col("n_covered") / F.col("n_tokens")
-    return tile_pairs(pairs, match).where(F.col("n_covered") >= F.lit(coverage) * F.col("n_tokens")).withColumn("coverage", share)
+    enough = F.greatest(F.lit(coverage) * F.col("n_tokens"), F.least(F.col("n_tokens"), F.lit(LEAST)))
+    return tile_pairs(pairs, match).where(F.col("n_covered") >= enough).withColumn("coverage", share)
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:
