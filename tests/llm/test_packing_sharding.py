@@ -130,4 +130,20 @@ def test_written_shards(spark, workdir):
     dealt = sharding.deal(sharding.shuffle_records(spark.read.parquet(f"{workdir}/docs"), sharding.record_size()), 4)
     sharding.write_shards(dealt, f"{workdir}/shards")
     back = spark.read.parquet(f"{workdir}/shards").collect()
-    assert sorted(r.doc_id for r in back) == list(range(25)) and {r.shard for r in back} == set(range(4))
+    assert sorted(r.record.doc_id for r in back) == list(range(25)) and {r.shard for r in back} == set(range(4))
+
+
+def test_records_may_have_any_column(spark, workdir, monkeypatch):
+    """Columns named as the operator's own, a record larger than a bucket, and
+    bases joined by shuffle over several spans of buckets."""
+    monkeypatch.setattr(sharding, "BROADCAST_BUCKETS", 1)
+    monkeypatch.setattr(sharding, "SPAN", 3)
+    names = "shard int, slot int, bucket int, record int, position int, place int, number int, bytes int, base int, text string"
+    rows = [(*[i] * 9, "x" * (5000 if i == 7 else i % 30)) for i in range(200)]
+    spark.createDataFrame(rows, names).write.parquet(f"{workdir}/docs")
+    shuffled = sharding.shuffle_records(spark.read.parquet(f"{workdir}/docs"), sharding.record_size(), bucket_bytes=500)
+    assert sorted(r.position for r in shuffled.select("position").collect()) == list(range(200))
+    sharding.write_shards(sharding.deal(shuffled, 3), f"{workdir}/shards")
+    back = spark.read.parquet(f"{workdir}/shards").collect()
+    assert sorted(tuple(r.record) for r in back) == sorted(rows)
+    assert sorted((r.shard, r.slot) for r in back) == sorted((i % 3, i // 3) for i in range(200))

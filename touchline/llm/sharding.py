@@ -15,7 +15,8 @@ mix two different permutations.
 
 Defined cases: an empty table gives no rows; null fields are kept as they are;
 repeated rows are shuffled as separate records; a record larger than a bucket
-makes its bucket that large.
+makes its bucket that large; records are carried and written as one struct, so
+their columns may have any names.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ from pyspark.sql import functions as F
 from .common import shuffle_parts, stored
 
 BUCKET_BYTES = 16 << 20
+#: up to this many buckets (16 bytes each) their bases are broadcast
+BROADCAST_BUCKETS = 1_000_000
+#: buckets whose sizes are summed up together first
+SPAN = 4096
 
 
 def record_size(text: str = "text"):
@@ -52,12 +57,23 @@ def shuffle_records(df: DataFrame, size, seed: int = 42, bucket_bytes: int = BUC
         permuted.select("bucket", F.posexplode("all").alias("place", "numbered")).select("bucket", "place", "numbered.record"),
         "shuffled",
     )
-    # one row a bucket: at most total / bucket_bytes + 1 rows of 16 bytes
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = written.groupBy("bucket").agg(F.count("*").alias("n")).select(
-        F.col("bucket"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
-    )
-    return written.join(F.broadcast(base), "bucket").select("record", (F.col("base") + F.col("place")).alias("position"))
+    base = bases(written)
+    if buckets <= BROADCAST_BUCKETS:
+        base = F.broadcast(base)
+    return written.join(base, "bucket").select("record", (F.col("base") + F.col("place")).alias("position"))
+
+
+def bases(written: DataFrame) -> DataFrame:
+    """bucket, base: the records in the buckets before it.  Sums of ``SPAN`` buckets
+    each are added up first, so no task meets all buckets."""
+    counts = written.groupBy("bucket").agg(F.count("*").alias("n")).withColumn("span", F.floor(F.col("bucket") / SPAN))
+
+    def before(order: str, *within: str):
+        window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(window), F.lit(0))
+
+    spans = counts.groupBy("span").agg(F.sum("n").alias("n")).select("span", before("span").alias("start"))
+    return counts.join(spans, "span").select("bucket", (F.col("start") + before("bucket", "span")).alias("base"))
 
 
 def deal(shuffled: DataFrame, shards: int) -> DataFrame:
@@ -70,8 +86,8 @@ def deal(shuffled: DataFrame, shards: int) -> DataFrame:
 
 
 def write_shards(dealt: DataFrame, path: str) -> None:
-    """One folder a shard, its records in slot order."""
-    dealt.repartition("shard").sortWithinPartitions("shard", "slot").select("record.*", "slot", "shard").write.partitionBy("shard").parquet(path)
+    """One folder a shard; its rows are a ``slot`` and a ``record``, in slot order."""
+    dealt.repartition("shard").sortWithinPartitions("shard", "slot").select("slot", "record", "shard").write.partitionBy("shard").parquet(path)
 
 
 def op9_external_shuffle(spark, sf_dir: str) -> DataFrame:
