@@ -90,6 +90,34 @@ def test_nearest_neighbours_odd_rows(spark, monkeypatch):
     assert ann.search(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_nearest_neighbours_repeated_ids(spark, monkeypatch):
+    """A row's twin, equal to it or not, is a candidate; the row itself isn't.
+    One id holds a third of the rows and its leaf is split into blocks."""
+    monkeypatch.setattr(ann, "ROW_BLOCK", 20)
+    rng = random.Random(6)
+    rows = [(i, [float(rng.randrange(50)) + 1, 1.0]) for i in range(200)]
+    rows += [(100, [rows[100][1][0], 1.25]), (50, rows[50][1])] + [(7, [3.0, 1.0 + i / 128]) for i in range(100)]
+    df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, leaf int, v int")
+    asked = {0, 50, 100, 7}
+    out = ann.search(df, F.col("vec_id").isin(*asked)).collect()
+    for q in asked:
+        own = min(v for i, v in rows if i == q)
+        others = list(rows)
+        others.remove((q, own))
+        want = sorted((math.dist(v, own), i) for i, v in others)[:10]
+        got = [(r.score, r.vec_id) for r in sorted(out, key=lambda r: r.rank) if r.query_id == q]
+        assert got == want
+
+
+def test_sample_is_thinned_by_hash(spark):
+    rows = spark.range(5000).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("double")).alias("v"))
+    key = F.xxhash64(F.lit("sample"), "vec_id", "v")
+    want = [r["vec_id"] for r in rows.where(F.pmod(key, F.lit(1 << 30)) < F.lit((200 << 30) // 5000)).orderBy(key).limit(100).collect()]
+    assert ann.smallest_hashes(rows, 100, 5000, "sample").column("vec_id").to_pylist() == want
+    alike = spark.range(5000).select(F.lit(3).cast("long").alias("vec_id"), F.array(F.lit(1.0)).alias("v"))
+    assert ann.smallest_hashes(alike, 100, 5000, "sample").num_rows == 100
+
+
 def test_best_bin_first_visits_every_leaf_once():
     x = np.array([[random.Random(i).gauss(0, 1) for _ in range(4)] for i in range(600)])
     tree = ann.grow(x, 4, 20)
@@ -99,59 +127,6 @@ def test_best_bin_first_visits_every_leaf_once():
         assert order[0] == ann.leaf_of(tree, q[None])[0]
 
 
-def brute_scores(docs, targets, word_share, bigram_share, weight):
-    def lowered(t):
-        return [re.sub(rb"[A-Z]", lambda m: m[0].lower(), w) for w in (t or "").encode().split()]
-
-    texts = [(i, lowered(t)) for i, t in docs]
-    n = Counter(w for _, t in texts for w in t)
-    total = sum(n.values())
-    vocabulary = {w for w, c in n.items() if c >= word_share * total}
-    mapped = [(i, [w if w in vocabulary else None for w in t]) for i, t in texts]
-
-    def count(rows):
-        return Counter(p for t in rows for p in zip(["<s>", *t], t))
-
-    every, good = count([t for _, t in mapped]), count([t for i, t in mapped if i in targets])
-    listed = {p for c in (every, good) for p in c if c[p] >= bigram_share * sum(c.values())}
-    size = len(vocabulary) + 1
-
-    def loss(c, a, w):
-        words, contexts = Counter(), Counter()
-        for (x, y), k in c.items():
-            words[y] += k
-            contexts[x] += k
-        uni = (words[w] + 1) / (sum(words.values()) + size)
-        left = 1 - sum(weight * c[p] / max(contexts[a], 1) for p in listed if p[0] == a)
-        return -math.log(left * uni + (weight * c[a, w] / max(contexts[a], 1) if (a, w) in listed else 0))
-
-    out = []
-    for i, t in mapped:
-        pairs = list(zip(["<s>", *t], t))
-        a = [sum(loss(c, *p) for p in pairs) / len(pairs) if pairs else None for c in (good, every)]
-        out.append((i, len(pairs), *a, a[0] - a[1] if pairs else None))
-    return out
-
-
-def test_scores_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(lm_score, "WORD_SHARE", 0.02)
-    monkeypatch.setattr(lm_score, "BIGRAM_SHARE", 0.005)
-    rng = random.Random(5)
-    docs = [(i, " ".join(rng.choice("The a Cat dog runs SLEEPS and or x1 x2".split()) + "!" * (rng.random() < 0.1) for _ in range(rng.randrange(1, 40)))) for i in range(30)]
-    docs += [(30, None), (31, ""), (32, " \n"), docs[3]]
-    targets = {1, 2, 3, 8}
-    frame = spark.createDataFrame([(i, t, "x", 1, "") for i, t in docs], DOCS)
-    ids = spark.createDataFrame([(i,) for i in [*targets, 2, 99]], "doc_id long")
-    got = sorted(tuple(r) for r in lm_score.score(frame, ids).collect())
-    want = sorted(brute_scores(docs, targets, 0.02, 0.005, lm_score.WEIGHT))
-    assert [r[:2] for r in got] == [r[:2] for r in want]
-    for a, b in zip(got, want):
-        assert a[2:] == b[2:] or np.allclose(a[2:], b[2:], atol=1e-9)
-    none = lm_score.score(frame, ids.limit(0)).collect()
-    assert len(none) == len(docs) and all(r.n_words == 0 or math.isfinite(r.score) for r in none)
-    assert lm_score.score(frame.limit(0), ids).count() == 0
-
-
 def test_scores_know_every_word_and_bigram(spark):
     """Words and bigrams seen once among 400,000 words, in several parts."""
     rng = random.Random(8)
@@ -186,6 +161,9 @@ def test_scores_know_every_word_and_bigram(spark):
     assert np.allclose(got, sorted(want), atol=1e-9)
     none = lm_score.score(spark.createDataFrame([], DOCS), ids)
     assert none.count() == 0
+    frame = spark.createDataFrame([(i, t, "x", 1, "") for i, t in docs[3:9]], DOCS)
+    untargeted = lm_score.score(frame, ids.limit(0)).collect()
+    assert len(untargeted) == 6 and all(math.isfinite(r.score) for r in untargeted)
 
 
 def brute_licenses(docs, templates, stride):

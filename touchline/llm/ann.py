@@ -1,7 +1,7 @@
 """Approximate nearest neighbours with a hierarchical k-means tree.
 
 The tree is fitted on a bounded sample (``SAMPLE`` rows, the smallest hashes of
-their ids); every row is then indexed by descending to its leaf.  A query walks
+id and vector, thinned by hash before they meet in one task); every row is then indexed by descending to its leaf.  A query walks
 the tree best bin first: a priority queue holds the branches it hasn't taken,
 by the distance to their centres, so leaves come in a promising order and the
 walk can be widened leaf by leaf.  How many leaves a search visits is
@@ -17,9 +17,10 @@ original vectors.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite
 components take no part, nor do those whose length isn't the commonest one
-(the smaller of equally common ones); a repeated vec_id is a candidate like
-another and asks once, with its smallest vector; a null vec_id takes no part; ties go to the smaller vec_id; an empty
-table gives no rows.
+(the smaller of equally common ones); a repeated vec_id asks once, with its
+smallest vector, and its other rows are candidates like any, be they equal to it
+or not; a null vec_id takes no part; ties go to the smaller vec_id; an empty
+table gives no rows; other columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -144,8 +145,8 @@ def matrix(column) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, v (array<double>) of the vectors that take part."""
+def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
+    """vec_id, v (array<double>) of the vectors that take part, and their number."""
     v = F.col("embedding").cast("array<double>")
     fine = (
         F.col("vec_id").isNotNull()
@@ -155,7 +156,20 @@ def usable(vectors: DataFrame) -> DataFrame:
     )
     kept = vectors.where(fine).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
     common = kept.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return kept.where(F.size("v") == (common["d"] if common else 0))
+    return kept.where(F.size("v") == (common["d"] if common else 0)), common["count"] if common else 0
+
+
+def smallest_hashes(rows: DataFrame, n: int, total: int, seed: str) -> pa.Table:
+    """The ``n`` of ``total`` rows (vec_id, v) with the smallest hashes.  About twice as
+    many are let through by hash first, so the task that sorts them meets no
+    more, however many partitions there are; rows so much alike that too few
+    come through are sorted as they are."""
+    key = F.xxhash64(F.lit(seed), "vec_id", "v")
+    chosen = lambda of: of.orderBy(key, "vec_id").limit(n).toArrow()
+    if total <= 2 * n:
+        return chosen(rows)
+    got = chosen(rows.where(F.pmod(key, F.lit(1 << 30)) < F.lit((2 * n << 30) // total)))
+    return got if got.num_rows >= n // 2 else chosen(rows)
 
 
 def indexed(vectors: DataFrame, tree: Tree) -> DataFrame:
@@ -170,9 +184,11 @@ def indexed(vectors: DataFrame, tree: Tree) -> DataFrame:
 
 
 def nearest(ids: np.ndarray, x: np.ndarray, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and distances of the k nearest rows but the query's own."""
+    """Places and distances of the k nearest rows but the query's own, which is
+    one row of its id and its vector; another such row is a candidate."""
     d = np.sqrt(((x - q) ** 2).sum(axis=1))
-    d[ids == own] = np.inf
+    same_id = np.flatnonzero(ids == own)
+    d[same_id[(x[same_id] == q).all(axis=1)][:1]] = np.inf
     order = np.lexsort((ids, d))[: k + 1]
     order = order[np.isfinite(d[order])][:k]
     return order, d[order]
@@ -181,7 +197,7 @@ def nearest(ids: np.ndarray, x: np.ndarray, own: int, q: np.ndarray, k: int) ->
 def calibrate(rows: DataFrame, tree: Tree, sizes: np.ndarray, k: int) -> int:
     """The fewest leaf visits that find ``TARGET`` of the true neighbours of
     the calibration rows among all rows."""
-    chosen = rows.orderBy(F.xxhash64(F.lit("calibrate"), "vec_id"), "vec_id").limit(CALIBRATION).toArrow()
+    chosen = smallest_hashes(rows.select("vec_id", "v"), CALIBRATION, int(sizes.sum()), "calibrate")
     own, q = chosen.column("vec_id").to_numpy(), matrix(chosen.column("v").combine_chunks())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,8 +234,8 @@ def search(vectors: DataFrame, is_query, k: int = K, sample: int = SAMPLE) -> Da
     which ``is_query`` holds."""
     spark = vectors.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
-    fine = usable(vectors)
-    drawn = fine.orderBy(F.xxhash64(F.lit("sample"), "vec_id"), "vec_id").limit(sample).toArrow()
+    fine, total = usable(vectors)
+    drawn = smallest_hashes(fine, sample, total, "sample")
     if not drawn.num_rows:
         return spark.createDataFrame([], out)
     tree = grow(matrix(drawn.column("v").combine_chunks()))
@@ -243,9 +259,10 @@ def search(vectors: DataFrame, is_query, k: int = K, sample: int = SAMPLE) -> Da
         [(i, -(-int(sizes[i]) // ROW_BLOCK), -(-n // QUERY_BLOCK)) for i, n in asked.items() if sizes[i]], "leaf int, row_blocks long, query_blocks long"
     )  # a row a leaf
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    own = lambda of, n: F.pmod(F.xxhash64(of), F.col(n))
-    left = visited.join(F.broadcast(blocks), "leaf").select("leaf", every("row_blocks").alias("a"), own("query_id", "query_blocks").alias("b"), "query_id", "q")
-    right = rows.join(F.broadcast(blocks), "leaf").select("leaf", own("vec_id", "row_blocks").alias("a"), every("query_blocks").alias("b"), "vec_id", "v")
+    own = lambda n, *of: F.pmod(F.xxhash64(*of), F.col(n))
+    left = visited.join(F.broadcast(blocks), "leaf").select("leaf", every("row_blocks").alias("a"), own("query_blocks", "query_id").alias("b"), "query_id", "q")
+    # equal rows share a block, so a query meets all rows like its own at once
+    right = rows.join(F.broadcast(blocks), "leaf").select("leaf", own("row_blocks", "vec_id", "v").alias("a"), every("query_blocks").alias("b"), "vec_id", "v")
 
     def score(key, qs: pa.Table, xs: pa.Table) -> pa.Table:
         found = {"query_id": [], "vec_id": [], "score": []}

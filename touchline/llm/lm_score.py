@@ -15,41 +15,33 @@ documents are then scored against the sums of its own n-grams.  A frequent
 n-gram counts once a part, so no bucket is hot, and nothing is broadcast but
 the size of the vocabulary.
 
-A share set in ``WORD_SHARE`` or ``BIGRAM_SHARE`` asks for a small model on
-purpose: rarer words are the unknown word, rarer bigrams back off to the
-unigram with the weight that their listed ones leave, and the lists, at most
-``1 / WORD_SHARE`` and ``2 / BIGRAM_SHARE`` long, are broadcast.
-
 Words are ``[^\\x20\\x09-\\x0D]+`` in lower case (A-Z).
 
 Defined cases: a document without words has null losses; a repeated row is
 counted and scored again; a document is a target if any of its labels has
 quality 1; without a target both models still exist, the target's being
-uniform; clashing names of other columns don't matter, they aren't read.
+uniform; an empty table gives no rows; clashing names of other columns don't
+matter, they aren't read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, by_value, chunks, mix, seeded, shuffle_parts, stored, table, text_or_empty, word_hashes, word_spans
+from .common import LOWER, by_value, chunks, mix, seeded, shuffle_parts, table, text_or_empty, word_hashes, word_spans
 
 by_value(__name__)
 
-#: least share of a known word and of a listed bigram; at 0 all are
-WORD_SHARE = 0.0
-BIGRAM_SHARE = 0.0
 #: text of the documents that are counted and scored together
 PART_BYTES = 8 << 20
 #: text whose n-grams make up a bucket
 BUCKET_BYTES = 32 << 20
-#: weight of the listed bigrams against the unigrams
+#: weight of the bigrams against the unigrams
 WEIGHT = 0.7
 #: distinct keys that a task holds before it hands them on
 HELD = 1_000_000
@@ -106,100 +98,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select(text_or_empty().alias("text")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def word_ids(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """2 and up for the vocabulary, 1 for other words; 0 is the start."""
-    if not len(vocabulary):
-        return np.ones(len(words), np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == words, at + 2, 1)
-
-
-def bigram_keys(data: np.ndarray, offs: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The key (context * ids + word) and word of each word, and its row."""
-    words, row = lowered_words(data, offs)
-    ids = word_ids(words.view(np.int64), vocabulary)
-    before = np.zeros(len(ids), np.int64)
-    before[1:] = np.where(row[1:] == row[:-1], ids[:-1], 0)
-    return before * (len(vocabulary) + 2) + ids, ids, row
-
-
-def bigram_counts(docs: DataFrame, target_ids: DataFrame, vocabulary) -> DataFrame:
-    """key, n_all, n_target; ``vocabulary`` is a broadcast of sorted hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "n_all", "n_target"]
-        tally = Tally(2)
-        for batch, data, offs in chunks(batches, "text"):
-            keys, _, row = bigram_keys(data, offs, vocabulary.value)
-            target = np.asarray(batch.column(1).to_pylist(), bool)
-            distinct, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
-            tally.add(distinct, n, np.bincount(inverse, target[row], len(distinct)).astype(np.int64))
-            if tally.size > 4 * HELD:
-                yield from tally.batches(names, HELD)
-        yield from tally.batches(names)
-
-    flags = target_ids.select(F.col("doc_id").alias("_id")).distinct().withColumn("target", F.lit(True))
-    text = docs.select(F.col("doc_id").cast("long").alias("_id"), text_or_empty().alias("text"))
-    # labels grow with the documents: one plan at every size
-    flagged = text.join(flags.hint("merge"), "_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    counted = flagged.mapInArrow(run, "key long, n_all long, n_target long")
-    return counted.groupBy("key").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
-
-
-@dataclass
-class Model:
-    """One side of the pair; indexes are word ids or places in the bigram list."""
-
-    unigram: np.ndarray
-    left: np.ndarray  # what the listed bigrams of a context leave to unigrams
-    listed: np.ndarray  # weighted probability of each listed bigram
-
-    def loss(self, at: np.ndarray, hit: np.ndarray, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        p = self.left[context] * self.unigram[ids]
-        p[hit] += self.listed[at[hit]]
-        return -np.log(p)
-
-
-def model(words: np.ndarray, contexts: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Model:
-    """From the counts of words, of contexts and of the listed bigrams.
-    Unigrams are smoothed by one; the start (id 0) is never a word."""
-    size = len(words)
-    unigram = (words + 1.0) / (words.sum() + size - 1)
-    context = keys // size
-    share = WEIGHT * counts / np.maximum(contexts[context], 1)
-    return Model(unigram, 1.0 - np.bincount(context, share, size), share)
-
-
-def fit(docs: DataFrame, target_ids: DataFrame):
-    """The broadcast vocabulary, listed keys and the two models."""
-    spark = docs.sparkSession
-    counts = stored(word_counts(docs), "words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    frequent = counts.where(F.col("n") >= F.lit(WORD_SHARE) * F.lit(float(total))).select("word").toArrow()
-    vocabulary = spark.sparkContext.broadcast(np.sort(frequent.column("word").to_numpy()))
-    size = len(vocabulary.value) + 2
-    bigrams = stored(bigram_counts(docs, target_ids, vocabulary), "bigrams")
-    sums = bigrams.agg(F.sum("n_all").alias("a"), F.sum("n_target").alias("t")).first()
-
-    def by(column) -> list[np.ndarray]:
-        got = bigrams.groupBy(column.cast("long").alias("id")).agg(F.sum("n_all").alias("a"), F.sum("n_target").alias("t")).toArrow()
-        out = [np.zeros(size), np.zeros(size)]
-        for o, name in zip(out, ("a", "t"), strict=True):
-            o[got.column("id").to_numpy()] = got.column(name).to_numpy()
-        return out
-
-    words, contexts = by(F.col("key") % size), by(F.floor(F.col("key") / size))
-    share = F.lit(BIGRAM_SHARE)
-    often = (F.col("n_all") >= share * F.lit(float(sums["a"] or 0))) | ((F.col("n_target") > 0) & (F.col("n_target") >= share * F.lit(float(sums["t"] or 0))))
-    got = bigrams.where(often).toArrow()
-    order = np.argsort(got.column("key").to_numpy())
-    keys = got.column("key").to_numpy()[order]
-    models = [
-        model(w, c, keys, got.column(name).to_numpy()[order].astype(float)) for w, c, name in zip(words, contexts, ("n_all", "n_target"), strict=True)
-    ]
-    return vocabulary, spark.sparkContext.broadcast((keys, *models))
-
-
 SCORES = "doc_id long, n_words long, loss_target double, loss_background double, score double"
 
 
@@ -211,23 +109,6 @@ def means(ids: pa.Array, row: np.ndarray, target: np.ndarray, background: np.nda
     return pa.RecordBatch.from_arrays([ids, pa.array(n.astype(np.int64)), *columns], names=["doc_id", "n_words", "loss_target", "loss_background", "score"])
 
 
-def score_listed(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """``score`` with the words and bigrams of at least the given shares."""
-    vocabulary, models = fit(docs, target_ids)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, background, target = models.value
-        for batch, data, offs in chunks(batches, "text"):
-            keys, ids, row = bigram_keys(data, offs, vocabulary.value)
-            context = keys // (len(vocabulary.value) + 2)
-            at = np.minimum(np.searchsorted(listed, keys), max(len(listed) - 1, 0))
-            hit = listed[at] == keys if len(listed) else np.zeros(len(keys), bool)
-            b, t = background.loss(at, hit, context, ids), target.loss(at, hit, context, ids)
-            yield means(batch.column(0), row, t, b)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, SCORES)
-
-
 #: the n-gram of no word, which counts all of them; the start; what tells a
 #: context from a word; the two places of a bigram
 TOTAL, START, CONTEXT, FIRST, SECOND = seeded(5, 23) | np.uint64(1)
@@ -317,8 +198,9 @@ def gram_counts(docs: DataFrame, target_ids: DataFrame, parts: int, buckets: int
     return sent.groupBy("bucket").applyInArrow(answer, "part int, bucket int, n int, counts binary")
 
 
-def score_all(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """``score`` with every word and bigram."""
+def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """doc_id, n_words, loss_target, loss_background, score, from every word and
+    bigram of ``docs``."""
     size = docs.agg(F.sum(F.octet_length(text_or_empty()))).first()[0] or 0
     # small inputs have parts and buckets for every task
     least = 2 * shuffle_parts(docs.sparkSession)
@@ -349,11 +231,6 @@ def score_all(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     return parted(docs, parts).groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(run, SCORES)
 
 
-def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """doc_id, n_words, loss_target, loss_background, score."""
-    return (score_listed if WORD_SHARE or BIGRAM_SHARE else score_all)(docs, target_ids)
-
-
 def op1_cross_entropy_difference(spark, sf_dir: str) -> DataFrame:
     """Every document's score; the target is the documents of quality 1."""
     labels = table(spark, sf_dir, "labels").where(F.col("quality") == 1).select(F.col("doc_id").cast("long").alias("doc_id"))
