@@ -419,6 +419,10 @@ SELECT seq, ip, user_agent, referrer, event_list, product_list FROM norm""",
 SELECT seq, hit_time, time_blank, time_bad FROM norm""",
         "visitor_key": BASE + """
 SELECT ip, user_agent, CAST(count(*) AS BIGINT) AS hits FROM norm GROUP BY 1, 2""",
+        "sql_functions": BASE + """
+SELECT seq, domain AS search_engine_domain, keyword AS search_keyword, hostname AS referrer_host, is_purchase,
+       CAST(revenue AS DECIMAL(38,2)) AS revenue
+FROM classed""",
         "search_hits": BASE + """
 SELECT seq, domain AS search_engine_domain, keyword AS search_keyword FROM classed WHERE keyword IS NOT NULL""",
         "purchase_hits": BASE + """

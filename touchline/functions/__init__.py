@@ -10,6 +10,7 @@ from .commerce import (
     product_revenue,
     to_cents,
 )
+from .sql import register_sql_functions
 from .text import blank_to_empty, strip_text, url_decode
 from .url import (
     classify_referrer,
@@ -30,5 +31,5 @@ __all__ = [
     "product_revenue", "to_cents", "blank_to_empty", "strip_text", "url_decode",
     "engine_lookup", "query_param", "referrer_class", "referrer_host", "search_referrer",
     "url_authority", "url_hostname", "url_is_malformed", "url_query",
-    "classify_referrer", "with_referrer_parts",
+    "classify_referrer", "with_referrer_parts", "register_sql_functions",
 ]

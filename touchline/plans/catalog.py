@@ -116,6 +116,24 @@ def referrer_rules(spark, sf_dir) -> DataFrame:
     return parts.select("seq", host, cls.alias("referrer_class"), "touch.domain", "touch.keyword")
 
 
+def sql_functions(spark, sf_dir) -> DataFrame:
+    """Touch, host and purchase revenue of every hit, in SQL over SQL functions."""
+    from ..functions import register_sql_functions
+
+    register_sql_functions(spark, prefix="touchline_")
+    return spark.sql(
+        """
+        SELECT seq, touch.domain AS search_engine_domain, touch.keyword AS search_keyword, referrer_host, is_purchase,
+               if(is_purchase, touchline_to_cents(touchline_product_revenue(touchline_strip_text(product_list))), 0.00) AS revenue
+        FROM (SELECT seq, product_list, touchline_search_referrer(touchline_strip_text(referrer)) AS touch,
+                     touchline_url_host(touchline_strip_text(referrer)) AS referrer_host,
+                     touchline_is_purchase(event_list) AS is_purchase
+              FROM {hits})
+        """,
+        hits=hits_from_events(spark, sf_dir),
+    ).withColumn("revenue", F.col("revenue").cast(MONEY_TYPE))
+
+
 def hit_normalize(spark, sf_dir) -> DataFrame:
     n = normalize_hits(hits_from_events(spark, sf_dir))
     return n.select("seq", "ip", "user_agent", "referrer", "event_list", "product_list")
@@ -281,6 +299,7 @@ def registry() -> dict[str, Query]:
         "purchase_outcomes_timeout": lambda s, d: purchase_outcomes(s, d, session_timeout=t),
         "referrer_class": referrer_classes,
         "referrer_rules": referrer_rules,
+        "sql_functions": sql_functions,
         "hit_normalize": hit_normalize,
         "hit_time_coerce": hit_time_coerce,
         "visitor_key": visitor_key,
