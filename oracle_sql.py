@@ -398,6 +398,9 @@ FROM cols, raw WHERE column_name <> 'product_list' OR event_list <> '2' GROUP BY
         "last_touch_time_order_skew_split": keyword_revenue("time", t),
         "stream_running_totals": keyword_revenue("file", None),
         "stream_running_totals_time_order": keyword_revenue("time", t),
+        "stream_chained_totals": keyword_revenue("file", None),
+        "stream_hit_files": keyword_revenue("file", None),
+        "stream_hit_files_timeout": keyword_revenue("file", t),
         "report_file": _results("file", None) + """
 SELECT search_engine_domain, search_keyword, CAST(revenue AS VARCHAR) AS revenue_text,
        CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, search_engine_domain, lower(search_keyword)) AS BIGINT) AS rank

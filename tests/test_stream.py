@@ -366,3 +366,71 @@ def test_counters_outlive_the_query_and_a_restart(spark, workdir):
         spark.streams.removeListener(table)
     [row] = read_counters(spark, path).collect()
     assert (row.batches, row.rows_processed, row.total_purchase_events) == (4, 1000, 202)
+
+
+@pytest.mark.parametrize("order", ["file", "time"])
+def test_chained_totals_equal_batch_over_a_restart(spark, workdir, order):
+    from touchline.streaming.runner import read_changes, stream_chained_totals, totals_report
+
+    parts = _split_events(os.path.join(workdir, "parts"), 3)
+    inbox, root = os.path.join(workdir, "inbox"), os.path.join(workdir, "chained")
+    opts = AttributionOptions(session_timeout=21600, order=order)
+    for batch in (parts[:2], parts[2:]):
+        for p in batch:
+            _stage(p, inbox)
+        got = stream_chained_totals(spark, inbox, opts, root=root)
+    assert _rows(got) == _rows(batch_keyword_revenue(spark, SF001, session_timeout=21600, order=order))
+    # three batches, and update mode brings only the groups that a batch changed
+    changes = spark.read.parquet(f"{root}/changes")
+    assert changes.select("batch").distinct().count() == 3
+    assert changes.groupBy("batch", "search_engine_domain", "keyword_lower").count().where("count > 1").isEmpty()
+    assert _rows(totals_report(read_changes(spark, f"{root}/changes"))) == _rows(got)
+
+
+def test_hit_file_stream_keeps_state_between_files(spark, workdir):
+    from tests.hits import hit, write_tsv
+    from touchline.streaming.runner import land_hit_files, stream_hit_files
+
+    inbox, root = os.path.join(workdir, "in"), os.path.join(workdir, "root")
+    os.makedirs(inbox)
+    assert stream_hit_files(spark, inbox, root).count() == 0
+    search = hit(1_700_000_000, "172.16.9.1", "Phone 9", "", "", "http://www.bing.com/search?q=Tent+Pegs")
+    write_tsv([search], inbox, "day 1+.tsv")
+    assert stream_hit_files(spark, inbox, root).where("is_purchase").count() == 0
+    # the purchase comes in a later file, whose columns stand in another order
+    buy = hit(1_700_000_090, "172.16.9.1", "Phone 9", "1", "E;Z;1;9;")
+    names = ["referrer", "product_list", "event_list", "user_agent", "ip", "hit_time_gmt"]
+    write_tsv([buy], inbox, "day 2.tsv", fields=names)
+    rows = stream_hit_files(spark, inbox, root)
+    bought = rows.where("is_purchase").collect()
+    assert [(r.live_domain, r.live_keyword, r.seq_file) for r in bought] == [("bing.com", "Tent Pegs", 1)]
+    # nothing new: nothing is landed, also not a landed file that is written anew
+    write_tsv([buy, buy], inbox, "day 2.tsv", fields=names)
+    assert land_hit_files(spark, inbox, root) == 0
+    assert stream_hit_files(spark, inbox, root).count() == 2
+    # what a call landed and did not get to is streamed by the next
+    write_tsv([buy], inbox, "day 3.tsv")
+    assert land_hit_files(spark, inbox, root) == 1
+    assert stream_hit_files(spark, inbox, root).where("is_purchase").count() == 2
+
+
+def test_hit_file_stream_equals_batch(spark, workdir):
+    from touchline.plans.attribution import attribute_files
+    from touchline.sources.events import hits_from_events
+    from touchline.sources.hits import HIT_COLUMNS
+    from touchline.streaming.runner import stream_hit_files
+
+    rows = [[r[c] for c in HIT_COLUMNS] for r in hits_from_events(spark, SF001).orderBy("seq").limit(300).collect()]
+    inbox = os.path.join(workdir, "in")
+    os.makedirs(inbox)
+    for i in range(5):
+        with open(os.path.join(inbox, f"{i}.tsv"), "w") as out:
+            out.write("\n".join("\t".join(r) for r in [HIT_COLUMNS, *rows[60 * i : 60 * i + 60]]) + "\n")
+    opts = AttributionOptions(session_timeout=21600)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = stream_hit_files(spark, inbox, os.path.join(workdir, "root"), opts, max_files=2, by_name=True)
+        want = attribute_files(spark, inbox, opts).results.drop("keyword_lower")
+        assert _rows(keyword_revenue(as_attributed(got), opts).drop("keyword_lower")) == _rows(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -333,6 +333,9 @@ def registry() -> dict[str, Query]:
             s, d, order="time", session_timeout=t, skew_threshold=20, block_rows=16),
         "stream_running_totals": lambda s, d: stream_running_totals(s, d),
         "stream_running_totals_time_order": lambda s, d: stream_running_totals(s, d, order="time", session_timeout=t),
+        "stream_chained_totals": lambda s, d: stream_chained_totals(s, d),
+        "stream_hit_files": lambda s, d: stream_hit_files(s, d),
+        "stream_hit_files_timeout": lambda s, d: stream_hit_files(s, d, session_timeout=t),
         "report_file": lambda s, d: report_file(s, d),
         "intake_anti_join": intake_anti_join,
         "run_manifest": lambda s, d: run_manifest(s, d),
@@ -392,6 +395,26 @@ def stream_running_totals(spark, sf_dir, **opts) -> DataFrame:
     return run(spark, sf_dir, AttributionOptions(**opts)).drop("keyword_lower")
 
 
+def stream_chained_totals(spark, sf_dir, **opts) -> DataFrame:
+    """Running totals from an aggregation chained to the visitor state."""
+    from ..streaming.runner import stream_chained_totals as run
+
+    return run(spark, sf_dir, AttributionOptions(**opts)).drop("keyword_lower")
+
+
+def stream_hit_files(spark, sf_dir, **opts) -> DataFrame:
+    """Keyword revenue of hit files with odd headers that arrive in several runs,
+    with visitor state kept between them (S9, T1)."""
+    from ..streaming.runner import stream_hit_files as run
+    from ..streaming.stateful import as_attributed
+
+    options = AttributionOptions(**opts)
+    folder = _hits_as_files(spark, sf_dir, mixed=True).removesuffix("/*")
+    per_run = max(1, -(-len(spark.read.text(f"{folder}/*").inputFiles()) // 3))
+    rows = run(spark, folder, options=options, max_files=per_run, by_name=True)
+    return keyword_report(as_attributed(rows), options).drop("keyword_lower")
+
+
 def stream_last_touch_rows(spark, sf_dir) -> DataFrame:
     """Each purchase with its live touch, from the streaming form."""
     from ..streaming.runner import stream_attributed

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Callable, Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -15,7 +15,7 @@ from ..operators.touch import order_struct
 from ..options import AttributionOptions
 from ..session import scratch_path
 from ..sources.events import derive_hits
-from .stateful import as_attributed, stream_last_touch
+from .stateful import as_attributed, output_schema, stream_last_touch
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files: Optional[int] = None) -> DataFrame:
@@ -71,6 +71,87 @@ def running_keyword_revenue(
     return keyword_revenue(as_attributed(out), options).drop("keyword_lower")
 
 
+#: the key of a keyword group
+GROUP = ("search_engine_domain", "keyword_lower")
+
+
+def keyword_parts(rows: DataFrame, options: AttributionOptions) -> DataFrame:
+    """What each row of the stateful stream adds to its keyword group: ``seen``,
+    its place and casing (search hits), and ``credit`` (attributed purchases)."""
+    is_attr = F.col("is_purchase") & (F.col("revenue") > 0) & F.col("live_touch").isNotNull()
+    key = F.when(F.col("touch").isNotNull(), F.col("touch")).otherwise(F.col("live_touch"))
+    seen = F.struct(order_struct(options.order).alias("at"), F.col("touch.keyword").alias("kw"))
+    return as_attributed(rows).filter(F.col("touch").isNotNull() | is_attr).select(
+        key["domain"].alias("search_engine_domain"),
+        F.lower(key["keyword"]).alias("keyword_lower"),
+        F.when(F.col("touch").isNotNull(), seen).alias("seen"),
+        F.when(is_attr, F.col("revenue")).alias("credit"),
+    )
+
+
+def group_totals() -> list[Column]:
+    """Totals of a keyword group, from its parts or from earlier totals."""
+    return [F.sum("credit").alias("credit"), F.min("seen").alias("seen")]
+
+
+def totals_report(totals: DataFrame) -> DataFrame:
+    """Totals as the keyword report: the groups that hold revenue."""
+    return totals.filter(F.col("credit").isNotNull()).select(
+        "search_engine_domain", F.col("seen.kw").alias("search_keyword"), "keyword_lower", to_cents("credit").alias("revenue")
+    )
+
+
+def chained_totals(hits: DataFrame, options: Optional[AttributionOptions] = None) -> DataFrame:
+    """Running totals as a streaming aggregation behind the visitor state.
+
+    ``hits`` is a stream from :func:`stream_last_touch`.  Its totals live in a
+    second state store of the same query, so credit and visitor state are always
+    of the same batch.  In update mode a batch brings each group that it
+    changed, with its totals so far.
+    """
+    return keyword_parts(hits, options or AttributionOptions()).groupBy(*GROUP).agg(*group_totals())
+
+
+def write_changes(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` sink: the changed groups of batch n under ``path/batch=n``,
+    which a replay of the batch writes again."""
+
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return _write
+
+
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The totals after the last batch: each group as the last batch that changed it left it."""
+    last = F.max_by(F.struct("credit", "seen"), "batch").alias("last")
+    return spark.read.parquet(path).groupBy(*GROUP).agg(last).select(*GROUP, "last.*")
+
+
+def stream_chained_totals(
+    spark: SparkSession,
+    sf_dir: str,
+    options: Optional[AttributionOptions] = None,
+    root: Optional[str] = None,
+    max_files: Optional[int] = 1,
+) -> DataFrame:
+    """Run visitor state and totals as one streaming query and read the report."""
+    options = options or AttributionOptions()
+    root = root or scratch_path(spark, "chained")
+    q = (
+        chained_totals(stream_last_touch(events_stream(spark, sf_dir, max_files), options), options)
+        .writeStream.foreachBatch(write_changes(f"{root}/changes"))
+        .option("checkpointLocation", f"{root}/chk")
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return totals_report(read_changes(spark, f"{root}/changes"))
+
+
 def merge_totals(totals_path: str, options: Optional[AttributionOptions] = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` sink keeping running totals per keyword group.
 
@@ -84,24 +165,13 @@ def merge_totals(totals_path: str, options: Optional[AttributionOptions] = None)
 
     def _merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        a = as_attributed(batch)
-        is_attr = F.col("is_purchase") & (F.col("revenue") > 0) & F.col("live_touch").isNotNull()
-        key = F.when(F.col("touch").isNotNull(), F.col("touch")).otherwise(F.col("live_touch"))
-        seen = F.struct(order_struct(opts.order).alias("at"), F.col("touch.keyword").alias("kw"))
-        part = a.filter(F.col("touch").isNotNull() | is_attr).select(
-            key["domain"].alias("search_engine_domain"),
-            F.lower(key["keyword"]).alias("keyword_lower"),
-            F.when(F.col("touch").isNotNull(), seen).alias("seen"),
-            F.when(is_attr, F.col("revenue")).alias("credit"),
-        )
+        part = keyword_parts(batch, opts)
         if batch_id > 0:
             previous = f"{totals_path}/v={batch_id - 1}"
             if not _exists(spark, previous):
                 raise CheckpointError(f"running totals: {previous} is missing, batch {batch_id} can't be added")
             part = part.unionByName(spark.read.parquet(previous))
-        merged = part.groupBy("search_engine_domain", "keyword_lower").agg(
-            F.sum("credit").alias("credit"), F.min("seen").alias("seen")
-        )
+        merged = part.groupBy(*GROUP).agg(*group_totals())
         merged.write.mode("overwrite").parquet(f"{totals_path}/v={batch_id}")
         _remove(spark, f"{totals_path}/v={batch_id - 2}")
 
@@ -115,8 +185,7 @@ def read_totals(spark: SparkSession, totals_path: str) -> DataFrame:
     versions = [int(n[2:]) for n in names if n.startswith("v=")]
     if not versions:
         raise CheckpointError(f"no running totals in {totals_path}")
-    last = spark.read.parquet(f"{totals_path}/v={max(versions)}").filter(F.col("credit").isNotNull())
-    return last.select("search_engine_domain", F.col("seen.kw").alias("search_keyword"), "keyword_lower", to_cents("credit").alias("revenue"))
+    return totals_report(spark.read.parquet(f"{totals_path}/v={max(versions)}"))
 
 
 def stream_running_totals(
@@ -272,3 +341,86 @@ def continuous_intake(
     ).option("checkpointLocation", f"{checkpoint}/beats")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def land_hit_files(
+    spark: SparkSession,
+    input_dir: str,
+    root: str,
+    options: Optional[AttributionOptions] = None,
+    max_files: int = 1000,
+    by_name: bool = False,
+) -> int:
+    """Bring the oldest ``max_files`` new hit files (or the first by name) into
+    the table ``root/hits``; how many there were.
+
+    Each file is read by its own header and in splits, and its hits get the arrival
+    key ``seq`` (file number, split start, place): files are numbered as they are
+    landed, so a later file's hits come after all of an earlier one's.  The ledger
+    ``root/landed`` names each path once: visitor state can't be taken back, so a
+    file that is written anew isn't landed again.  A run that fails before it is
+    recorded is written again into the same folder.
+    """
+    from ..sources.hits import literal_path, plain_path, read_hits
+    from ..sources.intake import list_inputs, read_ledger, record_processed
+
+    opts = options or AttributionOptions()
+    ledger = read_ledger(spark, f"{root}/landed")
+    new = list_inputs(spark, input_dir).join(ledger.select("input_key"), "input_key", "left_anti")
+    order = ["path"] if by_name else ["modified", "path"]
+    # at most max_files rows come to the driver
+    files = [(r["path"], r["content_tag"]) for r in new.orderBy(*order).limit(max_files).collect()]
+    if not files:
+        return 0
+    known = ledger.agg(F.count("*").alias("files"), F.count_distinct("output_path").alias("runs")).first()
+    numbers = spark.createDataFrame([(plain_path(p), known["files"] + i) for i, (p, _) in enumerate(files)], "path string, number long")
+    hits = read_hits(spark, [literal_path(p) for p, _ in files], opts.validate_schema)
+    # max_files bounds this side, and Spark measures it before it broadcasts
+    numbered = hits.join(numbers, _plain(F.col("seq.file")) == F.col("path"))
+    seq = F.struct(F.col("number").alias("file"), F.col("seq.start").alias("start"), F.col("seq.pos").alias("pos"))
+    folder = f"{root}/hits/run={known['runs']}"
+    numbered.select(*[c for c in hits.columns if c != "seq"], seq.alias("seq")).write.mode("overwrite").parquet(folder)
+    record_processed(spark.createDataFrame(files, "input_key string, content_tag string"), f"{root}/landed", folder)
+    return len(files)
+
+
+def _plain(uri: Column) -> Column:
+    """``sources.hits.plain_path`` of a column."""
+    return F.regexp_replace(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+
+
+def stream_hit_files(
+    spark: SparkSession,
+    input_dir: str,
+    root: Optional[str] = None,
+    options: Optional[AttributionOptions] = None,
+    max_files: int = 1000,
+    by_name: bool = False,
+    idle_limit: Optional[int] = None,
+) -> DataFrame:
+    """Attribute hit files as they arrive, with visitor state kept between files.
+
+    Lands the new files of ``input_dir`` up to ``max_files`` at a time and runs the
+    stateful stream over each landed run as one micro-batch; returns its rows
+    so far (see :func:`stream_last_touch`).  Call it again, in this or another
+    process, for files that came since: a touch of one file is credited with a
+    purchase of a later one.
+    """
+    root = (root or scratch_path(spark, "hitstream")).rstrip("/")
+    options = options or AttributionOptions()
+    landed = land_hit_files(spark, input_dir, root, options, max_files, by_name)
+    while True:
+        if _exists(spark, f"{root}/hits"):
+            # also what an earlier call landed and did not get to
+            schema = spark.read.parquet(f"{root}/hits").drop("run").schema
+            raw = spark.readStream.schema(schema).parquet(f"{root}/hits/run=*")
+            q = run_to_parquet(stream_last_touch(raw, options, idle_limit=idle_limit), root)
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+        if not landed:
+            break
+        landed = land_hit_files(spark, input_dir, root, options, max_files, by_name)
+    if not _exists(spark, f"{root}/hits"):
+        return spark.createDataFrame([], output_schema(["seq_file", "seq_start", "seq_pos"]))
+    return spark.read.parquet(f"{root}/out")

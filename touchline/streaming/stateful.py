@@ -3,7 +3,9 @@
 Per visitor ``(ip, user_agent)`` two ``ValueState``s hold the live touch and
 the time of the last hit.  Inside a micro-batch the visitor's rows are sorted
 by the processing order (arrival ``seq``, or hit time then ``seq``); across
-micro-batches arrival order holds (T5).  Expiry is the strict ``>`` gap test on
+micro-batches arrival order holds (T5).  Arrival is one number (``seq``) or a
+struct of numbers (hit files: file, split, place), which stays apart as columns
+``seq_<field>`` in the state operator's rows.  Expiry is the strict ``>`` gap test on
 arrival, exactly as in batch (T2); state lives in the checkpointed state store
 (T4), and with an idle limit an event-time timer frees it (see
 :func:`stream_last_touch`).
@@ -16,7 +18,7 @@ in one micro-batch never stands as one frame of texts.
 
 from __future__ import annotations
 
-from typing import Iterator, Optional
+from typing import Iterator, Optional, Sequence
 
 import numpy as np
 import pandas as pd
@@ -54,6 +56,22 @@ OUTPUT_SCHEMA = StructType(
         StructField("new_session", BooleanType()),
     ]
 )
+
+def arrival_columns(hits: DataFrame) -> list[str]:
+    """The columns that hold the arrival key of ``hits`` in the flat rows."""
+    kind = hits.schema["seq"].dataType
+    return [f"seq_{name}" for name in kind.names] if isinstance(kind, StructType) else ["seq"]
+
+
+def output_schema(arrival: Sequence[str]) -> StructType:
+    """``OUTPUT_SCHEMA`` with the arrival key's columns in place of ``seq``."""
+    out = StructType()
+    for field in OUTPUT_SCHEMA:
+        for name in arrival if field.name == "seq" else [field.name]:
+            out = out.add(name, field.dataType)
+    return out
+
+
 TOUCH_STATE = StructType([StructField("domain", StringType()), StructField("keyword", StringType())])
 TIME_STATE = StructType([StructField("t", LongType())])
 
@@ -67,7 +85,8 @@ class Hits:
 
     MONEY = pa.decimal128(38, 10)
 
-    def __init__(self) -> None:
+    def __init__(self, arrival: Sequence[str] = ("seq",)) -> None:
+        self.arrival = arrival
         self.touches: list[tuple[str, str]] = []
         self._code: dict[tuple[str, str], int] = {}
         self._parts: list[tuple] = []
@@ -87,7 +106,7 @@ class Hits:
         self._parts.append(
             (
                 pdf["hit_time"].to_numpy(dtype=np.int64),
-                pdf["seq"].to_numpy(dtype=np.int64),
+                np.stack([pdf[name].to_numpy(dtype=np.int64) for name in self.arrival]),
                 own,
                 pdf["is_purchase"].fillna(False).to_numpy(dtype=bool),
                 pa.Array.from_pandas(pdf["revenue"], type=self.MONEY),
@@ -97,10 +116,10 @@ class Hits:
     def in_order(self, by_time: bool) -> None:
         """Bring the hits into the processing order: time, seq, own, purchase, revenue."""
         parts, self._parts = self._parts, []
-        time, seq, own, purchase = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        time, seq, own, purchase = (np.concatenate([p[k] for p in parts], axis=-1) for k in range(4))
         revenue = pa.chunked_array([p[4] for p in parts], self.MONEY)
-        at = np.lexsort((seq, time)) if by_time else np.argsort(seq, kind="stable")
-        self.time, self.seq, self.own, self.purchase = time[at], seq[at], own[at], purchase[at]
+        at = np.lexsort((*seq[::-1], time) if by_time else seq[::-1])
+        self.time, self.seq, self.own, self.purchase = time[at], seq[:, at], own[at], purchase[at]
         self.revenue = revenue.combine_chunks().take(pa.array(at))
 
     def scan(self, timeout: Optional[int], before: Optional[int], touch: Optional[tuple[str, str]]) -> None:
@@ -122,7 +141,7 @@ class Hits:
             {
                 "ip": key[0],
                 "user_agent": key[1],
-                "seq": self.seq[at],
+                **{name: part[at] for name, part in zip(self.arrival, self.seq, strict=True)},
                 "hit_time": self.time[at],
                 "is_purchase": self.purchase[at],
                 "revenue": pd.Series(self.revenue.take(pa.array(at)).to_pylist(), dtype=object),
@@ -138,7 +157,8 @@ class Hits:
 class LastTouchProcessor(StatefulProcessor):
     """Session-scoped last touch per visitor; emits search hits and purchases."""
 
-    def __init__(self, session_timeout: Optional[int], order: str, emit_all: bool = False, idle_limit: Optional[int] = None):
+    def __init__(self, session_timeout: Optional[int], order: str, emit_all: bool = False, idle_limit: Optional[int] = None, arrival: Sequence[str] = ("seq",)):
+        self.arrival = tuple(arrival)
         self.timeout = session_timeout
         self.by_time = order != "file"
         self.emit_all = emit_all
@@ -155,7 +175,7 @@ class LastTouchProcessor(StatefulProcessor):
         return None if self.idle_limit is None or not last else (last + self.idle_limit) * 1000
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        hits, n = Hits(), 0
+        hits, n = Hits(self.arrival), 0
         for pdf in rows:
             n += len(pdf)
             if len(pdf):
@@ -194,7 +214,7 @@ def _flat(prepared: DataFrame) -> DataFrame:
     return prepared.select(
         "ip",
         "user_agent",
-        F.col("seq").cast("long").alias("seq"),
+        *[F.col(name.replace("_", ".", 1)).cast("long").alias(name) for name in arrival_columns(prepared)],
         "hit_time",
         "is_purchase",
         F.col("revenue").cast("decimal(38,10)").alias("revenue"),
@@ -214,7 +234,8 @@ def stream_last_touch(
 ) -> DataFrame:
     """Streaming form of the attribution window.
 
-    ``raw_stream`` is a streaming raw-hits frame with a numeric ``seq``.  The
+    ``raw_stream`` is a streaming raw-hits frame whose ``seq`` is a number or a
+    struct of numbers.  The
     output holds one row per search hit and per purchase (all rows with
     ``emit_all``) with the visitor's live touch.  Row-level counters are
     observed under ``metrics_name`` (``query.lastProgress['observedMetrics']``).
@@ -237,11 +258,12 @@ def stream_last_touch(
     prepared = observe_hits(parse_hits(normalize_hits(raw_stream), options.engines), metrics_name, options.internal_suffixes)
     if options.session_timeout is None and options.prefilter and not emit_all:
         prepared = prepared.filter(F.col("touch").isNotNull() | F.col("is_purchase"))
+    arrival = arrival_columns(prepared)
     hits = _flat(prepared)
     hits = hits.drop("event_time") if idle_limit is None else hits.withWatermark("event_time", f"{max_delay} seconds")
     return hits.groupBy("ip", "user_agent").transformWithStateInPandas(
-        statefulProcessor=LastTouchProcessor(options.session_timeout, options.order, emit_all, idle_limit),
-        outputStructType=OUTPUT_SCHEMA,
+        statefulProcessor=LastTouchProcessor(options.session_timeout, options.order, emit_all, idle_limit, arrival),
+        outputStructType=output_schema(arrival),
         outputMode="Append",
         timeMode="None" if idle_limit is None else "EventTime",
     )
@@ -257,4 +279,8 @@ def as_attributed(stream_output: DataFrame) -> DataFrame:
         F.col("live_domain").isNotNull(),
         F.struct(F.col("live_domain").alias("domain"), F.col("live_keyword").alias("keyword")),
     )
-    return stream_output.withColumns({"touch": touch, "live_touch": live})
+    out = stream_output.withColumns({"touch": touch, "live_touch": live})
+    arrival = [c for c in stream_output.columns if c.startswith("seq_")]
+    if not arrival:
+        return out
+    return out.withColumn("seq", F.struct(*[F.col(c).alias(c.removeprefix("seq_")) for c in arrival])).drop(*arrival)
