@@ -395,7 +395,7 @@ def test_hit_file_stream_keeps_state_between_files(spark, workdir):
     os.makedirs(inbox)
     assert stream_hit_files(spark, inbox, root).count() == 0
     search = hit(1_700_000_000, "172.16.9.1", "Phone 9", "", "", "http://www.bing.com/search?q=Tent+Pegs")
-    write_tsv([search], inbox, "day 1+.tsv")
+    write_tsv([search], inbox, "day 1+%25.tsv")
     assert stream_hit_files(spark, inbox, root).where("is_purchase").count() == 0
     # the purchase comes in a later file, whose columns stand in another order
     buy = hit(1_700_000_090, "172.16.9.1", "Phone 9", "1", "E;Z;1;9;")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Callable, Optional
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -361,7 +362,7 @@ def land_hit_files(
     file that is written anew isn't landed again.  A run that fails before it is
     recorded is written again into the same folder.
     """
-    from ..sources.hits import literal_path, plain_path, read_hits
+    from ..sources.hits import literal_path, read_hits
     from ..sources.intake import list_inputs, read_ledger, record_processed
 
     opts = options or AttributionOptions()
@@ -373,7 +374,7 @@ def land_hit_files(
     if not files:
         return 0
     known = ledger.agg(F.count("*").alias("files"), F.count_distinct("output_path").alias("runs")).first()
-    numbers = spark.createDataFrame([(plain_path(p), known["files"] + i) for i, (p, _) in enumerate(files)], "path string, number long")
+    numbers = spark.createDataFrame([(re.sub("^file:/+", "file:/", p), known["files"] + i) for i, (p, _) in enumerate(files)], "path string, number long")
     hits = read_hits(spark, [literal_path(p) for p, _ in files], opts.validate_schema)
     # max_files bounds this side, and Spark measures it before it broadcasts
     numbered = hits.join(numbers, _plain(F.col("seq.file")) == F.col("path"))
@@ -385,7 +386,7 @@ def land_hit_files(
 
 
 def _plain(uri: Column) -> Column:
-    """``sources.hits.plain_path`` of a column."""
+    """The path, as a listing has it, that the URI of a row's file stands for."""
     return F.regexp_replace(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
 
 
