@@ -214,6 +214,33 @@ def test_decontamination(spark):
     assert decontam.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontaminated_pairs_equal_brute_force(spark):
+    """All pairs of documents and items of five tokens or more, each tiled whole."""
+    rng = random.Random(21)
+    items = [words(rng, rng.randrange(5, 24), 60) for _ in range(12)]
+    texts = []
+    for _ in range(40):
+        text = words(rng, rng.randrange(0, 20), 60)
+        for item in rng.sample(items, 2):
+            # parts of the item in another order, some of them twice
+            cuts = sorted(rng.sample(range(len(item) + 1), 2))
+            parts = [item[: cuts[0]], item[cuts[0] : cuts[1]], item[cuts[1] :], item[cuts[0] :]]
+            for part in rng.sample(parts, rng.randrange(5)):
+                text = text + part + words(rng, rng.randrange(3), 60)
+        texts.append(text)
+    want = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            found = greedy(item, [text], decontam.MATCH)
+            covered = sum(t[0] for t in found)
+            if covered >= decontam.COVERAGE * len(item) and covered >= min(decontam.LEAST, len(item)):
+                want[d, i] = (len(item), covered, len(found), max(t[0] for t in found))
+    docs = spark.createDataFrame([(d, " ".join(t), 0) for d, t in enumerate(texts)], "doc_id long, text string, item int")
+    asked = spark.createDataFrame([(i, " ".join(t), 0) for i, t in enumerate(items)], "item_id long, text string, doc_id int")
+    got = {(r.doc_id, r.item_id): (r.n_tokens, r.n_covered, r.n_tiles, r.longest) for r in decontam.contaminated(docs, asked).collect()}
+    assert got == want and len(want) > 30 and any(x[2] > 1 for x in want.values())
+
+
 def test_decontamination_of_short_items(spark):
     """Items under five tokens count as whole runs only, items of five to eight
     with all their tokens; checked against every run of every document."""

@@ -49,6 +49,36 @@ def test_window_cutting():
     assert x[0, :10].tolist() == data[:10].tolist() and not x[0, 10:].any() and x[3, :34].tolist() == data[266:].tolist()
 
 
+def test_windows_are_predicted_by_convolution():
+    """The lookup form against filters moved over the window place by place."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 256, (langid.BLOCK + 9, langid.WINDOW)).astype(np.uint8)
+    x[3, 5:] = 0
+    net = langid.fit(x[:300], rng.integers(0, 3, 300), ["a", "b", "c"])
+    got = langid.predict_windows(net, langid.lookup_tables(net), x)
+    for k in [0, 3, 17, langid.BLOCK - 1, langid.BLOCK, len(x) - 1]:
+        e = net.embed[x[k]].astype(float)
+        pooled = []
+        for f, b in zip(net.filters, net.bias, strict=True):
+            places = [np.einsum("we,wef->f", e[i : i + len(f)], f) + b for i in range(langid.WINDOW - len(f) + 1)]
+            pooled.append(np.max(np.maximum(places, 0), axis=0))
+        z = np.concatenate(pooled) @ net.out + net.out_bias
+        np.testing.assert_allclose(got[k], np.exp(z - z.max()) / np.exp(z - z.max()).sum(), atol=1e-4)
+
+
+def test_documents_take_the_mean_of_their_windows(spark):
+    """A long text's score: the mean over its windows, weighted by their bytes."""
+    rows = [(i, ("das ist ein haus " if i % 2 else "this house is the one ") * 9, "de" if i % 2 else "en") for i in range(30)]
+    docs = spark.createDataFrame([*rows, (50, "das ist " * 40 + "this house " * 17, None)], "doc_id long, text string, lang string")
+    net = langid.train(docs)
+    got = langid.predict(docs.where("doc_id = 50"), net, ["doc_id"]).first()
+    raw = ("das ist " * 40 + "this house " * 17).encode()
+    cut = [raw[i : i + langid.WINDOW] for i in range(0, len(raw), langid.WINDOW)]
+    x = np.stack([np.frombuffer(c.ljust(langid.WINDOW, b"\0"), np.uint8) for c in cut])
+    mean = np.average(langid.predict_windows(net, langid.lookup_tables(net), x), axis=0, weights=[len(c) for c in cut])
+    assert got.lang_pred == net.langs[mean.argmax()] and abs(got.score - mean.max()) < 1e-5
+
+
 def brute_neighbours(ids, x, q, k=10):
     out = {}
     for own in q:
