@@ -277,3 +277,20 @@ def test_partitioned_results_in_order(spark, workdir):
         got += [(x["revenue"], x["search_engine_domain"], x["keyword_lower"]) for x in t]
     assert len(got) == 40
     assert got == sorted(got, key=lambda x: (-x[0], x[1], x[2]))
+
+
+def test_headers_of_files_that_share_a_task(spark, workdir, monkeypatch):
+    """Where a session packs files into tasks in spite of the settings, every
+    file still answers with its own header."""
+    from touchline.sources import hits
+
+    names = [["ip", f"c{i}"] for i in range(30)]
+    for i, columns in enumerate(names):
+        with open(os.path.join(workdir, f"{i:02}%.tsv"), "w") as out:
+            out.write("\t".join(columns) + "\n" + "1\t2\n" * (i % 4))
+    open(os.path.join(workdir, "99.tsv"), "w").close()
+    want = [*names, []]
+    assert [c for _, c in sorted(hits.file_headers(spark, [workdir]).items())] == want
+    packing = hits._placed_lines
+    monkeypatch.setattr(hits, "_placed_lines", lambda _, paths: packing(spark, paths).coalesce(2))
+    assert [c for _, c in sorted(hits.file_headers(spark, [workdir]).items())] == want

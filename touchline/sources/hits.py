@@ -50,23 +50,44 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[st
     """Columns of every input file, from a distributed read of first lines.
 
     Each file is one partition there, and its task stops after the first line,
-    so the job reads the start of every file and no more.  The answer has one
-    row a file, as the file listing has.
+    so the job reads the start of every file and no more.  Files that didn't
+    answer (empty ones, or all but the first of a partition where a session packs
+    files all the same) are read again, whole.  The answer has one row a file, as
+    the file listing has.
     """
     own = spark.newSession()
     for key in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"):
         own.conf.set(key, str(1 << 40))
-    lines = own.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    lines = _placed_lines(own, paths)
+    found = {plain_path(f): f for f in lines.inputFiles()}
+    lead = _lines_at_start(lines, stop=True)
+    silent = [plain for plain in found if plain not in lead]
+    if silent:
+        lead |= _lines_at_start(_placed_lines(own, list(map(literal_path, silent))), stop=False)
+    return {plain: column_names(lead[plain]) if plain in lead else [] for plain in found}
+
+
+def _placed_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 
-    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if len(batch):
-                yield batch.slice(0, 1)
-                return
 
-    got = lines.mapInArrow(first_line, lines.schema).where("start = 0").select("file", "value").collect()
-    found = {plain_path(f): [] for f in lines.inputFiles()}
-    return found | {plain_path(r["file"]): column_names(r["value"]) for r in got}
+def _lines_at_start(lines: DataFrame, stop: bool) -> dict[str, str]:
+    """The first line of files by plain path; with ``stop`` a task reads no further
+    than the first line of its first file."""
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            places = list(zip(batch.column(0).to_pylist()[: 1 if stop else None], batch.column(1).to_pylist(), strict=False))
+            new = [i for i, place in enumerate(places) if place != (places[i - 1] if i else last)]
+            if new:
+                yield batch.take(pa.array(new))
+                if stop:
+                    return
+            last = places[-1] if places else last
+
+    got = lines.mapInArrow(first_lines, lines.schema).where("start = 0").select("file", "value").collect()
+    return {plain_path(r["file"]): r["value"] for r in got}
 
 
 def plain_path(uri: str) -> str:
