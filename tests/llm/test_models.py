@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -278,3 +279,32 @@ def test_chat_digests(spark):
     assert [r.example for r in examples] == [0, 1]
     assert [chat.unescape(r.text[r.loss_start : r.loss_end]) for r in examples] == [said, ""]
     assert examples[1].text.startswith(examples[0].text) and examples[0].text.count("[INST]") == 2
+
+
+def test_chat_digests_come_from_written_examples(spark, monkeypatch):
+    """One whole example an assistant turn, and results that follow from these alone."""
+    rows = [(1, i, "assistant" if i % 3 else "user", f"turn {i} <s>") for i in range(8)] + [(1, 8, "user", "bye"), (2, 0, "user", "alone")]
+    rows += [(3, i, "assistant", "long " * 50_000) for i in range(12)]
+    formatted = chat.format_turns(spark.createDataFrame([(*r, 0, "") for r in rows], CONV))
+    whole, want, rest = {}, [], {}
+    for r in sorted(formatted.collect(), key=lambda r: (r.conv_id, r.seq)):
+        rest[r.conv_id] = whole[r.conv_id] = whole.get(r.conv_id, "") + r.formatted
+        if r.loss_start is not None:
+            want.append((r.conv_id, r.example, whole[r.conv_id], r.loss_start, r.loss_end))
+            del rest[r.conv_id]
+    key = lambda r: (r[0], r[1])
+    assert sorted(map(tuple, chat.example_texts(formatted).collect()), key=key) == want
+    loose = [(c, sum(w[0] == c for w in want), t, None, None) for c, t in rest.items()]
+    assert [c for c, *_ in loose] == [1, 2]
+    assert sorted(map(tuple, chat.example_texts(formatted, rest=True).collect()), key=key) == sorted(want + loose, key=key)
+    right = {r.conv_id: r for r in chat.digest(formatted).collect()}
+    written = chat.example_texts
+    monkeypatch.setattr(chat, "example_texts", lambda f, rest=False: written(f, rest).withColumn("loss_end", F.col("loss_end") - 1))
+    cut = {r.conv_id: r for r in chat.digest(formatted).collect()}
+    assert cut[1].loss_sha256 != right[1].loss_sha256 and cut[1].loss_chars == right[1].loss_chars - 5
+    assert cut[2] == right[2]
+    # a context that isn't the example before is an error
+    lost = F.when(F.col("example") == 1, F.expr("substring(text, 9)")).otherwise(F.col("text"))
+    monkeypatch.setattr(chat, "example_texts", lambda f, rest=False: written(f, rest).withColumn("text", lost))
+    with pytest.raises(Exception, match="doesn't go on"):
+        chat.digest(formatted).collect()

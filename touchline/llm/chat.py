@@ -2,10 +2,10 @@
 
 Every turn becomes one piece of formatted text and every assistant turn closes
 a training example: its context is all formatted text before it in the
-conversation, and its own text is the only trainable part.  An example is
-stored as a reference to that prefix (``example``, ``char_start``, the loss
-span), so the output grows with the turns; :func:`example_texts` writes the
-examples out in full, which is quadratic in a conversation's length.
+conversation, and its own text is the only trainable part.
+:func:`format_turns` places the turns and the loss spans, :func:`example_texts`
+writes every example out, context and target, which is quadratic in a
+conversation's length, and :func:`digest` reads all results back from these.
 
 The template is ``<s>role NEWLINE text</s>``, with the text of turns that are
 not the assistant's between ``[INST] `` and `` [/INST]``.  Inside roles and
@@ -65,6 +65,13 @@ def parse_piece(piece: str) -> tuple[str, str]:
     return unescape_role(head), unescape(body)
 
 
+def parse_pieces(text: str) -> Iterator[tuple[str, str]]:
+    """Role and text of every formatted turn in a run of them; inside roles and
+    texts the control strings that mark turns are escaped."""
+    for piece in text.split("<s>")[1:]:
+        yield parse_piece("<s>" + piece)
+
+
 def format_turns(conversations: DataFrame) -> DataFrame:
     """conv_id, seq, example, formatted, char_start, loss_start, loss_end.
 
@@ -100,31 +107,74 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     return placed.select("conv_id", "seq", "example", "formatted", "char_start", loss.alias("loss_start"), (loss + F.col("body")).alias("loss_end"))
 
 
-def example_texts(formatted: DataFrame) -> DataFrame:
-    """conv_id, example, text (context and reply), loss_start, loss_end."""
-    prefix = Window.partitionBy("conv_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        formatted.withColumn("text", F.concat_ws("", F.collect_list("formatted").over(prefix)))
-        .where(F.col("loss_start").isNotNull())
-        .select("conv_id", "example", "text", "loss_start", "loss_end")
-    )
+#: characters of examples that leave a task at a time
+EMIT_CHARS = 1 << 21
+
+
+def example_texts(formatted: DataFrame, rest: bool = False) -> DataFrame:
+    """conv_id, example, text (context and reply), loss_start, loss_end: one row
+    an assistant turn, written out.  With ``rest`` the turns after the last one
+    come as an example without a target (a null loss span).
+
+    Rows of a task stand by conversation and example.  A task holds one
+    conversation's formatted text, which is as long as its longest example."""
+    conv_type = formatted.schema["conv_id"].dataType.simpleString()
+    names = ["conv_id", "example", "text", "loss_start", "loss_end"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun, waiting = False, False
+        key, example, prefix, size = None, 0, "", 0
+        rows: list[tuple] = []
+
+        def flush():
+            nonlocal size
+            types = (key_type, pa.int64(), pa.string(), pa.int64(), pa.int64())
+            out = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+            rows.clear()
+            size = 0
+            return out
+
+        for batch in batches:
+            key_type = batch.column(batch.schema.get_field_index("conv_id")).type
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("conv_id", "example", "formatted", "loss_start", "loss_end")]
+            for conv, nth, piece, a, b in zip(*columns, strict=True):
+                if not begun or conv != key:
+                    if rest and waiting:
+                        rows.append((key, example, prefix, None, None))
+                        size += len(prefix)
+                    begun, key, prefix = True, conv, ""
+                prefix += piece
+                example, waiting = nth, a is None
+                if a is not None:
+                    rows.append((key, example, prefix, a, b))
+                    size += len(prefix)
+                if size >= EMIT_CHARS:
+                    yield flush()
+        if rest and waiting:
+            rows.append((key, example, prefix, None, None))
+        if rows:
+            yield flush()
+
+    sorted_rows = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
+    return sorted_rows.mapInArrow(run, f"conv_id {conv_type}, example long, text string, loss_start long, loss_end long")
 
 
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
 def digest(formatted: DataFrame) -> DataFrame:
-    """What each conversation's formatted output reads back to.  Rows arrive
-    sorted by conversation and are hashed as they pass, so a task holds one
-    batch whatever the length of a conversation."""
+    """What the written-out examples of each conversation read back to: the
+    turns from what each example adds to the one before it, the loss from each
+    example's own span.  An example whose context isn't the whole example before
+    it is an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
         rows: list[tuple] = []
-        key, turns = None, None
+        key, turns, before = None, None, ""
 
         def close():
-            rows.append((key, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars))
+            rows.append((key, n, turns.hexdigest(), loss_chars, loss.hexdigest(), len(before)))
 
         def flush():
             types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
@@ -133,28 +183,29 @@ def digest(formatted: DataFrame) -> DataFrame:
             return out
 
         for batch in batches:
-            cols = batch.to_pydict()
-            for conv, piece, start, a, b in zip(cols["conv_id"], cols["formatted"], cols["char_start"], cols["loss_start"], cols["loss_end"], strict=True):
+            for values in zip(*batch.columns, strict=True):
+                conv, _, text, a, b = (v.as_py() for v in values)
                 if turns is None or conv != key:
                     if turns is not None:
                         close()
-                    key, n, turns, loss_chars, loss, chars = conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
-                role, text = parse_piece(piece)
-                turns.update(f"{role}\n{text}\n".encode())
-                n += 1
-                chars += len(piece)
+                    key, n, turns, loss_chars, loss, before = conv, 0, hashlib.sha256(), 0, hashlib.sha256(), ""
+                if not text.startswith(before):
+                    raise ValueError(f"conversation {conv}: an example doesn't go on from the one before it")
+                for role, said in parse_pieces(text[len(before) :]):
+                    turns.update(f"{role}\n{said}\n".encode())
+                    n += 1
                 if a is not None:
-                    trained = unescape(piece[a - start : b - start])
+                    trained = unescape(text[a:b])
                     loss_chars += len(trained)
                     loss.update(trained.encode())
+                before = text
             if rows:
                 yield flush()
         if turns is not None:
             close()
             yield flush()
 
-    sorted_rows = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
-    return sorted_rows.mapInArrow(run, DIGEST)
+    return example_texts(formatted, rest=True).mapInArrow(run, DIGEST)
 
 
 def op7_chat_examples(spark, sf_dir: str) -> DataFrame:
