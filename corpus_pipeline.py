@@ -32,8 +32,8 @@ def whole_rows(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in none of the labelled languages; as all of these stay,
-    which one it is doesn't matter."""
+    """Identify each document's language with op8's network and drop documents in
+    none of the labelled ones."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", "lang")
     return recognised(rows, ["row"]).select("row.*")
 

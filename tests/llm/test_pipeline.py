@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from touchline.llm import langid
 from touchline.llm.common import stored
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -40,6 +41,19 @@ def test_language_rejects_what_was_not_learned(spark, langs):
     assert kept == {r.doc_id for r in clean.select("doc_id").collect()}
 
 
+def test_language_is_the_networks(spark, monkeypatch):
+    """The stage judges a text by the language that op8's network names."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    named = {r.doc_id: r.lang_pred for r in langid.learn_and_predict(docs.select("doc_id", "text", "lang"), ["doc_id"]).collect()}
+    got = {r.doc_id: r.lang_pred for r in langid.recognised(docs.select("doc_id", "text", "lang"), ["doc_id"]).collect()}
+    assert got == {i: x for i, x in named.items() if x != langid.UNKNOWN} and len(set(got.values())) > 1
+    fitted = []
+    fit = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda *a, **k: fitted.append(fit(*a, **k)) or fitted[-1])
+    corpus_pipeline.language(spark, docs, "")
+    assert len(fitted) == 1 and fitted[0].langs == sorted(set(got.values()))
+
+
 def test_language_odd_tables(spark):
     rows = [(i, "das ist ein haus und ein garten " * (1 + i % 3), "de", "x", 9) for i in range(4)]
     docs = spark.createDataFrame([*rows, rows[0], (None, "ein haus", None, "x", 8)], DOCS)

@@ -51,6 +51,8 @@ PAIR_PRIOR = 5.0
 #: usual bytes that a text is lengthened by, see ``recognised``
 LIKE_PRIOR = 32.0
 REJECT = 4.0
+#: share of the named language's probability at which another is likely too
+LIKELY = 0.1
 #: least margin of ``recognised``, for a few documents that are all alike
 LEAST_MARGIN = 1.0
 
@@ -196,7 +198,11 @@ def sample_windows(labelled: DataFrame, per_lang: int = PER_LANG) -> tuple[list[
 def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Network | None:
     """A network for the languages of ``labelled`` (doc_id, text, lang); None
     if there is nothing to learn from."""
-    raw, lang_of = sample_windows(labelled, per_lang)
+    return trained(*sample_windows(labelled, per_lang))
+
+
+def trained(raw: list[bytes], lang_of: list[str]) -> Network | None:
+    """A network for sampled windows and their languages."""
     langs = sorted(set(lang_of))
     if not langs:
         return None
@@ -213,6 +219,15 @@ def hash_of(raw: bytes) -> int:
     return zlib.crc32(raw)
 
 
+def mean_probabilities(net: Network, tables: list[list[np.ndarray]], data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Each text's probability of every language: the mean over its windows,
+    weighted by their bytes."""
+    x, doc, used = cut_windows(data, offs)
+    p = predict_windows(net, tables, x) * used[:, None]
+    total = np.stack([np.bincount(doc, p[:, i], len(offs) - 1) for i in range(len(net.langs))], axis=1)
+    return total / np.maximum(np.diff(offs), 1)[:, None]
+
+
 def predict(docs: DataFrame, net: Network | None, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``, from
     the column ``text`` alone."""
@@ -226,10 +241,7 @@ def predict(docs: DataFrame, net: Network | None, keep: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = lookup_tables(net)
         for batch, data, offs in chunks(batches, "_model_text"):
-            x, doc, used = cut_windows(data, offs)
-            p = predict_windows(net, tables, x) * used[:, None]
-            total = np.stack([np.bincount(doc, p[:, i], len(batch)) for i in range(len(net.langs))], axis=1)
-            total /= np.maximum(np.diff(offs), 1)[:, None]
+            total = mean_probabilities(net, tables, data, offs)
             best = total.argmax(axis=1)
             known = np.asarray(batch.column(len(keep) + 1).to_pylist(), bool)
             lang = pa.array([net.langs[i] if k else UNKNOWN for i, k in zip(best, known, strict=True)], pa.string())
@@ -243,10 +255,9 @@ def held_out() -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def byte_pairs(labelled: DataFrame) -> np.ndarray | None:
-    """Logarithms of the chance of each byte after each other in every language,
-    A-Z in lower case (byte 0 stands before the first); None without labelled text."""
-    raw, lang_of = sample_windows(labelled)
+def byte_pairs(raw: list[bytes], lang_of: list[str]) -> np.ndarray:
+    """Logarithms of the chance of each byte after each other in every language of
+    sampled windows, A-Z in lower case (byte 0 stands before the first)."""
     tables = []
     for lang in sorted(set(lang_of)):
         texts = [LOWER[np.frombuffer(r, np.uint8)] for r, own in zip(raw, lang_of, strict=True) if own == lang]
@@ -257,52 +268,67 @@ def byte_pairs(labelled: DataFrame) -> np.ndarray | None:
         n[0] = 0  # windows begin anywhere: any byte may be the first
         single /= single.sum()
         tables.append(np.log((n + PAIR_PRIOR * single) / (n.sum(axis=1, keepdims=True) + PAIR_PRIOR)))
-    return np.stack(tables) if tables else None
+    return np.stack(tables)
 
 
-def likeness(docs: DataFrame, tables: np.ndarray, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with ``n_bytes`` and ``like``, the mean logarithm of
-    the chance of the text's bytes in the language that fits it best."""
+def likeness(docs: DataFrame, net: Network, pairs: np.ndarray, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` with the network's ``lang_pred``, ``n_bytes`` and
+    ``like``, the mean logarithm of the chance of the text's bytes in that language,
+    or in one that the network finds ``LIKELY`` times as probable, if it fits better."""
     columns = [F.col(f"`{c}`") for c in keep]
     source = docs.select(*columns, text_or_empty().alias("_model_text"))
-    schema = source.select(*columns, F.lit(0).cast("long").alias("n_bytes"), F.lit(0.0).alias("like")).schema
+    schema = source.select(*columns, F.lit("").alias("lang_pred"), F.lit(0).cast("long").alias("n_bytes"), F.lit(0.0).alias("like")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = tables.reshape(len(tables), -1)
+        flat, tables = pairs.reshape(len(pairs), -1), lookup_tables(net)
         for batch, data, offs in chunks(batches, "_model_text"):
+            p = mean_probabilities(net, tables, data, offs)
+            best, likely = p.argmax(axis=1), p >= LIKELY * p.max(axis=1, keepdims=True)
             n, data = np.diff(offs), LOWER[data]
             before = np.zeros(len(data), np.int64)
             before[1:] = data[:-1]
             before[offs[:-1][n > 0]] = 0
             pair = before * 256 + data
             row = np.repeat(np.arange(len(n)), n)
-            like = np.max([np.bincount(row, t[pair], len(n)) for t in flat], axis=0) / np.maximum(n, 1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(n), pa.array(like)], names=[*keep, "n_bytes", "like"])
+            like = np.full(len(n), -np.inf)
+            for k, t in enumerate(flat):
+                inside = likely[row, k]
+                own = np.bincount(row[inside], t[pair[inside]], len(n))
+                like = np.where(likely[:, k], np.maximum(like, own), like)
+            like /= np.maximum(n, 1)
+            lang = pa.array([net.langs[i] for i in best], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], lang, pa.array(n), pa.array(like)], names=[*keep, "lang_pred", "n_bytes", "like"])
 
     return source.mapInArrow(run, schema)
 
 
 def recognised(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of the documents (doc_id, text, lang) whose text looks
-    like one of the labelled languages, however many these are.
-
-    Labelled documents that aren't held out give the chances of byte pairs, held
-    out ones (or all, if none is) what is usual: a document goes if it lies
+    """The columns ``keep`` and ``lang_pred`` of the documents (doc_id, text, lang)
+    that are in one of the labelled languages: the network of ``learn_and_predict``
+    names the language, and the text has to look like it, or like one that the
+    network can't tell from it.
+
+    Labelled documents that aren't held out train the network and give the chances
+    of byte pairs in each language, held out ones (or all, if none is) what is
+    usual: a document goes if it lies
     ``REJECT`` times as far below their median as the lowest hundredth of them
     begins, and by ``LEAST_MARGIN`` at least.  A short text counts as if ``LIKE_PRIOR`` usual bytes followed it.
     Texts without a letter go.  Without labelled text there is nothing to judge the
-    others by, and all of them stay."""
+    others by, and all of them stay as ``UNKNOWN``."""
+    columns = [f"`{c}`" for c in keep]
     letters = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
     labelled = docs.where(F.col("lang").isNotNull() & letters).select("doc_id", "text", "lang")
     for learn, usual in ((~held_out(), held_out()), (F.lit(True), F.lit(True))):
-        tables = byte_pairs(labelled.where(learn))
-        if tables is None:
+        sample = sample_windows(labelled.where(learn))
+        net = trained(*sample)
+        if net is None:
             continue
-        low, middle = likeness(labelled.where(usual), tables, ["doc_id"]).agg(F.percentile_approx("like", [0.01, 0.5], 10_000)).first()[0] or (None, None)
+        pairs = byte_pairs(*sample)
+        low, middle = likeness(labelled.where(usual), net, pairs, ["doc_id"]).agg(F.percentile_approx("like", [0.01, 0.5], 10_000)).first()[0] or (None, None)
         if low is not None:
             like = (F.col("like") * F.col("n_bytes") + LIKE_PRIOR * middle) / (F.col("n_bytes") + LIKE_PRIOR)
-            return likeness(docs.where(letters), tables, keep).where(like >= middle - max(REJECT * (middle - low), LEAST_MARGIN)).select(*[f"`{c}`" for c in keep])
-    return docs.where(letters).select(*[f"`{c}`" for c in keep])
+            return likeness(docs.where(letters), net, pairs, keep).where(like >= middle - max(REJECT * (middle - low), LEAST_MARGIN)).select(*columns, "lang_pred")
+    return docs.where(letters).select(*columns, F.lit(UNKNOWN).alias("lang_pred"))
 
 
 def learn_and_predict(docs: DataFrame, keep: list[str]) -> DataFrame:
