@@ -1,5 +1,6 @@
 """Packing and sharding against direct computations."""
 
+import random
 import zlib
 from collections import Counter
 
@@ -76,6 +77,19 @@ def test_word_encoder_equals_tokenizer(texts):
     assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
 
 
+def test_fragments_equal_tokenizer():
+    """White space of every kind, marks, letters beyond ASCII, special strings."""
+    rng = random.Random(4)
+    parts = [" ", " ", " ", "\n", "\t", "\r\n", "\x1c", "\x85", "\u00a0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\u200b", "\u180e", ".", ",", "!", "?", ";", ":", "'", "'s", "'re", "a", "Ab", "é", "×", "à", "ß", "1", "23", "“", "…", "€", "漢", "\u0301", "<|endoftext|>", "<|", "word"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(4000)]
+    encoder = packing.WordEncoder(PATH)
+    assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
+    # marks and line feeds aren't part of words, so each word is learned once
+    encoder.forget()
+    encoder.encode(["The house. The house, the\nhouse", " The house!\nhouse; house"])
+    assert set(encoder.codes) == {"The", " house", ".", " The", ",", " the", "\n", "house", "!", ";"}
+
+
 def best_fit(lengths, capacity):
     """Best-fit decreasing, piece by piece: room of each sequence."""
     rooms = []

@@ -31,17 +31,72 @@ by_value(__name__)
 
 CAPACITY = 1024
 END = 2
-#: encoded words that a worker keeps (about 100 MB); more are encoded anew
-WORDS_KEPT = 400_000
+#: encoded fragments and their ids that a worker keeps (about 100 MB); more are
+#: encoded anew
+WORDS_KEPT = 600_000
+IDS_KEPT = 8_000_000
+#: pieces that leave a task at a time
+EMIT_PIECES = 1 << 14
+
+#: white space of one byte, and bytes that the pattern may or may not take for it
+WHITE = np.zeros(256, dtype=bool)
+WHITE[[9, 10, 11, 12, 13, 32]] = True
+UNSURE = np.zeros(256, dtype=bool)
+UNSURE[[28, 29, 30, 31]] = True
+#: first bytes of the other white space of Unicode
+WIDE = np.zeros(256, dtype=bool)
+WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+LETTER = np.zeros(256, dtype=bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+MARK = np.zeros(256, dtype=bool)
+MARK[[*b".,;:!?"]] = True
+
+
+def wide_spaces(data: np.ndarray) -> np.ndarray:
+    """Bytes of white space that is no single byte."""
+    out = np.zeros(len(data), bool)
+    at = np.flatnonzero(WIDE[data])
+    if len(at):
+        padded = np.append(data, np.zeros(2, np.uint8))
+        x, y, z = data[at], padded[at + 1], padded[at + 2]
+        two = (x == 0xC2) & ((y == 0x85) | (y == 0xA0))
+        three = ((x == 0xE1) & (y == 0x9A) & (z == 0x80)) | ((x == 0xE3) & (y == 0x80) & (z == 0x80)) | ((x == 0xE2) & (y == 0x81) & (z == 0x9F))
+        three |= (x == 0xE2) & (y == 0x80) & ((z <= 0x8A) | (z == 0xA8) | (z == 0xA9) | (z == 0xAF))
+        for k, found in enumerate((two | three, two | three, three)):
+            out[at[found] + k] = True
+    return out
+
+
+def fragments(data: np.ndarray, offs: np.ndarray, special: list[bytes]) -> np.ndarray:
+    """Where the fragments of texts start, which are encoded apart.
+
+    The vocabulary's pattern begins a pre-token at every run of white space and
+    at a mark after a letter, and one behind a single white character that isn't
+    a space; it looks ahead only to tell white space.  A text that
+    holds a special string is one fragment."""
+    start = np.zeros(len(data) + 1, bool)
+    white = WHITE[data]
+    any_white = white | UNSURE[data] | wide_spaces(data)
+    start[1:-1] = white[1:] & ~any_white[:-1]
+    start[2:-1] |= (white & (data != 32))[1:-1] & ~any_white[:-2] & ~any_white[2:]
+    letter = LETTER[data]
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    start[1:-1] |= MARK[data[1:]] & letter[:-1]
+    for s in special:
+        raw, at = data.tobytes(), -1
+        while (at := raw.find(s, at + 1)) >= 0:
+            row = np.searchsorted(offs, at, side="right") - 1
+            start[offs[row] : offs[row + 1]] = False
+    start[offs] = True
+    return np.flatnonzero(start[:-1])
 
 
 class WordEncoder:
-    """Token ids of whole texts as little-endian 32-bit bytes.
+    """Token ids of whole texts.
 
-    A single space between two characters that aren't white space always
-    begins a new pre-token of this byte-level vocabulary, so a text is cut at
-    such spaces and each distinct word is encoded once.  A text that holds a
-    special string of the vocabulary is encoded as a whole.
+    Texts are cut where this byte-level vocabulary always begins a new pre-token
+    (:func:`fragments`), so each distinct fragment is encoded once; all others are
+    found by Arrow's dictionary encoding and numpy.
     """
 
     def __init__(self, path: str):
@@ -52,51 +107,79 @@ class WordEncoder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         first = (self.tokenizer.id_to_token(i) or "" for i in range(size))
         self.opens = np.fromiter((t.startswith("Ġ") for t in first), dtype=bool, count=size)
-        self.words: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.ids = np.zeros(0, "<u4")
+        self.ends = np.zeros(1, np.int64)
+
+    def whole_ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return self.whole_ids(text).tobytes()
 
     def learn(self, words: list[str]) -> None:
-        """Encode new words, one run of them at a time; an id that opens with a
-        space marks where the next word starts."""
-        for at in range(0, len(words), 2000):
-            run = words[at : at + 2000]
-            encoded = self.tokenizer.encode_batch_fast([" " + " ".join(run)], add_special_tokens=False)[0]
-            ids = np.asarray(encoded.ids, dtype="<u4")
-            starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(run):
-                for w in run:
-                    self.words[w] = self.whole(" " + w)
-                continue
-            raw, cuts = ids.tobytes(), [*(starts * 4).tolist(), len(ids) * 4]
-            self.words.update((w, raw[a:b]) for w, a, b in zip(run, cuts[:-1], cuts[1:], strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        for t in texts:
-            if any(s in t for s in self.special):
-                split.append(None)
-            elif _WIDE.search(t):
-                split.append(_CUT.split(t))
+        """Encode new fragments, one run of plain words at a time; an id that opens
+        with a space marks where the next word starts."""
+        plain, other = [], []
+        for w in words:
+            (plain if _PLAIN.fullmatch(w) and not any(s in w for s in self.special) else other).append(w)
+        ids, counts = [self.ids], []
+        for at in range(0, len(plain), 2000):
+            run = plain[at : at + 2000]
+            encoded = self.tokenizer.encode_batch_fast(["".join(run)], add_special_tokens=False)[0]
+            got = np.asarray(encoded.ids, dtype="<u4")
+            starts = np.flatnonzero(self.opens[got])
+            if len(starts) == len(run) and starts[0] == 0:
+                ids.append(got)
+                counts.append(np.diff(starts, append=len(got)))
             else:
-                split.append(t.split(" "))
-        new = {w for parts in split if parts for w in parts[1:]}
-        if len(self.words) + len(new) > WORDS_KEPT:
-            self.words.clear()
-        new = [w for w in new if w not in self.words]
+                each = [self.whole_ids(w) for w in run]
+                ids += each
+                counts.append([len(x) for x in each])
+        each = [self.whole_ids(w) for w in other]
+        counts.append([len(x) for x in each])
+        self.ids = np.concatenate(ids + each)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(counts).astype(np.int64))])
+        at = len(self.codes)
+        self.codes.update(zip(plain + other, range(at, at + len(words)), strict=True))
+
+    def known(self, words: list[str]) -> np.ndarray:
+        """The codes of distinct fragments, new ones learned."""
+        new = [w for w in words if w not in self.codes]
+        if len(self.codes) + len(new) > WORDS_KEPT or len(self.ids) > IDS_KEPT:
+            self.forget()
+            new = words
         if new:
             self.learn(new)
-        known = self.words.__getitem__
-        return [
-            self.whole(t) if parts is None else self.whole(parts[0]) + b"".join(map(known, parts[1:]))
-            for t, parts in zip(texts, split, strict=True)
-        ]
+        return np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+
+    def encode_bytes(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts (their bytes and offsets) and how many each has."""
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(offs) - 1, np.int64)
+        at = fragments(data, offs, [s.encode() for s in self.special])
+        edges = np.append(at, len(data)).astype(np.int64)
+        coded = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode()
+        code = self.known(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        count = self.ends[code + 1] - self.ends[code]
+        done = np.cumsum(count)
+        ids = self.ids[np.repeat(self.ends[code + 1] - done, count) + np.arange(done[-1])]
+        upto = np.concatenate([[0], done])[np.searchsorted(at, offs)]
+        return ids, np.diff(upto)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit bytes."""
+        raw = [t.encode() for t in texts]
+        offs = np.cumsum([0, *map(len, raw)])
+        ids, count = self.encode_bytes(np.frombuffer(b"".join(raw), np.uint8), offs)
+        return [x.tobytes() for x in np.split(ids, np.cumsum(count)[:-1])] if texts else []
 
 
-#: a space that isn't between two other characters, and one that is
-_WIDE = re.compile(r"\s | \s|^ | $")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: a fragment that is a space and a word
+_PLAIN = re.compile(r" \S+")
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -107,30 +190,34 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer_path)
-        closing = np.asarray([end], dtype="<u4").tobytes()
-        step = 4 * capacity
-        for batch, _, _ in chunks(batches, "text"):
-            doc, piece, start, ids = [], [], [], []
-            texts = batch.column(1).to_pylist()
-            for key, raw in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
-                raw += closing
-                head = len(raw) % step or step
-                edges = [0, *range(head, len(raw) + 1, step)]
-                for n, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-                    doc.append(key)
-                    piece.append(n)
-                    start.append(a // 4)
-                    ids.append(raw[a:b])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(doc, pa.int64()),
-                    pa.array(piece, pa.int32()),
-                    pa.array(start, pa.int64()),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ],
-                names=["doc_id", "piece", "start", "length", "ids"],
-            )
+        for batch, data, offs in chunks(batches, "text"):
+            ids, count = encoder.encode_bytes(data, offs)
+            size = count + 1
+            last = np.cumsum(size) - 1
+            tokens = np.full(last[-1] + 1, end, "<u4")
+            inside = np.ones(len(tokens), bool)
+            inside[last] = False
+            tokens[inside] = ids
+            many = -(-size // capacity)
+            doc = np.repeat(np.arange(len(size)), many)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+            head = (size - (many - 1) * capacity)[doc]
+            start = np.where(piece == 0, 0, head + (piece - 1) * capacity)
+            length = np.where(piece == 0, head, capacity)
+            edges = np.concatenate([[0], np.cumsum(length)])  # pieces lie one after another
+            for a in range(0, len(doc), EMIT_PIECES):
+                b = min(a + EMIT_PIECES, len(doc))
+                raw = [None, pa.py_buffer(((edges[a : b + 1] - edges[a]) * 4).astype(np.int32)), pa.py_buffer(tokens[edges[a] : edges[b]])]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(doc[a:b])),
+                        pa.array(piece[a:b], pa.int32()),
+                        pa.array(start[a:b], pa.int64()),
+                        pa.array(length[a:b], pa.int64()),
+                        pa.Array.from_buffers(pa.binary(), b - a, raw),
+                    ],
+                    names=["doc_id", "piece", "start", "length", "ids"],
+                )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, PIECES)
 
