@@ -434,3 +434,24 @@ def test_hit_file_stream_equals_batch(spark, workdir):
         assert _rows(keyword_revenue(as_attributed(got), opts).drop("keyword_lower")) == _rows(want)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_landed_hits_are_spread(spark, workdir, monkeypatch):
+    """Landing shuffles no hits and splits a long file, so that the stream parses
+    it in many tasks; the arrival order and the credits stay."""
+    from tests.hits import hit, write_tsv
+    from touchline.streaming import runner
+
+    inbox = os.path.join(workdir, "in")
+    os.makedirs(inbox)
+    rows = [hit(1_700_000_000 + i, f"172.16.9.{i % 2}", "Phone", "", "", f"http://www.bing.com/search?q=k{i}") for i in range(20)]
+    rows += [hit(1_700_000_100 + i, f"172.16.9.{i}", "Phone", "1", "E;Z;1;9;") for i in range(2)]
+    write_tsv(rows, inbox, "day.tsv")
+    monkeypatch.setattr(runner, "LANDED_HITS", 3)
+    root = os.path.join(workdir, "root")
+    got = runner.stream_hit_files(spark, inbox, root, AttributionOptions(session_timeout=1800)).where("is_purchase").collect()
+    assert sorted((r.ip, r.live_keyword) for r in got) == [("172.16.9.0", "k18"), ("172.16.9.1", "k19")]
+    landed = spark.read.parquet(f"{root}/hits")
+    assert landed.count() == 22
+    sizes = [pq.read_metadata(f.removeprefix("file:").replace("///", "/")).num_rows for f in landed.inputFiles()]
+    assert max(sizes) <= 3 and len(sizes) >= 8

@@ -344,6 +344,10 @@ def continuous_intake(
     return w.start()
 
 
+#: hits of a landed file at most, so that parsing them is spread over all cores
+LANDED_HITS = 100_000
+
+
 def land_hit_files(
     spark: SparkSession,
     input_dir: str,
@@ -376,11 +380,13 @@ def land_hit_files(
     known = ledger.agg(F.count("*").alias("files"), F.count_distinct("output_path").alias("runs")).first()
     numbers = spark.createDataFrame([(re.sub("^file:/+", "file:/", p), known["files"] + i) for i, (p, _) in enumerate(files)], "path string, number long")
     hits = read_hits(spark, [literal_path(p) for p, _ in files], opts.validate_schema)
-    # max_files bounds this side, and Spark measures it before it broadcasts
-    numbered = hits.join(numbers, _plain(F.col("seq.file")) == F.col("path"))
+    # max_files bounds this side, so hits stay in the tasks that read them
+    numbered = hits.join(F.broadcast(numbers), _plain(F.col("seq.file")) == F.col("path"))
     seq = F.struct(F.col("number").alias("file"), F.col("seq.start").alias("start"), F.col("seq.pos").alias("pos"))
     folder = f"{root}/hits/run={known['runs']}"
-    numbered.select(*[c for c in hits.columns if c != "seq"], seq.alias("seq")).write.mode("overwrite").parquet(folder)
+    landed = numbered.select(*[c for c in hits.columns if c != "seq"], seq.alias("seq"))
+    # the stream reads a landed file in one task
+    landed.write.mode("overwrite").option("maxRecordsPerFile", LANDED_HITS).parquet(folder)
     record_processed(spark.createDataFrame(files, "input_key string, content_tag string"), f"{root}/landed", folder)
     return len(files)
 

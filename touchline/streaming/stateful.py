@@ -99,10 +99,10 @@ class Hits:
         return self._code[touch]
 
     def add(self, pdf: pd.DataFrame) -> None:
-        domain, keyword = pdf["own_domain"], pdf["own_keyword"]
+        domain, keyword = pdf["own_domain"].to_numpy(dtype=object), pdf["own_keyword"].to_numpy(dtype=object)
         own = np.full(len(pdf), -1, np.int32)
-        for i in np.flatnonzero(domain.notna().to_numpy()):
-            own[i] = self.code((domain.iat[i], keyword.iat[i]))
+        at = np.flatnonzero(pdf["own_domain"].notna().to_numpy())
+        own[at] = [self.code(touch) for touch in zip(domain[at], keyword[at], strict=True)]
         self._parts.append(
             (
                 pdf["hit_time"].to_numpy(dtype=np.int64),
@@ -135,8 +135,13 @@ class Hits:
         self.live = np.where(last >= np.maximum(begun, 0), self.own[last], np.where(begun < 0, carried, -1))
 
     def rows(self, key, at: np.ndarray) -> pd.DataFrame:
-        names = [*self.touches, (None, None)]
-        own, live = ([names[k] for k in codes[at]] for codes in (self.own, self.live))
+        # -1, no touch, takes the last name
+        domain, keyword = (np.array([*(t[k] for t in self.touches), None], object) for k in (0, 1))
+        own, live = self.own[at], self.live[at]
+        paid = self.revenue.take(pa.array(at))
+        revenue = np.full(len(at), None, object)
+        known = np.flatnonzero(paid.is_valid().to_numpy(zero_copy_only=False))
+        revenue[known] = paid.take(pa.array(known)).to_pylist()
         return pd.DataFrame(
             {
                 "ip": key[0],
@@ -144,11 +149,11 @@ class Hits:
                 **{name: part[at] for name, part in zip(self.arrival, self.seq, strict=True)},
                 "hit_time": self.time[at],
                 "is_purchase": self.purchase[at],
-                "revenue": pd.Series(self.revenue.take(pa.array(at)).to_pylist(), dtype=object),
-                "own_domain": [x[0] for x in own],
-                "own_keyword": [x[1] for x in own],
-                "live_domain": [x[0] for x in live],
-                "live_keyword": [x[1] for x in live],
+                "revenue": revenue,
+                "own_domain": domain[own],
+                "own_keyword": keyword[own],
+                "live_domain": domain[live],
+                "live_keyword": keyword[live],
                 "new_session": self.new_session[at],
             }
         )
@@ -183,13 +188,14 @@ class LastTouchProcessor(StatefulProcessor):
         if not n:
             return
         hits.in_order(self.by_time)
-        before = int(self.last_time.get()[0]) if self.last_time.exists() else None
-        hits.scan(self.timeout, before, tuple(self.touch.get()) if self.touch.exists() else None)
+        known, held = self.last_time.get(), self.touch.get()
+        before, held = None if known is None else int(known[0]), None if held is None else tuple(held)
+        hits.scan(self.timeout, before, held)
         last = int(hits.time[-1])
         self.last_time.update((last,))
         if hits.live[-1] >= 0:
             self.touch.update(hits.touches[hits.live[-1]])
-        elif self.touch.exists():
+        elif held is not None:
             self.touch.clear()
         old, new = self._expiry(before), self._expiry(last)
         if old != new:
