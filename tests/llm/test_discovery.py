@@ -266,3 +266,12 @@ def test_url_labels_come_from_the_document_in_the_path(spark):
     labels = spark.createDataFrame([(7, 0, None), (8, None, 1), (9, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     got = {(r.url, r.label) for r in url_rules.page_labels(pages, labels).collect()}
     assert got == {("http://a/en/7.html?x=8", "block"), ("http://b/8", "block")}
+
+
+def test_phrase_hashes_are_short_and_in_order(spark):
+    """What a shard sends of its phrases: 32 bits of each hash, in order, and no text's length."""
+    docs = spark.createDataFrame([(i, f"alpha beta w{i % 7} gamma w{i % 5} delta", "en") for i in range(60)], "doc_id long, text string, lang string")
+    index = collocations.shards(docs.coalesce(1))
+    got = [r.hash for r in collocations.phrase_hashes(index, []).collect()]
+    assert len(got) == 11 and got == sorted(got) and 0 <= got[0] and got[-1] < 1 << 32
+    assert collocations.phrase_texts(index, []).columns == ["lang", "phrase", "f", "starts", "ends"]

@@ -59,10 +59,10 @@ BLANK[[9, 32]] = True
 INDEX = "lang string, size long, words array<string>, counts binary, bwt binary, rbwt binary"
 NAMES = ["lang", "size", "words", "counts", "bwt", "rbwt"]
 TYPES = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary()]
-FOUND = "lang string, phrase string, words int, f long, starts long, ends long"
-FOUND_NAMES = ["lang", "phrase", "words", "f", "starts", "ends"]
+FOUND = "lang string, phrase string, f long, starts long, ends long"
+FOUND_NAMES = ["lang", "phrase", "f", "starts", "ends"]
 #: bits of a phrase's hash that are summed; fewer make fewer bytes to shuffle
-HASH_BITS = 40
+HASH_BITS = 32
 
 
 def suffix_order(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -217,7 +217,7 @@ class Index:
         starts = np.concatenate([[0], np.cumsum(self.bwt == 0)])
         first, last = starts[lo + size] - starts[lo], self.stops[rlo + size] - self.stops[rlo]
         text = phrase[0] if len(phrase) == 1 else pc.binary_join_element_wise(*phrase, " ")
-        columns = [pa.repeat(pa.scalar(lang, pa.string()), len(ids)), text, pa.repeat(pa.scalar(ids.shape[1], pa.int32()), len(ids))]
+        columns = [pa.repeat(pa.scalar(lang, pa.string()), len(ids)), text]
         return pa.RecordBatch.from_arrays(columns + [pa.array(x, pa.int64()) for x in (size, first, last)], names=FOUND_NAMES)
 
 
@@ -276,14 +276,17 @@ def phrase_hashes(index: DataFrame, frequent: list) -> DataFrame:
             level = shard.singles()
             for words in filters:
                 level = shard.extended(passing(level, shard.hash_of(level), words))
-            yield from sliced(pa.RecordBatch.from_arrays([pa.array(shard.hash_of(level).view(np.int64)), pa.array(level["size"], pa.int64())], names=["hash", "f"]))
+            # in order, neighbours share their first byte, which shuffles smaller
+            hashes = shard.hash_of(level)
+            order = np.argsort(hashes)
+            yield from sliced(pa.RecordBatch.from_arrays([pa.array(hashes[order].view(np.int64)), pa.array(level["size"][order], pa.int64())], names=["hash", "f"]))
 
     return index.mapInArrow(run, "hash long, f long")
 
 
 def phrase_texts(index: DataFrame, frequent: list) -> DataFrame:
-    """lang, phrase, words, f, starts and ends (occurrences that begin, end a
-    piece) of the phrases of each shard that pass the filters."""
+    """lang, phrase, f, starts and ends (occurrences that begin, end a piece) of
+    the phrases of each shard that pass the filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [f.value for f in frequent]
@@ -307,8 +310,8 @@ def counted(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, size: int =
         sums = phrase_hashes(index, frequent).groupBy("hash").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
         frequent.append(filtered(spark.read.parquet(written(sums.select("hash"), "hashes"))))
     sums = [F.sum(c).alias(c) for c in ("f", "starts", "ends")]
-    texts = phrase_texts(index, frequent).groupBy("lang", "phrase", "words").agg(*sums).where(F.col("f") >= least)
-    texts = texts.select("lang", "phrase", "words", "f", (F.col("f") - F.col("starts")).alias("left"), (F.col("f") - F.col("ends")).alias("right"))
+    texts = phrase_texts(index, frequent).groupBy("lang", "phrase").agg(*sums).where(F.col("f") >= least)
+    texts = texts.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "f", (F.col("f") - F.col("starts")).alias("left"), (F.col("f") - F.col("ends")).alias("right"))
     totals = spark.read.parquet(path).groupBy("lang").agg(F.sum("size").alias("n"))
     return spark.read.parquet(written(texts, "phrases")), totals
 
