@@ -1,6 +1,8 @@
 """Packing and sharding against direct computations."""
 
+import json
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -90,6 +92,70 @@ def test_fragments_equal_tokenizer():
     assert set(encoder.codes) == {"The", " house", ".", " The", ",", " the", "\n", "house", "!", ";"}
 
 
+class Counted:
+    """A tokenizer that counts the characters given to it."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.chars = tokenizer, 0
+
+    def encode(self, text, **kw):
+        self.chars += len(text)
+        return self.tokenizer.encode(text, **kw)
+
+    def encode_batch_fast(self, texts, **kw):
+        self.chars += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **kw)
+
+
+def test_words_of_letters_skip_the_pattern():
+    """New words of letters take the merges alone, whatever marks or digits follow."""
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCXYZàéßœłΑάωЖя"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 14))) for _ in range(3000)]
+    texts = [" ".join(words[i : i + 30]) for i in range(0, 3000, 30)]
+    encoder = packing.WordEncoder(PATH)
+    want = [encoder.whole(t) for t in texts]
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    assert encoder.encode(texts) == want
+    assert counted.chars == 0
+    encoder.forget()
+    encoder.encode(["one word&&& word### word12", " word***"])
+    assert set(encoder.codes) == {"one", " word", "&&&", "###", "12", "***"}
+
+
+def test_letters_of_the_pattern():
+    """Every letter that skips the pattern is one to it."""
+    encoder = packing.WordEncoder(PATH)
+    simple = [c for c in map(chr, range(33, 0x600)) if re.fullmatch(packing._LETTERS, c)]
+    assert len(simple) == 52 + 62 + 336 + 61 + 268
+    for c in simple:
+        assert [w for w, _ in encoder.tokenizer.pre_tokenizer.pre_tokenize_str(f"a{c}a a{c}")] == [
+            "".join(map(chr, packing.BYTE_SIGNS[list(w.encode())])) for w in (f"a{c}a", f" a{c}")
+        ]
+
+
+def test_encoder_where_line_feeds_merge(tmp_path):
+    """A vocabulary that merges a line feed with letters: words can't share a string."""
+    made = json.load(open(PATH))
+    model = made["model"]
+    model["merges"] = [["t", "Ċ"], ["Ċ", "Ġ"], *model["merges"]]
+    for n, token in enumerate(("tĊ", "ĊĠ")):
+        model["vocab"][token] = 60000 + n
+    (tmp_path / "odd.json").write_text(json.dumps(made))
+    encoder = packing.WordEncoder(str(tmp_path / "odd.json"))
+    texts = ["that cat sat", " at it\n that", "naïve"]
+    assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
+
+
+def test_encoder_forgets(monkeypatch):
+    """More fragments than are kept, over several calls."""
+    monkeypatch.setattr(packing, "WORDS_KEPT", 20)
+    encoder = packing.WordEncoder(PATH)
+    for k in range(6):
+        texts = [" ".join(f"w{chr(97 + (k * 7 + i) % 26)}x 漢{i}" for i in range(n)) for n in (3, 9, 0, 5)]
+        assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
+
+
 def best_fit(lengths, capacity):
     """Best-fit decreasing, piece by piece: room of each sequence."""
     rooms = []

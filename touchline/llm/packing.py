@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,31 +32,33 @@ by_value(__name__)
 
 CAPACITY = 1024
 END = 2
-#: encoded fragments and their ids that a worker keeps (about 100 MB); more are
+#: bytes of text that are encoded at a time
+ENCODE_BYTES = 4 << 20
+#: encoded fragments and their ids that a task keeps (about 50 MB); more are
 #: encoded anew
 WORDS_KEPT = 600_000
 IDS_KEPT = 8_000_000
+#: words that are encoded as one string
+RUN = 100
 #: pieces that leave a task at a time
 EMIT_PIECES = 1 << 14
 
-#: white space of one byte, and bytes that the pattern may or may not take for it
-WHITE = np.zeros(256, dtype=bool)
-WHITE[[9, 10, 11, 12, 13, 32]] = True
-UNSURE = np.zeros(256, dtype=bool)
-UNSURE[[28, 29, 30, 31]] = True
-#: first bytes of the other white space of Unicode
-WIDE = np.zeros(256, dtype=bool)
-WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
-LETTER = np.zeros(256, dtype=bool)
-LETTER[[*range(65, 91), *range(97, 123)]] = True
-MARK = np.zeros(256, dtype=bool)
-MARK[[*b".,;:!?"]] = True
-
-
-def wide_spaces(data: np.ndarray) -> np.ndarray:
-    """Bytes of white space that is no single byte."""
+#: kinds of bytes: white space of one byte, bytes that the pattern may or may not
+#: take for it, first bytes of the other white space of Unicode, ASCII letters, and
+#: all other visible ASCII
+WHITE, UNSURE, WIDE, LETTER, MARK = 1, 2, 4, 8, 16
+KIND = np.zeros(256, np.uint8)
+KIND[33:127] = MARK
+KIND[[9, 10, 11, 12, 13, 32]] = WHITE
+KIND[[28, 29, 30, 31]] = UNSURE
+KIND[[0xC2, 0xE1, 0xE2, 0xE3]] = WIDE
+KIND[[*range(65, 91), *range(97, 123)]] = LETTER
+KIND = KIND.tobytes()
+
+
+def wide_spaces(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Bytes of white space that is no single byte; it can only begin at ``at``."""
     out = np.zeros(len(data), bool)
-    at = np.flatnonzero(WIDE[data])
     if len(at):
         padded = np.append(data, np.zeros(2, np.uint8))
         x, y, z = data[at], padded[at + 1], padded[at + 2]
@@ -71,17 +74,18 @@ def fragments(data: np.ndarray, offs: np.ndarray, special: list[bytes]) -> np.nd
     """Where the fragments of texts start, which are encoded apart.
 
     The vocabulary's pattern begins a pre-token at every run of white space and
-    at a mark after a letter, and one behind a single white character that isn't
-    a space; it looks ahead only to tell white space.  A text that
+    at a mark or digit after a letter, and one behind a single white character that
+    isn't a space; it looks ahead only to tell white space.  A text that
     holds a special string is one fragment."""
     start = np.zeros(len(data) + 1, bool)
-    white = WHITE[data]
-    any_white = white | UNSURE[data] | wide_spaces(data)
+    kind = np.frombuffer(data.tobytes().translate(KIND), np.uint8)
+    white = (kind & WHITE) != 0
+    any_white = ((kind & (WHITE | UNSURE)) != 0) | wide_spaces(data, np.flatnonzero(kind & WIDE))
     start[1:-1] = white[1:] & ~any_white[:-1]
     start[2:-1] |= (white & (data != 32))[1:-1] & ~any_white[:-2] & ~any_white[2:]
-    letter = LETTER[data]
+    letter = kind == LETTER
     letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
-    start[1:-1] |= MARK[data[1:]] & letter[:-1]
+    start[1:-1] |= (kind[1:] == MARK) & letter[:-1]
     for s in special:
         raw, at = data.tobytes(), -1
         while (at := raw.find(s, at + 1)) >= 0:
@@ -107,28 +111,64 @@ class WordEncoder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         first = (self.tokenizer.id_to_token(i) or "" for i in range(size))
         self.opens = np.fromiter((t.startswith("Ġ") for t in first), dtype=bool, count=size)
+        #: the same vocabulary and merges without the pattern
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.feed = self.tokenizer.token_to_id("Ċ")
         self.forget()
 
     def forget(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.words = pa.array([], pa.large_string())
         self.ids = np.zeros(0, "<u4")
         self.ends = np.zeros(1, np.int64)
 
+    @property
+    def codes(self) -> list[str]:
+        """The fragments kept, in order of their codes."""
+        return self.words.to_pylist()
+
     def whole_ids(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def whole(self, text: str) -> bytes:
         return self.whole_ids(text).tobytes()
 
-    def learn(self, words: list[str]) -> None:
-        """Encode new fragments, one run of plain words at a time; an id that opens
-        with a space marks where the next word starts."""
-        plain, other = [], []
-        for w in words:
-            (plain if _PLAIN.fullmatch(w) and not any(s in w for s in self.special) else other).append(w)
-        ids, counts = [self.ids], []
-        for at in range(0, len(plain), 2000):
-            run = plain[at : at + 2000]
+    def letter_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of fragments that are one pre-token each, and how many each has.
+
+        They are merged as one string with a line feed behind each.  If every line
+        feed stays a token of its own, no merge went past a word's end; else none
+        are given."""
+        if not len(words) or self.feed is None:
+            return None
+        ended = pc.binary_join_element_wise(words, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
+        ends = np.frombuffer(ended.buffers()[1], np.int64)[ended.offset : ended.offset + len(ended) + 1]
+        data = np.frombuffer(ended.buffers()[2], np.uint8)
+        got = []
+        for at in range(0, len(words), RUN):
+            run = BYTE_SIGNS[data[ends[at] : ends[min(at + RUN, len(words))]]].tobytes().decode("utf-32-le")
+            got += self.merger.encode_batch_fast([run], add_special_tokens=False)[0].ids
+        ids = np.asarray(got, dtype="<u4")
+        feeds = np.flatnonzero(ids == self.feed)
+        if len(feeds) != len(words):
+            return None
+        return ids[ids != self.feed], np.diff(feeds, prepend=-1) - 1
+
+    def learn(self, words: pa.Array) -> np.ndarray:
+        """Encode new fragments and give their codes.  Fragments of letters go through
+        the merges alone; of the others, plain words are encoded a run at a time, where
+        an id that opens with a space marks where the next word starts."""
+        simple = pc.match_substring_regex(words, _LETTERS).to_numpy(zero_copy_only=False)
+        bare = self.letter_ids(words.filter(pa.array(simple)))
+        if bare is None:
+            simple[:] = False
+            bare = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        left = np.flatnonzero(~simple)
+        texts = words.take(pa.array(left)).to_pylist()
+        is_plain = np.fromiter((_PLAIN.fullmatch(w) is not None and not any(s in w for s in self.special) for w in texts), bool, len(texts))
+        plain = [texts[i] for i in np.flatnonzero(is_plain)]
+        ids, counts = [self.ids, bare[0]], [bare[1]]
+        for at in range(0, len(plain), RUN):
+            run = plain[at : at + RUN]
             encoded = self.tokenizer.encode_batch_fast(["".join(run)], add_special_tokens=False)[0]
             got = np.asarray(encoded.ids, dtype="<u4")
             starts = np.flatnonzero(self.opens[got])
@@ -139,22 +179,26 @@ class WordEncoder:
                 each = [self.whole_ids(w) for w in run]
                 ids += each
                 counts.append([len(x) for x in each])
-        each = [self.whole_ids(w) for w in other]
+        each = [self.whole_ids(texts[i]) for i in np.flatnonzero(~is_plain)]
         counts.append([len(x) for x in each])
         self.ids = np.concatenate(ids + each)
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(counts).astype(np.int64))])
-        at = len(self.codes)
-        self.codes.update(zip(plain + other, range(at, at + len(words)), strict=True))
+        order = np.concatenate([np.flatnonzero(simple), left[is_plain], left[~is_plain]])
+        code = np.empty(len(words), np.int64)
+        code[order] = len(self.words) + np.arange(len(words))
+        self.words = pa.concat_arrays([self.words, words.take(pa.array(order))])
+        return code
 
-    def known(self, words: list[str]) -> np.ndarray:
+    def known(self, words: pa.Array) -> np.ndarray:
         """The codes of distinct fragments, new ones learned."""
-        new = [w for w in words if w not in self.codes]
-        if len(self.codes) + len(new) > WORDS_KEPT or len(self.ids) > IDS_KEPT:
+        code = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(code < 0)
+        if len(self.words) + len(new) > WORDS_KEPT or len(self.ids) > IDS_KEPT:
             self.forget()
-            new = words
-        if new:
-            self.learn(new)
-        return np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+            new = np.arange(len(words))
+        if len(new):
+            code[new] = self.learn(words.take(pa.array(new)))
+        return code
 
     def encode_bytes(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts (their bytes and offsets) and how many each has."""
@@ -163,10 +207,11 @@ class WordEncoder:
         at = fragments(data, offs, [s.encode() for s in self.special])
         edges = np.append(at, len(data)).astype(np.int64)
         coded = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode()
-        code = self.known(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        count = self.ends[code + 1] - self.ends[code]
+        code = self.known(coded.dictionary)[coded.indices.to_numpy()]
+        first = self.ends[code]
+        count = np.diff(self.ends)[code]
         done = np.cumsum(count)
-        ids = self.ids[np.repeat(self.ends[code + 1] - done, count) + np.arange(done[-1])]
+        ids = self.ids[np.repeat(first + count - done, count) + np.arange(done[-1])]
         upto = np.concatenate([[0], done])[np.searchsorted(at, offs)]
         return ids, np.diff(upto)
 
@@ -180,6 +225,19 @@ class WordEncoder:
 
 #: a fragment that is a space and a word
 _PLAIN = re.compile(r" \S+")
+#: Latin, Greek and Cyrillic letters with or without a space: one pre-token
+_LETTERS = "^ ?[A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ώЀ-ҁҊ-ԓ]+$"
+
+
+def byte_signs() -> np.ndarray:
+    """The character by which a byte-level vocabulary writes each byte: its own if
+    that is visible, else one from U+0100 on."""
+    seen = np.zeros(256, bool)
+    seen[33:127] = seen[161:173] = seen[174:] = True
+    return np.where(seen, np.arange(256), 255 + np.cumsum(~seen)).astype("<u4")
+
+
+BYTE_SIGNS = byte_signs()
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -190,7 +248,7 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer_path)
-        for batch, data, offs in chunks(batches, "text"):
+        for batch, data, offs in chunks(batches, "text", ENCODE_BYTES):
             ids, count = encoder.encode_bytes(data, offs)
             size = count + 1
             last = np.cumsum(size) - 1
