@@ -101,6 +101,87 @@ def test_a_large_group_of_near_copies_is_not_branched(spark, monkeypatch):
     assert sum(nodes[1:]) < nodes[0] / 2
 
 
+def large_group(seed, n):
+    """Sets of one candidate group: most share half of their values with all,
+    some are near copies of one, some resemble the one before, some are tiny."""
+    import numpy as np
+
+    rng = random.Random(seed)
+    common, base = rng.sample(range(1, 1 << 62), 20), rng.sample(range(1, 1 << 62), 90)
+    sets = [common[: rng.randrange(1, 20)] + rng.sample(range(1, 1 << 62), rng.randrange(1, 40)) for _ in range(n)]
+    for _ in range(n // 4):
+        sets.append(base[rng.randrange(16) :] + rng.sample(range(1, 1 << 62), rng.randrange(16)))
+    chain = list(base)
+    for _ in range(n // 10):
+        chain = chain[5:] + rng.sample(range(1, 1 << 62), 5)
+        sets.append(chain)
+    sets += [common[:k] for k in range(1, 8)]
+    return [np.array(sorted(x), np.uint64) for x in {tuple(sorted(x)) for x in sets}]
+
+
+def resolved(spark, monkeypatch, groups):
+    """Links of resolve_large on groups, as components, and the tables it makes."""
+    from touchline.llm import common
+
+    rows = [(neardup.set_key(x), bytes([k]) * 16, x.tobytes()) for k, sets in enumerate(groups) for x in sets]
+    made, kept = [], common.stored
+    monkeypatch.setattr(neardup, "stored", lambda df, name: made.append(name) or kept(df, name))
+    links = neardup.resolve_large(spark.createDataFrame(rows, "class binary, group binary, shingles binary"), 80).collect()
+    of = {bytes(r[0]): bytes(r[0]) for r in rows}
+    for a, b in links:
+        x, y = sorted((of[bytes(a)], of[bytes(b)]))
+        of = {i: x if c == y else c for i, c in of.items()}
+    return [[of[neardup.set_key(x)] for x in sets] for sets in groups], made
+
+
+def test_a_large_group_is_resolved_without_a_round_for_every_few_members(spark, monkeypatch):
+    """Members that only share some values cost no round of jobs."""
+    groups = [large_group(3, 200), large_group(4, 30)]
+    found, made = resolved(spark, monkeypatch, groups)
+    for sets, got in zip(groups, found, strict=True):
+        want = neardup.resolve(sets)
+        assert [got.index(x) for x in got] == [want.tolist().index(x) for x in want]
+        assert 1 < len(set(got)) < len(got)
+    assert len(made) < 12, made
+
+
+def test_a_hot_token_of_a_large_group_is_dealt_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TILE", 3, raising=False)
+    monkeypatch.setattr(neardup, "PIVOTS", 1)
+    monkeypatch.setattr(neardup, "RARITY_BITS", 2, raising=False)
+    groups = [large_group(5, 24)]
+    found, _ = resolved(spark, monkeypatch, groups)
+    want = neardup.resolve(groups[0])
+    assert [found[0].index(x) for x in found[0]] == [want.tolist().index(x) for x in want]
+
+
+@given(st.integers(0, 10**6), st.sampled_from([50, 80, 100]))
+@settings(max_examples=100, deadline=None)
+def test_resolve_compares_few_members_of_a_group(seed, percent):
+    """Near copies of one set, of which many differ too much: same components as
+    all pairs, and members that can't be similar aren't compared."""
+    import numpy as np
+
+    rng = random.Random(seed)
+    base = rng.sample(range(1000), 60)
+    sets = []
+    for k in range(30):
+        n = rng.choice([1, 2, 9, 11])
+        sets.append(np.unique(np.array(base[:20] + rng.sample(base[20:], 40 - n) + [1000 + 20 * k + i for i in range(n)], np.uint64)))
+    pairs, compared = [], neardup.compared
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(neardup, "compared", lambda pivot, values, owner, sizes, percent: pairs.append(len(sizes)) or compared(pivot, values, owner, sizes, percent))
+        label = neardup.resolve(sets, percent)
+    of = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                of = [of[b] if c == of[a] else c for c in of]
+    assert all((label[a] == label[b]) == (of[a] == of[b]) for a in range(len(sets)) for b in range(a))
+    assert percent == 50 or 0 <= sum(pairs) < 30 * 29 / 2
+
+
 def test_near_duplicates_odd_tables(spark):
     assert neardup.near_duplicates(frame(spark, [])).count() == 0
     got = neardup.near_duplicates(frame(spark, [(None, "a b c d e"), (4, "a b c d e"), (None, None), (9, "A B c d e")])).collect()

@@ -19,8 +19,8 @@ group; the components are exact for the pairs that the trees brought together.
 Nothing is capped.  A large node that keeps ``UNSPLIT`` of its parent's classes,
 of whose classes so many agree with one, or that is left after ``DEPTH`` levels is a candidate group as a whole, tied to its
 smallest member; a candidate group of more than
-``GROUP_SHINGLES`` shingles is resolved by the same comparisons in rounds of
-distributed jobs instead of in one task.
+``GROUP_SHINGLES`` shingles is resolved by a distributed join of its classes on
+their rarest shingles instead of in one task.
 
 Defined cases: documents without words are linked with nothing; fewer words
 than a shingle count as one shingle; a null doc_id is linked with nothing and
@@ -29,6 +29,7 @@ kept; repeated rows are copies.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, by_value, chunks, connected, filter_bits, filter_of, filter_places, gram_hashes, mix, seeded, stored, table, text_or_empty, with_body, word_hashes, word_spans
+from .common import CHUNK_BYTES, LOWER, by_value, chunks, connected, filter_bits, filter_of, filter_places, gram_hashes, mix, seeded, stored, table, text_or_empty, with_body, word_hashes, word_spans
 
 by_value(__name__)
 
@@ -56,7 +57,12 @@ UNSPLIT = 0.7
 #: on average, with a standard deviation of 3.2
 AGREE = 35
 GROUP_SHINGLES = 4_000_000
-#: members compared with a large group at a time
+#: bits of a bucket of shingles whose rarity is known in a large group
+RARITY_BITS = 21
+#: classes of a token compared with as many in one task
+TILE = 2048
+#: times that the classes of a token in a large group are compared with one of
+#: them, at most, before all that are still apart are compared
 PIVOTS = 16
 
 
@@ -238,38 +244,53 @@ def compared(pivot: np.ndarray, values: np.ndarray, owner: np.ndarray, sizes: np
 def resolve(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     """Component number of each set under the similarity, within one group.
 
-    The sets that hold a value are found through an index of values.  A set
-    can only be similar to one that holds some of its rarest values (all but
-    the share that both must have, and one), so a member whose rarest values
-    stand only in its own component needs no comparison.
+    The rarest value that two similar sets have in common is among the rarest
+    of both (all but the share that both must have, and one).  An index of
+    these values, by size of the set, gives those that a member can be similar
+    to: no more values of either may be rarer than may differ, given both
+    sizes.  Only those of other components are compared.
     """
     n = len(sets)
     sizes = np.array([len(x) for x in sets])
-    values, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
-    order = np.argsort(values, kind="stable")
-    holders = owner[order]
-    distinct, first = np.unique(values[order], return_index=True)
-    many = np.diff(np.append(first, len(values)))
-
-    def holding(places: np.ndarray) -> np.ndarray:
-        count = many[places]
-        return holders[np.repeat(first[places] - np.cumsum(count) + count, count) + np.arange(count.sum())]
+    owner, start = np.repeat(np.arange(n, dtype=np.int32), sizes), np.cumsum(sizes) - sizes
+    ids, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    ids, many = ids.astype(np.int32), many.astype(np.int32)
+    ids = ids[np.lexsort((ids, many[ids], owner))]
+    # members like many others first
+    turns = np.argsort(-np.add.reduceat(many[ids], start, dtype=float) / sizes, kind="stable")
+    rare = sizes + -sizes * percent // 100 + 1
+    inside = np.repeat(start - np.cumsum(rare) + rare, rare) + np.arange(rare.sum())
+    width = int(sizes.max()) + 1
+    index = ids[inside].astype(np.int64) * width + sizes[owner[inside]]
+    order = np.argsort(index, kind="stable")
+    inside, index = inside[order], index[order]
+
+    def near(p: int) -> np.ndarray:
+        """Members of other components that may be similar to p."""
+        size, values = int(sizes[p]), ids[start[p] : start[p] + rare[p]].astype(np.int64)
+        left = size - np.arange(len(values))
+        most = np.minimum((left * (100 + percent) - percent * size) // percent, width - 1)
+        at = np.searchsorted(index, values * width - (-percent * size // 100))
+        count = np.maximum(np.searchsorted(index, values * width + most, side="right") - at, 0)
+        found = inside[np.repeat(at - np.cumsum(count) + count, count) + np.arange(count.sum())]
+        members = owner[found]
+        both = np.minimum(np.repeat(left, count), sizes[members] - (found - start[members]))
+        return np.unique(members[(label[members] != label[p]) & (both * (100 + percent) >= percent * (size + sizes[members]))])
 
     label, done = np.arange(n), np.zeros(n, bool)
     while True:
         largest = np.bincount(label).argmax()
-        open_ = np.flatnonzero(~done & (label != largest)) if done.any() else np.array([int(sizes.argmax())])
+        open_ = turns[~done[turns] & (label[turns] != largest)] if done.any() else turns[:1]
         if not len(open_):
             return label
         for p in open_:
             done[p] = True
-            places = np.searchsorted(distinct, sets[p])
-            rare = sizes[p] - -(-percent * int(sizes[p]) // 100) + 1
-            near = holding(places[np.argsort(many[places], kind="stable")[:rare]])
-            if (label[near] != label[p]).any():
-                both = np.bincount(holding(places), minlength=n)
-                linked = 100 * both >= percent * (sizes[p] + sizes - both)
-                if (label[linked] != label[p]).any():
+            others = near(p)
+            for at in range(0, len(others), 256):
+                some = others[at : at + 256]
+                values, of = np.concatenate([sets[x] for x in some]), np.repeat(np.arange(len(some)), sizes[some])
+                linked = some[compared(sets[p], values, of, sizes[some], percent)]
+                if len(linked):
                     label[np.isin(label, label[linked])] = label[p]
 
 
@@ -295,44 +316,176 @@ def resolve_groups(groups: DataFrame, percent: int) -> DataFrame:
     return groups.select("members").mapInArrow(run, "a binary, b binary")
 
 
-def pivot_links(pairs: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between a class and the pivots of its group."""
+def slices(batch: pa.RecordBatch, column: int, limit: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """A record batch cut between rows to about ``limit`` bytes of a binary column."""
+    ends = np.cumsum([len(x.as_buffer()) for x in batch.column(column)])
+    at = 0
+    while at < len(batch):
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right"))
+        to = max(to, at + 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def group_tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit value for each shingle of a group, and the number of shingles of
+    each row (class, group, shingles)."""
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(2)]
+    sizes = np.array([len(x) for x in sets])
+    of_group = np.array([int.from_bytes(x.as_py()[:8], "big") for x in batch.column(1)], np.uint64)
+    return mix(np.concatenate(sets) ^ np.repeat(of_group, sizes)), sizes
+
+
+def rarity(members: DataFrame):
+    """A broadcast table of ``2**RARITY_BITS`` bytes: how often the shingles of a
+    bucket occur in their groups, in steps of an eighth of an octave.
+
+    It only serves to put rare shingles first; any order of shingles gives the
+    same links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
-            a_, b_ = [], []
-            for key, shingles, pivots in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.frombuffer(shingles, np.uint64)
-                for p in pivots:
-                    if p["class"] != key and compared(np.frombuffer(p["shingles"], np.uint64), own, np.zeros(len(own), int), np.array([len(own)]), percent)[0]:
-                        a_.append(p["class"])
-                        b_.append(key)
-            yield pa.RecordBatch.from_arrays([pa.array(a_, pa.binary()), pa.array(b_, pa.binary())], names=["a", "b"])
+            for part in slices(batch, 2):
+                bucket, n = np.unique(group_tokens(part)[0] >> np.uint64(64 - RARITY_BITS), return_counts=True)
+                total[bucket.astype(np.int64)] += n
+        bucket = np.flatnonzero(total)
+        for at in range(0, len(bucket), 1 << 16):
+            some = bucket[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["bucket", "n"])
 
-    return pairs.select("class", "shingles", "pivots").mapInArrow(run, "a binary, b binary")
+    counted = members.select("class", "group", "shingles").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    got = counted.where("n > 1").select("bucket", F.least(F.floor(8 * F.log2("n")), F.lit(255)).cast("short").alias("step")).toArrow()
+    out = np.zeros(1 << RARITY_BITS, np.uint8)
+    out[got.column("bucket").to_numpy()] = got.column("step").to_numpy()
+    return members.sparkSession.sparkContext.broadcast(out)
+
+
+def prefixes(members: DataFrame, percent: int) -> DataFrame:
+    """token, class, size, place: of the shingles of each class, rarest first, all
+    that can be the first that it has in common with a similar class.
+
+    What comes before ``place`` isn't common, so with ``both`` common shingles
+    ``place <= size - both``, and ``both`` is at least ``percent`` of the size."""
+    steps = rarity(members)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                token, sizes = group_tokens(part)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                order = np.lexsort((token, steps.value[(token >> np.uint64(64 - RARITY_BITS)).astype(np.int64)], owner))
+                place = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                first = place <= (sizes + -sizes * percent // 100)[owner]
+                owner = owner[first]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(token[order][first].view(np.int64)),
+                        part.column(0).take(pa.array(owner)),
+                        pa.array(sizes[owner].astype(np.int32)),
+                        pa.array(place[first].astype(np.int32)),
+                    ],
+                    names=["token", "class", "size", "place"],
+                )
+
+    return members.select("class", "group", "shingles").mapInArrow(run, "token long, class binary, size int, place int")
+
+
+def central_pairs(rows: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (a, b), with other labels, of each class and one class of the same
+    token and about its size: the one that has the fewest rarer shingles, any
+    one in later turns."""
+    band = F.floor(F.log(F.col("size").cast("double")) / math.log(max(100 / percent, 1.01)))
+    rows = rows.withColumn("band", band)
+    first = F.struct(F.xxhash64("class", F.lit(turn)).alias("nth") if turn else F.col("place").alias("nth"), "place", "size", "class", "label")
+    one = rows.groupBy("token", "band").agg(F.min(first).alias("one"), F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    both = F.least(F.col("size") - F.col("place"), F.col("one.size") - F.col("one.place"))
+    pairs = rows.join(one.select("token", "band", "one"), ["token", "band"]).where(F.col("label") != F.col("one.label"))
+    pairs = pairs.where(both * (100 + percent) >= percent * (F.col("size") + F.col("one.size")))
+    return pairs.select(F.col("one.class").alias("a"), F.col("class").alias("b")).distinct()
+
+
+def open_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes with other labels that a token of both doesn't
+    rule out.  A token of many classes is dealt out in pairs of tiles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tiles = batch.column(1).to_pylist()
+            for row, (x, y) in enumerate(tiles):
+                members = batch.column(0).slice(row, 1).flatten()
+                keys = members.field("class")
+                size, place, tile = (members.field(c).to_numpy() for c in ("size", "place", "tile"))
+                label = members.field("label").dictionary_encode().indices.to_numpy()
+                left, right = np.flatnonzero(tile == x), np.flatnonzero(tile == y)
+                rest = size - place
+                for lo in range(0, len(left), 256):
+                    i = left[lo : lo + 256, None]
+                    near = (label[i] != label[right]) & (np.minimum(rest[i], rest[right]).astype(np.int64) * (100 + percent) >= percent * (size[i].astype(np.int64) + size[right]))
+                    if x == y:
+                        near &= i < right
+                    p, q = np.nonzero(near)
+                    if len(p):
+                        a, b = keys.take(pa.array(left[lo + p])), keys.take(pa.array(right[q]))
+                        yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+    sizes = rows.groupBy("token").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    tiles = F.ceil(F.col("n") / TILE)
+    rows = rows.join(sizes.select("token", "n"), "token").withColumn("tiles", tiles)
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
+    rows = rows.select("token", "class", "size", "place", "label", "tile", other)
+    pair = F.struct(F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"))
+    blocks = rows.groupBy("token", pair.alias("pair")).agg(F.collect_list(F.struct("class", "size", "place", "label", "tile")).alias("members"))
+    blocks = blocks.select("members", F.array("pair.x", "pair.y").alias("pair")).where(F.size("members") > 1)
+    found = blocks.mapInArrow(run, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def similar(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = (x, y) if len(x) <= len(y) else (y, x)
+                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    sets = [members.select(F.col("class").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab"]
+    return pairs.join(sets[0], "a").join(sets[1], "b").select("a", "b", "of_a", "of_b").mapInArrow(run, "a binary, b binary")
 
 
 def resolve_large(members: DataFrame, percent: int) -> DataFrame:
     """As ``resolve``, for groups (class, group, shingles) that no single task
-    should hold: rounds of ``PIVOTS`` members a group."""
-    spark = members.sparkSession
-    links = spark.createDataFrame([], "a binary, b binary")
-    used = spark.createDataFrame([], "class binary")
-    while True:
-        joined = connected(links)
-        state = members.select("class", "group").join(joined, F.col("class") == F.col("id"), "left")
-        state = state.select("class", "group", F.coalesce("label", "class").alias("label"))
-        sizes = state.groupBy("group", "label").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.max("n").alias("most"))
-        # the first round may take a member of the largest component, there is none yet
-        open_ = state.join(largest, "group").where("label <> largest or most = 1").join(used, "class", "left_anti")
-        order = Window.partitionBy("group").orderBy(F.xxhash64("class"), "class")
-        chosen = stored(open_.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= PIVOTS).select("class", "group"), "pivots")
-        if chosen.isEmpty():
-            return links
-        sets = members.join(chosen, ["class", "group"]).groupBy("group").agg(F.collect_list(F.struct("class", "shingles")).alias("pivots"))
-        links = stored(links.unionAll(pivot_links(members.join(sets, "group"), percent)), "links")
-        used = stored(used.unionAll(chosen.select("class")), "used")
+    should hold.
+
+    Similar classes have a token of their ``prefixes`` in common.  First each
+    class is compared with one class of each of its tokens, which connects most
+    of a group of near copies, again for as long as many classes get a link;
+    then what remains in different components of a token is compared."""
+    rows = stored(prefixes(members, percent), "prefixes")
+    least = members.count() // 4
+    links = None
+    for turn in range(PIVOTS):
+        found = stored(similar(stored(central_pairs(labelled(rows, links), percent, turn), "central"), members, percent), "links")
+        links = found if links is None else links.unionAll(found)
+        if found.select("b").distinct().count() <= least:
+            break
+    rest = stored(open_pairs(labelled(rows, links), percent), "open")
+    return links.unionAll(stored(similar(rest, members, percent), "links"))
+
+
+def labelled(rows: DataFrame, links: DataFrame | None) -> DataFrame:
+    """``rows`` with the label of each class: that of its component of the links,
+    or the class."""
+    if links is None:
+        return rows.withColumn("label", F.col("class"))
+    joined = connected(links).select(F.col("id").alias("class"), F.col("label").alias("_label"))
+    return rows.join(joined, "class", "left").withColumn("label", F.coalesce("_label", "class")).drop("_label")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
