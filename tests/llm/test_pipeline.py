@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from touchline.llm import langid
+from touchline.llm import langid, neardup
 from touchline.llm.common import stored
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -41,6 +41,22 @@ def test_language_rejects_what_was_not_learned(spark, langs):
     assert kept == {r.doc_id for r in clean.select("doc_id").collect()}
 
 
+def test_near_duplicate_takes_no_round_for_every_few_documents_of_a_group(spark, monkeypatch):
+    """Documents that share a long line are one candidate group of different
+    documents; copies among them go, in as many steps for any number of them."""
+    rng = random.Random(12)
+    line = " ".join(f"l{i}" for i in range(50))
+    texts = [" ".join([line, *(f"w{i}x{j}" for j in range(14))]) for i in range(140)]
+    texts += [t + " end" for t in rng.sample(texts, 20)]
+    rows = [(i, t, "en", "x", len(t)) for i, t in enumerate(texts)]
+    made, kept = [], neardup.stored
+    monkeypatch.setattr(neardup, "GROUP_SHINGLES", 2000)
+    monkeypatch.setattr(neardup, "stored", lambda df, name: made.append(name) or kept(df, name))
+    out = corpus_pipeline.near_duplicate(spark, spark.createDataFrame(rows, DOCS), "")
+    assert sorted(r.doc_id for r in out.collect()) == list(range(140))
+    assert made.count("links") <= 4, made
+
+
 def test_language_is_the_networks(spark, monkeypatch):
     """The stage judges a text by the language that op8's network names."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
